@@ -9,19 +9,20 @@ the Spark side.
 from __future__ import annotations
 
 # Fixed values shared with sources/testdata.py.
-ORDERS_V0_EXTRACTED_AT = "1999-01-01 02:00:00"
-ORDERS_V1_EXTRACTED_AT = "1999-01-02 02:00:00"
-CUSTOMERS_V0_EXTRACTED_AT = "1998-12-31 02:00:00"
-CUSTOMERS_V1_EXTRACTED_AT = "1999-01-01 02:00:00"
-PRODUCTS_EXTRACTED_AT = "1999-01-02 14:00:00"
+ORDERS_V0_EXTRACTED_AT = "2001-09-05 02:00:00"
+ORDERS_V1_EXTRACTED_AT = "2001-09-06 02:00:00"
+CUSTOMERS_V0_EXTRACTED_AT = "2001-09-04 02:00:00"
+CUSTOMERS_V1_EXTRACTED_AT = "2001-09-05 02:00:00"
+PRODUCTS_EXTRACTED_AT = "2001-09-06 14:00:00"
 CUSTOMERS_CREATED_AT = "1992-01-01 00:00:00"
 PRODUCTS_CREATED_AT = "1992-01-01 00:00:00"
-AS_OF = "1999-01-02 20:00:00"
+AS_OF = "2001-09-06 20:00:00"
+CHANGED_SINCE_AS_OF = "2001-08-20 00:00:00"
 
 _ORDERS_COLS = """
     order_ref, customer_id, status, order_total,
     CAST(order_total * CAST(0.08 AS DECIMAL(3,2)) AS DECIMAL(18,2)) AS tax_amount,
-    'USD' AS currency, created_at, updated_at"""
+    CAST(0 AS DECIMAL(18,2)) AS discount_amount, 'USD' AS currency, created_at, updated_at"""
 
 _ORDERS_V = """
   SELECT {id} AS order_id, 'ORD-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS order_ref,
@@ -215,3 +216,245 @@ ORACLE["stg_orders"] = with_(RAW_ORDERS, STG_ORDERS) + "SELECT * FROM stg_orders
 ORACLE["stg_customers"] = with_(RAW_CUSTOMERS, STG_CUSTOMERS) + "SELECT * FROM stg_customers"
 ORACLE["fct_orders"] = with_(RAW_ORDERS, STG_ORDERS, RAW_CUSTOMERS, STG_CUSTOMERS, FCT_ORDERS) + \
     "SELECT * FROM fct_orders"
+
+_SRC = (SOURCE_CUSTOMERS, SOURCE_PRODUCTS, SOURCE_ORDERS, SOURCE_ORDER_ITEMS, SOURCE_PAYMENTS)
+_FCT = (RAW_ORDERS, STG_ORDERS, RAW_CUSTOMERS, STG_CUSTOMERS, FCT_ORDERS)
+
+ORACLE["dedup_latest"] = """
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+            ORDER BY l_shipdate DESC NULLS FIRST, l_partkey ASC, l_suppkey ASC) AS _rn
+  FROM lineitem) t
+WHERE _rn = 1"""
+
+ORACLE["fct_orders_daily"] = with_(*_FCT) + """
+SELECT CAST(created_at AS DATE) AS created_date, count(*) AS order_count,
+       CAST(sum(order_total_usd) AS DECIMAL(38,2)) AS total_usd,
+       CAST(sum(net_revenue_usd) AS DECIMAL(38,2)) AS net_revenue_usd
+FROM fct_orders GROUP BY 1"""
+
+ORACLE["row_counts"] = with_(*_SRC) + """
+SELECT 'customers' AS tbl, count(*) AS rows FROM source_customers
+UNION ALL SELECT 'products', count(*) FROM source_products
+UNION ALL SELECT 'orders', count(*) FROM source_orders
+UNION ALL SELECT 'order_items', count(*) FROM source_order_items
+UNION ALL SELECT 'payments', count(*) FROM source_payments"""
+
+ORACLE["orders_by_status"] = with_(SOURCE_ORDERS) + """
+SELECT status, count(*) AS order_count, CAST(round(sum(order_total), 2) AS DECIMAL(38,2)) AS total_revenue
+FROM source_orders GROUP BY status"""
+
+ORACLE["revenue_by_customer"] = with_(SOURCE_CUSTOMERS, SOURCE_ORDERS) + """
+SELECT c.full_name, c.segment, count(DISTINCT o.order_id) AS orders,
+       CAST(round(sum(o.order_total), 2) AS DECIMAL(38,2)) AS lifetime_value
+FROM source_customers c JOIN source_orders o ON o.customer_id = c.customer_id
+WHERE o.status NOT IN ('cancelled', 'refunded')
+GROUP BY c.full_name, c.segment"""
+
+ORACLE["latest_update"] = with_(SOURCE_CUSTOMERS, SOURCE_PRODUCTS, SOURCE_ORDERS, SOURCE_PAYMENTS) + """
+SELECT table_name, max(updated_at) AS latest_update FROM (
+  SELECT 'customers' AS table_name, updated_at FROM source_customers
+  UNION ALL SELECT 'products', updated_at FROM source_products
+  UNION ALL SELECT 'orders', updated_at FROM source_orders
+  UNION ALL SELECT 'payments', updated_at FROM source_payments) t
+GROUP BY table_name"""
+
+ORACLE["watermark_simulation"] = with_(SOURCE_ORDERS, SOURCE_CUSTOMERS) + f"""
+SELECT 'orders' AS tbl, count(*) AS rows_since_yesterday, min(updated_at) AS min_wm, max(updated_at) AS max_wm
+FROM source_orders WHERE updated_at > TIMESTAMP '{CHANGED_SINCE_AS_OF}' - INTERVAL 1 DAY
+UNION ALL
+SELECT 'customers', count(*), min(updated_at), max(updated_at)
+FROM source_customers WHERE updated_at > TIMESTAMP '{CHANGED_SINCE_AS_OF}' - INTERVAL 1 DAY"""
+
+ORACLE["fk_orphans"] = with_(SOURCE_ORDERS, SOURCE_ORDER_ITEMS, SOURCE_PAYMENTS) + """
+SELECT 'orphaned_items' AS check_name, count(*) AS violations
+FROM source_order_items i LEFT JOIN source_orders o ON o.order_id = i.order_id WHERE o.order_id IS NULL
+UNION ALL
+SELECT 'orphaned_payments', count(*)
+FROM source_payments p LEFT JOIN source_orders o ON o.order_id = p.order_id WHERE o.order_id IS NULL"""
+
+ORACLE["three_way_join"] = with_(SOURCE_ORDER_ITEMS, SOURCE_ORDERS, SOURCE_PRODUCTS) + """
+SELECT i.order_id, i.line_number, i.product_id, i.supplier_id, o.customer_id, o.status,
+       p.name AS product_name, p.category, i.quantity, i.unit_price, i.discount_pct, i.line_total
+FROM source_order_items i
+JOIN source_orders o ON o.order_id = i.order_id
+JOIN source_products p ON p.product_id = i.product_id"""
+
+ORACLE["line_total"] = with_(SOURCE_ORDER_ITEMS) + "SELECT * FROM source_order_items"
+
+ORACLE["dq_not_null"] = with_(*_FCT) + """
+SELECT 'not_null_order_id' AS check_name, 'raw.orders' AS table_name,
+       count(*) FILTER (WHERE order_id IS NULL) AS failing_rows, 'error' AS severity FROM raw_orders
+UNION ALL SELECT 'not_null_customer_id', 'raw.orders', count(*) FILTER (WHERE customer_id IS NULL), 'error' FROM raw_orders
+UNION ALL SELECT 'not_null_order_total', 'raw.orders', count(*) FILTER (WHERE order_total IS NULL), 'error' FROM raw_orders
+UNION ALL SELECT 'not_null_order_id', 'fct_orders', count(*) FILTER (WHERE order_id IS NULL), 'error' FROM fct_orders
+UNION ALL SELECT 'not_null_customer_id', 'fct_orders', count(*) FILTER (WHERE customer_id IS NULL), 'error' FROM fct_orders
+UNION ALL SELECT 'not_null_order_total_usd', 'fct_orders', count(*) FILTER (WHERE order_total_usd IS NULL), 'error' FROM fct_orders
+UNION ALL SELECT 'not_null_created_at', 'fct_orders', count(*) FILTER (WHERE created_at IS NULL), 'error' FROM fct_orders"""
+
+ORACLE["dq_unique"] = with_(*_FCT) + """
+SELECT 'unique_order_id' AS check_name, 'raw.orders' AS table_name, CAST(order_id AS VARCHAR) AS key_value,
+       count(*) AS failing_rows
+FROM raw_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1
+UNION ALL
+SELECT 'unique_order_id', 'fct_orders', order_id, count(*)
+FROM fct_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1
+UNION ALL
+SELECT 'unique_l_orderkey_l_linenumber', 'lineitem',
+       CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR), count(*)
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+ORACLE["dq_expression"] = with_(*_FCT, SOURCE_ORDER_ITEMS) + """
+SELECT 'expression_order_total_usd_ge_0' AS check_name, 'fct_orders' AS table_name,
+       count(*) FILTER (WHERE NOT (order_total_usd >= 0)) AS failing_rows, 'error' AS severity FROM fct_orders
+UNION ALL SELECT 'expression_updated_after_created', 'stg_orders',
+       count(*) FILTER (WHERE NOT (updated_at >= created_at)), 'error' FROM stg_orders
+UNION ALL SELECT 'expression_line_total_le_gross', 'order_items',
+       count(*) FILTER (WHERE NOT (line_total <= quantity * unit_price)), 'error' FROM source_order_items"""
+
+ORACLE["dq_positive_total"] = with_(*_FCT) + "SELECT order_id FROM fct_orders WHERE order_total_usd <= 0"
+
+ORACLE["dq_check_constraints"] = with_(*_SRC) + """
+SELECT 'products_price_check' AS check_name, 'products' AS table_name,
+       count(*) FILTER (WHERE NOT (unit_price >= 0)) AS failing_rows, 'error' AS severity FROM source_products
+UNION ALL SELECT 'products_cost_check', 'products', count(*) FILTER (WHERE NOT (cost_price IS NULL OR cost_price >= 0)), 'error' FROM source_products
+UNION ALL SELECT 'orders_total_check', 'orders', count(*) FILTER (WHERE NOT (order_total >= 0)), 'error' FROM source_orders
+UNION ALL SELECT 'orders_tax_check', 'orders', count(*) FILTER (WHERE NOT (tax_amount >= 0)), 'error' FROM source_orders
+UNION ALL SELECT 'orders_discount_check', 'orders', count(*) FILTER (WHERE NOT (discount_amount >= 0)), 'error' FROM source_orders
+UNION ALL SELECT 'order_items_qty_check', 'order_items', count(*) FILTER (WHERE NOT (quantity > 0)), 'error' FROM source_order_items
+UNION ALL SELECT 'order_items_price_check', 'order_items', count(*) FILTER (WHERE NOT (unit_price >= 0)), 'error' FROM source_order_items
+UNION ALL SELECT 'order_items_disc_check', 'order_items', count(*) FILTER (WHERE NOT (discount_pct BETWEEN 0 AND 100)), 'error' FROM source_order_items
+UNION ALL SELECT 'payments_amount_check', 'payments', count(*) FILTER (WHERE NOT (amount > 0)), 'error' FROM source_payments"""
+
+ORACLE["dq_accepted_values"] = with_(SOURCE_CUSTOMERS, SOURCE_ORDERS, SOURCE_PAYMENTS) + """
+SELECT 'accepted_values_segment' AS check_name, 'customers' AS table_name,
+       count(*) FILTER (WHERE NOT (segment IN ('enterprise','smb','consumer'))) AS failing_rows,
+       'error' AS severity FROM source_customers
+UNION ALL SELECT 'accepted_values_status', 'orders', count(*) FILTER (WHERE NOT (status IN
+       ('pending','confirmed','processing','shipped','delivered','cancelled','refunded'))), 'error' FROM source_orders
+UNION ALL SELECT 'accepted_values_payment_method', 'payments', count(*) FILTER (WHERE NOT (payment_method IN
+       ('card','bank_transfer','wallet','cash'))), 'error' FROM source_payments
+UNION ALL SELECT 'accepted_values_status', 'payments', count(*) FILTER (WHERE NOT (status IN
+       ('pending','authorised','captured','failed','refunded','disputed'))), 'error' FROM source_payments"""
+
+ORACLE["dq_relationships"] = with_(*_SRC) + """
+SELECT 'relationships_orders_customer_id_to_customers' AS check_name, 'orders' AS table_name,
+       count(*) AS failing_rows, 'error' AS severity
+FROM source_orders c WHERE c.customer_id IS NOT NULL
+ AND NOT EXISTS (SELECT 1 FROM source_customers p WHERE p.customer_id = c.customer_id)
+UNION ALL
+SELECT 'relationships_order_items_order_id_to_orders', 'order_items', count(*), 'error'
+FROM source_order_items c WHERE c.order_id IS NOT NULL
+ AND NOT EXISTS (SELECT 1 FROM source_orders p WHERE p.order_id = c.order_id)
+UNION ALL
+SELECT 'relationships_order_items_product_id_to_products', 'order_items', count(*), 'error'
+FROM source_order_items c WHERE c.product_id IS NOT NULL
+ AND NOT EXISTS (SELECT 1 FROM source_products p WHERE p.product_id = c.product_id)
+UNION ALL
+SELECT 'relationships_payments_order_id_to_orders', 'payments', count(*), 'error'
+FROM source_payments c WHERE c.order_id IS NOT NULL
+ AND NOT EXISTS (SELECT 1 FROM source_orders p WHERE p.order_id = c.order_id)"""
+
+ORACLE["dq_suite_summary"] = with_(*_FCT) + """,
+checks AS (
+  SELECT 'not_null_order_id' AS check_name, 'raw.orders' AS table_name,
+         count(*) FILTER (WHERE order_id IS NULL) AS failing_rows, 'warn' AS severity FROM raw_orders
+  UNION ALL SELECT 'not_null_customer_id', 'raw.orders', count(*) FILTER (WHERE customer_id IS NULL), 'warn' FROM raw_orders
+  UNION ALL SELECT 'not_null_order_total', 'raw.orders', count(*) FILTER (WHERE order_total IS NULL), 'warn' FROM raw_orders
+  UNION ALL SELECT 'unique_order_id', 'raw.orders', CAST(coalesce(sum(n), 0) AS BIGINT), 'warn'
+    FROM (SELECT count(*) AS n FROM raw_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1) d
+  UNION ALL SELECT 'expression_order_total_usd_ge_0', 'fct_orders',
+    count(*) FILTER (WHERE NOT (order_total_usd >= 0)), 'error' FROM fct_orders
+  UNION ALL SELECT 'not_null_order_id', 'fct_orders', count(*) FILTER (WHERE order_id IS NULL), 'error' FROM fct_orders
+  UNION ALL SELECT 'not_null_customer_id', 'fct_orders', count(*) FILTER (WHERE customer_id IS NULL), 'error' FROM fct_orders
+  UNION ALL SELECT 'not_null_order_total_usd', 'fct_orders', count(*) FILTER (WHERE order_total_usd IS NULL), 'error' FROM fct_orders
+  UNION ALL SELECT 'not_null_created_at', 'fct_orders', count(*) FILTER (WHERE created_at IS NULL), 'error' FROM fct_orders
+  UNION ALL SELECT 'unique_order_id', 'fct_orders', CAST(coalesce(sum(n), 0) AS BIGINT), 'error'
+    FROM (SELECT count(*) AS n FROM fct_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1) d
+)
+SELECT check_name, table_name, failing_rows, severity,
+       CASE WHEN failing_rows = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+FROM checks"""
+
+ORACLE["source_freshness"] = with_(RAW_ORDERS, RAW_CUSTOMERS, RAW_PRODUCTS) + f""",
+m AS (
+  SELECT 'orders' AS source_name, max(_extracted_at) AS max_loaded_at FROM raw_orders
+  UNION ALL SELECT 'customers', max(_extracted_at) FROM raw_customers
+  UNION ALL SELECT 'products', max(_extracted_at) FROM raw_products
+)
+SELECT source_name, max_loaded_at,
+       CAST(CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max_loaded_at) AS DOUBLE) / 3600000000 AS DECIMAL(18,2)) AS age_hours,
+       CASE WHEN max_loaded_at IS NULL THEN 'error'
+            WHEN CAST(CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max_loaded_at) AS DOUBLE) / 3600000000 AS DECIMAL(18,2)) > 24 THEN 'error'
+            WHEN CAST(CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max_loaded_at) AS DOUBLE) / 3600000000 AS DECIMAL(18,2)) > 12 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM m"""
+
+ORACLE["int_orders_enriched"] = with_(*_FCT) + """
+SELECT f.*, c.segment, c.country_code, c.is_active,
+       CAST(date_diff('day', CAST(f.created_at AS DATE), CAST(o.updated_at AS DATE)) AS INTEGER) AS days_to_last_update
+FROM fct_orders f
+LEFT JOIN stg_orders o ON o.order_id = f.order_id
+LEFT JOIN stg_customers c ON c.customer_id = f.customer_id"""
+
+ORACLE["customer_lifetime_value"] = with_(RAW_ORDERS, LATEST_ORDERS) + """
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, count(*) AS order_count,
+       CAST(sum(order_total) AS DECIMAL(38,2)) AS lifetime_value_usd,
+       min(created_at) AS first_order_at, max(created_at) AS last_order_at
+FROM latest_orders WHERE status NOT IN ('cancelled', 'refunded')
+GROUP BY customer_id"""
+
+ORACLE["dim_customers"] = with_(RAW_CUSTOMERS, STG_CUSTOMERS) + """
+SELECT md5(concat_ws('-', coalesce(CAST(customer_id AS VARCHAR), '__null__'))) AS customer_sk,
+       customer_id, external_id, email, full_name, segment, country_code, city, is_active,
+       created_at, updated_at
+FROM stg_customers"""
+
+ORACLE["dim_products"] = with_(RAW_PRODUCTS) + """
+SELECT md5(concat_ws('-', coalesce(CAST(product_id AS VARCHAR), '__null__'))) AS product_sk,
+       CAST(product_id AS VARCHAR) AS product_id, sku, name, category, sub_category, unit_price,
+       cost_price, is_active, updated_at
+FROM (SELECT *, row_number() OVER (PARTITION BY product_id
+             ORDER BY updated_at DESC NULLS FIRST, _extracted_at DESC NULLS LAST) AS _rn
+      FROM raw_products WHERE product_id IS NOT NULL) t
+WHERE _rn = 1"""
+
+ORACLE["surrogate_key"] = with_(RAW_ORDERS) + """
+SELECT order_ref, ver,
+       md5(concat_ws('-', coalesce(CAST(order_id AS VARCHAR), '__null__'),
+                          coalesce(CAST(ver AS VARCHAR), '__null__'))) AS order_sk
+FROM raw_orders"""
+
+ORACLE["safe_divide"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CASE WHEN l_discount IS NULL OR l_discount = 0 THEN NULL
+            ELSE CAST(l_tax AS DOUBLE) / CAST(l_discount AS DOUBLE) END AS tax_per_discount
+FROM lineitem"""
+
+ORACLE["cast_uuid"] = with_(RAW_CUSTOMERS) + """
+SELECT customer_id, ver, external_id AS external_id_raw,
+       CASE WHEN regexp_full_match(lower(trim(external_id)),
+                 '[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}')
+            THEN lower(trim(external_id)) END AS external_id,
+       regexp_full_match(lower(trim(external_id)),
+                 '[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}') AS is_valid
+FROM raw_customers"""
+
+ORACLE["mask_pii"] = with_(SOURCE_CUSTOMERS) + r"""
+SELECT customer_id, sha256(full_name) AS full_name_hash,
+       regexp_replace(email, '^(.)[^@]*', '\1***') AS email_masked,
+       regexp_replace(phone, '[0-9]', '#', 'g') AS phone_masked, country_code
+FROM source_customers"""
+
+ORACLE["row_level_filter"] = with_(SOURCE_CUSTOMERS) + """,
+grants AS (
+  SELECT lower(replace(r_name, ' ', '_')) || '_analyst' AS reader_role,
+         lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS country_code
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+)
+SELECT * FROM source_customers c
+WHERE c.country_code IN (SELECT country_code FROM grants WHERE reader_role = 'europe_analyst')"""
+
+ORACLE["flatten_events_json"] = """
+SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events"""

@@ -18,15 +18,16 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Fixed scenario values (must stay in step with plans/oracle.py).
 # ---------------------------------------------------------------------------
-ORDERS_V0_EXTRACTED_AT = "1999-01-01 02:00:00"
-ORDERS_V1_EXTRACTED_AT = "1999-01-02 02:00:00"
-CUSTOMERS_V0_EXTRACTED_AT = "1998-12-31 02:00:00"
-CUSTOMERS_V1_EXTRACTED_AT = "1999-01-01 02:00:00"
-PRODUCTS_EXTRACTED_AT = "1999-01-02 14:00:00"
+ORDERS_V0_EXTRACTED_AT = "2001-09-05 02:00:00"
+ORDERS_V1_EXTRACTED_AT = "2001-09-06 02:00:00"
+CUSTOMERS_V0_EXTRACTED_AT = "2001-09-04 02:00:00"
+CUSTOMERS_V1_EXTRACTED_AT = "2001-09-05 02:00:00"
+PRODUCTS_EXTRACTED_AT = "2001-09-06 14:00:00"
 CUSTOMERS_CREATED_AT = "1992-01-01 00:00:00"
 PRODUCTS_CREATED_AT = "1992-01-01 00:00:00"
 # Clock used by freshness / relative-time checks instead of now().
-AS_OF = "1999-01-02 20:00:00"
+AS_OF = "2001-09-06 20:00:00"
+CHANGED_SINCE_AS_OF = "2001-08-20 00:00:00"
 
 ORDER_STATUS_V0 = {"F": "delivered", "O": "processing", "P": "pending"}
 ORDER_STATUS_V1 = {"F": "delivered", "O": "shipped", "P": "cancelled"}
@@ -87,6 +88,7 @@ def _orders_frame(o: DataFrame, versions: Column) -> DataFrame:
          .otherwise(_map(F.col("o_orderstatus"), ORDER_STATUS_V0)).alias("status"),
         total.alias("order_total"),
         (total * F.lit(0.08).cast("decimal(3,2)")).cast("decimal(18,2)").alias("tax_amount"),
+        F.lit(0).cast("decimal(18,2)").alias("discount_amount"),
         F.lit("USD").alias("currency"),
         F.col("o_orderdate").alias("created_at"),
         F.when(ver == 1, plus_days(F.col("o_orderdate"), F.lit(31)))
