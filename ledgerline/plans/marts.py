@@ -15,7 +15,8 @@ FCT_COLUMNS = ["order_id", "customer_id", "order_total_usd", "tax_amount_usd",
 EXCLUDED_FROM_REVENUE = ("cancelled", "refunded")
 
 
-def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
+def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame,
+               carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per order. LEFT JOIN customers USING (customer_id).
 
     The right side is reduced to its distinct join key. ``stg_customers``
@@ -35,6 +36,7 @@ def fct_orders(stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
         (F.col("order_total_usd") - F.col("tax_amount_usd")).alias("net_revenue_usd"),
         "created_at",
         month_start("created_at").alias("order_month"),
+        *carry,
     )
 
 

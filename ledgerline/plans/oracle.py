@@ -18,6 +18,14 @@ CUSTOMERS_CREATED_AT = "1992-01-01 00:00:00"
 PRODUCTS_CREATED_AT = "1992-01-01 00:00:00"
 AS_OF = "2001-09-06 20:00:00"
 CHANGED_SINCE_AS_OF = "2001-08-20 00:00:00"
+FIRST_RUN_CUTOFF = "1998-06-30 00:00:00"
+LOAD_RUN1_AT = "2001-09-05 02:00:00"
+LOAD_RUN2_AT = "2001-09-06 02:00:00"
+INTERVAL_START = "2000-01-01 00:00:00"
+OVERLAP_STARTS = ("2000-01-01 00:00:00", "2001-01-01 00:00:00")
+BACKFILL_MONTHS = ("1996-01-01", "1996-12-01")
+PAYMENT_PROVIDERS = (("card", "card_network", "0.0290"), ("bank_transfer", "bank", "0.0050"),
+                     ("wallet", "wallet_provider", "0.0150"), ("cash", "cash_desk", "0.0000"))
 
 _ORDERS_COLS = """
     order_ref, customer_id, status, order_total,
@@ -458,3 +466,136 @@ WHERE c.country_code IN (SELECT country_code FROM grants WHERE reader_role = 'eu
 ORACLE["flatten_events_json"] = """
 SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k
 FROM events"""
+
+# -- ingest ----------------------------------------------------------------------
+ORACLE["extract_full"] = with_(SOURCE_ORDERS) + \
+    f"SELECT *, TIMESTAMP '{LOAD_RUN1_AT}' AS _extracted_at FROM source_orders"
+
+ORACLE["extract_incremental_gt"] = with_(SOURCE_ORDERS) + f"""
+SELECT *, TIMESTAMP '{LOAD_RUN2_AT}' AS _extracted_at FROM source_orders
+WHERE updated_at > (SELECT max(updated_at) FROM source_orders
+                    WHERE updated_at <= TIMESTAMP '{FIRST_RUN_CUTOFF}')"""
+
+ORACLE["extract_interval_ge"] = with_(SOURCE_ORDERS) + f"""
+SELECT *, TIMESTAMP '{LOAD_RUN1_AT}' AS _extracted_at FROM source_orders
+WHERE updated_at >= TIMESTAMP '{INTERVAL_START}'"""
+
+ORACLE["load_append_overlap"] = with_(SOURCE_ORDERS) + f"""
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id
+            ORDER BY updated_at DESC NULLS FIRST, _extracted_at DESC NULLS LAST) AS _rn
+  FROM (SELECT *, TIMESTAMP '{LOAD_RUN1_AT}' AS _extracted_at, CAST(1 AS BIGINT) AS _batch_id
+        FROM source_orders WHERE updated_at >= TIMESTAMP '{OVERLAP_STARTS[0]}'
+        UNION ALL
+        SELECT *, TIMESTAMP '{LOAD_RUN2_AT}', CAST(2 AS BIGINT)
+        FROM source_orders WHERE updated_at >= TIMESTAMP '{OVERLAP_STARTS[1]}') u
+) t WHERE _rn = 1"""
+
+
+def _two_run_cte(table: str) -> str:
+    return f"""
+{table}_r1 AS (SELECT max(updated_at) AS wm, count(*) AS n, min(updated_at) AS lo
+               FROM source_{table} WHERE updated_at <= TIMESTAMP '{FIRST_RUN_CUTOFF}'),
+{table}_r2 AS (SELECT max(updated_at) AS wm, count(*) AS n, min(updated_at) AS lo
+               FROM source_{table} WHERE updated_at > (SELECT wm FROM {table}_r1))"""
+
+
+_LOAD_TABLES = ("orders", "customers", "products")
+_LOAD_CTES = with_(SOURCE_ORDERS, SOURCE_CUSTOMERS, SOURCE_PRODUCTS) + "," + \
+    ",".join(_two_run_cte(t) for t in _LOAD_TABLES)
+
+ORACLE["watermark_state"] = _LOAD_CTES + "\n" + "\nUNION ALL\n".join(f"""
+SELECT '{t}' AS table_name,
+       CASE WHEN r2.n > 0 THEN r2.wm ELSE r1.wm END AS watermark,
+       CASE WHEN r2.n > 0 THEN r2.n ELSE r1.n END AS row_count,
+       CAST(CASE WHEN r2.n > 0 THEN 2 ELSE 1 END AS BIGINT) AS batch_id
+FROM {t}_r1 r1, {t}_r2 r2""" for t in _LOAD_TABLES)
+
+ORACLE["load_audit"] = _LOAD_CTES + "\n" + "\nUNION ALL\n".join(f"""
+SELECT '{t}' AS table_name, CAST(1 AS BIGINT) AS batch_id, 'full' AS load_mode, n AS row_count,
+       lo AS min_watermark, wm AS max_watermark, CASE WHEN n > 0 THEN 'loaded' ELSE 'empty' END AS status
+FROM {t}_r1
+UNION ALL
+SELECT '{t}', CAST(2 AS BIGINT), 'incremental', n, lo, wm, CASE WHEN n > 0 THEN 'loaded' ELSE 'empty' END
+FROM {t}_r2""" for t in _LOAD_TABLES)
+
+# -- table DML -------------------------------------------------------------------
+ORACLE["insert_select"] = with_(SOURCE_PAYMENTS, SOURCE_ORDERS) + """
+SELECT p.payment_id, o.order_id, p.payment_method, o.order_total AS amount, o.currency, p.status, p.created_at
+FROM source_payments p
+JOIN source_orders o ON o.order_ref = 'ORD-' || lpad(CAST(p.order_id AS VARCHAR), 10, '0')"""
+
+ORACLE["insert_ignore"] = with_(RAW_CUSTOMERS) + """,
+target AS (SELECT * FROM raw_customers WHERE ver = 0 AND is_active),
+first_versions AS (
+  SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id
+              ORDER BY updated_at ASC NULLS LAST, _extracted_at ASC NULLS LAST) AS _rn
+    FROM raw_customers) f WHERE _rn = 1)
+SELECT * FROM target
+UNION ALL
+SELECT * FROM first_versions f WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.customer_id = f.customer_id)"""
+
+ORACLE["insert_defaults"] = with_(RAW_ORDERS) + f""",
+target AS (SELECT order_id, order_ref, customer_id, status, order_total, tax_amount, discount_amount,
+                  currency, created_at, updated_at FROM raw_orders WHERE ver = 0)
+SELECT * FROM target
+UNION ALL
+SELECT (SELECT max(order_id) FROM target) + row_number() OVER (ORDER BY order_ref) AS order_id,
+       order_ref, customer_id, 'pending', order_total, CAST(0 AS DECIMAL(18,2)), CAST(0 AS DECIMAL(18,2)),
+       'USD', TIMESTAMP '{AS_OF}', TIMESTAMP '{AS_OF}'
+FROM raw_orders WHERE order_id IS NULL"""
+
+ORACLE["update_where"] = with_(SOURCE_ORDERS) + f"""
+SELECT order_id, order_ref, customer_id,
+       CASE WHEN status = 'processing' THEN 'shipped' ELSE status END AS status,
+       order_total, tax_amount, discount_amount, currency, created_at,
+       CASE WHEN status = 'processing' THEN TIMESTAMP '{AS_OF}' ELSE updated_at END AS updated_at
+FROM source_orders"""
+
+ORACLE["upsert_by_key"] = with_(RAW_ORDERS, LATEST_ORDERS) + "SELECT * EXCLUDE (_rn) FROM latest_orders"
+
+ORACLE["incremental_model"] = ORACLE["fct_orders"]
+
+_FCT_V0 = FCT_ORDERS.replace("fct_orders AS", "fct_v0 AS").replace("stg_orders o", "stg_orders_v0 o")
+_STG_V0 = STG_ORDERS.replace("stg_orders AS", "stg_orders_v0 AS").replace(
+    "FROM raw_orders WHERE order_id IS NOT NULL",
+    f"FROM raw_orders WHERE order_id IS NOT NULL AND _extracted_at <= TIMESTAMP '{ORDERS_V0_EXTRACTED_AT}'")
+ORACLE["backfill_partition"] = with_(*_FCT, _STG_V0, _FCT_V0) + f"""
+SELECT * FROM fct_orders
+WHERE date_trunc('month', created_at) BETWEEN TIMESTAMP '{BACKFILL_MONTHS[0]}' AND TIMESTAMP '{BACKFILL_MONTHS[1]}'
+UNION ALL
+SELECT * FROM fct_v0
+WHERE NOT (date_trunc('month', created_at) BETWEEN TIMESTAMP '{BACKFILL_MONTHS[0]}' AND TIMESTAMP '{BACKFILL_MONTHS[1]}')"""
+
+ORACLE["seed_values_join"] = with_(SOURCE_PAYMENTS) + """,
+ref(payment_method, payment_provider, fee_rate) AS (VALUES """ + ", ".join(
+    f"('{m}', '{p}', CAST('{r}' AS DECIMAL(5,4)))" for m, p, r in PAYMENT_PROVIDERS) + """)
+SELECT p.payment_id, p.order_id, p.payment_method, r.payment_provider, p.amount,
+       CAST(p.amount * r.fee_rate AS DECIMAL(18,2)) AS fee_usd
+FROM source_payments p JOIN ref r ON r.payment_method = p.payment_method"""
+
+# -- history ---------------------------------------------------------------------
+_CUST_VERSIONS = """cust_versions AS (
+  SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id, updated_at
+              ORDER BY _extracted_at DESC NULLS LAST) AS _rn
+    FROM raw_customers WHERE updated_at IS NOT NULL) v WHERE _rn = 1)"""
+
+ORACLE["scd2_timestamp"] = with_(RAW_CUSTOMERS, _CUST_VERSIONS) + """
+SELECT customer_id, segment, email, is_active, updated_at AS valid_from,
+       lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS valid_to,
+       lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) IS NULL AS is_current
+FROM cust_versions"""
+
+ORACLE["scd2_check"] = with_(RAW_CUSTOMERS, _CUST_VERSIONS) + """,
+kept AS (
+  SELECT customer_id, segment, updated_at FROM (
+    SELECT *, lag(segment) OVER (PARTITION BY customer_id ORDER BY updated_at) AS prev_segment,
+              row_number() OVER (PARTITION BY customer_id ORDER BY updated_at) AS pos
+    FROM cust_versions) x
+  WHERE pos = 1 OR segment IS DISTINCT FROM prev_segment)
+SELECT customer_id, segment, updated_at AS valid_from,
+       lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS valid_to,
+       lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) IS NULL AS is_current
+FROM kept"""

@@ -28,6 +28,17 @@ PRODUCTS_CREATED_AT = "1992-01-01 00:00:00"
 # Clock used by freshness / relative-time checks instead of now().
 AS_OF = "2001-09-06 20:00:00"
 CHANGED_SINCE_AS_OF = "2001-08-20 00:00:00"
+# Ingest scenario: the source as the first run saw it, the two run clocks,
+# interval starts for the inclusive extract, the backfill window.
+FIRST_RUN_CUTOFF = "1998-06-30 00:00:00"
+LOAD_RUN1_AT = "2001-09-05 02:00:00"
+LOAD_RUN2_AT = "2001-09-06 02:00:00"
+INTERVAL_START = "2000-01-01 00:00:00"
+OVERLAP_STARTS = ("2000-01-01 00:00:00", "2001-01-01 00:00:00")
+BACKFILL_MONTHS = ("1996-01-01", "1996-12-01")
+# Payment method reference rows (method, provider, fee rate).
+PAYMENT_PROVIDERS = (("card", "card_network", "0.0290"), ("bank_transfer", "bank", "0.0050"),
+                     ("wallet", "wallet_provider", "0.0150"), ("cash", "cash_desk", "0.0000"))
 
 ORDER_STATUS_V0 = {"F": "delivered", "O": "processing", "P": "pending"}
 ORDER_STATUS_V1 = {"F": "delivered", "O": "shipped", "P": "cancelled"}
