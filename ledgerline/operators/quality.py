@@ -220,3 +220,11 @@ def gate(summary: DataFrame) -> None:
     if failed:
         desc = ", ".join(f"{r.check_name}@{r.table_name}={r.failing_rows}" for r in failed)
         raise QualityGateError(f"data quality gate failed: {desc}")
+
+
+def store_failures(failures: DataFrame, path: str, run_id: str) -> None:
+    """Append the failing rows of one test run to the failures table,
+    partitioned by run id (a re-run of the same id replaces its rows)."""
+    (failures.withColumn("run_id", F.lit(run_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("run_id").parquet(path))

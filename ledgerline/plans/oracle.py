@@ -24,6 +24,7 @@ LOAD_RUN2_AT = "2001-09-06 02:00:00"
 INTERVAL_START = "2000-01-01 00:00:00"
 OVERLAP_STARTS = ("2000-01-01 00:00:00", "2001-01-01 00:00:00")
 BACKFILL_MONTHS = ("1996-01-01", "1996-12-01")
+CONSUMER_POSITIONS = (("warehouse_sink", "2024-01-20 00:00:00"), ("search_index", "2024-01-29 00:00:00"))
 PAYMENT_PROVIDERS = (("card", "card_network", "0.0290"), ("bank_transfer", "bank", "0.0050"),
                      ("wallet", "wallet_provider", "0.0150"), ("cash", "cash_desk", "0.0000"))
 
@@ -599,3 +600,40 @@ SELECT customer_id, segment, updated_at AS valid_from,
        lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) AS valid_to,
        lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) IS NULL AS is_current
 FROM kept"""
+
+# -- streaming (batch statements of what the streams must leave behind) ----------
+ORACLE["cdc_apply"] = with_(CHANGE_EVENTS) + """
+SELECT key, seq, ts, op, CAST(json_extract(payload, '$.k') AS BIGINT) AS k FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC NULLS LAST, seq DESC NULLS LAST) AS _rn
+  FROM change_events) t
+WHERE _rn = 1 AND op <> 'd'"""
+
+ORACLE["stream_dedup"] = "SELECT * FROM events"
+
+ORACLE["events_tumbling_count"] = """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       event_type, count(*) AS event_count
+FROM events GROUP BY 1, 2, 3"""
+
+ORACLE["pipeline_lag"] = """
+WITH committed(consumer_name, committed_ts) AS (VALUES """ + ", ".join(
+    f"('{c}', TIMESTAMP '{t}')" for c, t in CONSUMER_POSITIONS) + """)
+SELECT c.consumer_name, c.committed_ts,
+       count(e.ts) AS pending_events, max(e.ts) AS newest_event_ts, count(e.ts) > 10000 AS alert
+FROM committed c LEFT JOIN events e ON e.ts > c.committed_ts
+GROUP BY c.consumer_name, c.committed_ts"""
+
+ORACLE["dq_failures"] = with_(*_FCT) + """
+SELECT 'not_null_order_id' AS check_name, 'raw.orders' AS table_name, order_ref AS key_value,
+       CAST(1 AS BIGINT) AS failing_rows FROM raw_orders WHERE order_id IS NULL
+UNION ALL SELECT 'not_null_customer_id', 'raw.orders', order_ref, 1 FROM raw_orders WHERE customer_id IS NULL
+UNION ALL SELECT 'not_null_order_total', 'raw.orders', order_ref, 1 FROM raw_orders WHERE order_total IS NULL
+UNION ALL SELECT 'unique_order_id', 'raw.orders', CAST(order_id AS VARCHAR), count(*)
+  FROM raw_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1
+UNION ALL SELECT 'expression_order_total_usd_ge_0', 'fct_orders', order_id, 1 FROM fct_orders WHERE NOT (order_total_usd >= 0)
+UNION ALL SELECT 'not_null_order_id', 'fct_orders', order_id, 1 FROM fct_orders WHERE order_id IS NULL
+UNION ALL SELECT 'not_null_customer_id', 'fct_orders', order_id, 1 FROM fct_orders WHERE customer_id IS NULL
+UNION ALL SELECT 'not_null_order_total_usd', 'fct_orders', order_id, 1 FROM fct_orders WHERE order_total_usd IS NULL
+UNION ALL SELECT 'not_null_created_at', 'fct_orders', order_id, 1 FROM fct_orders WHERE created_at IS NULL
+UNION ALL SELECT 'unique_order_id', 'fct_orders', order_id, count(*)
+  FROM fct_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1"""

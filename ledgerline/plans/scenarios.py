@@ -18,6 +18,7 @@ from ..session import scratch_path
 from ..sources import testdata as td
 from ..sources.extract import SourceSpec, extract_full, extract_interval
 from ..sources.loader import IncrementalLoader
+from ..streaming import jobs
 from . import incremental
 from .catalog import register
 
@@ -220,3 +221,65 @@ def q_scd2_timestamp(spark, sf_dir):
 def q_scd2_check(spark, sf_dir):
     return history.scd2_check(td.raw_customers(spark, sf_dir), ["customer_id"], "updated_at",
                               ["segment"], tie_break=[F.col("_extracted_at").desc_nulls_last()])
+
+
+# -- streaming -------------------------------------------------------------------
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def _events_path(sf_dir: str) -> str:
+    return f"{sf_dir.rstrip('/')}/events.parquet"
+
+
+@register("cdc_apply")
+def q_cdc_apply(spark, sf_dir):
+    """Change events streamed through foreachBatch into the change log;
+    returns the current state (latest change per key, deletes removed)."""
+    root = scratch_path(spark, "cdc")
+    changes = jobs.events_to_changes(jobs.read_stream(spark, _events_path(sf_dir)))
+    q = jobs.apply_changes(changes, f"{root}/log", f"{root}/_checkpoint", AVAILABLE_NOW)
+    q.awaitTermination()
+    return jobs.current_state(spark.read.parquet(f"{root}/log"))
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """The event files delivered twice (two sources over the same files,
+    as after a replay), deduplicated by event id inside the stream."""
+    root = scratch_path(spark, "dedup")
+    a = jobs.read_stream(spark, _events_path(sf_dir))
+    b = jobs.read_stream(spark, _events_path(sf_dir))
+    q = jobs.sink_parquet(jobs.dedup_replayed(a.unionByName(b)), f"{root}/out",
+                          f"{root}/_checkpoint", AVAILABLE_NOW)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("events_tumbling_count")
+def q_events_tumbling_count(spark, sf_dir):
+    root = scratch_path(spark, "counts")
+    ev = jobs.read_stream(spark, _events_path(sf_dir))
+    q = jobs.emit_counts(jobs.windowed_counts(ev), f"{root}/log", f"{root}/_checkpoint", AVAILABLE_NOW)
+    q.awaitTermination()
+    return jobs.current_counts(spark.read.parquet(f"{root}/log"))
+
+
+@register("pipeline_lag")
+def q_pipeline_lag(spark, sf_dir):
+    committed = spark.createDataFrame(list(td.CONSUMER_POSITIONS), "consumer_name string, committed_ts string") \
+        .withColumn("committed_ts", F.col("committed_ts").cast("timestamp_ntz"))
+    return jobs.pipeline_lag(td.read(spark, sf_dir, "events"), committed)
+
+
+@register("dq_failures")
+def q_dq_failures(spark, sf_dir):
+    """The test suite run with stored failures: one row per failing row of
+    a row-level check, one per offending key of a unique/relationship
+    check, appended to the failures table of this run."""
+    from ..operators import quality as q
+    from .catalog import build_fct_orders, fct_checks, raw_orders_checks
+
+    path = scratch_path(spark, "dq_failures")
+    specs = [raw_orders_checks(td.raw_orders(spark, sf_dir)), fct_checks(build_fct_orders(spark, sf_dir))]
+    q.store_failures(q.suite_failures(specs), path, "run-1")
+    return spark.read.parquet(path).where(F.col("run_id") == "run-1").drop("run_id")

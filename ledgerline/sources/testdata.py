@@ -36,6 +36,8 @@ LOAD_RUN2_AT = "2001-09-06 02:00:00"
 INTERVAL_START = "2000-01-01 00:00:00"
 OVERLAP_STARTS = ("2000-01-01 00:00:00", "2001-01-01 00:00:00")
 BACKFILL_MONTHS = ("1996-01-01", "1996-12-01")
+# Committed positions of the change-stream consumers (lag report).
+CONSUMER_POSITIONS = (("warehouse_sink", "2024-01-20 00:00:00"), ("search_index", "2024-01-29 00:00:00"))
 # Payment method reference rows (method, provider, fee rate).
 PAYMENT_PROVIDERS = (("card", "card_network", "0.0290"), ("bank_transfer", "bank", "0.0050"),
                      ("wallet", "wallet_provider", "0.0150"), ("cash", "cash_desk", "0.0000"))
