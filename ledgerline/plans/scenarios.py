@@ -34,11 +34,16 @@ def two_run_load(spark, sf_dir) -> IncrementalLoader:
     """Run 1 sees the source as of FIRST_RUN_CUTOFF (full load), run 2 the
     current source (incremental from the committed watermark)."""
     loader = IncrementalLoader(spark, scratch_path(spark, "ingest"))
-    for spec, build in SOURCES.values():
-        src = build(spark, sf_dir)
-        first_view = src.where(F.col(spec.incremental_col) <= F.lit(td.FIRST_RUN_CUTOFF).cast("timestamp_ntz"))
-        loader.load(spec, first_view, extracted_at=td.LOAD_RUN1_AT)
-        loader.load(spec, src, extracted_at=td.LOAD_RUN2_AT)
+
+    def table_job(spec, build):
+        def run(ld: IncrementalLoader):
+            src = build(spark, sf_dir)
+            cutoff = F.lit(td.FIRST_RUN_CUTOFF).cast("timestamp_ntz")
+            ld.load(spec, src.where(F.col(spec.incremental_col) <= cutoff), extracted_at=td.LOAD_RUN1_AT)
+            ld.load(spec, src, extracted_at=td.LOAD_RUN2_AT)
+        return run
+
+    loader.run_tables([table_job(spec, build) for spec, build in SOURCES.values()])
     return loader
 
 

@@ -20,6 +20,9 @@ any overlap that remains is removed by the staging dedup.
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
@@ -71,6 +74,9 @@ class IncrementalLoader:
         self.root = root.rstrip("/")
         self.control_path = f"{self.root}/_control/watermarks"
         self.audit_path = f"{self.root}/_control/load_audit"
+        # commits to the shared control tables are serialised; the loads
+        # themselves (different raw paths) run concurrently
+        self._commit_lock = threading.Lock()
 
     def raw_path(self, table: str) -> str:
         return f"{self.root}/raw/{table}"
@@ -86,7 +92,8 @@ class IncrementalLoader:
             .select("table_name", "s.watermark", "s.row_count", "s.batch_id")
 
     def last_commit(self, table: str):
-        row = self.state().where(F.col("table_name") == table).first()
+        with self._commit_lock:
+            row = self.state().where(F.col("table_name") == table).first()
         return (row.watermark, row.batch_id) if row is not None else (None, 0)
 
     def audit(self) -> DataFrame:
@@ -114,14 +121,23 @@ class IncrementalLoader:
         m = obs.get
         n = int(m.get("row_count", 0) or 0)
         res = LoadResult(spec.name, batch_id, mode, n, m.get("min_wm"), m.get("max_wm"), n > 0)
-        if n > 0:
-            self._append(self.control_path, CONTROL_SCHEMA,
-                         [(spec.name, _ntz(res.max_watermark), n, batch_id)])
-        self._append(self.audit_path, AUDIT_SCHEMA,
-                     [(spec.name, batch_id, mode, n, _ntz(res.min_watermark), _ntz(res.max_watermark),
-                       "loaded" if n > 0 else "empty")])
+        with self._commit_lock:
+            if n > 0:
+                self._append(self.control_path, CONTROL_SCHEMA,
+                             [(spec.name, _ntz(res.max_watermark), n, batch_id)])
+            self._append(self.audit_path, AUDIT_SCHEMA,
+                         [(spec.name, batch_id, mode, n, _ntz(res.min_watermark),
+                           _ntz(res.max_watermark), "loaded" if n > 0 else "empty")])
         return res
 
+    def run_tables(self, work: Sequence[Callable[["IncrementalLoader"], object]],
+                   parallelism: int = 4) -> list:
+        """Run one callable per table concurrently (each does that table's
+        loads in order). Spark schedules the jobs of all threads on the
+        same executors, as a scheduler running one task per table would."""
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            return [f.result() for f in [pool.submit(w, self) for w in work]]
+
     def read_raw(self, table: str) -> DataFrame:
         # partition discovery would type _batch_id as int
         df = self.spark.read.parquet(self.raw_path(table))
