@@ -24,8 +24,10 @@ from .dedup import dedup_latest
 
 def _distinct_versions(df: DataFrame, key: Sequence[str], ts: str,
                        tie_break: Sequence[Column]) -> DataFrame:
-    # several rows with one (key, ts) -> the last extracted wins
-    return dedup_latest(df.where(F.col(ts).isNotNull()), [*key, ts], list(tie_break))
+    # several rows with one (key, ts): the tie-break decides (e.g. the last
+    # extracted wins); without one, any of them is kept
+    order = list(tie_break) or [F.col(ts)]
+    return dedup_latest(df.where(F.col(ts).isNotNull()), [*key, ts], order)
 
 
 def _close_ranges(versions: DataFrame, key: Sequence[str], ts: str) -> DataFrame:
