@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import dedup_latest
+from .ordered import HOT_ROWS, neighbours
 
 
 def _distinct_versions(df: DataFrame, key: Sequence[str], ts: str,
@@ -30,35 +31,41 @@ def _distinct_versions(df: DataFrame, key: Sequence[str], ts: str,
     return dedup_latest(df.where(F.col(ts).isNotNull()), [*key, ts], order)
 
 
-def _close_ranges(versions: DataFrame, key: Sequence[str], ts: str) -> DataFrame:
-    w = Window.partitionBy(*key).orderBy(F.col(ts).asc())
-    return (versions.withColumn("valid_from", F.col(ts))
-                    .withColumn("valid_to", F.lead(F.col(ts)).over(w))
-                    .withColumn("is_current", F.col("valid_to").isNull()))
+def _close_ranges(versions: DataFrame, key: Sequence[str], ts: str, hot_rows: int) -> DataFrame:
+    # valid_to = next version's timestamp in the key (hot keys are split,
+    # see operators/ordered.py)
+    n = neighbours(versions, key, ts, hot_rows=hot_rows)
+    return (n.withColumn("valid_from", F.col(ts))
+             .withColumn("valid_to", F.col("_next"))
+             .withColumn("is_current", F.col("_next").isNull())
+             .drop("_next", "_is_first"))
 
 
 def scd2_timestamp(df: DataFrame, key: Sequence[str], ts: str, columns: Sequence[str],
-                   tie_break: Sequence[Column] = ()) -> DataFrame:
+                   tie_break: Sequence[Column] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
     v = _distinct_versions(df, key, ts, tie_break).select(*key, ts, *columns)
-    return _close_ranges(v, key, ts).select(*key, *columns, "valid_from", "valid_to", "is_current")
+    return _close_ranges(v, key, ts, hot_rows).select(*key, *columns, "valid_from", "valid_to",
+                                                       "is_current")
 
 
 def scd2_check(df: DataFrame, key: Sequence[str], ts: str, check_cols: Sequence[str],
-               columns: Sequence[str] = (), tie_break: Sequence[Column] = ()) -> DataFrame:
+               columns: Sequence[str] = (), tie_break: Sequence[Column] = (),
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     cols = list(dict.fromkeys([*check_cols, *columns]))
     v = _distinct_versions(df, key, ts, tie_break).select(*key, ts, *cols)
-    w = Window.partitionBy(*key).orderBy(F.col(ts).asc())
-    first = F.lag(F.lit(1)).over(w).isNull()
+    n = neighbours(v, key, ts, lag_cols=check_cols, hot_rows=hot_rows)
     changed = None
     for c in check_cols:
-        d = ~F.col(c).eqNullSafe(F.lag(F.col(c)).over(w))
+        d = ~F.col(c).eqNullSafe(F.col(f"_prev_{c}"))
         changed = d if changed is None else changed | d
-    kept = v.withColumn("_keep", first | changed).where(F.col("_keep")).drop("_keep")
-    return _close_ranges(kept, key, ts).select(*key, *cols, "valid_from", "valid_to", "is_current")
+    kept = (n.withColumn("_keep", F.col("_is_first") | changed).where(F.col("_keep"))
+             .select(*key, ts, *cols))
+    return _close_ranges(kept, key, ts, hot_rows).select(*key, *cols, "valid_from", "valid_to",
+                                                          "is_current")
 
 
 def scd2_merge(history: DataFrame, changes: DataFrame, key: Sequence[str], ts: str,
-               columns: Sequence[str]) -> DataFrame:
+               columns: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Apply a batch of new versions (timestamp strategy) to an existing
     history: versions not newer than a key's current row are ignored
     (late or replayed); the current row is closed at the first new
@@ -67,7 +74,7 @@ def scd2_merge(history: DataFrame, changes: DataFrame, key: Sequence[str], ts: s
     fresh = (changes.join(cur, list(key), "left")
                     .where(F.col("_cur_from").isNull() | (F.col(ts) > F.col("_cur_from")))
                     .drop("_cur_from"))
-    new_versions = scd2_timestamp(fresh, key, ts, columns)
+    new_versions = scd2_timestamp(fresh, key, ts, columns, hot_rows=hot_rows)
     first_new = new_versions.groupBy(*key).agg(F.min("valid_from").alias("_first_new"))
     closed = (history.join(first_new, list(key), "left")
                      .withColumn("valid_to", F.when(F.col("is_current") & F.col("_first_new").isNotNull(),

@@ -275,8 +275,7 @@ def q_source_freshness(spark, sf_dir):
 # -- documented marts ----------------------------------------------------------
 @register("int_orders_enriched")
 def q_int_orders_enriched(spark, sf_dir):
-    stg_o, stg_c = build_stg_orders(spark, sf_dir), build_stg_customers(spark, sf_dir)
-    return marts.int_orders_enriched(marts.fct_orders(stg_o, stg_c), stg_o, stg_c)
+    return marts.int_orders_enriched(build_stg_orders(spark, sf_dir), build_stg_customers(spark, sf_dir))
 
 
 @register("customer_lifetime_value")

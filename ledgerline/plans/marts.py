@@ -49,13 +49,14 @@ def fct_orders_daily(fct: DataFrame) -> DataFrame:
     )
 
 
-def int_orders_enriched(fct: DataFrame, stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
+def int_orders_enriched(stg_orders: DataFrame, stg_customers: DataFrame) -> DataFrame:
     """Fact + customer segment, country, activity + days from creation to
-    the last update. Both joins are on a key unique on the right side."""
+    the last update. The fact rows carry updated_at from staging (no
+    self-join back to the orders); one LEFT JOIN on customer_id, unique on
+    the right side (AQE broadcasts it when small, splits skew otherwise)."""
+    fct = fct_orders(stg_orders, stg_customers, carry=("updated_at",))
     cust = stg_customers.select("customer_id", "segment", "country_code", "is_active")
-    upd = stg_orders.select("order_id", "updated_at")
-    return (fct.join(upd, "order_id", "left")
-               .join(cust, "customer_id", "left")
+    return (fct.join(cust, "customer_id", "left")
                .select(*FCT_COLUMNS, "segment", "country_code", "is_active",
                        F.datediff(F.to_date("updated_at"), F.to_date("created_at"))
                         .cast("int").alias("days_to_last_update")))

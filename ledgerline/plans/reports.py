@@ -88,10 +88,13 @@ def fk_orphans(checks: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> Data
 def order_lines_detail(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """items JOIN orders JOIN products. Both joins are many-to-one on the
     parent key; AQE chooses broadcast or sort-merge from runtime sizes
-    and splits skewed partitions."""
+    and splits skewed partitions. Products are joined first: the items are
+    already hash-partitioned by product key (their price lookup), so that
+    join reuses the exchange and the lines are shuffled once more, by
+    order id, instead of twice."""
     o = orders.select("order_id", "customer_id", "status")
     p = products.select("product_id", F.col("name").alias("product_name"), "category")
-    return (items.join(o, "order_id").join(p, "product_id")
+    return (items.join(p, "product_id").join(o, "order_id")
                  .select("order_id", "line_number", "product_id", "supplier_id", "customer_id",
                          "status", "product_name", "category", "quantity", "unit_price",
                          "discount_pct", "line_total"))
