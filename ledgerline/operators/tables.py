@@ -7,13 +7,14 @@ the partitions that change:
 1. find the touched partition values (a small, bounded set: one row per
    partition) and turn them into a literal ``isin`` filter, so the scan
    of the target is pruned to those partitions;
-2. compute their new content and write it to a staging directory under
-   the shared work dir (this also cuts the lineage: Spark cannot read
-   and overwrite one path in the same plan);
-3. overwrite exactly those partitions from the staging copy with dynamic
+2. compute their new content and materialise it (this cuts the lineage:
+   Spark cannot read and overwrite one path in the same plan);
+3. overwrite exactly those partitions from that copy with dynamic
    partition overwrite.
 
-A retry of step 3 rewrites the same partitions from the same staging copy.
+The copy is a reliable ``checkpoint()`` in ``spark.checkpoint.dir``: it
+cuts the lineage back to the target files, and a retry of step 3
+rewrites the same partitions from the same copy.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col_
-from ..session import scratch_path
+from ..session import work_dir
 from .dedup import dedup_latest
 
 MAX_TOUCHED_PARTITIONS = 100_000
@@ -65,6 +66,7 @@ def assign_identity(df: DataFrame, id_col: str, start: int | Column,
     per-partition counts - a table with one row per partition, broadcast.
     """
     orders = [col_(c) for c in order_by]
+    work_dir(df.sparkSession)
     sorted_df = df.orderBy(*orders).withColumn("_mid", F.monotonically_increasing_id())
     sorted_df = sorted_df.checkpoint(eager=True)
     part = (F.col("_mid") / F.lit(1 << 33)).cast("bigint")
@@ -154,12 +156,12 @@ def partition_filter(partition_by: Sequence[str], values: list[tuple]) -> Column
 
 def replace_partitions(spark: SparkSession, path: str, new_rows: DataFrame,
                        partition_by: Sequence[str]) -> None:
-    """Stage ``new_rows`` under the shared work dir, then overwrite only
-    the partitions present in it (dynamic partition overwrite)."""
-    stage = scratch_path(spark, "stage")
-    new_rows.write.mode("overwrite").partitionBy(*partition_by).parquet(stage)
-    staged = spark.read.parquet(stage)
-    (staged.select(*new_rows.columns).write.mode("overwrite")
+    """Materialise ``new_rows`` (reliable checkpoint in the shared work
+    dir), then overwrite only the partitions present in it (dynamic
+    partition overwrite)."""
+    work_dir(spark)  # checkpoint() needs spark.checkpoint.dir
+    staged = new_rows.checkpoint(eager=True)
+    (staged.write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
@@ -191,6 +193,5 @@ def insert_ignore_table(spark: SparkSession, path: str, batch: DataFrame, key: S
                         order_by: Sequence[Column], partition_by: Sequence[str] = ()) -> None:
     target = spark.read.parquet(path)
     new_rows = insert_new_keys(target, batch.select(*target.columns), key, order_by)
-    stage = scratch_path(spark, "stage")
-    new_rows.write.mode("overwrite").parquet(stage)
-    append(spark.read.parquet(stage), path, partition_by=partition_by)
+    work_dir(spark)
+    append(new_rows.checkpoint(eager=True), path, partition_by=partition_by)

@@ -59,8 +59,20 @@ def plus_days(col: Column, days: Column) -> Column:
     return col + F.make_dt_interval(days=days.cast("int"))
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one test table. The test files are read-only, so the scan
+    DataFrame (file listing and footer schema) is built once per session
+    and path; DataFrames are immutable, so sharing it is safe."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
 
 
 def _map(col: Column, mapping: dict[str, str], default: str | None = None) -> Column:
