@@ -73,3 +73,26 @@ def mask_email(c: str | Column) -> Column:
 def nulls_first_desc(c: str | Column) -> Column:
     """``ORDER BY c DESC`` as Postgres orders it (NULLs first)."""
     return col_(c).desc_nulls_first()
+
+
+def random_uuid() -> Column:
+    """``gen_random_uuid()`` default: a fresh v4 uuid per row."""
+    return F.expr("uuid()")
+
+
+def uuid_from_key(*cols: str | Column) -> Column:
+    """Deterministic uuid-shaped text from key columns (stable on retries,
+    unlike ``random_uuid``): md5 of the surrogate-key text, 8-4-4-4-12."""
+    h = surrogate_key(*cols)
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
+                       F.substring(h, 17, 4), F.substring(h, 21, 12))
+
+
+def iso_timestamp(c: str | Column) -> Column:
+    """Timestamp as ISO-8601 text (watermark values kept as text)."""
+    return F.date_format(col_(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
+def current_timestamp_utc() -> Column:
+    """Current time as a zone-less UTC wall-clock value."""
+    return F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("timestamp_ntz")

@@ -228,3 +228,25 @@ def store_failures(failures: DataFrame, path: str, run_id: str) -> None:
     (failures.withColumn("run_id", F.lit(run_id))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("run_id").parquet(path))
+
+
+def publish(candidate: DataFrame, path: str, checks, partition_by=(), run_id: str = "candidate") -> DataFrame:
+    """Write-audit-publish: write the candidate next to the target, run the
+    checks on what was written (``checks(df) -> list[TableChecks]``), and
+    only when the gate passes overwrite the published table from the
+    candidate. A failing gate raises and leaves the published table as it
+    was. Returns the summary."""
+    spark = candidate.sparkSession
+    cand_path = f"{path.rstrip('/')}_candidates/{run_id}"
+    w = candidate.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(cand_path)
+    written = spark.read.parquet(cand_path)
+    summary = suite_summary(checks(written))
+    gate(summary)
+    w2 = written.write.mode("overwrite")
+    if partition_by:
+        w2 = w2.partitionBy(*partition_by)
+    w2.parquet(path)
+    return summary

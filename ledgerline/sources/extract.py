@@ -93,3 +93,19 @@ def extract_interval(source: DataFrame, spec: SourceSpec, interval_start: Any,
 
 def null_watermark_rows(source: DataFrame, spec: SourceSpec) -> DataFrame:
     return source.agg(F.count_if(F.col(spec.incremental_col).isNull()).alias("null_watermark_rows"))
+
+
+def copy_into(spark: SparkSession, path: str, fmt: str, schema, extracted_at: Any = None,
+              **options: str) -> DataFrame:
+    """Bulk load of staged files (``COPY INTO``): read them with an explicit
+    schema (no inference pass) and stamp the load time; append the result
+    with ``operators.tables.append``."""
+    r = spark.read.format(fmt).schema(schema)
+    for k, v in options.items():
+        r = r.option(k, v)
+    return stamp(r.load(path), extracted_at)
+
+
+def load_seed_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Static reference data from a CSV with a header and a fixed schema."""
+    return spark.read.schema(schema).option("header", "true").option("mode", "FAILFAST").csv(path)

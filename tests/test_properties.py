@@ -228,3 +228,39 @@ def test_hot_key_split_matches_plain_window(spark):
     a = history.scd2_check(raw, ["customer_id"], "updated_at", ["segment"], hot_rows=1)
     b = history.scd2_check(raw, ["customer_id"], "updated_at", ["segment"])
     assert _set(a) == _set(b)
+
+
+def test_publish_blocks_bad_candidate(spark, scratch):
+    path = scratch("fct")
+    raw = td.raw_orders(spark, SF_SMALL)
+    good = marts.fct_orders(staging.stg_orders(raw), staging.stg_customers(td.raw_customers(spark, SF_SMALL)))
+
+    def checks(df):
+        return [quality.TableChecks("fct_orders", df, row_checks=[quality.not_null("order_id")],
+                                    unique=[["order_id"]])]
+
+    quality.publish(good, path, checks, run_id="r1")
+    published = spark.read.parquet(path).count()
+    bad = good.unionByName(good.limit(3))
+    with pytest.raises(quality.QualityGateError):
+        quality.publish(bad, path, checks, run_id="r2")
+    assert spark.read.parquet(path).count() == published
+
+
+def test_bulk_load_and_helpers(spark, scratch):
+    import os
+    from ledgerline.session import local_path
+    from ledgerline.sources.extract import copy_into, load_seed_csv
+    d = scratch("seed")
+    os.makedirs(local_path(d), exist_ok=True)
+    with open(os.path.join(local_path(d), "methods.csv"), "w") as f:
+        f.write("payment_method,fee_rate\ncard,0.0290\ncash,0.0000\n")
+    seed = load_seed_csv(spark, d, "payment_method string, fee_rate decimal(5,4)")
+    assert seed.count() == 2
+    loaded = copy_into(spark, d, "csv", "payment_method string, fee_rate decimal(5,4)",
+                       extracted_at="2024-01-01 00:00:00", header="true")
+    assert loaded.where("_extracted_at = timestamp_ntz'2024-01-01 00:00:00'").count() == 2
+    r = spark.range(2).select(fn.uuid_from_key("id").alias("u"), fn.random_uuid().alias("r"),
+                              fn.iso_timestamp(F.lit("2024-01-02 03:04:05").cast("timestamp_ntz")).alias("t")).collect()
+    assert all(len(x.u) == 36 and len(x.r) == 36 for x in r)
+    assert r[0].t == "2024-01-02T03:04:05.000000"
