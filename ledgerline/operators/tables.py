@@ -117,9 +117,18 @@ def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str],
 # ---------------------------------------------------------------------------
 # path-based tables
 # ---------------------------------------------------------------------------
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """``REBALANCE`` on the partition columns before a partitioned write:
+    rows of one directory partition meet in few tasks (few files per
+    directory instead of one per upstream task and directory), and AQE
+    splits a directory partition that is too large into several tasks, so
+    a hot partition does not become one huge file."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 mode: str = "overwrite") -> None:
-    w = df.write.mode(mode)
+    w = rebalanced(df, partition_by).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -161,7 +170,7 @@ def replace_partitions(spark: SparkSession, path: str, new_rows: DataFrame,
     partition overwrite)."""
     work_dir(spark)  # checkpoint() needs spark.checkpoint.dir
     staged = new_rows.checkpoint(eager=True)
-    (staged.write.mode("overwrite")
+    (rebalanced(staged, partition_by).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
