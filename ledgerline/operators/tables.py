@@ -204,3 +204,25 @@ def insert_ignore_table(spark: SparkSession, path: str, batch: DataFrame, key: S
     new_rows = insert_new_keys(target, batch.select(*target.columns), key, order_by)
     work_dir(spark)
     append(new_rows.checkpoint(eager=True), path, partition_by=partition_by)
+
+
+def deleted_keys(target: DataFrame, source_keys: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys present in the target but gone from a full key snapshot of the
+    source (the batch path cannot see deletes otherwise). Both sides are
+    reduced to distinct keys before the anti join."""
+    return target.select(*key).distinct().join(source_keys.select(*key).distinct(), list(key), "left_anti")
+
+
+def delete_missing_table(spark: SparkSession, path: str, source_keys: DataFrame, key: Sequence[str],
+                         partition_by: Sequence[str]) -> None:
+    """Remove target rows whose key left the source, rewriting only the
+    partitions that hold such rows."""
+    table = spark.read.parquet(path)
+    gone = deleted_keys(table, source_keys, key)
+    hit = table.join(gone, list(key), "left_semi")
+    parts = touched_partitions(hit, partition_by)
+    if not parts:
+        return
+    current = table.where(partition_filter(partition_by, parts))
+    replace_partitions(spark, path, current.join(gone, list(key), "left_anti").select(*table.columns),
+                       partition_by)

@@ -509,7 +509,8 @@ ORACLE["watermark_state"] = _LOAD_CTES + "\n" + "\nUNION ALL\n".join(f"""
 SELECT '{t}' AS table_name,
        CASE WHEN r2.n > 0 THEN r2.wm ELSE r1.wm END AS watermark,
        CASE WHEN r2.n > 0 THEN r2.n ELSE r1.n END AS row_count,
-       CAST(CASE WHEN r2.n > 0 THEN 2 ELSE 1 END AS BIGINT) AS batch_id
+       CAST(CASE WHEN r2.n > 0 THEN 2 ELSE 1 END AS BIGINT) AS batch_id,
+       CAST(NULL AS VARCHAR) AS watermark_key
 FROM {t}_r1 r1, {t}_r2 r2""" for t in _LOAD_TABLES)
 
 ORACLE["load_audit"] = _LOAD_CTES + "\n" + "\nUNION ALL\n".join(f"""

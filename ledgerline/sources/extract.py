@@ -24,7 +24,10 @@ class SourceSpec:
     incremental_col: str = "updated_at"
     key: tuple[str, ...] = ()
     loaded_at_col: str = "_extracted_at"
-    mode: str = "gt"  # "gt": col > watermark; "ge": col >= interval start
+    # "gt": col > watermark; "ge": col >= interval start;
+    # "gt_key": (col, key[0]) > (watermark, watermark_key) - rows that share
+    # the watermark timestamp but were not yet loaded are still picked up
+    mode: str = "gt"
     jdbc_options: dict[str, str] = field(default_factory=dict)
 
 
@@ -91,6 +94,22 @@ def extract_interval(source: DataFrame, spec: SourceSpec, interval_start: Any,
                                       spec.loaded_at_col, "ge"), interval_start, extracted_at)
 
 
+def after_position(col: str, key: str, wm: Any, wm_key: Any) -> Column:
+    """Lexicographic ``(col, key) > (wm, wm_key)``, written with plain
+    comparisons so it is pushed to the source as an OR of ranges."""
+    c, k = F.col(col), F.col(key)
+    return (c > F.lit(wm)) | ((c == F.lit(wm)) & (k > F.lit(wm_key)))
+
+
+def extract_after(source: DataFrame, spec: SourceSpec, watermark: Any, watermark_key: Any,
+                  extracted_at: Any = None) -> DataFrame:
+    """Composite-watermark slice: strictly after the last loaded
+    (timestamp, key) position."""
+    df = source if watermark is None else source.where(
+        after_position(spec.incremental_col, spec.key[0], watermark, watermark_key))
+    return stamp(df, extracted_at, spec.loaded_at_col)
+
+
 def null_watermark_rows(source: DataFrame, spec: SourceSpec) -> DataFrame:
     return source.agg(F.count_if(F.col(spec.incremental_col).isNull()).alias("null_watermark_rows"))
 

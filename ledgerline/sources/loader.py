@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .extract import SourceSpec, extract
+from .extract import SourceSpec, extract, extract_after
 
 CONTROL_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("watermark", T.TimestampNTZType(), True),
     T.StructField("row_count", T.LongType(), False),
     T.StructField("batch_id", T.LongType(), False),
+    T.StructField("watermark_key", T.StringType(), True),
 ])
 
 AUDIT_SCHEMA = T.StructType([
@@ -87,14 +88,16 @@ class IncrementalLoader:
         if not _exists(self.spark, self.control_path):
             return self.spark.createDataFrame([], CONTROL_SCHEMA)
         log = self.spark.read.schema(CONTROL_SCHEMA).parquet(self.control_path)
-        return log.groupBy("table_name").agg(F.max_by(F.struct("watermark", "row_count", "batch_id"),
-                                                       F.col("batch_id")).alias("s")) \
-            .select("table_name", "s.watermark", "s.row_count", "s.batch_id")
+        return log.groupBy("table_name").agg(
+            F.max_by(F.struct("watermark", "row_count", "batch_id", "watermark_key"),
+                     F.col("batch_id")).alias("s")) \
+            .select("table_name", "s.watermark", "s.row_count", "s.batch_id", "s.watermark_key")
 
     def last_commit(self, table: str):
+        """(watermark, watermark_key, batch_id) of the latest commit."""
         with self._commit_lock:
             row = self.state().where(F.col("table_name") == table).first()
-        return (row.watermark, row.batch_id) if row is not None else (None, 0)
+        return (row.watermark, row.watermark_key, row.batch_id) if row is not None else (None, None, 0)
 
     def audit(self) -> DataFrame:
         if not _exists(self.spark, self.audit_path):
@@ -104,27 +107,38 @@ class IncrementalLoader:
     # -- one load --------------------------------------------------------
     def load(self, spec: SourceSpec, source: DataFrame, extracted_at: Any = None,
              interval_start: Any = None) -> LoadResult:
-        watermark, last_batch = self.last_commit(spec.name)
+        watermark, watermark_key, last_batch = self.last_commit(spec.name)
         batch_id = last_batch + 1
         if spec.mode == "ge":
             bound, mode = interval_start, ("interval" if interval_start is not None else "full")
         else:
             bound, mode = watermark, ("incremental" if watermark is not None else "full")
-        batch = extract(source, spec, bound, extracted_at)
+        if spec.mode == "gt_key":
+            key_type = source.schema[spec.key[0]].dataType
+            wm_key = F.lit(watermark_key).cast(key_type) if watermark_key is not None else None
+            batch = extract_after(source, spec, bound, wm_key, extracted_at)
+        else:
+            batch = extract(source, spec, bound, extracted_at)
         obs = Observation(f"load_{spec.name}_{batch_id}")
         c = F.col(spec.incremental_col)
-        observed = batch.observe(obs, F.count(F.lit(1)).alias("row_count"),
-                                 F.min(c).alias("min_wm"), F.max(c).alias("max_wm"))
+        metrics = [F.count(F.lit(1)).alias("row_count"), F.min(c).alias("min_wm"), F.max(c).alias("max_wm")]
+        if spec.mode == "gt_key":
+            metrics.append(F.max(F.struct(c.alias("ts"), F.col(spec.key[0]).cast("string").alias("k")))
+                           .alias("max_pos"))
+        observed = batch.observe(obs, *metrics)
         (observed.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("_batch_id").parquet(self.raw_path(spec.name)))
         m = obs.get
         n = int(m.get("row_count", 0) or 0)
         res = LoadResult(spec.name, batch_id, mode, n, m.get("min_wm"), m.get("max_wm"), n > 0)
+        pos_key = None
+        if spec.mode == "gt_key" and m.get("max_pos") is not None:
+            pos_key = m["max_pos"]["k"]
         with self._commit_lock:
             if n > 0:
                 self._append(self.control_path, CONTROL_SCHEMA,
-                             [(spec.name, _ntz(res.max_watermark), n, batch_id)])
+                             [(spec.name, _ntz(res.max_watermark), n, batch_id, pos_key)])
             self._append(self.audit_path, AUDIT_SCHEMA,
                          [(spec.name, batch_id, mode, n, _ntz(res.min_watermark),
                            _ntz(res.max_watermark), "loaded" if n > 0 else "empty")])
