@@ -82,14 +82,29 @@ def assign_identity(df: DataFrame, id_col: str, start: int | Column,
                      .drop("_mid", "_p", "_pos", "_off"))
 
 
+BROADCAST_KEYS_MAX_ROWS = 5_000_000
+
+
 def insert_new_keys(target: DataFrame, batch: DataFrame, key: Sequence[str],
                     order_by: Sequence[Column]) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO NOTHING``: the rows of ``batch`` to
     append. The batch is first reduced to one row per key (first under
     ``order_by`` wins), then keys already in the target are dropped with a
-    LEFT ANTI join on the key only."""
-    first = dedup_latest(batch, key, order_by)
-    return first.join(target.select(*key).distinct(), list(key), "left_anti")
+    LEFT ANTI join on the key only.
+
+    When the batch's keys are few (checked bound), the target is first
+    semi-joined with the broadcast batch keys: the large target is only
+    scanned and probed, never shuffled, and the anti join runs between
+    two batch-sized inputs. The deduplicated batch is materialised once
+    (reliable checkpoint) so the size check and the join share it."""
+    work_dir(batch.sparkSession)
+    first = dedup_latest(batch, key, order_by).checkpoint(eager=True)
+    keys = first.select(*key)
+    if keys.limit(BROADCAST_KEYS_MAX_ROWS + 1).count() <= BROADCAST_KEYS_MAX_ROWS:
+        existing = target.select(*key).join(F.broadcast(keys), list(key), "left_semi").distinct()
+    else:
+        existing = target.select(*key).distinct()
+    return first.join(existing, list(key), "left_anti")
 
 
 def update_where(df: DataFrame, predicate: Column, assignments: Mapping[str, Any],
@@ -202,8 +217,9 @@ def insert_ignore_table(spark: SparkSession, path: str, batch: DataFrame, key: S
                         order_by: Sequence[Column], partition_by: Sequence[str] = ()) -> None:
     target = spark.read.parquet(path)
     new_rows = insert_new_keys(target, batch.select(*target.columns), key, order_by)
-    work_dir(spark)
-    append(new_rows.checkpoint(eager=True), path, partition_by=partition_by)
+    # appending to the table being read is safe: the files to read are
+    # listed when the plan is made, new files are committed at the end
+    append(new_rows, path, partition_by=partition_by)
 
 
 def deleted_keys(target: DataFrame, source_keys: DataFrame, key: Sequence[str]) -> DataFrame:
