@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import dedup_latest
+from .joins import broadcast_if_small
 from .ordered import HOT_ROWS, neighbours
 
 
@@ -71,6 +72,11 @@ def scd2_merge(history: DataFrame, changes: DataFrame, key: Sequence[str], ts: s
     (late or replayed); the current row is closed at the first new
     version; new versions get their ranges among themselves."""
     cur = history.where("is_current").select(*key, F.col("valid_from").alias("_cur_from"))
+    # only the current rows of keys in this batch matter; when the batch's
+    # keys are few (checked), probe the history with them instead of
+    # shuffling every current row
+    batch_keys = changes.select(*key).distinct()
+    cur = cur.join(broadcast_if_small(batch_keys, 5_000_000), list(key), "left_semi")
     fresh = (changes.join(cur, list(key), "left")
                     .where(F.col("_cur_from").isNull() | (F.col(ts) > F.col("_cur_from")))
                     .drop("_cur_from"))
