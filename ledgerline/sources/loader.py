@@ -78,6 +78,9 @@ class IncrementalLoader:
         # commits to the shared control tables are serialised; the loads
         # themselves (different raw paths) run concurrently
         self._commit_lock = threading.Lock()
+        # last commit per table: read from the control table once, then
+        # kept up to date by this loader's own commits
+        self._positions: dict[str, tuple] | None = None
 
     def raw_path(self, table: str) -> str:
         return f"{self.root}/raw/{table}"
@@ -96,8 +99,11 @@ class IncrementalLoader:
     def last_commit(self, table: str):
         """(watermark, watermark_key, batch_id) of the latest commit."""
         with self._commit_lock:
-            row = self.state().where(F.col("table_name") == table).first()
-        return (row.watermark, row.watermark_key, row.batch_id) if row is not None else (None, None, 0)
+            if self._positions is None:
+                # one row per table: bounded by the number of tables
+                self._positions = {r.table_name: (r.watermark, r.watermark_key, r.batch_id)
+                                   for r in self.state().collect()}
+            return self._positions.get(table, (None, None, 0))
 
     def audit(self) -> DataFrame:
         if not _exists(self.spark, self.audit_path):
@@ -139,6 +145,8 @@ class IncrementalLoader:
             if n > 0:
                 self._append(self.control_path, CONTROL_SCHEMA,
                              [(spec.name, _ntz(res.max_watermark), n, batch_id, pos_key)])
+                if self._positions is not None:
+                    self._positions[spec.name] = (_ntz(res.max_watermark), pos_key, batch_id)
             self._append(self.audit_path, AUDIT_SCHEMA,
                          [(spec.name, batch_id, mode, n, _ntz(res.min_watermark),
                            _ntz(res.max_watermark), "loaded" if n > 0 else "empty")])
