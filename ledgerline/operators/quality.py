@@ -9,7 +9,8 @@ Plan shape, chosen for very large tables:
 * ``unique`` is a group-by on the key (partial aggregation map-side, so a
   hot key is combined before the shuffle);
 * ``relationships`` first reduces the child to its distinct foreign keys
-  with counts (again map-side combined), then anti-joins the parent keys.
+  with counts (again map-side combined), then anti-joins the parent keys;
+  all foreign keys of one child table share that single pass.
 
 Three-valued logic follows the SQL tests: an expression or accepted-values
 check fails only when the predicate is FALSE; NULL passes.
@@ -114,6 +115,49 @@ def relationship_failures(child: DataFrame, table: str, fk: str, parent: DataFra
         F.col("n_rows").cast("bigint").alias("failing_rows"))
 
 
+def relationship_failures_multi(child: DataFrame, table: str,
+                                rels: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+    """All relationship checks of one child table in one pass: the foreign
+    key columns are stacked into (check, value) pairs, collapsed to distinct
+    values with their row counts (map-side combined), and anti-joined once
+    against the parents' keys tagged with the same check index.
+    ``rels``: (fk column, parent frame, parent name, parent key)."""
+    from pyspark.sql import types as T
+
+    key_types = {child.schema[fk].dataType for fk, _, _, _ in rels}
+    kt = key_types.pop() if len(key_types) == 1 else T.StringType()
+    names = [f"relationships_{table}_{fk}_to_{pname}" for fk, _, pname, _ in rels]
+    pairs = F.array(*[F.struct(F.lit(i).alias("_r"), F.col(fk).cast(kt).alias("_v"))
+                      for i, (fk, _, _, _) in enumerate(rels)])
+    keys = (child.select(F.inline(pairs)).where(F.col("_v").isNotNull())
+                 .groupBy("_r", "_v").agg(F.count(F.lit(1)).alias("n_rows")))
+    parents = None
+    for i, (_, parent, _, pk) in enumerate(rels):
+        p = parent.select(F.lit(i).alias("_r"), F.col(pk).cast(kt).alias("_v"))
+        parents = p if parents is None else parents.unionByName(p)
+    orphans = keys.join(parents, ["_r", "_v"], "left_anti")
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_r") + 1)
+    return orphans.select(name.alias("check_name"), F.lit(table).alias("table_name"),
+                          F.col("_v").cast("string").alias("key_value"),
+                          F.col("n_rows").cast("bigint").alias("failing_rows"))
+
+
+def relationship_counts(child: DataFrame, table: str,
+                        rels: Sequence[tuple[str, DataFrame, str, str]],
+                        severity: str = "error") -> DataFrame:
+    """Summary row per relationship check of ``child`` (0 when it passes)."""
+    spark = child.sparkSession
+    names = spark.createDataFrame([(f"relationships_{table}_{fk}_to_{pname}",)
+                                   for fk, _, pname, _ in rels], "check_name string")
+    failing = relationship_failures_multi(child, table, rels).groupBy("check_name") \
+        .agg(F.sum("failing_rows").alias("failing_rows"))
+    # at most one row per check on either side: broadcasting is bounded
+    return names.join(F.broadcast(failing), "check_name", "left").select(
+        "check_name", F.lit(table).alias("table_name"),
+        F.coalesce(F.col("failing_rows"), F.lit(0)).cast("bigint").alias("failing_rows"),
+        F.lit(severity).alias("severity"))
+
+
 def count_failures(failures: DataFrame, check_name: str, table: str,
                    severity: str = "error") -> DataFrame:
     """Summary row for a check given as failing keys (sum of rows); an
@@ -180,10 +224,8 @@ def suite_summary(specs: Sequence[TableChecks]) -> DataFrame:
         for keys in s.unique:
             parts.append(count_failures(unique_failures(s.df, s.table, keys),
                                         "unique_" + "_".join(keys), s.table))
-        for fk, parent, parent_name, pk in s.relationships:
-            parts.append(count_failures(
-                relationship_failures(s.df, s.table, fk, parent, parent_name, pk),
-                f"relationships_{s.table}_{fk}_to_{parent_name}", s.table))
+        if s.relationships:
+            parts.append(relationship_counts(s.df, s.table, s.relationships))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -200,8 +242,8 @@ def suite_failures(specs: Sequence[TableChecks]) -> DataFrame:
             parts.append(row_check_failures(s.df, s.table, s.row_checks, key))
         for keys in s.unique:
             parts.append(unique_failures(s.df, s.table, keys))
-        for fk, parent, parent_name, pk in s.relationships:
-            parts.append(relationship_failures(s.df, s.table, fk, parent, parent_name, pk))
+        if s.relationships:
+            parts.append(relationship_failures_multi(s.df, s.table, s.relationships))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -242,13 +242,12 @@ def relationship_specs(t: dict[str, DataFrame]):
 
 @register("dq_relationships")
 def q_dq_relationships(spark, sf_dir):
+    """Foreign keys of every table; one pass per child table."""
     t = source_tables(spark, sf_dir)
-    parts = []
+    by_child: dict[str, list] = {}
     for child, fk, parent, pk in relationship_specs(t):
-        name = f"relationships_{child}_{fk}_to_{parent}"
-        parts.append(q.count_failures(q.relationship_failures(t[child], child, fk, t[parent], parent, pk),
-                                      name, child))
-    return reports._union(parts)
+        by_child.setdefault(child, []).append((fk, t[parent], parent, pk))
+    return reports._union([q.relationship_counts(t[child], child, rels) for child, rels in by_child.items()])
 
 
 @register("dq_suite_summary")
