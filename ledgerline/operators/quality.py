@@ -282,13 +282,13 @@ def publish(candidate: DataFrame, path: str, checks, partition_by=(), run_id: st
     cand_path = f"{path.rstrip('/')}_candidates/{run_id}"
     w = candidate.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     w.parquet(cand_path)
     written = spark.read.parquet(cand_path)
     summary = suite_summary(checks(written))
     gate(summary)
     w2 = written.write.mode("overwrite")
     if partition_by:
-        w2 = w2.partitionBy(*partition_by)
+        w2 = w2.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     w2.parquet(path)
     return summary

@@ -145,7 +145,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 mode: str = "overwrite") -> None:
     w = rebalanced(df, partition_by).write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # a full overwrite replaces the whole table, partitions included
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     w.parquet(path)
 
 

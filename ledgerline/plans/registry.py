@@ -114,7 +114,7 @@ class Registry:
                     out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
                 w = out.write.mode("overwrite")
                 if m.partition_by:
-                    w = w.partitionBy(*m.partition_by)
+                    w = w.partitionBy(*m.partition_by).option("partitionOverwriteMode", "static")
                 w.parquet(path)
                 df = spark.read.parquet(path)
             elif m.materialized == "view":

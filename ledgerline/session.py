@@ -21,7 +21,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -50,8 +49,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Set the SQL confs that can change on a live session (the driver
     hands us its own session, so we cannot rely on the builder)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled",
-              "spark.sql.sources.partitionOverwriteMode"):
+              "spark.sql.adaptive.skewJoin.enabled"):
         spark.conf.set(k, BASE_CONF[k])
 
 

@@ -302,3 +302,12 @@ def test_schema_drift_and_ddl(spark, scratch):
     t = schemas.create_table_if_not_exists(spark, "ll_test_orders", schemas.ORDERS, scratch("ddl"),
                                            comment="orders", column_comments={"order_id": "key"})
     assert t.schema["order_id"].metadata.get("comment") == "key"
+
+
+def test_full_overwrite_drops_stale_partitions_rewrite_keeps_others(spark, scratch):
+    path = scratch("t")
+    tables.write_table(spark.createDataFrame([(1, "p1"), (2, "p2")], "k int, p string"), path, ["p"])
+    tables.write_table(spark.createDataFrame([(3, "p3")], "k int, p string"), path, ["p"])
+    assert _set(spark.read.parquet(path)) == [(3, "p3")]
+    tables.replace_partitions(spark, path, spark.createDataFrame([(4, "p4")], "k int, p string"), ["p"])
+    assert _set(spark.read.parquet(path)) == [(3, "p3"), (4, "p4")]
