@@ -244,7 +244,8 @@ def q_cdc_apply(spark, sf_dir):
     changes = jobs.events_to_changes(jobs.read_stream(spark, _events_path(sf_dir)))
     q = jobs.apply_changes(changes, f"{root}/log", f"{root}/_checkpoint", AVAILABLE_NOW)
     q.awaitTermination()
-    return jobs.current_state(spark.read.parquet(f"{root}/log"))
+    jobs.compact(spark, root)
+    return jobs.state_view(spark, root)
 
 
 @register("stream_dedup")

@@ -86,3 +86,18 @@ def test_windowed_counts_match_batch(spark, scratch):
                       "event_type").count()
     assert got.count() == want.count()
     assert got.agg(F.sum("event_count")).first()[0] == ev.count()
+
+
+def test_compaction_keeps_the_state(spark, scratch):
+    root = scratch("cdc")
+    changes = td.change_events(spark, SF_SMALL)
+    a = changes.where("seq % 2 = 0")
+    b = changes.where("seq % 2 = 1")
+    jobs.write_change_batch(a, 0, f"{root}/log")
+    assert jobs.compact(spark, root) == 0
+    jobs.write_change_batch(b, 1, f"{root}/log")
+    expected = sorted(jobs.current_state(changes).collect())
+    assert sorted(jobs.state_view(spark, root).collect()) == expected
+    assert jobs.compact(spark, root) == 1
+    assert sorted(jobs.state_view(spark, root).collect()) == expected
+    assert jobs.compact(spark, root) == 1  # nothing new
