@@ -65,7 +65,10 @@ def assign_identity(df: DataFrame, id_col: str, start: int | Column,
     low 33 bits), and the partition's offset from a prefix sum over the
     per-partition counts - a table with one row per partition, broadcast.
     """
-    orders = [col_(c) for c in order_by]
+    # a row hash as the last sort key lets the range partitioner split a
+    # value of order_by shared by very many rows (ties are numbered in an
+    # arbitrary but deterministic order)
+    orders = [col_(c) for c in order_by] + [F.xxhash64(*df.columns)]
     work_dir(df.sparkSession)
     sorted_df = df.orderBy(*orders).withColumn("_mid", F.monotonically_increasing_id())
     sorted_df = sorted_df.checkpoint(eager=True)

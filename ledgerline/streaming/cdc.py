@@ -17,3 +17,12 @@ def flatten_events(events: DataFrame) -> DataFrame:
     parsed = F.from_json(F.col("props"), PAYLOAD_SCHEMA)
     return events.select("event_id", "ts", "user_id", "event_type", "value",
                          parsed.getField("k").alias("k"))
+
+
+def flatten_events_variant(events: DataFrame) -> DataFrame:
+    """The same flattening through a VARIANT column: the payload is parsed
+    once (``parse_json``) and fields are read with ``variant_get``; useful
+    when payloads carry fields no fixed schema lists."""
+    v = F.parse_json(F.col("props"))
+    return events.select("event_id", "ts", "user_id", "event_type", "value",
+                         F.variant_get(v, "$.k", "bigint").alias("k"))

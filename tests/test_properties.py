@@ -311,3 +311,9 @@ def test_full_overwrite_drops_stale_partitions_rewrite_keeps_others(spark, scrat
     assert _set(spark.read.parquet(path)) == [(3, "p3")]
     tables.replace_partitions(spark, path, spark.createDataFrame([(4, "p4")], "k int, p string"), ["p"])
     assert _set(spark.read.parquet(path)) == [(3, "p3"), (4, "p4")]
+
+
+def test_assign_identity_with_a_hot_order_value(spark):
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    ids = [r.new_id for r in tables.assign_identity(df, "new_id", 0, ["k"]).collect()]
+    assert sorted(ids) == list(range(1, 3001))

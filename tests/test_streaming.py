@@ -101,3 +101,9 @@ def test_compaction_keeps_the_state(spark, scratch):
     assert jobs.compact(spark, root) == 1
     assert sorted(jobs.state_view(spark, root).collect()) == expected
     assert jobs.compact(spark, root) == 1  # nothing new
+
+
+def test_variant_flattening_matches_json_schema(spark):
+    from ledgerline.streaming.cdc import flatten_events, flatten_events_variant
+    ev = spark.read.parquet(EVENTS)
+    assert sorted(flatten_events_variant(ev).collect()) == sorted(flatten_events(ev).collect())
