@@ -251,14 +251,16 @@ def q_cdc_apply(spark, sf_dir):
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """The event files delivered twice (two sources over the same files,
-    as after a replay), deduplicated by event id inside the stream."""
+    as after a replay), deduplicated by event id on the way into the sink
+    (map-side combined per micro-batch, then checked against the sink's
+    recent ids)."""
     root = scratch_path(spark, "dedup")
     a = jobs.read_stream(spark, _events_path(sf_dir))
     b = jobs.read_stream(spark, _events_path(sf_dir))
-    q = jobs.sink_parquet(jobs.dedup_replayed(a.unionByName(b)), f"{root}/out",
-                          f"{root}/_checkpoint", AVAILABLE_NOW)
+    q = jobs.dedup_into_sink(a.unionByName(b), f"{root}/out", f"{root}/_checkpoint",
+                             trigger=AVAILABLE_NOW)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return jobs.read_deduped(spark, f"{root}/out")
 
 
 @register("events_tumbling_count")
