@@ -214,6 +214,7 @@ class TableChecks:
     unique: list[Sequence[str]] = field(default_factory=list)
     relationships: list[tuple[str, DataFrame, str, str]] = field(default_factory=list)
     failure_key: Column | None = None
+    severity: str = "error"  # of the unique and relationship checks
 
 
 def suite_summary(specs: Sequence[TableChecks]) -> DataFrame:
@@ -223,9 +224,9 @@ def suite_summary(specs: Sequence[TableChecks]) -> DataFrame:
             parts.append(row_check_counts(s.df, s.table, s.row_checks))
         for keys in s.unique:
             parts.append(count_failures(unique_failures(s.df, s.table, keys),
-                                        "unique_" + "_".join(keys), s.table))
+                                        "unique_" + "_".join(keys), s.table, s.severity))
         if s.relationships:
-            parts.append(relationship_counts(s.df, s.table, s.relationships))
+            parts.append(relationship_counts(s.df, s.table, s.relationships, s.severity))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
