@@ -33,3 +33,12 @@ def test_environment_routes_layers(spark):
     assert t.table("raw", "orders") == "lakehouse_dev_raw.orders"
     env = Environment(spark, t)
     env.tag_jobs("build fct_orders")
+
+
+def test_layers_end_to_end(spark, scratch):
+    from ledgerline.plans.end_to_end import TARGETS_SEC, run_layers
+    root = scratch("layers")
+    t = run_layers(spark, SF_SMALL, root)
+    assert set(TARGETS_SEC) <= set(t)
+    fct = spark.read.parquet(f"{root}/marts/fct_orders")
+    assert fct.count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
