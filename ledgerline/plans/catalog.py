@@ -252,7 +252,7 @@ def q_dq_relationships(spark, sf_dir):
 
 @register("dq_suite_summary")
 def q_dq_suite_summary(spark, sf_dir):
-    """Reference test suite: source tests on raw orders (warn: the raw
+    """Test suite: source tests on raw orders (warn: the raw
     layer holds several versions by design) and model tests on the fact."""
     raw = raw_orders_checks(td.raw_orders(spark, sf_dir), severity="warn")
     return q.suite_summary([raw, fct_checks(build_fct_orders(spark, sf_dir))])

@@ -133,8 +133,8 @@ def with_docs(df: DataFrame, docs: dict[str, str]) -> DataFrame:
 
 def finance_registry(raw_orders: Callable[[], DataFrame],
                      raw_customers: Callable[[], DataFrame]) -> Registry:
-    """The reference project's models: two staging views and the finance
-    fact, tagged as there."""
+    """The finance models: two staging views and the order fact, with
+    their tags."""
     from . import marts, staging
 
     reg = Registry()
