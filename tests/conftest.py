@@ -16,7 +16,8 @@ def spark():
     from ledgerline.session import build_session
 
     s = build_session("local[4]", app_name="ledgerline-tests", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "4g"})
+                      extra={"spark.driver.memory": "4g",
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ledgerline-wh-")})
     # tests own their checkpoint dir (a cluster sets spark.checkpoint.dir)
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-test-ckpt-"))

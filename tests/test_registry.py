@@ -42,3 +42,29 @@ def test_layers_end_to_end(spark, scratch):
     assert set(TARGETS_SEC) <= set(t)
     fct = spark.read.parquet(f"{root}/marts/fct_orders")
     assert fct.count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+
+
+def test_databases_created_per_layer_and_ephemeral_models(spark, scratch):
+    from ledgerline.config import Target
+    from ledgerline.plans.registry import Registry
+    loc = scratch("warehouse")
+    t = Target("ci", {"raw": "ll_ci_raw", "marts": "ll_ci_marts"}, location=loc)
+    env = Environment(spark, t)
+    env.ensure_databases()
+    names = {d.name for d in spark.catalog.listDatabases()}
+    assert {"ll_ci_raw", "ll_ci_marts"} <= names
+
+    reg = Registry()
+    reg.source("raw.orders", lambda: td.raw_orders(spark, SF_SMALL))
+
+    @reg.model("ids", deps=["source:raw.orders"], materialized="ephemeral")
+    def _ids(i):
+        return i["source:raw.orders"].select("order_id")
+
+    @reg.model("n", deps=["ids"], materialized="view")
+    def _n(i):
+        return i["ids"].groupBy().count()
+
+    out = reg.build(spark, names=["n"])
+    assert not spark.catalog.tableExists("ids")
+    assert out["n"].first()[0] == td.raw_orders(spark, SF_SMALL).count()
