@@ -129,8 +129,8 @@ class IncrementalLoader:
         c = F.col(spec.incremental_col)
         metrics = [F.count(F.lit(1)).alias("row_count"), F.min(c).alias("min_wm"), F.max(c).alias("max_wm")]
         if spec.mode == "gt_key":
-            metrics.append(F.max(F.struct(c.alias("ts"), F.col(spec.key[0]).cast("string").alias("k")))
-                           .alias("max_pos"))
+            # max over (ts, key) in the key's own type (text would order "9" > "10")
+            metrics.append(F.max(F.struct(c.alias("ts"), F.col(spec.key[0]).alias("k"))).alias("max_pos"))
         observed = batch.observe(obs, *metrics)
         (observed.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -140,7 +140,7 @@ class IncrementalLoader:
         res = LoadResult(spec.name, batch_id, mode, n, m.get("min_wm"), m.get("max_wm"), n > 0)
         pos_key = None
         if spec.mode == "gt_key" and m.get("max_pos") is not None:
-            pos_key = m["max_pos"]["k"]
+            pos_key = str(m["max_pos"]["k"])
         with self._commit_lock:
             if n > 0:
                 self._append(self.control_path, CONTROL_SCHEMA,

@@ -317,3 +317,13 @@ def test_assign_identity_with_a_hot_order_value(spark):
     df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
     ids = [r.new_id for r in tables.assign_identity(df, "new_id", 0, ["k"]).collect()]
     assert sorted(ids) == list(range(1, 3001))
+
+
+def test_composite_watermark_orders_keys_numerically(spark, scratch):
+    loader = IncrementalLoader(spark, scratch("ingest"))
+    spec = SourceSpec("t", "updated_at", ("id",), mode="gt_key")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(9, t0), (10, t0)], "id bigint, updated_at timestamp_ntz")
+    loader.load(spec, rows)
+    assert loader.state().first().watermark_key == "10"
+    assert loader.load(spec, rows).row_count == 0
