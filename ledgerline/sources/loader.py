@@ -157,8 +157,17 @@ class IncrementalLoader:
         """Run one callable per table concurrently (each does that table's
         loads in order). Spark schedules the jobs of all threads on the
         same executors, as a scheduler running one task per table would."""
+        sc = self.spark.sparkContext
+
+        def run(i: int, w):
+            # per-thread properties: with spark.scheduler.mode=FAIR each
+            # table's jobs share the executors in their own pool
+            sc.setLocalProperty("spark.scheduler.pool", f"load_{i}")
+            sc.setJobDescription(f"load task {i}")
+            return w(self)
+
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            return [f.result() for f in [pool.submit(w, self) for w in work]]
+            return [f.result() for f in [pool.submit(run, i, w) for i, w in enumerate(work)]]
 
     def read_raw(self, table: str) -> DataFrame:
         # partition discovery would type _batch_id as int
