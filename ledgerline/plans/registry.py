@@ -89,19 +89,32 @@ class Registry:
         return order
 
     # -- build -------------------------------------------------------------
+    def levels(self, order: list[str]) -> list[list[str]]:
+        """Group models so that each one comes after all its dependencies;
+        models of one level are independent of each other."""
+        depth: dict[str, int] = {}
+        for n in order:
+            ds = [depth[d] for d in self.models[n].deps if d in depth]
+            depth[n] = 1 + max(ds) if ds else 0
+        out: list[list[str]] = [[] for _ in range(max(depth.values(), default=-1) + 1)]
+        for n in order:
+            out[depth[n]].append(n)
+        return out
+
     def build(self, spark: SparkSession, names: Iterable[str] = (), tags: Iterable[str] = (),
-              table_path: Callable[[str], str] | None = None) -> dict[str, DataFrame]:
+              table_path: Callable[[str], str] | None = None, threads: int = 1) -> dict[str, DataFrame]:
+        """Materialise the selection. Models of one dependency level are
+        built concurrently (``threads``); Spark runs their jobs side by side."""
+        from concurrent.futures import ThreadPoolExecutor
+
         built: dict[str, DataFrame] = {}
 
         def get(n: str) -> DataFrame:
-            if n in built:
-                return built[n]
-            if n.startswith("source:"):
+            if n not in built and n.startswith("source:"):
                 built[n] = self.sources[n]()
-                return built[n]
-            raise KeyError(n)
+            return built[n]
 
-        for n in self.select(names, tags):
+        def make(n: str) -> tuple[str, DataFrame]:
             m = self.models[n]
             df = with_docs(m.fn({d: get(d) for d in m.deps}), m.column_docs)
             if m.materialized == "table":
@@ -119,7 +132,19 @@ class Registry:
                 df = spark.read.parquet(path)
             elif m.materialized == "view":
                 df.createOrReplaceTempView(n)
-            built[n] = df
+            return n, df
+
+        for level in self.levels(self.select(names, tags)):
+            for m in level:
+                for d in self.models[m].deps:
+                    if d.startswith("source:"):
+                        get(d)
+            if threads > 1 and len(level) > 1:
+                with ThreadPoolExecutor(max_workers=threads) as pool:
+                    results = list(pool.map(make, level))
+            else:
+                results = [make(n) for n in level]
+            built.update(results)
         return built
 
 

@@ -84,3 +84,19 @@ def local_path(path: str) -> str:
 
 def is_local_dir(path: str) -> bool:
     return os.path.isdir(local_path(path))
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
+    """Starting values for a large run: about 200 MB of shuffle input per
+    task before AQE coalesces (capped at 200k partitions, beyond which the
+    driver's map-output bookkeeping grows too large; AQE still splits skewed
+    partitions), scan splits of 512 MB, and at least two tasks per core."""
+    slots = executors * cores_per_executor
+    parts = min(200_000, max(2 * slots, input_bytes // (200 * 1024 * 1024)))
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

@@ -68,3 +68,19 @@ def test_databases_created_per_layer_and_ephemeral_models(spark, scratch):
     out = reg.build(spark, names=["n"])
     assert not spark.catalog.tableExists("ids")
     assert out["n"].first()[0] == td.raw_orders(spark, SF_SMALL).count()
+
+
+def test_levels_and_parallel_build(spark, scratch):
+    reg = _reg(spark)
+    assert reg.levels(reg.select()) == [["stg_orders", "stg_customers"], ["fct_orders"]]
+    root = scratch("models")
+    out = reg.build(spark, tags=["finance"], table_path=lambda n: f"{root}/{n}", threads=4)
+    assert out["fct_orders"].count() == out["stg_orders"].count()
+
+
+def test_cluster_conf_scales_with_input():
+    from ledgerline.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000
+    small = cluster_conf(10 * 1024 ** 3, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
