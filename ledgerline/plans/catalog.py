@@ -38,14 +38,19 @@ def register(name: str):
 
 
 # -- minimum slice: raw -> staging -> fact ---------------------------------
+# The staging views and the fact over the test tables are defined once per
+# session and directory (lazy plans; each query still runs them in full).
+@td._memo
 def build_stg_orders(spark, sf_dir):
     return staging.stg_orders(td.raw_orders(spark, sf_dir))
 
 
+@td._memo
 def build_stg_customers(spark, sf_dir):
     return staging.stg_customers(td.raw_customers(spark, sf_dir))
 
 
+@td._memo
 def build_fct_orders(spark, sf_dir):
     return marts.fct_orders(build_stg_orders(spark, sf_dir), build_stg_customers(spark, sf_dir))
 
