@@ -42,6 +42,9 @@ class Model:
     partition_by: tuple[str, ...] = ()
     description: str = ""
     column_docs: dict[str, str] = field(default_factory=dict)
+    # df -> list[quality.TableChecks]; a table model with checks is built
+    # write-audit-publish: candidate written, checked, then swapped in
+    checks: Callable | None = None
 
 
 @dataclass
@@ -55,11 +58,11 @@ class Registry:
     def model(self, name: str, deps: Iterable[str] = (), materialized: str = "view",
               tags: Iterable[str] = (), cluster_by: Iterable[str] = (),
               partition_by: Iterable[str] = (), description: str = "",
-              column_docs: dict[str, str] | None = None):
+              column_docs: dict[str, str] | None = None, checks: Callable | None = None):
         def deco(fn: ModelFn) -> ModelFn:
             self.models[name] = Model(name, fn, tuple(deps), materialized, tuple(tags),
                                       tuple(cluster_by), tuple(partition_by), description,
-                                      dict(column_docs or {}))
+                                      dict(column_docs or {}), checks)
             return fn
         return deco
 
@@ -125,10 +128,15 @@ class Registry:
                 if m.cluster_by:
                     keys = [F.expr(c) for c in m.cluster_by]
                     out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-                w = out.write.mode("overwrite")
-                if m.partition_by:
-                    w = w.partitionBy(*m.partition_by).option("partitionOverwriteMode", "static")
-                w.parquet(path)
+                if m.checks is not None:
+                    from ..operators.quality import publish
+                    # raises QualityGateError and leaves the published table as it was
+                    publish(out, path, m.checks, m.partition_by, run_id=n)
+                else:
+                    w = out.write.mode("overwrite")
+                    if m.partition_by:
+                        w = w.partitionBy(*m.partition_by).option("partitionOverwriteMode", "static")
+                    w.parquet(path)
                 df = spark.read.parquet(path)
             elif m.materialized == "view":
                 df.createOrReplaceTempView(n)
@@ -160,8 +168,17 @@ def finance_registry(raw_orders: Callable[[], DataFrame],
                      raw_customers: Callable[[], DataFrame]) -> Registry:
     """The finance models: two staging views and the order fact, with
     their tags."""
+    from ..operators import quality
     from . import marts, staging
 
+    def _fct_checks(df):
+        return [quality.TableChecks(
+            "fct_orders", df,
+            row_checks=[quality.expression_is_true("expression_order_total_usd_ge_0", "order_total_usd >= 0"),
+                        quality.not_null("order_id"), quality.not_null("customer_id"),
+                        quality.not_null("order_total_usd"), quality.not_null("created_at")],
+            unique=[["order_id"]])]
+
     reg = Registry()
     reg.source("raw.orders", raw_orders)
     reg.source("raw.customers", raw_customers)
@@ -177,7 +194,8 @@ def finance_registry(raw_orders: Callable[[], DataFrame],
     @reg.model("fct_orders", deps=["stg_orders", "stg_customers"], materialized="table",
                tags=["marts", "finance", "critical"], cluster_by=["to_date(created_at)"],
                description="One row per order with customer context",
-               column_docs={"order_id": "order key", "net_revenue_usd": "total minus tax"})
+               column_docs={"order_id": "order key", "net_revenue_usd": "total minus tax"},
+               checks=_fct_checks)
     def _fct(i):
         return marts.fct_orders(i["stg_orders"], i["stg_customers"])
 

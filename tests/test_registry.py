@@ -84,3 +84,20 @@ def test_cluster_conf_scales_with_input():
     assert int(c["spark.sql.shuffle.partitions"]) == 200_000
     small = cluster_conf(10 * 1024 ** 3, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_failing_model_tests_block_the_publish(spark, scratch):
+    import pytest
+    from pyspark.sql import functions as F
+    from ledgerline.operators.quality import QualityGateError
+    root = scratch("models")
+    good = _reg(spark)
+    good.build(spark, names=["fct_orders"], table_path=lambda n: f"{root}/{n}")
+    before = spark.read.parquet(f"{root}/fct_orders").count()
+    # a broken upstream: every order duplicated
+    bad = finance_registry(lambda: td.raw_orders(spark, SF_SMALL), lambda: td.raw_customers(spark, SF_SMALL))
+    fn = bad.models["stg_orders"].fn
+    bad.models["stg_orders"].fn = lambda i: fn(i).unionByName(fn(i))
+    with pytest.raises(QualityGateError):
+        bad.build(spark, names=["fct_orders"], table_path=lambda n: f"{root}/{n}")
+    assert spark.read.parquet(f"{root}/fct_orders").count() == before
