@@ -201,6 +201,7 @@ def q_dq_positive_total(spark, sf_dir):
     return build_fct_orders(spark, sf_dir).where(F.col("order_total_usd") <= 0).select("order_id")
 
 
+# The source tables' CHECK constraints and accepted-value lists.
 CHECK_CONSTRAINTS = {
     "products": [("products_price_check", "unit_price >= 0"),
                  ("products_cost_check", "cost_price IS NULL OR cost_price >= 0")],
