@@ -196,7 +196,11 @@ def replace_partitions(spark: SparkSession, path: str, new_rows: DataFrame,
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str],
                  order_by: Sequence[Column], partition_by: Sequence[str]) -> None:
     """Upsert ``batch`` into the table at ``path``. The partition column must
-    be immutable per key (a key never moves partitions)."""
+    be immutable per key (a key never moves partitions). The batch is
+    materialised once (it is usually derived: scan + dedup), then both the
+    touched-partition list and the merge read that copy."""
+    work_dir(spark)
+    batch = batch.checkpoint(eager=True)
     parts = touched_partitions(batch, partition_by)
     if not parts:
         return
