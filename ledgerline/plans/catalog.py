@@ -29,7 +29,9 @@ def register(name: str):
     def deco(fn: Query) -> Query:
         def wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_runtime_conf(spark)
-            return fn(spark, sf_dir)
+            # a fresh Dataset per call: views shared across queries keep their
+            # own query execution, callers get a plan made under current conf
+            return fn(spark, sf_dir).select("*")
         wrapped.__name__ = fn.__name__
         wrapped.__doc__ = fn.__doc__
         QUERIES[name] = wrapped
