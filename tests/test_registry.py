@@ -88,7 +88,6 @@ def test_cluster_conf_scales_with_input():
 
 def test_failing_model_tests_block_the_publish(spark, scratch):
     import pytest
-    from pyspark.sql import functions as F
     from ledgerline.operators.quality import QualityGateError
     root = scratch("models")
     good = _reg(spark)
