@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
 from ..operators.tables import partition_filter, replace_partitions, upsert_table, write_table
 from . import marts, staging
 
@@ -24,17 +25,11 @@ def _fact_rows(raw_orders: DataFrame, raw_customers: DataFrame) -> DataFrame:
     return fct.withColumn("created_month", F.trunc(F.to_date("created_at"), "month"))
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def run_incremental(spark: SparkSession, path: str, raw_orders: DataFrame,
                     raw_customers: DataFrame) -> str:
     """First run: full build. Later runs: raw rows extracted after the
     target's cursor, deduplicated, upserted by order_id. Returns the mode."""
-    if not _path_exists(spark, path):
+    if not path_exists(spark, path):
         write_table(_fact_rows(raw_orders, raw_customers), path, PARTITION)
         return "full"
     cursor = spark.read.parquet(path).agg(F.max("_extracted_at")).first()[0]

@@ -82,6 +82,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster's file system (any scheme)."""
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the ``column=value`` sub-directories under ``path``."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(column + "="):
+            out.append(name.split("=", 1)[1])
+    return out
+
+
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import path_exists
 from .extract import SourceSpec, extract, extract_after
 
 CONTROL_SCHEMA = T.StructType([
@@ -62,13 +63,6 @@ class LoadResult:
     committed: bool
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 class IncrementalLoader:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -88,7 +82,7 @@ class IncrementalLoader:
     # -- control table ---------------------------------------------------
     def state(self) -> DataFrame:
         """Current watermark per table (latest committed batch)."""
-        if not _exists(self.spark, self.control_path):
+        if not path_exists(self.spark, self.control_path):
             return self.spark.createDataFrame([], CONTROL_SCHEMA)
         log = self.spark.read.schema(CONTROL_SCHEMA).parquet(self.control_path)
         return log.groupBy("table_name").agg(
@@ -106,7 +100,7 @@ class IncrementalLoader:
             return self._positions.get(table, (None, None, 0))
 
     def audit(self) -> DataFrame:
-        if not _exists(self.spark, self.audit_path):
+        if not path_exists(self.spark, self.audit_path):
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.audit_path)
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup_latest
+from ..session import list_partition_values, path_exists
 from ..sources.testdata import to_change_envelope
 from .cdc import PAYLOAD_SCHEMA
 
@@ -135,12 +136,6 @@ def dedup_replayed(events: DataFrame, id_col: str = "event_id", ts_col: str = "t
     return ev.withWatermark("_ets", delay).dropDuplicatesWithinWatermark([id_col]).drop("_ets")
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def write_new_events(batch: DataFrame, batch_id: int, sink: str, id_col: str = "event_id",
                      ts_col: str = "ts", retention_days: int = 1) -> None:
     """One micro-batch of the sink-based dedup.
@@ -155,7 +150,7 @@ def write_new_events(batch: DataFrame, batch_id: int, sink: str, id_col: str = "
        dynamic overwrite, so a replayed batch replaces its own output."""
     spark = batch.sparkSession
     first = batch.dropDuplicates([id_col]).withColumn("event_date", F.to_date(ts_col))
-    if _path_exists(spark, sink):
+    if path_exists(spark, sink):
         lo = first.agg(F.min("event_date")).first()[0]
         if lo is not None:
             ids = first.select(id_col)
@@ -273,17 +268,7 @@ def progress_lag(query: StreamingQuery) -> dict[str, Any]:
 # compaction of the change log
 # ---------------------------------------------------------------------------
 def _list_ids(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix + "="):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+    return sorted(int(v) for v in list_partition_values(spark, path, prefix))
 
 
 def state_view(spark: SparkSession, root: str) -> DataFrame:
