@@ -46,6 +46,28 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_col: str | No
     return r.load()
 
 
+def jdbc_key_bounds(spark: SparkSession, url: str, table: str, column: str,
+                    **options: str) -> tuple[Any, Any]:
+    """min/max of the partition column, computed by the source (the
+    aggregate runs in the database; one row comes back)."""
+    r = spark.read.format("jdbc").option("url", url).option(
+        "query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}")
+    for k, v in options.items():
+        r = r.option(k, v)
+    row = r.load().first()
+    return (row[0], row[1]) if row is not None else (None, None)
+
+
+def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, column: str,
+                          num_partitions: int = 64, **options: str) -> DataFrame:
+    """Full-table JDBC read split into ``num_partitions`` key ranges, the
+    bounds taken from the source."""
+    lo, hi = jdbc_key_bounds(spark, url, table, column, **options)
+    if lo is None:
+        return read_jdbc(spark, url, table, **options)
+    return read_jdbc(spark, url, table, column, int(lo), int(hi), num_partitions, **options)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 10_000, **options: str) -> None:
     """Append through JDBC in multi-row batches (one connection per task)."""
     w = df.write.format("jdbc").mode("append").option("url", url).option("dbtable", table) \
