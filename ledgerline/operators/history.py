@@ -88,3 +88,34 @@ def scd2_merge(history: DataFrame, changes: DataFrame, key: Sequence[str], ts: s
                      .withColumn("is_current", F.col("valid_to").isNull())
                      .drop("_first_new"))
     return closed.unionByName(new_versions)
+
+
+BUCKET_COL = "_key_bucket"
+
+
+def key_bucket(key: Sequence[str], buckets: int) -> Column:
+    """Stable hash bucket of the key (the history table's partition column)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets)).cast("int")
+
+
+def scd2_merge_table(spark, path: str, changes: DataFrame, key: Sequence[str], ts: str,
+                     columns: Sequence[str], buckets: int = 1024,
+                     hot_rows: int = HOT_ROWS) -> None:
+    """Apply a batch of versions to a type-2 history table stored under
+    ``path`` partitioned by a hash bucket of the key. Only the buckets that
+    hold a changed key are read, merged and rewritten (first run: the whole
+    history is built from the batch)."""
+    from ..session import path_exists
+    from .tables import partition_filter, replace_partitions, touched_partitions, write_table
+
+    batch = changes.withColumn(BUCKET_COL, key_bucket(key, buckets))
+    if not path_exists(spark, path):
+        hist = scd2_timestamp(changes, key, ts, columns, hot_rows=hot_rows)
+        write_table(hist.withColumn(BUCKET_COL, key_bucket(key, buckets)), path, [BUCKET_COL])
+        return
+    parts = touched_partitions(batch, [BUCKET_COL])
+    if not parts:
+        return
+    current = spark.read.parquet(path).where(partition_filter([BUCKET_COL], parts))
+    merged = scd2_merge(current.drop(BUCKET_COL), batch.drop(BUCKET_COL), key, ts, columns, hot_rows)
+    replace_partitions(spark, path, merged.withColumn(BUCKET_COL, key_bucket(key, buckets)), [BUCKET_COL])

@@ -327,3 +327,25 @@ def test_composite_watermark_orders_keys_numerically(spark, scratch):
     loader.load(spec, rows)
     assert loader.state().first().watermark_key == "10"
     assert loader.load(spec, rows).row_count == 0
+
+
+def test_scd2_merge_table_rewrites_only_changed_buckets(spark, scratch):
+    import glob
+    import os
+    from ledgerline.session import local_path
+    path = scratch("hist")
+    raw = td.raw_customers(spark, SF_SMALL)
+    cols = ["segment", "email"]
+    history.scd2_merge_table(spark, path, raw.where("ver = 0"), ["customer_id"], "updated_at", cols, buckets=16)
+    before = {d: sorted(glob.glob(os.path.join(d, "*.parquet")))
+              for d in glob.glob(os.path.join(local_path(path), "_key_bucket=*"))}
+    changes = raw.where("ver = 1 AND customer_id < 20")
+    history.scd2_merge_table(spark, path, changes, ["customer_id"], "updated_at", cols, buckets=16)
+    touched = {r[0] for r in changes.select(history.key_bucket(["customer_id"], 16)).distinct().collect()}
+    for d, files in before.items():
+        b = int(d.rsplit("=", 1)[1])
+        if b not in touched:
+            assert sorted(glob.glob(os.path.join(d, "*.parquet"))) == files
+    got = spark.read.parquet(path).drop("_key_bucket")
+    want = history.scd2_timestamp(raw.where("ver = 0").unionByName(changes), ["customer_id"], "updated_at", cols)
+    assert _set(got.select(*want.columns)) == _set(want)
