@@ -114,13 +114,37 @@ def apply_changes(changes: DataFrame, log_path: str, checkpoint: str,
     return _start(w, trigger).start()
 
 
+def live_rows(latest: DataFrame) -> DataFrame:
+    """Latest-change rows -> current rows: deletes removed, payload typed."""
+    return latest.where(F.col("op") != "d").select(
+        "key", "seq", "ts", "op", F.from_json("payload", PAYLOAD_SCHEMA).getField("k").alias("k"))
+
+
 def current_state(change_log: DataFrame) -> DataFrame:
     """Current row per key: the latest change over all batches, keys whose
     latest change is a delete removed. Payload parsed to typed columns."""
-    latest = latest_changes(change_log.drop("_batch_id") if "_batch_id" in change_log.columns else change_log)
-    live = latest.where(F.col("op") != "d")
-    return live.select("key", "seq", "ts", "op",
-                       F.from_json("payload", PAYLOAD_SCHEMA).getField("k").alias("k"))
+    return live_rows(latest_changes(
+        change_log.drop("_batch_id") if "_batch_id" in change_log.columns else change_log))
+
+
+TAIL_KEYS_BROADCAST_MAX = 5_000_000
+
+
+def merge_tail(base: DataFrame | None, tail: DataFrame) -> DataFrame:
+    """Latest change per key over a snapshot (one row per key) plus newer
+    change batches. When the tail touches few keys (checked), the snapshot
+    is not shuffled: rows of untouched keys pass through a broadcast anti
+    join, and only the touched keys are re-ranked with the tail."""
+    tail_latest = latest_changes(tail)
+    if base is None:
+        return tail_latest
+    keys = tail_latest.select("key")
+    if keys.limit(TAIL_KEYS_BROADCAST_MAX + 1).count() > TAIL_KEYS_BROADCAST_MAX:
+        return latest_changes(base.unionByName(tail_latest))
+    small = F.broadcast(keys)
+    unchanged = base.join(small, "key", "left_anti")
+    touched = latest_changes(base.join(small, "key", "left_semi").unionByName(tail_latest))
+    return unchanged.unionByName(touched)
 
 
 def events_to_changes(events: DataFrame) -> DataFrame:
@@ -273,15 +297,14 @@ def _list_ids(spark: SparkSession, path: str, prefix: str) -> list[int]:
 
 def state_view(spark: SparkSession, root: str) -> DataFrame:
     """Current state under ``root``: the newest snapshot (``snapshot/upto=N``)
-    plus the change-log batches after N. Reading cost follows the live keys
-    and the un-compacted tail, not the whole history."""
+    merged with the change-log batches after N (see ``merge_tail``). Read
+    cost follows the snapshot scan and the un-compacted tail, not the whole
+    history, and the snapshot is not shuffled when the tail is small."""
     snaps = _list_ids(spark, f"{root}/snapshot", "upto")
     upto = snaps[-1] if snaps else -1
-    log = spark.read.parquet(f"{root}/log").where(F.col("_batch_id") > upto).drop("_batch_id")
-    if snaps:
-        base = spark.read.parquet(f"{root}/snapshot/upto={upto}")
-        log = base.unionByName(log)
-    return current_state(log)
+    tail = spark.read.parquet(f"{root}/log").where(F.col("_batch_id") > upto).drop("_batch_id")
+    base = spark.read.parquet(f"{root}/snapshot/upto={upto}") if snaps else None
+    return live_rows(merge_tail(base, tail))
 
 
 def compact(spark: SparkSession, root: str) -> int | None:
@@ -298,9 +321,8 @@ def compact(spark: SparkSession, root: str) -> int | None:
     if snaps and snaps[-1] >= upto:
         return snaps[-1]
     prev = snaps[-1] if snaps else -1
-    log = spark.read.parquet(f"{root}/log").where(
+    tail = spark.read.parquet(f"{root}/log").where(
         (F.col("_batch_id") > prev) & (F.col("_batch_id") <= upto)).drop("_batch_id")
-    if snaps:
-        log = spark.read.parquet(f"{root}/snapshot/upto={prev}").unionByName(log)
-    latest_changes(log).write.mode("overwrite").parquet(f"{root}/snapshot/upto={upto}")
+    base = spark.read.parquet(f"{root}/snapshot/upto={prev}") if snaps else None
+    merge_tail(base, tail).write.mode("overwrite").parquet(f"{root}/snapshot/upto={upto}")
     return upto
