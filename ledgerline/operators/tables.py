@@ -128,8 +128,19 @@ def update_where(df: DataFrame, predicate: Column, assignments: Mapping[str, Any
 def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str],
            order_by: Sequence[Column]) -> DataFrame:
     """Union of target and batch; the first row per key under ``order_by``
-    (e.g. latest updated_at) wins."""
-    return dedup_latest(target.unionByName(batch, allowMissingColumns=True), key, order_by)
+    (e.g. latest updated_at) wins.
+
+    When the batch has few keys (checked bound), target rows of other keys
+    pass through a broadcast anti join untouched and only the rows of the
+    batch's keys are re-ranked, so the target is scanned, not shuffled."""
+    keys = batch.select(*key).distinct()
+    if keys.limit(BROADCAST_KEYS_MAX_ROWS + 1).count() > BROADCAST_KEYS_MAX_ROWS:
+        return dedup_latest(target.unionByName(batch, allowMissingColumns=True), key, order_by)
+    small = F.broadcast(keys)
+    unchanged = target.join(small, list(key), "left_anti")
+    touched = dedup_latest(target.join(small, list(key), "left_semi")
+                           .unionByName(batch, allowMissingColumns=True), key, order_by)
+    return unchanged.unionByName(touched, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------------------
