@@ -59,3 +59,33 @@ def test_scans_are_pruned(spark):
     plan = _plan(spark, "fct_orders")
     cols = re.findall(r"FileScan parquet [^\[]*\[([^\]]*)\]", plan)
     assert len(cols) == 1 and len(cols[0].split(",")) == 4
+
+
+def _ancestors(lines, i):
+    """Lines of the operators above line i in the printed plan tree."""
+    def indent(s):
+        return len(s) - len(s.lstrip(" :+-"))
+    out, cur = [], indent(lines[i])
+    for j in range(i - 1, -1, -1):
+        if indent(lines[j]) < cur:
+            out.append(lines[j])
+            cur = indent(lines[j])
+    return out
+
+
+def test_cdc_state_view_never_shuffles_the_whole_snapshot(spark):
+    """Snapshot rows reach a shuffle only after a broadcast semi/anti join
+    with the tail's keys has cut them down to the touched keys."""
+    lines = _plan(spark, "cdc_apply").splitlines()
+    # snapshot scans are the ones without the log's _batch_id partition column
+    scans = [i for i, ln in enumerate(lines)
+             if "FileScan" in ln and "_batch_id" not in ln.split("]", 1)[0]]
+    assert scans
+    for i in scans:
+        above = _ancestors(lines, i)
+        first_ex = next((k for k, a in enumerate(above) if "Exchange hashpartitioning" in a), None)
+        if first_ex is None:
+            continue
+        probes = [a for a in above[:first_ex]
+                  if "BroadcastHashJoin" in a and ("LeftSemi" in a or "LeftAnti" in a)]
+        assert probes, "snapshot shuffled without a key probe"
