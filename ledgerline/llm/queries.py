@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf
-from . import mixing, near_dup
+from . import mixing, near_dup, toxicity
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op2_minhash_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
