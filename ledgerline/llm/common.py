@@ -111,17 +111,16 @@ def _split_long(raw: bytes) -> list[bytes]:
 
 class Words:
     """Lower-cased (A-Z) words of some texts: ``hashes`` in text order,
-    ``counts`` per text; ``heads`` hashes each word's first ``head`` bytes;
-    ``strings`` holds the words' bytes if asked for."""
+    ``counts`` per text; ``heads`` hashes each word's first ``head`` bytes."""
 
-    def __init__(self, texts: Sequence[str | None], head: int = 0, strings: bool = False):
+    def __init__(self, texts: Sequence[str | None], head: int = 0):
         pieces: list[tuple[int, bytes]] = []
         for i, t in enumerate(texts):
             if t:
                 raw = t.encode("utf-8", "surrogatepass")
                 pieces += [(i, p) for p in (_split_long(raw) if len(raw) > PIECE_BYTES else [raw])]
         self.counts = np.zeros(len(texts), np.int64)
-        hashes, heads, self.strings = [], [], []
+        hashes, heads, self._spans = [], [], []
         for group in _grouped(pieces):
             data = b"\n".join(p for _, p in group) + b"\n"
             low = _LOWER[np.frombuffer(data, np.uint8)]
@@ -146,15 +145,23 @@ class Words:
             bounds = np.cumsum([0] + [len(p) + 1 for _, p in group])
             np.add.at(self.counts, [i for i, _ in group],
                       np.diff(np.searchsorted(starts, bounds)))
-            if strings:
-                lowered = low.tobytes()
-                self.strings += [lowered[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
+            self._spans.append((low, starts, ends))
         none = np.zeros(0, np.uint64)
         self.hashes = np.concatenate(hashes) if hashes else none
         self.heads = np.concatenate(heads) if heads else none
         self.ends = np.cumsum(self.counts)
         self.starts = self.ends - self.counts
 
+    def strings(self, at: np.ndarray) -> list[bytes]:
+        """Bytes of the words numbered ``at`` (ascending)."""
+        out, base = [], 0
+        for low, starts, ends in self._spans:
+            lo, hi = np.searchsorted(at, [base, base + len(starts)])
+            own, raw = at[lo:hi] - base, low.tobytes()
+            out += [raw[s:e] for s, e in zip(starts[own].tolist(), ends[own].tolist())]
+            base += len(starts)
+        return out
+
 
 def _grouped(pieces: list[tuple[int, bytes]]) -> Iterator[list[tuple[int, bytes]]]:
     group, size = [], 0

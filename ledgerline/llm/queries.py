@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf
-from . import mixing, near_dup, toxicity
+from . import lattice_lm, mixing, near_dup, packing, toxicity
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,8 +36,18 @@ def op2_minhash_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op4_hilbert_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"), with_ids=False)
+
+
 @query
 def op7_mix_sources(spark, sf_dir):
     plan = mixing.mix_plan(read(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target",
                        (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op8_lattice_lm(spark, sf_dir):
+    return lattice_lm.score(read(spark, sf_dir, "documents"))

@@ -240,14 +240,14 @@ def passages(docs: DataFrame, m: Model, id_col: str = "doc_id", text_col: str =
         model = Model(**sent.value)
         for b in batches:
             texts = b.column(1).to_pylist()
-            w = Words(texts, head=STEM_BYTES, strings=True)
+            w = Words(texts, head=STEM_BYTES)
             s = token_scores(model, w)
             out = []
             for i, (lo, hi) in enumerate(zip(w.starts.tolist(), w.ends.tolist())):
                 for a, e, v in segments(s[lo:hi]):
                     if model.rate * v - model.log_k - np.log(hi - lo) > 0:
                         out.append((b.column(0)[i].as_py(), a, e - a, v,
-                                    b" ".join(w.strings[lo + a:lo + e]).decode("utf-8", "replace")))
+                                    b" ".join(w.strings(np.arange(lo + a, lo + e))).decode("utf-8", "replace")))
             cols = list(zip(*out)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(),
