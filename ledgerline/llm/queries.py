@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf
-from . import lattice_lm, mixing, near_dup, packing, toxicity
+from . import lattice_lm, lz_fingerprint, mixing, near_dup, packing, toxicity, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op4_hilbert_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), with_ids=False)
 
 
+@query
+def op5_lz_fingerprint(spark, sf_dir):
+    return lz_fingerprint.edited(read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_mix_sources(spark, sf_dir):
     plan = mixing.mix_plan(read(spark, sf_dir, "documents"))
@@ -51,3 +56,10 @@ def op7_mix_sources(spark, sf_dir):
 @query
 def op8_lattice_lm(spark, sf_dir):
     return lattice_lm.score(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_warc_bundles(spark, sf_dir):
+    index = warc.write(read(spark, sf_dir, "pages"))
+    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                   "refers_to")
