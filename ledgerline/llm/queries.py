@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf
-from . import lattice_lm, lz_fingerprint, mixing, near_dup, packing, toxicity, warc
+from . import (lattice_lm, lz_fingerprint, mixing, near_dup, packing, secret_scan, span_dedup,
+               toxicity, warc)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,11 @@ def op2_minhash_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query
+def op3_sentence_spans(spark, sf_dir):
+    return span_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 @query
 def op4_hilbert_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), with_ids=False)
@@ -46,6 +52,11 @@ def op5_lz_fingerprint(spark, sf_dir):
     return lz_fingerprint.edited(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_secret_ownership(spark, sf_dir):
+    return secret_scan.report(read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_mix_sources(spark, sf_dir):
     plan = mixing.mix_plan(read(spark, sf_dir, "documents"))
