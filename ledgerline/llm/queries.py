@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf
-from . import (lattice_lm, lz_fingerprint, mixing, near_dup, packing, secret_scan, span_dedup,
+from . import (ann, lattice_lm, lz_fingerprint, mixing, near_dup, packing, secret_scan, span_dedup,
                toxicity, warc)
 from .common import read
 
@@ -74,3 +74,15 @@ def op9_warc_bundles(spark, sf_dir):
     index = warc.write(read(spark, sf_dir, "pages"))
     return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type",
                                    "refers_to")
+
+
+@query
+def op10_prefix_forest(spark, sf_dir):
+    return ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
