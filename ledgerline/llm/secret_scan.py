@@ -135,8 +135,9 @@ def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source",
            repo_col: str = "doc_id", mark: str = MARK, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """``docs`` with every live-looking finding replaced by ``mark``; copied
     examples and all other text stay, and so does every row."""
-    found = scan(docs, text_col, owner_col, repo_col, {c: c for c in docs.columns}, example_owners)
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    found = scan(docs, text_col, owner_col, repo_col, {o: c for c, o in names.items()}, example_owners)
+    text = F.coalesce(F.col(names[text_col]), F.lit(""))
     live = F.filter("found", lambda x: x["live"])
     # findings may overlap across kinds: a span begins where the last one ended
     done = F.aggregate(
@@ -147,5 +148,5 @@ def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source",
                 a["out"], text.substr(a["at"].cast("int") + 1, (x["start"] - a["at"]).cast("int")),
                 F.lit(mark))).otherwise(a["out"]).alias("out")),
         lambda a: F.concat(a["out"], text.substr(a["at"].cast("int") + 1, F.char_length(text))))
-    new = F.when(F.size(live) > 0, done).otherwise(F.col(text_col))
-    return found.select(*[(new if c == text_col else F.col(c)).alias(c) for c in docs.columns])
+    new = F.when(F.size(live) > 0, done).otherwise(F.col(names[text_col]))
+    return found.select(*[(new if c == text_col else F.col(o)).alias(c) for c, o in names.items()])
