@@ -13,7 +13,11 @@ copies, however large, cost one aggregate. Stars alone would lose a link
 between two members that are both unlike the centre; for buckets whose
 members are not yet connected, the pairs across components are confirmed too.
 There the Jaccard distance to the centre, known exactly, is a metric bound:
-|d(c,x) - d(c,y)| > 1 - threshold proves that x and y are no link.
+|d(c,x) - d(c,y)| > 1 - threshold proves that x and y are no link. Pairs of
+larger sets must also agree in a second sketch, two bits from each of all
+bins, up to 4.5 standard deviations below what a link at the threshold gives;
+this loses fewer links than the bands do (3 in a million at the threshold).
+A pair is proposed only by the first band that it shares.
 
 Defined cases: null or blank texts have no shingle, are their own component
 and are kept; rows that share a doc_id are one vertex; a null doc_id cannot
@@ -34,8 +38,10 @@ from .common import Words, as_int64, cut, mix64, small_batches
 from .graph import components
 
 SHINGLE = 5
-BINS = 128
-ROWS = 4                     # bins per band: 32 bands
+BINS = 1024
+BANDS = 32
+ROWS = 4                     # bins per band; the bands use the first BANDS * ROWS bins
+SKETCHED = 64                # sets of at least so many shingles are held to the sketch
 MATCH = (75, 100)            # intersection : union, at least
 PROBES = 512
 
@@ -89,36 +95,45 @@ def one_permutation(values: np.ndarray, bins: int, probe: np.ndarray) -> np.ndar
     return sig
 
 
-def features(docs: DataFrame, id_col: str, text_col: str, bins: int, rows: int,
+def features(docs: DataFrame, id_col: str, text_col: str, bins: int, bands_: int, rows: int,
              k: int) -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, bands): set_a and set_b, with
-    n_shingles, identify the set (128 bits of order-free sums)."""
+    """(doc_id, n_shingles, set_a, set_b, bands, bits): set_a and set_b, with
+    n_shingles, identify the set (128 bits of order-free sums); bits holds
+    two bits of each bin."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probe = _probe_table(bins, PROBES)
-        coef = mix64(np.arange(1, bins + 1, dtype=np.uint64)) | _U(1)
-        salt = mix64(np.arange(1, bins // rows + 1, dtype=np.uint64) + _U(77))
+        used = bands_ * rows
+        coef = mix64(np.arange(1, used + 1, dtype=np.uint64)) | _U(1)
+        salt = mix64(np.arange(1, bands_ + 1, dtype=np.uint64) + _U(77))
+        place = mix64(np.arange(bins, dtype=np.uint64) + _U(991))     # bits differ from bin to bin
         for b in batches:
             sets = shingle_sets(b.column(1).to_pylist(), k)
-            bands, a, c = [], [], []
+            bands, a, c, bits = [], [], [], []
             with np.errstate(over="ignore"):
                 for s in sets:
                     a.append(s.sum(dtype=np.uint64))
                     c.append(mix64(s).sum(dtype=np.uint64))
                     if len(s):
-                        sig = one_permutation(s, bins, probe) * coef
-                        bands.append(mix64(sig.reshape(-1, rows).sum(1, dtype=np.uint64) ^ salt))
+                        sig = one_permutation(s, bins, probe)
+                        part = (sig[:used] * coef).reshape(-1, rows)
+                        bands.append(mix64(part.sum(1, dtype=np.uint64) ^ salt))
+                        two = (mix64(sig ^ place) >> _U(62)).astype(np.uint8)
+                        bits.append(np.packbits(np.stack([two & 1, two >> 1], 1).ravel()).view(np.int64))
             flat = np.concatenate(bands) if bands else np.zeros(0, np.uint64)
-            width = np.array([bins // rows * bool(len(s)) for s in sets])
+            flat_bits = np.concatenate(bits) if bits else np.zeros(0, np.int64)
+            full = np.array([bool(len(s)) for s in sets], np.int64)
+            at = lambda n: pa.array(np.concatenate([[0], np.cumsum(full * n)]), pa.int32())
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(as_int64(np.array(a, np.uint64))),
                 pa.array(as_int64(np.array(c, np.uint64))),
-                pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]),
-                                                  pa.int32()), pa.array(as_int64(flat)))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+                pa.ListArray.from_arrays(at(bands_), pa.array(as_int64(flat))),
+                pa.ListArray.from_arrays(at(bins // 32), pa.array(flat_bits))],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "bits"])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
+        run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
+             "bits array<long>")
 
 
 def _with_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -152,18 +167,18 @@ def _confirm(pairs: DataFrame, sets: DataFrame, match: tuple[int, int]) -> DataF
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE, bins: int = BINS, rows: int = ROWS,
+                    shingle: int = SHINGLE, bins: int = BINS, bands: int = BANDS, rows: int = ROWS,
                     match: tuple[int, int] = MATCH) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
     small_batches(docs.sparkSession)
-    f = cut(features(docs, id_col, text_col, bins, rows, shingle), "nd-features")
+    f = cut(features(docs, id_col, text_col, bins, bands, rows, shingle), "nd-features")
     key = ["set_a", "set_b", "n_shingles"]
     has = f.where("n_shingles > 0 and doc_id is not null")
     classes = has.groupBy(*key).agg(F.min("doc_id").alias("rep"))
     # bands of the classes' representatives only
     reps = has.join(classes.withColumnRenamed("rep", "doc_id").hint("merge"), [*key, "doc_id"],
                     "left_semi")
-    rows_ = reps.select(F.col("doc_id").alias("rep"), "n_shingles", F.explode("bands").alias("key"))
+    rows_ = reps.select(F.col("doc_id").alias("rep"), "n_shingles", F.posexplode("bands").alias("band", "key"))
     shared = rows_.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("_last")) \
         .where("centre <> _last").drop("_last")
     members = cut(rows_.join(shared.hint("merge"), "key"), "nd-buckets")
@@ -182,19 +197,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = (members.join(near.hint("merge"), ["centre", "rep"], "left")
              .join(label.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
              .withColumn("label", F.coalesce("label", "rep"))
-             .select("key", "rep", "n_shingles", "label", F.coalesce("far", F.lit(0.0)).alias("far"),
+             .select("key", "band", "rep", "n_shingles", "label", F.coalesce("far", F.lit(0.0)).alias("far"),
                      (F.col("rep") == F.col("centre")).alias("is_centre")))
     named = cut(named, "nd-open")
     open_ = named.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")) \
         .where("_lo <> _hi").select("key")
     rest = named.where("not is_centre").join(open_.hint("merge"), "key", "left_semi")
+    words = bins // 32
+    sketch = reps.select(F.col("doc_id").alias("rep"), "bands",
+                         *[F.col("bits")[i].alias(f"b{i}") for i in range(words)])
+    rest = rest.join(sketch.hint("merge"), "rep")
     x, y = rest.alias("x"), rest.alias("y")
-    slack = 1.0 - match[0] / match[1] + 1e-9
+    least = match[0] / match[1]
+    slack = 1.0 - least + 1e-9
+    # bits in which a link at the threshold differs: mean, and 4.5 deviations
+    spread = (least * (1 - least) / 4 + (1 - least) / 8) / bins
+    most = 2 * bins * ((1 - least) / 2 + 4.5 * spread ** 0.5)
+    apart = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(words)),
+                F.lit(0))
+    seen = F.arrays_overlap(F.slice("x.bands", F.lit(1), F.col("x.band")),
+                            F.slice("y.bands", F.lit(1), F.col("x.band")))
     across = (x.join(y.hint("merge"), "key")
               .where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
                      & (F.abs(F.col("x.far") - F.col("y.far")) <= slack)
                      & (F.least("x.n_shingles", "y.n_shingles") * match[1]
-                        >= F.greatest("x.n_shingles", "y.n_shingles") * match[0]))
+                        >= F.greatest("x.n_shingles", "y.n_shingles") * match[0])
+                     & ((F.least("x.n_shingles", "y.n_shingles") < SKETCHED) | (apart <= most))
+                     & ~seen)
               .select(F.col("x.rep").alias("u"), F.col("y.rep").alias("v")).distinct()
               .join(first.select("u", "v").hint("merge"), ["u", "v"], "left_anti"))
     second = _confirm(across, sets, match).where("linked").select("u", "v")
@@ -203,8 +232,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     moved = label.where("node <> label")
     named_class = classes.join(moved.withColumnRenamed("node", "rep").hint("merge"), "rep", "left") \
         .select(*key, F.coalesce("label", "rep").alias("component_id"))
-    linked = has.drop("bands").join(named_class.hint("merge"), key)
-    rest = f.where("n_shingles = 0 or doc_id is null").drop("bands") \
+    linked = has.drop("bands", "bits").join(named_class.hint("merge"), key)
+    rest = f.where("n_shingles = 0 or doc_id is null").drop("bands", "bits") \
         .withColumn("component_id", F.col("doc_id"))
     return linked.select(*rest.columns).unionByName(rest).select(
         "doc_id", "n_shingles", "component_id",
