@@ -32,7 +32,7 @@ LENGTH = 2048
 END_ID = 1
 DIMS = 4
 BITS = 10
-CACHE = 300_000              # words a worker remembers; others are encoded again
+CACHE = 300_000              # words in each of a worker's two generations of remembered words
 PUNCT = set("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
@@ -56,6 +56,18 @@ class Encoder:
         for t, i in self.tok.get_vocab(with_added_tokens=False).items():
             self.last[i] = t.endswith("</w>")
         self.cache: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}          # the generation before; words still in use move over
+
+    @classmethod
+    def of_worker(cls, path: str) -> Encoder:
+        """The worker process's encoder for this file: kept between its tasks,
+        on the tokenizer's module, which all of them share."""
+        import tokenizers
+
+        kept = tokenizers.__dict__.setdefault("_word_encoders", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -75,17 +87,22 @@ class Encoder:
                     self.cache[w] = self._ids(w)
 
     def learn(self, chunks: set[str]) -> None:
-        cache, runs, tails, rest = self.cache, set(), [], []
+        cache, old, runs, tails, rest = self.cache, self.old, set(), [], []
+
+        def known(c: str) -> bool:
+            if c not in cache and c in old:
+                cache[c] = old[c]
+            return c in cache
         for c in chunks:
-            if c in cache:
+            if known(c):
                 continue
             if c.isalpha():
                 runs.add(c)
             elif len(c) > 1 and c[-1] in PUNCT and c[:-1].isalpha():
                 tails.append(c)
-                if c[:-1] not in cache:
+                if not known(c[:-1]):
                     runs.add(c[:-1])
-                if c[-1] not in cache:
+                if not known(c[-1]):
                     cache[c[-1]] = self._ids(c[-1])
             else:
                 rest.append(c)
@@ -99,8 +116,8 @@ class Encoder:
         docs = [[c.lower() if c.isascii() else c
                  for c in (t or "").replace("\n", " ").split(" ")] for t in texts]
         seen = set().union(*docs) if docs else set()
-        if len(self.cache) + len(seen) > CACHE:
-            self.cache = {"": b""} | {c: self.cache[c] for c in seen if c in self.cache}
+        if len(self.cache) > CACHE:
+            self.cache, self.old = {"": b""}, self.cache
         self.learn(seen)
         get = self.cache.__getitem__
         return [b"".join(map(get, d)) + end for d in docs]
@@ -144,7 +161,7 @@ def tokenized(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: in
               dims: int) -> DataFrame:
     """(doc_id, n, ids, v array<float>) per row: ids as little-endian bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(path)
+        enc = Encoder.of_worker(path)
         table = directions(max(enc.size, end_id + 1), dims)
         end = np.array([end_id], enc.dtype).tobytes()
         width = enc.dtype.itemsize
