@@ -86,3 +86,24 @@ def pipeline(spark, sf_dir):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+ORACLE["op2_minhash_near_dup"] = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE
+             WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+             WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+           FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT u, v FROM common JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v
+         WHERE 100 * c >= 75 * (x.n + y.n - c)),
+ways AS (SELECT u, v FROM link UNION ALL SELECT v, u FROM link),
+reach AS (SELECT doc_id, doc_id AS r FROM documents
+          UNION SELECT reach.doc_id, ways.v FROM reach JOIN ways ON ways.u = reach.r)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.r) AS component_id,
+       r.doc_id = min(r.r) AS kept
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
