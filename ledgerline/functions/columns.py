@@ -3,6 +3,9 @@ so they stay inside whole-stage codegen)."""
 
 from __future__ import annotations
 
+import datetime as dt
+from typing import Any
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +14,15 @@ SURROGATE_NULL = "__null__"  # stands in for NULL inside surrogate keys
 UUID_PATTERN = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 
+def bound_literal(value: Any) -> Column:
+    """Literal of a watermark or cursor. A naive datetime read from a
+    zone-less column goes back as that same wall-clock value: ``F.lit`` alone
+    would shift it by the driver's own time zone."""
+    if isinstance(value, dt.datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

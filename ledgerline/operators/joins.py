@@ -16,3 +16,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def by_key(left: DataFrame, keys: DataFrame, key: list[str], how: str,
+           small: bool = False) -> DataFrame:
+    """Semi or anti join on ``key`` in which a NULL key equals a NULL key
+    (still an equi-join: hash and sort-merge joins apply). ``small`` broadcasts
+    the keys; the caller has checked their number."""
+    right = keys.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)])
+    on = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(key)]
+    return left.join(F.broadcast(right) if small else right, on, how)

@@ -82,7 +82,11 @@ def _split(df, key, order_col, lag_cols, counts, hot_rows, pieces):
         bounds = bounds.withColumn(f"_prev_piece_last_{c}", F.lag(f"_plast_{c}").over(wp))
     bounds = bounds.drop("_pfirst", *[f"_plast_{c}" for c in lag_cols])
 
-    j = inner.join(bounds, [*key, "_piece"])
+    # a NULL key is a key like others: its rows must meet their piece's bounds
+    named = bounds.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*key, "_piece"])],
+                          *[c for c in bounds.columns if c not in (*key, "_piece")])
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*key, "_piece"])]
+    j = inner.join(named, on).drop(*[f"_k{i}" for i in range(len(key) + 1)])
     out = j.withColumn("_next", F.coalesce(F.col("_next_in"), F.col("_next_piece_first"))) \
            .withColumn("_is_first", F.col("_first_in") & ~F.col("_has_prev_piece"))
     for c in lag_cols:

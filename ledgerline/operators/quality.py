@@ -96,11 +96,12 @@ def unique_failures(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame
         key_text(keys).alias("key_value"), F.col("n_rows").cast("bigint").alias("failing_rows"))
 
 
-def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child foreign keys (not NULL) with no parent row, with the number of
-    child rows carrying each. The child is first collapsed to one row per
+def orphan_keys(child: DataFrame, fk: str, parent: DataFrame, pk: str,
+                count_null: bool = False) -> DataFrame:
+    """Child foreign keys with no parent row, with the number of child rows
+    carrying each; a NULL key counts as one only with ``count_null``. The child is first collapsed to one row per
     key, so the anti join shuffles distinct keys, not child rows."""
-    keys = (child.where(F.col(fk).isNotNull())
+    keys = ((child if count_null else child.where(F.col(fk).isNotNull()))
                  .groupBy(F.col(fk).alias("_fk")).agg(F.count(F.lit(1)).alias("n_rows")))
     parents = parent.select(F.col(pk).alias("_pk"))
     return keys.join(parents, keys["_fk"] == parents["_pk"], "left_anti")

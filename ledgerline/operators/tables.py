@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from ..functions.columns import col_
 from ..session import work_dir
 from .dedup import dedup_latest
+from .joins import by_key
 
 MAX_TOUCHED_PARTITIONS = 100_000
 
@@ -130,15 +131,14 @@ def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str],
     """Union of target and batch; the first row per key under ``order_by``
     (e.g. latest updated_at) wins.
 
-    When the batch has few keys (checked bound), target rows of other keys
-    pass through a broadcast anti join untouched and only the rows of the
-    batch's keys are re-ranked, so the target is scanned, not shuffled."""
+    Target rows of other keys pass through an anti join untouched and only
+    the rows of the batch's keys are re-ranked; NULL keys are one key. When
+    the batch has few keys (checked bound) these joins broadcast them, so the
+    target is scanned, not shuffled; the bound changes the plan only."""
     keys = batch.select(*key).distinct()
-    if keys.limit(BROADCAST_KEYS_MAX_ROWS + 1).count() > BROADCAST_KEYS_MAX_ROWS:
-        return dedup_latest(target.unionByName(batch, allowMissingColumns=True), key, order_by)
-    small = F.broadcast(keys)
-    unchanged = target.join(small, list(key), "left_anti")
-    touched = dedup_latest(target.join(small, list(key), "left_semi")
+    small = keys.limit(BROADCAST_KEYS_MAX_ROWS + 1).count() <= BROADCAST_KEYS_MAX_ROWS
+    unchanged = by_key(target, keys, list(key), "left_anti", small)
+    touched = dedup_latest(by_key(target, keys, list(key), "left_semi", small)
                            .unionByName(batch, allowMissingColumns=True), key, order_by)
     return unchanged.unionByName(touched, allowMissingColumns=True)
 
@@ -182,12 +182,14 @@ def partition_filter(partition_by: Sequence[str], values: list[tuple]) -> Column
     if not values:
         return F.lit(False)
     if len(partition_by) == 1:
-        return F.col(partition_by[0]).isin([v[0] for v in values])
+        c = F.col(partition_by[0])
+        found = c.isin([v[0] for v in values if v[0] is not None])
+        return F.coalesce(found, F.lit(False)) | c.isNull() if (None,) in values else found
     cond = None
     for v in values:
         term = None
         for c, x in zip(partition_by, v):
-            t = F.col(c) == F.lit(x)
+            t = F.col(c).eqNullSafe(F.lit(x))
             term = t if term is None else term & t
         cond = term if cond is None else cond | term
     return cond

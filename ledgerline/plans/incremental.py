@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import bound_literal
 from ..session import path_exists
 from ..operators.tables import partition_filter, replace_partitions, upsert_table, write_table
 from . import marts, staging
@@ -33,7 +34,7 @@ def run_incremental(spark: SparkSession, path: str, raw_orders: DataFrame,
         write_table(_fact_rows(raw_orders, raw_customers), path, PARTITION)
         return "full"
     cursor = spark.read.parquet(path).agg(F.max("_extracted_at")).first()[0]
-    new_raw = raw_orders.where(F.col("_extracted_at") > F.lit(cursor)) if cursor is not None else raw_orders
+    new_raw = raw_orders.where(F.col("_extracted_at") > bound_literal(cursor)) if cursor is not None else raw_orders
     batch = _fact_rows(new_raw, raw_customers)
     upsert_table(spark, path, batch, ["order_id"],
                  [F.col("updated_at").desc_nulls_first(), F.col("_extracted_at").desc_nulls_last()],

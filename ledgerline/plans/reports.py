@@ -23,13 +23,14 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Labelled COUNT(*) per table, UNION ALL. Each count is a global
     aggregate with per-task partial counts."""
     return _union([df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("tbl"), "rows")
-                   for name, df in tables.items()])
+                   for name, df in tables.items()]).orderBy("tbl")
 
 
 def orders_by_status(orders: DataFrame) -> DataFrame:
     return orders.groupBy("status").agg(
         F.count(F.lit(1)).alias("order_count"),
-        F.round(F.sum("order_total"), 2).cast("decimal(38,2)").alias("total_revenue"))
+        F.round(F.sum("order_total"), 2).cast("decimal(38,2)").alias("total_revenue")) \
+        .orderBy(F.desc("order_count"), "status")
 
 
 def revenue_by_customer(customers: DataFrame, orders: DataFrame) -> DataFrame:
@@ -50,7 +51,8 @@ def revenue_by_customer(customers: DataFrame, orders: DataFrame) -> DataFrame:
     joined = customers.select("customer_id", "full_name", "segment").join(per_customer, "customer_id")
     return joined.groupBy("full_name", "segment").agg(
         F.sum("_n").cast("bigint").alias("orders"),
-        F.round(F.sum("_v"), 2).cast("decimal(38,2)").alias("lifetime_value"))
+        F.round(F.sum("_v"), 2).cast("decimal(38,2)").alias("lifetime_value")) \
+        .orderBy(F.desc("lifetime_value"), "full_name", "segment")
 
 
 def latest_update(tables: dict[str, DataFrame]) -> DataFrame:
@@ -59,7 +61,7 @@ def latest_update(tables: dict[str, DataFrame]) -> DataFrame:
     reduced to one row before anything is combined."""
     return _union([df.agg(F.max("updated_at").alias("latest_update"))
                      .select(F.lit(name).alias("table_name"), "latest_update")
-                   for name, df in tables.items()])
+                   for name, df in tables.items()]).orderBy("table_name")
 
 
 def changed_since(tables: dict[str, DataFrame], as_of: str, lookback: str = "1 day") -> DataFrame:
@@ -77,9 +79,9 @@ def changed_since(tables: dict[str, DataFrame], as_of: str, lookback: str = "1 d
 
 def fk_orphans(checks: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
     """check_name -> (child, fk, parent, pk): number of child rows whose
-    key has no parent row."""
+    key has no parent row; a NULL key has none."""
     return _union([
-        orphan_keys(child, fk, parent, pk)
+        orphan_keys(child, fk, parent, pk, count_null=True)
         .agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("violations"))
         .select(F.lit(name).alias("check_name"), "violations")
         for name, (child, fk, parent, pk) in checks.items()])

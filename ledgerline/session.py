@@ -61,13 +61,16 @@ def work_dir(spark: SparkSession) -> str:
     """Shared scratch root for written tables, stream checkpoints and
     lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we create one.
+    Only a local session that has none (tests) gets one of its own; on a
+    cluster a machine-local folder would be lost to the other machines.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
             root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -17,6 +17,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import bound_literal
+
 
 @dataclass(frozen=True)
 class SourceSpec:
@@ -81,7 +83,7 @@ def stamp(df: DataFrame, extracted_at: Any = None, col: str = "_extracted_at") -
     """Add the load timestamp: ``current_timestamp()`` (one value per
     query) or a fixed value for reproducible runs."""
     v: Column = F.current_timestamp().cast("timestamp_ntz") if extracted_at is None \
-        else F.lit(extracted_at).cast("timestamp_ntz")
+        else bound_literal(extracted_at).cast("timestamp_ntz")
     return df.withColumn(col, v)
 
 
@@ -91,7 +93,7 @@ def extract(source: DataFrame, spec: SourceSpec, watermark: Any = None,
     df = source
     if watermark is not None:
         c = F.col(spec.incremental_col)
-        bound = F.lit(watermark)
+        bound = bound_literal(watermark)
         df = df.where(c >= bound if spec.mode == "ge" else c > bound)
     return stamp(df, extracted_at, spec.loaded_at_col)
 
@@ -120,7 +122,8 @@ def after_position(col: str, key: str, wm: Any, wm_key: Any) -> Column:
     """Lexicographic ``(col, key) > (wm, wm_key)``, written with plain
     comparisons so it is pushed to the source as an OR of ranges."""
     c, k = F.col(col), F.col(key)
-    return (c > F.lit(wm)) | ((c == F.lit(wm)) & (k > F.lit(wm_key)))
+    at = bound_literal(wm)
+    return (c > at) | ((c == at) & (k > F.lit(wm_key)))
 
 
 def extract_after(source: DataFrame, spec: SourceSpec, watermark: Any, watermark_key: Any,

@@ -30,7 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.columns import bound_literal
 from ..operators.dedup import dedup_latest
+from ..operators.joins import by_key
 from ..session import list_partition_values, path_exists
 from ..sources.testdata import to_change_envelope
 from .cdc import PAYLOAD_SCHEMA
@@ -132,18 +134,17 @@ TAIL_KEYS_BROADCAST_MAX = 5_000_000
 
 def merge_tail(base: DataFrame | None, tail: DataFrame) -> DataFrame:
     """Latest change per key over a snapshot (one row per key) plus newer
-    change batches. When the tail touches few keys (checked), the snapshot
-    is not shuffled: rows of untouched keys pass through a broadcast anti
-    join, and only the touched keys are re-ranked with the tail."""
+    change batches: rows of untouched keys pass through an anti join, and only
+    the touched keys are re-ranked with the tail. When the tail touches few
+    keys (checked) these joins broadcast them and the snapshot is not
+    shuffled; the bound changes the plan only. NULL keys are one key."""
     tail_latest = latest_changes(tail)
     if base is None:
         return tail_latest
     keys = tail_latest.select("key")
-    if keys.limit(TAIL_KEYS_BROADCAST_MAX + 1).count() > TAIL_KEYS_BROADCAST_MAX:
-        return latest_changes(base.unionByName(tail_latest))
-    small = F.broadcast(keys)
-    unchanged = base.join(small, "key", "left_anti")
-    touched = latest_changes(base.join(small, "key", "left_semi").unionByName(tail_latest))
+    small = keys.limit(TAIL_KEYS_BROADCAST_MAX + 1).count() <= TAIL_KEYS_BROADCAST_MAX
+    unchanged = by_key(base, keys, ["key"], "left_anti", small)
+    touched = latest_changes(by_key(base, keys, ["key"], "left_semi", small).unionByName(tail_latest))
     return unchanged.unionByName(touched)
 
 
@@ -264,7 +265,7 @@ def pipeline_lag(events: DataFrame, committed: DataFrame, ts_col: str = "ts",
     t = F.col(ts_col)
     aggs = []
     for i, r in enumerate(rows):
-        newer = t > F.lit(r.committed_ts)
+        newer = t > bound_literal(r.committed_ts)
         aggs += [F.count_if(newer).alias(f"n{i}"), F.max(F.when(newer, t)).alias(f"m{i}")]
     wide = events.agg(*aggs)
     stack = ", ".join(f"{i}, n{i}, m{i}" for i in range(len(rows)))
@@ -295,12 +296,19 @@ def _list_ids(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(v) for v in list_partition_values(spark, path, prefix))
 
 
+def _snapshots(spark: SparkSession, root: str) -> list[int]:
+    """Ids of committed snapshots; a directory without its commit mark is the
+    rest of an interrupted compaction, which the next one overwrites."""
+    return [n for n in _list_ids(spark, f"{root}/snapshot", "upto")
+            if path_exists(spark, f"{root}/snapshot/upto={n}/_SUCCESS")]
+
+
 def state_view(spark: SparkSession, root: str) -> DataFrame:
     """Current state under ``root``: the newest snapshot (``snapshot/upto=N``)
     merged with the change-log batches after N (see ``merge_tail``). Read
     cost follows the snapshot scan and the un-compacted tail, not the whole
     history, and the snapshot is not shuffled when the tail is small."""
-    snaps = _list_ids(spark, f"{root}/snapshot", "upto")
+    snaps = _snapshots(spark, root)
     upto = snaps[-1] if snaps else -1
     tail = spark.read.parquet(f"{root}/log").where(F.col("_batch_id") > upto).drop("_batch_id")
     base = spark.read.parquet(f"{root}/snapshot/upto={upto}") if snaps else None
@@ -316,7 +324,7 @@ def compact(spark: SparkSession, root: str) -> int | None:
     ids = _list_ids(spark, f"{root}/log", "_batch_id")
     if not ids:
         return None
-    snaps = _list_ids(spark, f"{root}/snapshot", "upto")
+    snaps = _snapshots(spark, root)
     upto = ids[-1]
     if snaps and snaps[-1] >= upto:
         return snaps[-1]
