@@ -113,8 +113,9 @@ class Encoder:
             cache[c] = self._ids(c)
 
     def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
-        docs = [[c.lower() if c.isascii() else c
-                 for c in (t or "").replace("\n", " ").split(" ")] for t in texts]
+        # the tokenizer lower-cases; doing so first shares cache entries, and is the same for ASCII
+        docs = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ")
+                for t in (t or "" for t in texts)]
         seen = set().union(*docs) if docs else set()
         if len(self.cache) > CACHE:
             self.cache, self.old = {"": b""}, self.cache
