@@ -33,7 +33,7 @@ END_ID = 1
 DIMS = 4
 BITS = 10
 CACHE = 300_000              # words in each of a worker's two generations of remembered words
-PUNCT = set("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+PUNCT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
@@ -42,7 +42,9 @@ class Encoder:
     The tokenizer drops white space and never merges across it, so a text's
     ids are those of its chunks between spaces and newlines, in order. Chunks
     new to the cache are encoded by the tokenizer itself: letter runs many at
-    once, told apart by the end-of-word mark, all else one at a time.
+    once, told apart by the end-of-word mark, runs of punctuation after them
+    once each (the tokenizer parts letters from what follows), all else one at
+    a time.
     """
 
     def __init__(self, path: str):
@@ -96,26 +98,26 @@ class Encoder:
         for c in chunks:
             if known(c):
                 continue
-            if c.isalpha():
+            head = c.rstrip(PUNCT)
+            if head == c and c.isalpha():
                 runs.add(c)
-            elif len(c) > 1 and c[-1] in PUNCT and c[:-1].isalpha():
-                tails.append(c)
-                if not known(c[:-1]):
-                    runs.add(c[:-1])
-                if not known(c[-1]):
-                    cache[c[-1]] = self._ids(c[-1])
+            elif head.isalpha():
+                tail = c[len(head):]
+                tails.append((c, head, tail))
+                if not known(head):
+                    runs.add(head)
+                if not known(tail):
+                    cache[tail] = self._ids(tail)
             else:
                 rest.append(c)
         self._runs(list(runs))
-        for c in tails:
-            cache[c] = cache[c[:-1]] + cache[c[-1]]
+        for c, head, tail in tails:
+            cache[c] = cache[head] + cache[tail]
         for c in rest:
             cache[c] = self._ids(c)
 
     def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
-        # the tokenizer lower-cases; doing so first shares cache entries, and is the same for ASCII
-        docs = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ")
-                for t in (t or "" for t in texts)]
+        docs = [_lower(t or "").replace("\n", " ").split(" ") for t in texts]
         seen = set().union(*docs) if docs else set()
         if len(self.cache) > CACHE:
             self.cache, self.old = {"": b""}, self.cache
@@ -124,6 +126,16 @@ class Encoder:
         return [b"".join(map(get, d)) + end for d in docs]
 
 
+def _lower(text: str) -> str:
+    """The tokenizer lower-cases; doing so first shares cache entries, and is
+    the same where all characters are Latin-1."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 def directions(size: int, dims: int) -> np.ndarray:
     return np.random.Generator(np.random.Philox(20240611)).standard_normal(
         (size, dims), np.float32)
