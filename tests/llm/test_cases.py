@@ -170,7 +170,8 @@ def test_encoder_equals_the_tokenizer():
 
     enc = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
     texts = ["Hello, WORLD! it's O'Neill's 'tis 12ab", "İstanbul ΣΑΣ   x\x1cy ́a é", "<|endoftext|> a<|startoftext|>b",
-             "a\r\nb\tc  d\n\n e", "", None, "日本語 text ﬁne ½", "≠ <. x's. don't, 're"]
+             "a\r\nb\tc  d\n\n e", "", None, "日本語 text ﬁne ½", "≠ <. x's. don't, 're",
+             "NAÏVE*** café!!' ªº. µß,*** l'été *** a''' a'''s 1.2.3.4... x²!!", "a\u0085b\xa0c.. ÀÉÎ\u0301. ᾳΣ!!"]
     for t, ids in zip(texts, enc.encode(texts, b"")):
         assert np.frombuffer(ids, enc.dtype).tolist() == enc.tok.encode(t or "", add_special_tokens=False).ids
 
