@@ -21,6 +21,7 @@ from .common import WORD, cut, prefix_sums
 
 SEED = 20240607
 MAX_REPEAT = 3.0
+BROADCAST_BYTES = 8 << 20    # of the sources' table, at most
 
 
 def n_words(text: Column) -> Column:
@@ -65,9 +66,10 @@ def mix_plan(docs: DataFrame, text_col: str = "text", source_col: str = "source"
              max_repeat: float = MAX_REPEAT, seed: int = SEED, carry: Sequence[str] = ()) -> DataFrame:
     """(id, size, source_size, target, copies, carry...) per row of ``docs``.
 
-    One scan of the texts; only narrow rows are shuffled. A hot source is
-    pre-aggregated before its shuffle, and the join back to the sources'
-    table is a sort-merge join whose hot partitions AQE splits.
+    A hot source is pre-aggregated before its shuffle. The sources' table is
+    broadcast if its measured bytes are within BROADCAST_BYTES, so that no row
+    of ``docs`` is shuffled; beyond that the same join is a sort-merge join
+    whose hot partitions AQE splits.
     """
     draw = F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col), F.col(text_col))
     rows = docs.select(
@@ -81,9 +83,11 @@ def mix_plan(docs: DataFrame, text_col: str = "text", source_col: str = "source"
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")),
                              weights, max_repeat)
     t = targets.select(F.col("source").alias("_s"), "source_size", "target")
+    size = t.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("_s"), F.lit(0)) + 64), F.lit(0))).first()[0]
+    t = F.broadcast(t) if size <= BROADCAST_BYTES else t.hint("merge")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(rate)
-    return (rows.join(t.hint("merge"), F.col("source").eqNullSafe(F.col("_s")))
+    return (rows.join(t, F.col("source").eqNullSafe(F.col("_s")))
             .select(F.col("_id").alias(id_col), "size", "source_size", "target",
                     (whole + (F.col("_u") < rate - whole).cast("long")).alias("copies"),
                     *[f"_c_{c}" for c in carry]))

@@ -7,7 +7,7 @@ single owner carries looks like a live credential. Ownership decides which of
 the generic candidates (long mixed tokens) are added to the base findings, and
 which findings are redacted.
 
-Only found matches are shuffled, never texts. Values are pre-aggregated by
+Only found matches are shuffled, and for redaction the rows that have any. Values are pre-aggregated by
 (value, owner, repository) before their shuffles, so a value copied into a
 third of all rows is a few rows per task.
 
@@ -108,9 +108,12 @@ def scan(docs: DataFrame, text_col: str = "text", owner_col: str = "source", rep
     named = F.transform(kept, lambda x: x.withField(
         "kind", F.when(x["kind"] == GENERIC[0], F.lit("owned")).otherwise(x["kind"])))
     per = per.select("uid", named.alias("found"))
-    return rows.select("uid", *[f"_k_{o}" for o in keep]).join(per.hint("merge"), "uid", "left").select(
-        *[F.col(f"_k_{o}").alias(o) for o in keep],
-        F.coalesce("found", F.array().cast(per.schema["found"].dataType)).alias("found"))
+    kept_cols = [F.col(f"_k_{o}").alias(o) for o in keep]
+    none = F.array().cast(per.schema["found"].dataType).alias("found")
+    # only rows with a candidate are shuffled to their findings
+    hit = rows.where(F.size("_found") > 0).drop("_found").join(per.hint("merge"), "uid", "left") \
+        .select(*kept_cols, F.coalesce("found", none).alias("found"))
+    return hit.unionByName(rows.where(F.size("_found") == 0).select(*kept_cols, none))
 
 
 def joined(found: Column) -> Column:
