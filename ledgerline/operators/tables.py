@@ -1,7 +1,7 @@
 """Row-level changes on plain parquet tables (no MERGE on parquet).
 
 Pure functions compute the new rows; the ``*_table`` variants apply them
-to a path-based table partitioned by an immutable column, rewriting only
+to a path-based partitioned table, rewriting only
 the partitions that change:
 
 1. find the touched partition values (a small, bounded set: one row per
@@ -10,7 +10,7 @@ the partitions that change:
 2. compute their new content and materialise it (this cuts the lineage:
    Spark cannot read and overwrite one path in the same plan);
 3. overwrite exactly those partitions from that copy with dynamic
-   partition overwrite.
+   partition overwrite; a partition left without rows is emptied.
 
 The copy is a reliable ``checkpoint()`` in ``spark.checkpoint.dir``: it
 cuts the lineage back to the target files, and a retry of step 3
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -196,42 +197,64 @@ def partition_filter(partition_by: Sequence[str], values: list[tuple]) -> Column
 
 
 def replace_partitions(spark: SparkSession, path: str, new_rows: DataFrame,
-                       partition_by: Sequence[str]) -> None:
+                       partition_by: Sequence[str], scope: Column | None = None) -> None:
     """Materialise ``new_rows`` (reliable checkpoint in the shared work
     dir), then overwrite only the partitions present in it (dynamic
-    partition overwrite)."""
+    partition overwrite). Partitions within ``scope`` that ``new_rows`` has no
+    row of are emptied: their content becomes one file without rows, so that
+    the table's schema can still be read when every partition is empty."""
     work_dir(spark)  # checkpoint() needs spark.checkpoint.dir
     staged = new_rows.checkpoint(eager=True)
     (rebalanced(staged, partition_by).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    if scope is None:
+        return
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_folder")
+    held = spark.read.parquet(path).where(scope).select(*partition_by, folder).distinct()
+    emptied = by_key(held, staged.select(*partition_by).distinct(), list(partition_by), "left_anti")
+    # one row per emptied partition
+    for r in emptied.select("_folder").distinct().collect():
+        staged.drop(*partition_by).limit(0).write.mode("overwrite").parquet(unquote(r["_folder"]))
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str],
                  order_by: Sequence[Column], partition_by: Sequence[str]) -> None:
-    """Upsert ``batch`` into the table at ``path``. The partition column must
-    be immutable per key (a key never moves partitions). The batch is
-    materialised once (it is usually derived: scan + dedup), then both the
-    touched-partition list and the merge read that copy."""
+    """Upsert ``batch`` into the table at ``path``. The partitions of the
+    batch and those in which its keys lie now are rewritten, so a key whose
+    partition value changes moves; finding them reads only the key columns of
+    the table. The batch is materialised once (it is usually derived: scan +
+    dedup), then the touched-partition list and the merge read that copy."""
     work_dir(spark)
     batch = batch.checkpoint(eager=True)
-    parts = touched_partitions(batch, partition_by)
+    table = spark.read.parquet(path)
+    keys = batch.select(*key).distinct()
+    small = keys.limit(BROADCAST_KEYS_MAX_ROWS + 1).count() <= BROADCAST_KEYS_MAX_ROWS
+    now = by_key(table.select(*dict.fromkeys([*key, *partition_by])), keys, list(key), "left_semi", small)
+    parts = touched_partitions(batch.select(*partition_by).unionByName(now.select(*partition_by)),
+                               partition_by)
     if not parts:
         return
-    current = spark.read.parquet(path).where(partition_filter(partition_by, parts))
-    merged = upsert(current, batch.select(*current.columns), key, order_by)
-    replace_partitions(spark, path, merged, partition_by)
+    scope = partition_filter(partition_by, parts)
+    merged = upsert(table.where(scope), batch.select(*table.columns), key, order_by)
+    replace_partitions(spark, path, merged, partition_by, scope)
 
 
 def update_table(spark: SparkSession, path: str, predicate: Column,
                  assignments: Mapping[str, Any], partition_by: Sequence[str],
                  touch: tuple[str, Any] | None = None) -> None:
+    """Update the rows of ``predicate``; an assignment may change the
+    partition column, then the partitions the rows move to are rewritten too."""
     table = spark.read.parquet(path)
-    parts = touched_partitions(table.where(F.coalesce(predicate, F.lit(False))), partition_by)
+    hit = table.where(F.coalesce(predicate, F.lit(False)))
+    places = hit.select(*partition_by)
+    if set(partition_by) & {*assignments, *([touch[0]] if touch else [])}:
+        places = places.unionByName(update_where(hit, predicate, assignments, touch).select(*partition_by))
+    parts = touched_partitions(places, partition_by)
     if not parts:
         return
-    current = table.where(partition_filter(partition_by, parts))
-    replace_partitions(spark, path, update_where(current, predicate, assignments, touch),
-                       partition_by)
+    scope = partition_filter(partition_by, parts)
+    replace_partitions(spark, path, update_where(table.where(scope), predicate, assignments, touch),
+                       partition_by, scope)
 
 
 def insert_ignore_table(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str],
@@ -247,19 +270,18 @@ def deleted_keys(target: DataFrame, source_keys: DataFrame, key: Sequence[str])
     """Keys present in the target but gone from a full key snapshot of the
     source (the batch path cannot see deletes otherwise). Both sides are
     reduced to distinct keys before the anti join."""
-    return target.select(*key).distinct().join(source_keys.select(*key).distinct(), list(key), "left_anti")
+    return by_key(target.select(*key).distinct(), source_keys.select(*key).distinct(), list(key), "left_anti")
 
 
 def delete_missing_table(spark: SparkSession, path: str, source_keys: DataFrame, key: Sequence[str],
                          partition_by: Sequence[str]) -> None:
     """Remove target rows whose key left the source, rewriting only the
-    partitions that hold such rows."""
+    partitions that hold such rows. A NULL key is a key like any other."""
     table = spark.read.parquet(path)
     gone = deleted_keys(table, source_keys, key)
-    hit = table.join(gone, list(key), "left_semi")
-    parts = touched_partitions(hit, partition_by)
+    parts = touched_partitions(by_key(table, gone, list(key), "left_semi"), partition_by)
     if not parts:
         return
-    current = table.where(partition_filter(partition_by, parts))
-    replace_partitions(spark, path, current.join(gone, list(key), "left_anti").select(*table.columns),
-                       partition_by)
+    scope = partition_filter(partition_by, parts)
+    replace_partitions(spark, path, by_key(table.where(scope), gone, list(key), "left_anti"),
+                       partition_by, scope)

@@ -2,9 +2,8 @@
 
 The stored fact carries two bookkeeping columns besides the model's:
 ``updated_at`` (latest-wins order inside an upsert) and ``_extracted_at``
-(the incremental cursor), and is partitioned by ``created_month``, which
-never changes for an order, so an upsert or a backfill rewrites only the
-months it touches.
+(the incremental cursor), and is partitioned by ``created_month``: an
+upsert or a backfill rewrites only the months it touches.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bound_literal
 from ..session import path_exists
+from ..operators.joins import by_key
 from ..operators.tables import partition_filter, replace_partitions, upsert_table, write_table
 from . import marts, staging
 
@@ -45,15 +45,20 @@ def run_incremental(spark: SparkSession, path: str, raw_orders: DataFrame,
 def backfill(spark: SparkSession, path: str, raw_orders: DataFrame, raw_customers: DataFrame,
              first_month: str, last_month: str) -> None:
     """Recompute the months [first_month, last_month] from raw and replace
-    only those partitions. created_at is immutable per order, so the raw
-    rows can be filtered by it before the dedup (the filter reaches the
-    scan)."""
+    exactly those partitions; a month left without orders is emptied.
+
+    The window filter reaches the scan that finds the orders with a version in
+    it; the dedup then sees all versions of those, so an order whose latest
+    version lies in another month is not published here with an older one."""
     lo = F.lit(first_month).cast("date")
     hi = F.add_months(F.lit(last_month).cast("date"), 1)
-    d = F.to_date("created_at")
-    scoped = raw_orders.where((d >= lo) & (d < hi))
-    rows = _fact_rows(scoped, raw_customers)
-    replace_partitions(spark, path, rows, PARTITION)
+
+    def inside(c):
+        return (F.to_date(c) >= lo) & (F.to_date(c) < hi)
+    ids = raw_orders.where(inside("created_at")).select("order_id").distinct()
+    rows = _fact_rows(by_key(raw_orders, ids, ["order_id"], "left_semi"), raw_customers)
+    scope = (F.col("created_month") >= F.trunc(lo, "month")) & (F.col("created_month") < hi)
+    replace_partitions(spark, path, rows.where(inside("created_at")), PARTITION, scope)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
