@@ -2,8 +2,10 @@
 
 A text is cut into sentences (at . ! ? followed by white space, and at line
 ends). From every sentence on, and back from every sentence, the shortest run
-of several consecutive sentences with enough words is a span; spans are hashed
-and joined over the corpus. Of a span that occurs more than once, the first
+of several consecutive sentences with enough words is a span, and so is every
+single sentence with enough words, so that a text without sentence ends and a
+long sentence among other neighbours are found as well; spans are hashed and
+joined over the corpus. Of a span that occurs more than once, the first
 occurrence (by doc_id, then place) stays, and the sentences that any other
 occurrence covers are removed. Runs taken forwards and backwards let the spans
 of a repeated passage cover it to its very last sentence.
@@ -31,8 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import Words, as_int64, cut, mix64, small_batches
 
-SENTENCES = 2                # a span has at least so many sentences
-WORDS = 20                   # and so many words
+SENTENCES = 2                # a span of several sentences has at least so many
+WORDS = 20                   # and so many words; a single sentence of so many is a span too
 _END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+|[\n\r]+[\x20\x09-\x0D]*")
 
 
@@ -47,7 +49,8 @@ def sentence_bounds(text: str) -> list[tuple[int, int]]:
 
 def runs(n_words: np.ndarray, sentences: int, words: int) -> list[tuple[int, int]]:
     """Distinct shortest runs [i, j) with both least counts, from every
-    sentence on and back from every sentence, in order."""
+    sentence on and back from every sentence, and the single sentences with
+    enough words, in order."""
     n = len(n_words)
     total = np.concatenate([[0], np.cumsum(n_words)])
     i = np.arange(n)
@@ -55,6 +58,7 @@ def runs(n_words: np.ndarray, sentences: int, words: int) -> list[tuple[int, int
     back = np.minimum(np.searchsorted(total, total[i + 1] - words, "right") - 1, i + 1 - sentences)
     out = {(a, b) for a, b in zip(i.tolist(), on.tolist()) if b <= n}
     out |= {(a, b) for a, b in zip(back.tolist(), (i + 1).tolist()) if a >= 0}
+    out |= {(a, a + 1) for a in np.flatnonzero(n_words >= words).tolist()}
     return sorted(out)
 
 

@@ -303,3 +303,13 @@ def test_pipeline(spark):
     e = p.pack_sequences(spark, d, sf)
     assert e.where("start = 0").count() == d.count()
     assert p.run(spark, sf).count() == e.count()
+
+
+def test_single_long_sentences_are_spans(spark):
+    bare = " ".join(f"w{i}" for i in range(300))                 # one sentence, no end
+    long = " ".join(f"shared{i}" for i in range(55)) + "."
+    texts = [bare, bare.upper(), f"Start one. {long} End one.", f"Begin two! {long} Close two.", "too short", "too short"]
+    got = {r.doc_id: r for r in span_dedup.remove_repeats(frame(spark, [(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    assert (got[1].text, got[1].words_removed, got[1].first_doc_ids) == ("", 300, [0])
+    assert (got[3].text, got[3].words_removed, got[3].first_doc_ids) == ("Begin two! Close two.", 55, [2])
+    assert [got[i].n_removed for i in (0, 2, 4, 5)] == [0] * 4

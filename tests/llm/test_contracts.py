@@ -277,3 +277,53 @@ def test_op10_recall_and_measure(spark):
         total += 10
     assert hit >= 0.9 * total
     assert ann.TREES > 1
+
+
+def naive_spans(text, several=2, words=20):
+    """(first, end, key) of the spans, and the words of each sentence."""
+    ends = [m.end() for m in re.finditer(r"(?<=[.!?])[\x20\x09-\x0D]+|[\n\r]+[\x20\x09-\x0D]*", text)]
+    at = [0, *ends] + ([len(text)] if not ends or ends[-1] < len(text) else [])
+    own = [tuple(WORD.findall(lower(text[a:b]))) for a, b in zip(at, at[1:])]
+    full = [i for i, w in enumerate(own) if w]
+    out = set()
+    for i in range(len(full)):
+        for step in (1, -1):
+            run, n = [], 0
+            for k in range(i, len(full) if step == 1 else -1, step):
+                run.append(k)
+                n += len(own[full[k]])
+                if n >= words and (len(run) == 1 or len(run) >= several):
+                    out.add((min(run), max(run)))
+                    if len(run) >= several:
+                        break
+    return [(full[a], full[b] + 1, tuple(own[k] for k in full[a:b + 1])) for a, b in out], own
+
+
+def test_op3_matches_brute_force_and_removes_repeated_windows(spark, docs):
+    text = {d["doc_id"]: d["text"] or "" for d in docs}
+    assert len(text) == len(docs)
+    spans, own = {}, {}
+    for i in text:
+        spans[i], own[i] = naive_spans(text[i])
+    first = {}
+    for i in sorted(text):
+        for a, _, key in sorted(spans[i]):
+            first.setdefault(key, (i, a))
+    got = {r.doc_id: r for r in run(spark, "op3_sentence_spans")}
+    seen, repeated, left = {}, 0, 0      # windows of 50 words that an earlier document has
+    for i in sorted(text):
+        gone = set()
+        for a, b, key in spans[i]:
+            if first[key] != (i, a):
+                gone |= set(range(a, b))
+        assert (got[i].n_sentences, got[i].n_removed) == (len(own[i]), len(gone))
+        assert got[i].words_removed == sum(len(own[i][k]) for k in gone)
+        flat = [(w, k) for k, ws in enumerate(own[i]) for w in ws]
+        again = [False] * len(flat)
+        for a in range(len(flat) - 49):
+            window = hash(tuple(w for w, _ in flat[a:a + 50]))
+            if seen.setdefault(window, i) != i:
+                again[a:a + 50] = [True] * 50
+        repeated += sum(again)
+        left += sum(x and k not in gone for x, (_, k) in zip(again, flat))
+    assert repeated and left < 0.1 * repeated
