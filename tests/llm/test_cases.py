@@ -313,3 +313,20 @@ def test_single_long_sentences_are_spans(spark):
     assert (got[1].text, got[1].words_removed, got[1].first_doc_ids) == ("", 300, [0])
     assert (got[3].text, got[3].words_removed, got[3].first_doc_ids) == ("Begin two! Close two.", 55, [2])
     assert [got[i].n_removed for i in (0, 2, 4, 5)] == [0] * 4
+
+
+def test_sketch_limit_holds_for_small_sets():
+    rng, probe = np.random.default_rng(5), near_dup._probe_table(near_dup.BINS, near_dup.PROBES)
+    place = near_dup.mix64(np.arange(near_dup.BINS, dtype=np.uint64) + np.uint64(991))
+
+    def bits(values):
+        sig = near_dup.one_permutation(np.sort(values), near_dup.BINS, probe)
+        return (near_dup.mix64(sig ^ place) >> np.uint64(62)).astype(np.uint8)
+    for union in (80, 160, 400):
+        same, own, off = union * 3 // 4, union // 8, []
+        for _ in range(1500):
+            v = rng.integers(0, 1 << 64, union, dtype=np.uint64)
+            x = bits(v[:same + own]) ^ bits(np.concatenate([v[:same], v[same + own:]]))
+            off.append(int(((x & 1) + (x >> 1)).sum()))
+        # a link at the threshold is lost at most once in 300,000 by the normal tail
+        assert near_dup.sketch_limit(near_dup.BINS, (75, 100)) > np.mean(off) + 4.5 * np.std(off)
