@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, as_int64, cut, mix64, small_batches
+from .common import Words, as_int64, cut, mix64, prefix_sums, small_batches
 from .graph import components
 
 SHINGLE = 5
@@ -250,11 +250,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """Rows of ``docs`` whose document is its component's kept one; of rows
-    that share a doc_id, one stays (rows with a null doc_id all stay)."""
-    kept = near_duplicates(docs, id_col=id_col, **kw).where("kept and doc_id is not null") \
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         **kw) -> DataFrame:
+    """Rows of ``docs`` whose document is its component's kept one. A document
+    is a doc_id and a text: rows that share a doc_id but not the text are
+    decided each by its own, of rows that share both one stays (rows with a
+    null doc_id all stay)."""
+    key = ["_id", "_none", "_hash"]
+    rows = docs.where(F.col(id_col).isNotNull()).withColumns({
+        "_id": F.col(id_col).cast("long"), "_none": F.col(text_col).isNull(), "_hash": F.xxhash64(text_col)})
+    each = rows.select(*key).distinct()
+    if each.groupBy("_id").count().where("count > 1").limit(1).count():
+        # numbers of the documents in order of doc_id take the place of the ids
+        at = prefix_sums(each.withColumn("_one", F.lit(1)), key, {"_vertex": "_one"}, "nd-rows")
+        rows = cut(rows.join(at.drop("_one").hint("merge"), key), "nd-named")
+    else:
+        rows = rows.withColumn("_vertex", F.col("_id"))
+    kept = near_duplicates(rows, id_col="_vertex", text_col=text_col, **kw).where("kept") \
         .select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where(F.col(id_col).isNotNull()).join(
-        kept.hint("merge"), F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
-    return named.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    named = rows.join(kept.hint("merge"), F.col("_vertex") == F.col("_kept"), "left_semi")
+    return named.dropDuplicates(["_vertex"]).select(*docs.columns).unionByName(
+        docs.where(F.col(id_col).isNull()))

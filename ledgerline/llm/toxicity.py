@@ -217,7 +217,9 @@ def _calibrate(m: Model, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> None:
 
 
 def _scan(rows: DataFrame, m: Model) -> DataFrame:
-    """(doc_id, n_tokens, n_passages, best, evidence) of (doc_id, text)."""
+    """(doc_id, n_tokens, n_passages, best, evidence) of (doc_id, text); a
+    text_hash in third place is handed on."""
+    extra = rows.columns[2:]
     sent = rows.sparkSession.sparkContext.broadcast(vars(m))     # 12 MB, whatever the input
 
     def run(batches):
@@ -233,10 +235,10 @@ def _scan(rows: DataFrame, m: Model) -> DataFrame:
                 ev.append(evidence(model, seg, hi - lo))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(w.counts), pa.array(n_pass, pa.int64()),
-                 pa.array(best, pa.float64()), pa.array(ev, pa.float64())],
-                names=["doc_id", "n_tokens", "n_passages", "best", "evidence"])
+                 pa.array(best, pa.float64()), pa.array(ev, pa.float64()), *b.columns[2:]],
+                names=["doc_id", "n_tokens", "n_passages", "best", "evidence", *extra])
     return rows.mapInArrow(run, "doc_id long, n_tokens long, n_passages long, best double, "
-                                "evidence double")
+                                "evidence double" + "".join(f", {c} long" for c in extra))
 
 
 def passages(docs: DataFrame, m: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -266,26 +268,37 @@ def passages(docs: DataFrame, m: Model, id_col: str = "doc_id", text_col: str =
         run, "doc_id long, first_word long, n_words long, score double, text string")
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, held_out, score, predicted, n_passages, evidence) per row."""
+def _score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD) -> DataFrame:
+    """The columns of ``score`` and text_hash, which tells the texts of one
+    doc_id apart."""
     m = fit(docs, labels, id_col, text_col, max_labelled)
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("text_hash"))
     held = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out")
     if m is None:
         return rows.select("doc_id", held, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"),
-                           F.lit(0).cast("long").alias("n_passages"), F.lit(FLOOR).alias("evidence"))
+                           F.lit(0).cast("long").alias("n_passages"), F.lit(FLOOR).alias("evidence"),
+                           "text_hash")
     x = F.least(F.greatest(F.col("evidence"), F.lit(CURVE[0])), F.lit(CURVE[1]))
     z = F.lit(m.slope) * x + F.lit(m.shift)
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
     out = _scan(rows, m).withColumn("score", p)
     return out.select("doc_id", held, "score", (F.col("score") >= threshold).cast("int")
-                      .alias("predicted"), "n_passages", "evidence")
+                      .alias("predicted"), "n_passages", "evidence", "text_hash")
+
+
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, held_out, score, predicted, n_passages, evidence) per row."""
+    return _score(docs, labels, id_col, text_col, max_labelled, threshold).drop("text_hash")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """Rows of ``docs`` whose id is not of a document predicted toxic."""
-    bad = score(docs, labels, id_col=id_col, **kw).where("predicted = 1 and doc_id is not null") \
-        .select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad.hint("merge"), F.col(id_col).cast("long") == F.col("_bad"), "left_anti")
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               **kw) -> DataFrame:
+    """Rows of ``docs`` but those of a doc_id and text predicted toxic."""
+    bad = _score(docs, labels, id_col, text_col, **kw).where("predicted = 1 and doc_id is not null") \
+        .select(F.col("doc_id").alias("_bad"), F.col("text_hash").alias("_bad_text")).distinct()
+    return docs.join(bad.hint("merge"), (F.col(id_col).cast("long") == F.col("_bad"))
+                     & (F.xxhash64(text_col) == F.col("_bad_text")), "left_anti")

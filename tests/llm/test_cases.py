@@ -330,3 +330,22 @@ def test_sketch_limit_holds_for_small_sets():
             off.append(int(((x & 1) + (x >> 1)).sum()))
         # a link at the threshold is lost at most once in 300,000 by the normal tail
         assert near_dup.sketch_limit(near_dup.BINS, (75, 100)) > np.mean(off) + 4.5 * np.std(off)
+
+
+def test_texts_of_one_doc_id_are_decided_each(spark):
+    rnd = random.Random(3)
+    say = lambda stem: " ".join(f"{stem}{rnd.randrange(40)}" for _ in range(60))
+    a, b, c = say("a"), say("b"), say("c")
+    rows = [(5, a, "s"), (9, a, "s"), (9, b, "s"), (9, b, "s"), (9, None, "s"), (7, c, "s"), (7, c + " more", "s"),
+            (None, a, "s")]
+    got = [(r.doc_id, r.text) for r in near_dup.drop_near_duplicates(frame(spark, rows)).collect()]
+    assert len([x for x in got if x[0] == 7]) == 1
+    assert sorted(map(str, (x for x in got if x[0] != 7))) == sorted(map(str, [(5, a), (9, b), (9, None), (None, a)]))
+
+    clean = [(i, say("good"), "s") for i in range(300)]
+    toxic = [(i, say("vile"), "s") for i in range(300, 400)]
+    labels = spark.createDataFrame([(i, 1, int(i >= 300)) for i in range(400)],
+                                   "doc_id long, quality int, toxic int")
+    rows = [*clean, *toxic, (500, say("vile"), "s"), (500, say("good"), "s")]
+    left = toxicity.drop_toxic(frame(spark, rows), labels).collect()
+    assert [(r.doc_id, r.text) for r in left if r.doc_id == 500] == [(500, rows[-1][1])]
