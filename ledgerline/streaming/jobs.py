@@ -13,9 +13,10 @@
 * ``dedup_replayed``: at-least-once sources deliver some events twice;
   ``dropDuplicatesWithinWatermark`` keeps one per event id with state
   bounded by the watermark.
-* ``windowed_counts``: tumbling-window counts per event type with a
-  watermark, emitted in update mode into a log; the latest emission per
-  window is its current count.
+* ``windowed_counts``: tumbling-window counts per event type, without state
+  and without a watermark: each micro-batch logs the counts of its own events
+  (``emit_counts``), the sum over the log is a window's current count, so an
+  event counts however late it comes.
 
 Every job takes its checkpoint location from the caller; ``default_trigger``
 is the 30 s processing-time poll, tests pass ``availableNow``.
@@ -212,32 +213,35 @@ def sink_parquet(df: DataFrame, path: str, checkpoint: str,
 # ---------------------------------------------------------------------------
 # windowed counts
 # ---------------------------------------------------------------------------
-def windowed_counts(events: DataFrame, window: str = "1 hour", delay: str = "1 hour",
+def windowed_counts(events: DataFrame, window: str = "1 hour",
                     ts_col: str = "ts", by: str = "event_type") -> DataFrame:
-    ev = events.withColumn("_ets", F.col(ts_col).cast("timestamp")).withWatermark("_ets", delay)
-    return ev.groupBy(F.window("_ets", window), F.col(by)).agg(F.count(F.lit(1)).alias("event_count")) \
+    """A count of 1 per event in its window; ``emit_counts`` adds them up."""
+    ev = events.withColumn("_ets", F.col(ts_col).cast("timestamp"))
+    return ev.select(F.window("_ets", window).alias("window"), F.col(by)) \
         .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
                 F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-                F.col(by), "event_count")
+                F.col(by), F.lit(1).cast("bigint").alias("event_count"))
 
 
 def write_count_updates(updates: DataFrame, batch_id: int, log_path: str) -> None:
-    (updates.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
+    keys = [c for c in updates.columns if c != "event_count"]
+    (updates.groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
+        .withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("_batch_id").parquet(log_path))
 
 
 def emit_counts(counts: DataFrame, log_path: str, checkpoint: str,
                 trigger: dict[str, Any] | None = None) -> StreamingQuery:
-    w = (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    w = (counts.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda df, bid: write_count_updates(df, bid, log_path)))
     return _start(w, trigger).start()
 
 
 def current_counts(log: DataFrame, keys: tuple[str, ...] = ("window_start", "window_end", "event_type")) -> DataFrame:
-    """Latest emitted count per window and group (update mode re-emits a
-    window whenever its count changes)."""
-    return dedup_latest(log, list(keys), [F.col("_batch_id").desc()]).drop("_batch_id")
+    """Count per window and group: the sum of what the batches logged (a
+    replayed batch has replaced its own rows)."""
+    return log.groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
 
 
 # ---------------------------------------------------------------------------

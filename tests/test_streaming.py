@@ -125,3 +125,18 @@ def test_sink_dedup_across_batches_and_replays(spark, scratch):
                           f"{root}/builtin", f"{root}/_ck", NOW)
     q.awaitTermination()
     assert sorted(spark.read.parquet(f"{root}/builtin").collect()) == sorted(out.collect())
+
+
+def test_windowed_counts_keep_late_events(spark, scratch):
+    root = scratch("late")
+    ev = spark.read.parquet(EVENTS)
+    cut = ev.agg(F.percentile_approx(F.col("ts").cast("timestamp").cast("double"), [0.33, 0.66]).alias("q")).first()["q"]
+    at = F.col("ts").cast("timestamp").cast("double")
+    parts = [ev.where(at > cut[1]), ev.where((at > cut[0]) & (at <= cut[1])), ev.where(at <= cut[0])]
+    for part in parts:           # newest events first
+        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        jobs.emit_counts(jobs.windowed_counts(jobs.read_stream(spark, f"{root}/in")), f"{root}/log",
+                         f"{root}/_ck", NOW).awaitTermination()
+    got = jobs.current_counts(spark.read.parquet(f"{root}/log"))
+    want = ev.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("window_start"), "event_type").count()
+    assert sorted(got.select("window_start", "event_type", "event_count").collect()) == sorted(want.collect())
