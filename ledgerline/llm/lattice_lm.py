@@ -5,8 +5,9 @@ trained. Every segmentation of a text into pieces counts: the probability of a
 text is the sum over all of them, by a forward recursion in log space. Pieces
 start at a word or lie inside it, so the lattice of a text is the chain of its
 words' lattices, and each distinct word's sum is taken once for the corpus.
-Piece weights start from the vocabulary's scores (ranks, read as Zipf
-weights) and are re-estimated on the training documents' word counts by
+The vocabulary at hand is a BPE model: its scores are merge ranks, read as Zipf
+weights in place of unigram scores; byte pieces, which have no rank, get the
+lowest weight of all. Piece weights start from these and are re-estimated on the training documents' word counts by
 expectation-maximisation; the vocabulary's weights stay as the prior.
 
 The corpus gives one table of distinct words with training counts. The most
@@ -42,9 +43,13 @@ ROUNDS = 1
 NEG = float("-inf")
 
 
+def _is_byte(piece: str) -> bool:
+    return len(piece) == 6 and piece.startswith("<0x") and piece.endswith(">")
+
+
 def load_vocabulary(path: str) -> dict[str, float]:
     """Piece -> log weight from the vocabulary's scores. Byte pieces keep
-    their names <0xHH>; pieces that hold a word mark elsewhere than in front
+    their names <0xHH> and weigh as the lowest other piece does; pieces that hold a word mark elsewhere than in front
     span words and are left out, as are control pieces."""
     import sentencepiece
 
@@ -52,7 +57,9 @@ def load_vocabulary(path: str) -> dict[str, float]:
     kept = [(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
     kept = [(p, s) for p, s in kept if MARK not in p[1:]]
-    weights = {p: 1.0 / (2.7 + max(0.0, -s)) for p, s in kept}
+    # bytes have no rank (score 0), the bare mark has -1e9: both come last
+    weights = {p: 1.0 / (2.7 + (len(kept) if _is_byte(p) else min(max(0.0, -s), len(kept))))
+               for p, s in kept}
     total = sum(weights.values())
     return {p: math.log(w / total) for p, w in weights.items()}
 
@@ -63,7 +70,7 @@ class Lattice:
     def __init__(self, pieces: dict[str, float]):
         self.table: dict[str, float | None] = {}
         for p in pieces:
-            if not (p.startswith("<0x") and p.endswith(">") and len(p) == 6):
+            if not _is_byte(p):
                 for k in range(1, len(p)):
                     self.table.setdefault(p[:k], None)
                 self.table[p] = pieces[p]

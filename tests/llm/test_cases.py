@@ -349,3 +349,13 @@ def test_texts_of_one_doc_id_are_decided_each(spark):
     rows = [*clean, *toxic, (500, say("vile"), "s"), (500, say("good"), "s")]
     left = toxicity.drop_toxic(frame(spark, rows), labels).collect()
     assert [(r.doc_id, r.text) for r in left if r.doc_id == 500] == [(500, rows[-1][1])]
+
+
+def test_byte_pieces_weigh_least():
+    import public_tokenizers
+
+    pieces = lattice_lm.load_vocabulary(public_tokenizers.path(lattice_lm.VOCABULARY))
+    in_bytes = [v for p, v in pieces.items() if lattice_lm._is_byte(p)]
+    others = [v for p, v in pieces.items() if not lattice_lm._is_byte(p)]
+    assert len(in_bytes) == 256 and max(in_bytes) <= min(others) and abs(sum(map(math.exp, pieces.values())) - 1) < 1e-9
+    assert sum(map(math.exp, in_bytes)) < 0.01
