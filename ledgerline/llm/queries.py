@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf
-from . import (ann, lattice_lm, lz_fingerprint, mixing, near_dup, packing, secret_scan, span_dedup,
-               toxicity, warc)
+from . import (ann, lattice_lm, lz_fingerprint, mixing, near_dup, packing, secret_scan, sharding,
+               span_dedup, toxicity, warc)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,12 @@ def op10_prefix_forest(spark, sf_dir):
     return ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@query
+def op11_hash_tree_shards(spark, sf_dir):
+    return sharding.place(read(spark, sf_dir, "documents"), sharding.layout(16), sharding.layout(17)) \
+        .drop("region", "rack")
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
