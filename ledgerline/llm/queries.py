@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf
-from . import (ann, lattice_lm, lz_fingerprint, mixing, near_dup, packing, secret_scan, sharding,
-               span_dedup, toxicity, warc)
+from . import (ann, lattice_lm, lexical_search, lz_fingerprint, mixing, near_dup, packing, secret_scan,
+               sharding, span_dedup, toxicity, warc)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,11 @@ def op11_hash_tree_shards(spark, sf_dir):
         .drop("region", "rack")
 
 
+@query
+def op13_length_strata(spark, sf_dir):
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
@@ -113,3 +118,25 @@ reach AS (SELECT doc_id, doc_id AS r FROM documents
 SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.r) AS component_id,
        r.doc_id = min(r.r) AS kept
 FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+ORACLE["op13_length_strata"] = r"""
+WITH
+words AS (SELECT doc_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lens AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+total AS (SELECT count(*) AS nd, sum(n)::BIGINT AS l FROM lens),
+norm AS (SELECT doc_id, 100 - 50 + ((50 * n * nd) // l) AS m FROM lens, total),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), total),
+scores AS (SELECT item_id, doc_id,
+                  sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+           FROM asked JOIN w USING (term) JOIN tfs USING (term) JOIN norm USING (doc_id)
+           GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+             doc_id, score FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50"""
