@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import apply_runtime_conf
 from . import (ann, lattice_lm, lexical_search, lz_fingerprint, mixing, near_dup, packing, secret_scan,
-               sharding, span_dedup, toxicity, warc)
+               sharding, span_dedup, token_align, toxicity, warc)
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,11 @@ def op11_hash_tree_shards(spark, sf_dir):
         .drop("region", "rack")
 
 
+@query
+def op12_pair_bitmaps(spark, sf_dir):
+    return token_align.align(read(spark, sf_dir, "documents"))
+
+
 @query
 def op13_length_strata(spark, sf_dir):
     return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
