@@ -4,17 +4,19 @@ Pure functions compute the new rows; the ``*_table`` variants apply them
 to a path-based partitioned table, rewriting only
 the partitions that change:
 
-1. find the touched partition values (a small, bounded set: one row per
-   partition) and turn them into a literal ``isin`` filter, so the scan
-   of the target is pruned to those partitions;
-2. compute their new content and materialise it (this cuts the lineage:
-   Spark cannot read and overwrite one path in the same plan);
-3. overwrite exactly those partitions from that copy with dynamic
-   partition overwrite; a partition left without rows is emptied.
-
-The copy is a reliable ``checkpoint()`` in ``spark.checkpoint.dir``: it
-cuts the lineage back to the target files, and a retry of step 3
-rewrites the same partitions from the same copy.
+1. find the touched partition values (one row per partition of the table) and
+   turn them into literal filters, so the scan of the target is pruned to
+   those partitions;
+2. write their new content once, with dynamic partition overwrite: Spark
+   writes beside the table and swaps the partitions' files in at the job's
+   commit, so the job may read the table it overwrites and a failed or retried
+   task leaves the old files in place;
+3. files of the scope that are still there afterwards belong to partitions
+   that got no row: they are replaced by one file without rows.
+
+A batch is materialised once (reliable ``checkpoint()`` in
+``spark.checkpoint.dir``): finding the touched partitions and merging read the
+same rows.
 """
 
 from __future__ import annotations
@@ -28,11 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col_
-from ..session import work_dir
+from ..session import copy_file, delete_files, first_file, scratch_path, work_dir
 from .dedup import dedup_latest
 from .joins import by_key
 
-MAX_TOUCHED_PARTITIONS = 100_000
+LITERALS = 10_000            # partition values in one filter; more make more filters
 
 
 # ---------------------------------------------------------------------------
@@ -171,50 +173,72 @@ def append(df: DataFrame, path: str, schema: T.StructType | None = None,
 
 
 def touched_partitions(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
-    """Distinct partition values of ``df`` (bounded by the number of
-    partitions of the table, checked)."""
-    rows = df.select(*partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(rows) > MAX_TOUCHED_PARTITIONS:
-        raise ValueError("too many partitions touched for a partition rewrite")
-    return [tuple(r) for r in rows]
-
-
-def partition_filter(partition_by: Sequence[str], values: list[tuple]) -> Column:
-    if not values:
-        return F.lit(False)
-    if len(partition_by) == 1:
-        c = F.col(partition_by[0])
-        found = c.isin([v[0] for v in values if v[0] is not None])
-        return F.coalesce(found, F.lit(False)) | c.isNull() if (None,) in values else found
-    cond = None
-    for v in values:
-        term = None
-        for c, x in zip(partition_by, v):
-            t = F.col(c).eqNullSafe(F.lit(x))
-            term = t if term is None else term & t
-        cond = term if cond is None else cond | term
-    return cond
-
-
-def replace_partitions(spark: SparkSession, path: str, new_rows: DataFrame,
-                       partition_by: Sequence[str], scope: Column | None = None) -> None:
-    """Materialise ``new_rows`` (reliable checkpoint in the shared work
-    dir), then overwrite only the partitions present in it (dynamic
-    partition overwrite). Partitions within ``scope`` that ``new_rows`` has no
-    row of are emptied: their content becomes one file without rows, so that
-    the table's schema can still be read when every partition is empty."""
-    work_dir(spark)  # checkpoint() needs spark.checkpoint.dir
-    staged = new_rows.checkpoint(eager=True)
-    (rebalanced(staged, partition_by).write.mode("overwrite")
+    """Distinct partition values of ``df``: one row per partition of the
+    table, as many as its own directory listing has on the driver."""
+    return [tuple(r) for r in df.select(*partition_by).distinct().collect()]
+
+
+def partition_filters(schema: T.StructType, partition_by: Sequence[str],
+                      values: Sequence[tuple]) -> list[Column]:
+    """Filters on the partition columns that together hold ``values``, each of
+    at most LITERALS of them. Several columns are compared as one struct (flat
+    IN lists, whatever their length); NULL is a value like another."""
+    kinds = [schema[c].dataType for c in partition_by]
+
+    def one(v):
+        return F.struct(*[F.lit(x).cast(k).alias(c) for x, k, c in zip(v, kinds, partition_by)])
+    values, out = list(values), []
+    for lo in range(0, len(values), LITERALS):
+        part = values[lo:lo + LITERALS]
+        if len(partition_by) == 1:
+            c = F.col(partition_by[0])
+            found = c.isin([v[0] for v in part if v[0] is not None])
+            out.append(F.coalesce(found, F.lit(False)) | c.isNull() if (None,) in part else found)
+        else:
+            out.append(F.struct(*partition_by).isin([one(v) for v in part]))
+    return out
+
+
+def within(table: DataFrame, scope: Sequence[Column]) -> DataFrame:
+    """Rows of ``table`` in any filter of ``scope`` (which exclude one
+    another); each filter prunes its own scan."""
+    out = None
+    for f in scope:
+        part = table.where(f)
+        out = part if out is None else out.unionByName(part)
+    return table.limit(0) if out is None else out
+
+
+def replace_partitions(spark: SparkSession, path: str, new_rows: DataFrame, partition_by: Sequence[str],
+                       scope: Column | Sequence[Column] = ()) -> None:
+    """Write ``new_rows`` over the partitions they lie in, once. ``new_rows``
+    may be computed from the table itself.
+
+    Partitions within ``scope`` that ``new_rows`` has no row of are emptied:
+    their content becomes one file without rows, so that the table's schema can
+    still be read when every partition is empty. They are found by the files
+    that outlived the write; emptying them takes file operations only."""
+    work_dir(spark)
+    scope = [scope] if isinstance(scope, Column) else list(scope)
+
+    def files():
+        held = within(spark.read.parquet(path), scope)
+        return held.select(F.col("_metadata.file_path").alias("_file")).distinct()
+    # rows of a file share its path, so a file is one row after the map side
+    before = files().checkpoint(eager=True) if scope else None
+    (rebalanced(new_rows, partition_by).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
-    if scope is None:
+    if before is None:
+        return
+    old = [unquote(r["_file"]) for r in before.join(files(), "_file", "left_semi").collect()]
+    if not old:
         return
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_folder")
-    held = spark.read.parquet(path).where(scope).select(*partition_by, folder).distinct()
-    emptied = by_key(held, staged.select(*partition_by).distinct(), list(partition_by), "left_anti")
-    # one row per emptied partition
-    for r in emptied.select("_folder").distinct().collect():
-        staged.drop(*partition_by).limit(0).write.mode("overwrite").parquet(unquote(r["_folder"]))
+    blank = scratch_path(spark, "no-rows")
+    new_rows.drop(*partition_by).limit(0).write.parquet(blank)
+    empty = first_file(spark, blank)
+    for folder in sorted({f.rsplit("/", 1)[0] for f in old}):
+        copy_file(spark, empty, folder)
+    delete_files(spark, old)
 
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str],
@@ -234,8 +258,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, key: Sequence
                                partition_by)
     if not parts:
         return
-    scope = partition_filter(partition_by, parts)
-    merged = upsert(table.where(scope), batch.select(*table.columns), key, order_by)
+    scope = partition_filters(table.schema, partition_by, parts)
+    merged = upsert(within(table, scope), batch.select(*table.columns), key, order_by)
     replace_partitions(spark, path, merged, partition_by, scope)
 
 
@@ -252,8 +276,8 @@ def update_table(spark: SparkSession, path: str, predicate: Column,
     parts = touched_partitions(places, partition_by)
     if not parts:
         return
-    scope = partition_filter(partition_by, parts)
-    replace_partitions(spark, path, update_where(table.where(scope), predicate, assignments, touch),
+    scope = partition_filters(table.schema, partition_by, parts)
+    replace_partitions(spark, path, update_where(within(table, scope), predicate, assignments, touch),
                        partition_by, scope)
 
 
@@ -282,6 +306,6 @@ def delete_missing_table(spark: SparkSession, path: str, source_keys: DataFrame,
     parts = touched_partitions(by_key(table, gone, list(key), "left_semi"), partition_by)
     if not parts:
         return
-    scope = partition_filter(partition_by, parts)
-    replace_partitions(spark, path, by_key(table.where(scope), gone, list(key), "left_anti"),
+    scope = partition_filters(table.schema, partition_by, parts)
+    replace_partitions(spark, path, by_key(within(table, scope), gone, list(key), "left_anti"),
                        partition_by, scope)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import bound_literal
 from ..session import path_exists
 from ..operators.joins import by_key
-from ..operators.tables import partition_filter, replace_partitions, upsert_table, write_table
+from ..operators.tables import replace_partitions, upsert_table, write_table
 from . import marts, staging
 
 PARTITION = ["created_month"]
@@ -27,14 +27,17 @@ def _fact_rows(raw_orders: DataFrame, raw_customers: DataFrame) -> DataFrame:
 
 
 def run_incremental(spark: SparkSession, path: str, raw_orders: DataFrame,
-                    raw_customers: DataFrame) -> str:
-    """First run: full build. Later runs: raw rows extracted after the
-    target's cursor, deduplicated, upserted by order_id. Returns the mode."""
-    if not path_exists(spark, path):
+                    raw_customers: DataFrame, full_refresh: bool = False) -> str:
+    """First run, or ``full_refresh``: full build. Later runs: raw rows
+    extracted at or after the target's cursor, deduplicated, upserted by
+    order_id. Rows of the cursor's own extract time are read again, since more
+    of them may have landed after the last run; the upsert leaves those that
+    are already there as they are. Returns the mode."""
+    if full_refresh or not path_exists(spark, path):
         write_table(_fact_rows(raw_orders, raw_customers), path, PARTITION)
         return "full"
     cursor = spark.read.parquet(path).agg(F.max("_extracted_at")).first()[0]
-    new_raw = raw_orders.where(F.col("_extracted_at") > bound_literal(cursor)) if cursor is not None else raw_orders
+    new_raw = raw_orders.where(F.col("_extracted_at") >= bound_literal(cursor)) if cursor is not None else raw_orders
     batch = _fact_rows(new_raw, raw_customers)
     upsert_table(spark, path, batch, ["order_id"],
                  [F.col("updated_at").desc_nulls_first(), F.col("_extracted_at").desc_nulls_last()],
@@ -63,7 +66,3 @@ def backfill(spark: SparkSession, path: str, raw_orders: DataFrame, raw_customer
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*marts.FCT_COLUMNS)
-
-
-def months_filter(months: list[str]):
-    return partition_filter(PARTITION, [(m,) for m in months])

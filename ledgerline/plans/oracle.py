@@ -24,6 +24,7 @@ LOAD_RUN2_AT = "2001-09-06 02:00:00"
 INTERVAL_START = "2000-01-01 00:00:00"
 OVERLAP_STARTS = ("2000-01-01 00:00:00", "2001-01-01 00:00:00")
 BACKFILL_MONTHS = ("1996-01-01", "1996-12-01")
+SKEWED_PRODUCT = 1
 CONSUMER_POSITIONS = (("warehouse_sink", "2024-01-20 00:00:00"), ("search_index", "2024-01-29 00:00:00"))
 PAYMENT_PROVIDERS = (("card", "card_network", "0.0290"), ("bank_transfer", "bank", "0.0050"),
                      ("wallet", "wallet_provider", "0.0150"), ("cash", "cash_desk", "0.0000"))
@@ -289,6 +290,15 @@ FROM source_order_items i
 JOIN source_orders o ON o.order_id = i.order_id
 JOIN source_products p ON p.product_id = i.product_id"""
 
+ORACLE["skewed_three_way_join"] = with_(SOURCE_ORDER_ITEMS, SOURCE_ORDERS, SOURCE_PRODUCTS) + f""",
+items AS (SELECT * REPLACE (CASE WHEN (order_id + line_number) % 3 = 0 THEN {SKEWED_PRODUCT} ELSE product_id END AS product_id)
+          FROM source_order_items)
+SELECT i.order_id, i.line_number, i.product_id, i.supplier_id, o.customer_id, o.status,
+       p.name AS product_name, p.category, i.quantity, i.unit_price, i.discount_pct, i.line_total
+FROM items i
+JOIN source_orders o ON o.order_id = i.order_id
+JOIN source_products p ON p.product_id = i.product_id"""
+
 ORACLE["line_total"] = with_(SOURCE_ORDER_ITEMS) + "SELECT * FROM source_order_items"
 
 ORACLE["dq_not_null"] = with_(*_FCT) + """
@@ -602,6 +612,30 @@ SELECT customer_id, segment, updated_at AS valid_from,
        lead(updated_at) OVER (PARTITION BY customer_id ORDER BY updated_at) IS NULL AS is_current
 FROM kept"""
 
+_ORDER_VERSIONS = """order_versions AS (
+  SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id, updated_at
+              ORDER BY _extracted_at DESC NULLS LAST, order_ref DESC NULLS LAST) AS _rn
+    FROM raw_orders WHERE updated_at IS NOT NULL) v WHERE _rn = 1)"""
+
+ORACLE["scd2_incremental"] = with_(RAW_ORDERS, _ORDER_VERSIONS) + """
+SELECT order_id, status, order_total, updated_at AS valid_from,
+       lead(updated_at) OVER (PARTITION BY order_id ORDER BY updated_at) AS valid_to,
+       lead(updated_at) OVER (PARTITION BY order_id ORDER BY updated_at) IS NULL AS is_current
+FROM order_versions"""
+
+ORACLE["scd2_check_incremental"] = with_(RAW_ORDERS, _ORDER_VERSIONS) + """,
+kept AS (
+  SELECT order_id, status, order_total, updated_at FROM (
+    SELECT *, lag(status) OVER (PARTITION BY order_id ORDER BY updated_at) AS prev_status,
+              row_number() OVER (PARTITION BY order_id ORDER BY updated_at) AS pos
+    FROM order_versions) x
+  WHERE pos = 1 OR status IS DISTINCT FROM prev_status)
+SELECT order_id, status, order_total, updated_at AS valid_from,
+       lead(updated_at) OVER (PARTITION BY order_id ORDER BY updated_at) AS valid_to,
+       lead(updated_at) OVER (PARTITION BY order_id ORDER BY updated_at) IS NULL AS is_current
+FROM kept"""
+
 # -- streaming (batch statements of what the streams must leave behind) ----------
 ORACLE["cdc_apply"] = with_(CHANGE_EVENTS) + """
 SELECT key, seq, ts, op, CAST(json_extract(payload, '$.k') AS BIGINT) AS k FROM (

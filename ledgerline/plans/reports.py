@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.quality import orphan_keys
+from ..operators.skew import split_join
 from .marts import EXCLUDED_FROM_REVENUE
 
 
@@ -87,16 +88,25 @@ def fk_orphans(checks: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> Data
         for name, (child, fk, parent, pk) in checks.items()])
 
 
-def order_lines_detail(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+def order_lines_detail(items: DataFrame, orders: DataFrame, products: DataFrame,
+                       hot_rows: int | None = None) -> DataFrame:
     """items JOIN orders JOIN products. Both joins are many-to-one on the
     parent key; AQE chooses broadcast or sort-merge from runtime sizes
     and splits skewed partitions. Products are joined first: the items are
     already hash-partitioned by product key (their price lookup), so that
     join reuses the exchange and the lines are shuffled once more, by
-    order id, instead of twice."""
+    order id, instead of twice.
+
+    With ``hot_rows``, products and orders with that many lines are measured
+    and dealt to several tasks (``operators/skew.py``), whatever AQE sees."""
     o = orders.select("order_id", "customer_id", "status")
     p = products.select("product_id", F.col("name").alias("product_name"), "category")
-    return (items.join(p, "product_id").join(o, "order_id")
-                 .select("order_id", "line_number", "product_id", "supplier_id", "customer_id",
-                         "status", "product_name", "category", "quantity", "unit_price",
-                         "discount_pct", "line_total"))
+    if hot_rows is None:
+        lines = items.join(p, "product_id").join(o, "order_id")
+    else:
+        line = F.struct("order_id", "line_number")
+        lines = split_join(split_join(items, p, ["product_id"], "inner", hot_rows, row=line),
+                           o, ["order_id"], "inner", hot_rows, row=line)
+    return lines.select("order_id", "line_number", "product_id", "supplier_id", "customer_id",
+                        "status", "product_name", "category", "quantity", "unit_price",
+                        "discount_pct", "line_total")

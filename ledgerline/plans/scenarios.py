@@ -18,7 +18,7 @@ from ..sources import testdata as td
 from ..sources.extract import SourceSpec, extract_full, extract_interval
 from ..sources.loader import IncrementalLoader
 from ..streaming import jobs
-from . import incremental
+from . import incremental, reports
 from .catalog import register
 
 ORDERS = SourceSpec("orders", "updated_at", ("order_id",))
@@ -213,6 +213,14 @@ def q_seed_values_join(spark, sf_dir):
         (F.col("amount") * F.col("fee_rate")).cast("decimal(18,2)").alias("fee_usd"))
 
 
+@register("skewed_three_way_join")
+def q_skewed_three_way_join(spark, sf_dir):
+    """The order line join over lines of which a third are of one product:
+    that product's lines are dealt to several tasks."""
+    return reports.order_lines_detail(td.skewed_order_items(spark, sf_dir), td.source_orders(spark, sf_dir),
+                                      td.source_products(spark, sf_dir), td.SKEW_HOT_ROWS)
+
+
 # -- history -------------------------------------------------------------------
 @register("scd2_timestamp")
 def q_scd2_timestamp(spark, sf_dir):
@@ -227,6 +235,27 @@ def q_scd2_check(spark, sf_dir):
                               ["segment"], tie_break=[F.col("_extracted_at").desc_nulls_last()])
 
 
+def order_history(spark, sf_dir, name: str, check_cols: tuple[str, ...]) -> history.HistoryTable:
+    table = history.HistoryTable(spark, scratch_path(spark, name), ("order_id",), "updated_at",
+                                 ("status", "order_total"), check_cols, ("_extracted_at", "order_ref"), buckets=16)
+    for batch in td.order_batches(spark, sf_dir):
+        table.apply(batch)
+    return table
+
+
+@register("scd2_incremental")
+def q_scd2_incremental(spark, sf_dir):
+    """Order versions delivered late, repeated and out of order, spliced into
+    a stored history batch by batch: equals the rebuild over all of them."""
+    return order_history(spark, sf_dir, "history", ()).read()
+
+
+@register("scd2_check_incremental")
+def q_scd2_check_incremental(spark, sf_dir):
+    """The same deliveries under the check strategy (status)."""
+    return order_history(spark, sf_dir, "history-check", ("status",)).read()
+
+
 # -- streaming -------------------------------------------------------------------
 AVAILABLE_NOW = {"availableNow": True}
 

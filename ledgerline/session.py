@@ -110,6 +110,28 @@ def list_partition_values(spark: SparkSession, path: str, column: str) -> list[s
     return out
 
 
+def first_file(spark: SparkSession, path: str) -> str:
+    """A data file of the folder ``path``."""
+    fs, p = _fs_path(spark, path)
+    return min(str(st.getPath()) for st in fs.listStatus(p)
+               if st.isFile() and st.getPath().getName()[0] not in "._")
+
+
+def copy_file(spark: SparkSession, file: str, folder: str) -> None:
+    """Copy a file into a folder, under a name of its own."""
+    import uuid
+
+    (fs, src), (to, dst) = _fs_path(spark, file), _fs_path(spark, f"{folder}/{uuid.uuid4().hex}-{file.rpartition('/')[2]}")
+    spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        fs, src, to, dst, False, spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_files(spark: SparkSession, files: list[str]) -> None:
+    for f in files:
+        fs, p = _fs_path(spark, f)
+        fs.delete(p, False)
+
+
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 

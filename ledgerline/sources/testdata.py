@@ -38,6 +38,10 @@ OVERLAP_STARTS = ("2000-01-01 00:00:00", "2001-01-01 00:00:00")
 BACKFILL_MONTHS = ("1996-01-01", "1996-12-01")
 # Committed positions of the change-stream consumers (lag report).
 CONSUMER_POSITIONS = (("warehouse_sink", "2024-01-20 00:00:00"), ("search_index", "2024-01-29 00:00:00"))
+# Rows of one key that a task takes in the skewed join, and the product that
+# every third order line is moved to.
+SKEW_HOT_ROWS = 1_000
+SKEWED_PRODUCT = 1
 # Payment method reference rows (method, provider, fee rate).
 PAYMENT_PROVIDERS = (("card", "card_network", "0.0290"), ("bank_transfer", "bank", "0.0050"),
                      ("wallet", "wallet_provider", "0.0150"), ("cash", "cash_desk", "0.0000"))
@@ -292,6 +296,23 @@ def source_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def skewed_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of which a third are of one product."""
+    hot = (F.col("order_id") + F.col("line_number")) % 3 == 0
+    return source_order_items(spark, sf_dir).withColumn(
+        "product_id", F.when(hot, F.lit(SKEWED_PRODUCT).cast("bigint")).otherwise(F.col("product_id")))
+
+
+def order_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All raw order versions in four deliveries: later versions of an order
+    come before earlier ones of others and of itself, the last delivery
+    repeats every fifth order. Corrupt copies without a key come too."""
+    raw = raw_orders(spark, sf_dir)
+    part = (F.coalesce("order_id", F.lit(0)) + 2 * F.col("ver")) % 3
+    return [raw.where(part == 2), raw.where(part == 0), raw.where(part == 1),
+            raw.where(F.col("order_id") % 5 == 0)]
+
+
 @_memo
 def source_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")

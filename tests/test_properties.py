@@ -329,7 +329,7 @@ def test_composite_watermark_orders_keys_numerically(spark, scratch):
     assert loader.load(spec, rows).row_count == 0
 
 
-def test_scd2_merge_table_rewrites_only_changed_buckets(spark, scratch):
+def test_history_table_rewrites_only_changed_buckets(spark, scratch):
     import glob
     import os
     from ledgerline.session import local_path
@@ -338,14 +338,18 @@ def test_scd2_merge_table_rewrites_only_changed_buckets(spark, scratch):
     cols = ["segment", "email"]
     history.scd2_merge_table(spark, path, raw.where("ver = 0"), ["customer_id"], "updated_at", cols, buckets=16)
     before = {d: sorted(glob.glob(os.path.join(d, "*.parquet")))
-              for d in glob.glob(os.path.join(local_path(path), "_key_bucket=*"))}
+              for d in glob.glob(os.path.join(local_path(path), "state", "_key_bucket=*"))}
     changes = raw.where("ver = 1 AND customer_id < 20")
-    history.scd2_merge_table(spark, path, changes, ["customer_id"], "updated_at", cols, buckets=16)
+    table = history.scd2_merge_table(spark, path, changes, ["customer_id"], "updated_at", cols)
     touched = {r[0] for r in changes.select(history.key_bucket(["customer_id"], 16)).distinct().collect()}
+    assert before
     for d, files in before.items():
         b = int(d.rsplit("=", 1)[1])
-        if b not in touched:
-            assert sorted(glob.glob(os.path.join(d, "*.parquet"))) == files
-    got = spark.read.parquet(path).drop("_key_bucket")
+        assert (sorted(glob.glob(os.path.join(d, "*.parquet"))) == files) == (b not in touched)
     want = history.scd2_timestamp(raw.where("ver = 0").unionByName(changes), ["customer_id"], "updated_at", cols)
-    assert _set(got.select(*want.columns)) == _set(want)
+    assert _set(table.read().select(*want.columns)) == _set(want)
+    # the number of buckets and the other settings are the table's
+    for wrong in (dict(buckets=8), dict(columns=["segment"])):
+        with pytest.raises(ValueError, match="was made with"):
+            history.scd2_merge_table(spark, path, changes, ["customer_id"], "updated_at",
+                                     wrong.get("columns", cols), wrong.get("buckets"))
