@@ -25,6 +25,7 @@ INTERVAL_START = "2000-01-01 00:00:00"
 OVERLAP_STARTS = ("2000-01-01 00:00:00", "2001-01-01 00:00:00")
 BACKFILL_MONTHS = ("1996-01-01", "1996-12-01")
 SKEWED_PRODUCT = 1
+STATE_AS_OF = "1996-06-01 00:00:00"
 CONSUMER_POSITIONS = (("warehouse_sink", "2024-01-20 00:00:00"), ("search_index", "2024-01-29 00:00:00"))
 PAYMENT_PROVIDERS = (("card", "card_network", "0.0290"), ("bank_transfer", "bank", "0.0050"),
                      ("wallet", "wallet_provider", "0.0150"), ("cash", "cash_desk", "0.0000"))
@@ -643,6 +644,59 @@ SELECT key, seq, ts, op, CAST(json_extract(payload, '$.k') AS BIGINT) AS k FROM
   FROM change_events) t
 WHERE _rn = 1 AND op <> 'd'"""
 
+_ORDER_CHANGES = f"""order_changes AS (
+  SELECT o_orderkey AS order_id, ver, CASE ver WHEN 0 THEN 'c' WHEN 1 THEN 'u' ELSE 'd' END AS op,
+         o_orderkey * 10 + ver AS seq,
+         CASE ver WHEN 0 THEN o_orderdate + to_days(CAST(o_orderkey % 30 AS INTEGER))
+                  WHEN 1 THEN o_orderdate + to_days(31)
+                  ELSE o_orderdate + to_days(CASE WHEN o_orderkey % 2 = 0 THEN 40 ELSE 15 END) END AS ts,
+         'ORD-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS order_ref, o_custkey AS customer_id,
+         CASE o_orderstatus WHEN 'F' THEN 'delivered'
+              WHEN 'O' THEN CASE WHEN ver = 1 THEN 'shipped' ELSE 'processing' END
+              WHEN 'P' THEN CASE WHEN ver = 1 THEN 'cancelled' ELSE 'pending' END END AS status,
+         CASE WHEN ver = 1 AND o_orderkey % 13 = 0 THEN NULL
+              ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN ver = 1 THEN 10 ELSE 0 END AS DECIMAL(18,2)) END
+              AS order_total,
+         CASE WHEN o_orderkey % 7 <> 0 THEN 'USD' END AS currency
+  FROM orders, (VALUES (0), (1), (3)) v(ver)
+  WHERE ver = 0 OR (ver = 1 AND o_orderkey % 3 = 0) OR (ver = 3 AND o_orderkey % 11 = 0)
+)"""
+
+
+def _orders_at(where: str) -> str:
+    return with_(_ORDER_CHANGES) + f"""
+SELECT order_id, order_ref, customer_id, status, order_total, currency, ts AS updated_at, op, seq, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ts DESC, seq DESC) AS _rn
+  FROM order_changes {where}) t
+WHERE _rn = 1 AND op <> 'd'"""
+
+
+ORACLE["cdc_orders_state"] = _orders_at("")
+ORACLE["cdc_state_as_of"] = _orders_at(f"WHERE ts <= TIMESTAMP '{STATE_AS_OF}'")
+
+ORACLE["cdc_customers_state"] = with_(RAW_CUSTOMERS) + f""",
+changes AS (
+  SELECT customer_id, external_id, email, full_name, segment, is_active, ver, updated_at AS ts FROM raw_customers
+  UNION ALL
+  SELECT c_custkey, NULL, NULL, NULL, NULL, NULL, 3,
+         TIMESTAMP '{CUSTOMERS_CREATED_AT}' + to_days(CASE WHEN c_custkey % 2 = 0 THEN 35 ELSE 10 END)
+  FROM customer WHERE c_custkey % 17 = 0)
+SELECT customer_id, external_id, email, full_name, segment, is_active,
+       CASE ver WHEN 0 THEN 'c' ELSE 'u' END AS op, customer_id * 10 + ver AS seq, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY ts DESC, ver DESC) AS _rn FROM changes) t
+WHERE _rn = 1 AND ver <> 3"""
+
+ORACLE["cdc_drift"] = with_(_ORDER_CHANGES) + """,
+n AS (SELECT count(*) FILTER (WHERE ver <> 3 AND order_id % 5 = 0) AS channel,
+             count(*) FILTER (WHERE ver <> 3 AND currency IS NULL) AS currency,
+             count(*) FILTER (WHERE ver = 1 AND order_id % 13 = 0) AS total FROM order_changes)
+SELECT 'orders' AS table_name, 'channel' AS field, 'added' AS problem, NULL AS declared_type, 'STRING' AS seen_type,
+       channel AS n_records FROM n
+UNION ALL SELECT 'orders', 'currency', 'missing', 'string', NULL, currency FROM n
+UNION ALL SELECT 'orders', 'order_total', 'type', 'decimal(18,2)', 'STRING', total FROM n WHERE total > 0
+UNION ALL SELECT 'regions', NULL, 'table', NULL, NULL, count(*) FROM region
+UNION ALL SELECT NULL, NULL, 'record', NULL, NULL, count(*) FROM nation"""
+
 ORACLE["stream_dedup"] = "SELECT * FROM events"
 
 ORACLE["events_tumbling_count"] = """

@@ -18,6 +18,7 @@ from ..sources import testdata as td
 from ..sources.extract import SourceSpec, extract_full, extract_interval
 from ..sources.loader import IncrementalLoader
 from ..streaming import jobs
+from ..streaming.changes import ChangeLog, ChangeTable, read_change_files
 from . import incremental, reports
 from .catalog import register
 
@@ -276,6 +277,64 @@ def q_cdc_apply(spark, sf_dir):
     return jobs.state_view(spark, root)
 
 
+ORDER_CHANGES = ChangeTable("orders", ("order_id",), T.StructType([
+    T.StructField("order_id", T.LongType()), T.StructField("order_ref", T.StringType()),
+    T.StructField("customer_id", T.LongType()), T.StructField("status", T.StringType()),
+    T.StructField("order_total", T.DecimalType(18, 2)), T.StructField("currency", T.StringType()),
+    T.StructField("updated_at", T.TimestampNTZType()),
+]))
+CUSTOMER_CHANGES = ChangeTable("customers", ("customer_id",), T.StructType([
+    T.StructField("customer_id", T.LongType()), T.StructField("external_id", T.StringType()),
+    T.StructField("email", T.StringType()), T.StructField("full_name", T.StringType()),
+    T.StructField("segment", T.StringType()), T.StructField("is_active", T.BooleanType()),
+]))
+
+
+def streamed_changes(spark, sf_dir) -> ChangeLog:
+    """Change records of several tables delivered in three parts, each taken
+    by a run of one stream; the logs are compacted after the second."""
+    root = scratch_path(spark, "changes")
+    log = ChangeLog(spark, root, (ORDER_CHANGES, CUSTOMER_CHANGES))
+    records = td.change_records(spark, sf_dir)
+    for part in (1, 2, 0):
+        records.where(F.col("seq") % 3 == part).select("value").write.mode("append").text(f"{root}/in")
+        log.stream(read_change_files(spark, f"{root}/in"), f"{root}/_checkpoint", AVAILABLE_NOW).awaitTermination()
+        if part == 2:
+            for t in log.tables:
+                log.compact(t.name)
+    return log
+
+
+@register("cdc_orders_state")
+def q_cdc_orders_state(spark, sf_dir):
+    """Current orders out of a stream of several tables' changes: all declared
+    columns typed, deletes and late changes applied in order."""
+    return streamed_changes(spark, sf_dir).state("orders")
+
+
+@register("cdc_customers_state")
+def q_cdc_customers_state(spark, sf_dir):
+    return streamed_changes(spark, sf_dir).state("customers")
+
+
+@register("cdc_state_as_of")
+def q_cdc_state_as_of(spark, sf_dir):
+    """Orders as they were at a time, replayed from the retained records."""
+    return streamed_changes(spark, sf_dir).state_as_of("orders", td.STATE_AS_OF)
+
+
+@register("cdc_drift")
+def q_cdc_drift(spark, sf_dir):
+    """Fields and tables that are not declared, missing or of another type;
+    lines that were no records are counted as ``record``."""
+    log = streamed_changes(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    lines = log.rejected().agg(F.count("*").alias("n_records")).select(
+        none.alias("table_name"), none.alias("field"), F.lit("record").alias("problem"),
+        none.alias("declared_type"), none.alias("seen_type"), "n_records")
+    return log.drift().unionByName(lines)
+
+
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """The event files delivered twice (two sources over the same files,

@@ -132,6 +132,11 @@ def delete_files(spark: SparkSession, files: list[str]) -> None:
         fs.delete(p, False)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 

@@ -42,6 +42,8 @@ CONSUMER_POSITIONS = (("warehouse_sink", "2024-01-20 00:00:00"), ("search_index"
 # every third order line is moved to.
 SKEW_HOT_ROWS = 1_000
 SKEWED_PRODUCT = 1
+# Time of the point-in-time replay of the change log.
+STATE_AS_OF = "1996-06-01 00:00:00"
 # Payment method reference rows (method, provider, fee rate).
 PAYMENT_PROVIDERS = (("card", "card_network", "0.0290"), ("bank_transfer", "bank", "0.0050"),
                      ("wallet", "wallet_provider", "0.0150"), ("cash", "cash_desk", "0.0000"))
@@ -344,3 +346,68 @@ def to_change_envelope(ev: DataFrame) -> DataFrame:
         _map(et, EVENT_OPS, default="u").alias("op"),
         F.col("props").alias("payload"),
     )
+
+
+# ---------------------------------------------------------------------------
+# change records of several tables in one stream
+# ---------------------------------------------------------------------------
+def _record(table: str, key: str, seq: Column, at: Column, op: Column, before: Column, after: Column) -> Column:
+    """One change record as JSON text; ``before`` and ``after`` are JSON text."""
+    none = F.lit("null")
+    return F.concat(F.lit(f'{{"table":"{table}","seq":'), seq.cast("string"), F.lit(',"ts":"'),
+                    F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.lit('","op":"'), op,
+                    F.lit(f'","key":{{"{key}":'), F.col(key).cast("string"), F.lit('},"before":'),
+                    F.coalesce(before, none), F.lit(',"after":'), F.coalesce(after, none), F.lit("}"))
+
+
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders created (0), updated (1), and deleted (3; of those with an odd
+    key before their update). Some rows have a field more, some lack one, some
+    hold text where a number is declared."""
+    k = F.col("o_orderkey")
+    o = read(spark, sf_dir, "orders")
+    rows = _orders_frame(o, _versions((0, None), (1, k % 3 == 0), (3, k % 11 == 0)))
+    k, ver = F.col("order_id"), F.col("ver")
+    at = F.when(ver == 3, plus_days(F.col("created_at"), F.when(k % 2 == 0, 40).otherwise(15))) \
+        .otherwise(F.col("updated_at"))
+
+    def row(total: Column) -> Column:
+        return F.to_json(F.struct(
+            "order_id", "order_ref", "customer_id", "status", total.alias("order_total"),
+            F.when(k % 7 != 0, F.col("currency")).alias("currency"), "updated_at",
+            F.when(k % 5 == 0, F.lit("web")).alias("channel")))
+    after = F.when((ver == 1) & (k % 13 == 0), row(F.lit("n/a"))).when(ver != 3, row(F.col("order_total")))
+    before = F.when(ver != 0, F.to_json(F.struct("order_id", "customer_id")))
+    op = F.when(ver == 0, "c").when(ver == 1, "u").otherwise("d")
+    seq = k * 10 + ver
+    return rows.select(seq.alias("seq"), _record("orders", "order_id", seq, at, op, before, after).alias("value"))
+
+
+def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers created (0), updated (1) and deleted (3)."""
+    k = F.col("c_custkey")
+    rows = _customers_frame(read(spark, sf_dir, "customer"),
+                            _versions((0, None), (1, k % 5 == 0), (3, k % 17 == 0)))
+    k, ver = F.col("customer_id"), F.col("ver")
+    at = F.when(ver == 3, plus_days(F.col("created_at"), F.when(k % 2 == 0, 35).otherwise(10))) \
+        .otherwise(F.col("updated_at"))
+    after = F.when(ver != 3, F.to_json(F.struct("customer_id", "external_id", "email", "full_name", "segment",
+                                                "is_active")))
+    before = F.when(ver != 0, F.to_json(F.struct("customer_id")))
+    op = F.when(ver == 0, "c").when(ver == 1, "u").otherwise("d")
+    seq = k * 10 + ver
+    return rows.select(seq.alias("seq"), _record("customers", "customer_id", seq, at, op, before, after).alias("value"))
+
+
+def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(seq, value): the records of two declared tables, of one that is not
+    declared, and lines that are no records, in one stream."""
+    region = read(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("region_id"), "r_name").select(
+        F.col("region_id").cast("bigint").alias("seq"),
+        _record("regions", "region_id", F.col("region_id"), ts(CUSTOMERS_CREATED_AT), F.lit("r"),
+                F.lit(None).cast("string"), F.to_json(F.struct("region_id", "r_name"))).alias("value"))
+    broken = read(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("seq"), F.concat(F.lit('{"table": '), F.col("n_name")).alias("value"))
+    return order_records(spark, sf_dir).unionByName(customer_records(spark, sf_dir)) \
+        .unionByName(region).unionByName(broken)
