@@ -699,6 +699,11 @@ UNION ALL SELECT NULL, NULL, 'record', NULL, NULL, count(*) FROM nation"""
 
 ORACLE["stream_dedup"] = "SELECT * FROM events"
 
+ORACLE["stream_dedup_late"] = """
+SELECT * FROM events
+UNION ALL
+SELECT * REPLACE (CAST(NULL AS BIGINT) AS event_id) FROM events WHERE event_id % 50 = 0"""
+
 ORACLE["events_tumbling_count"] = """
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
        event_type, count(*) AS event_count

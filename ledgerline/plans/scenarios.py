@@ -19,6 +19,7 @@ from ..sources.extract import SourceSpec, extract_full, extract_interval
 from ..sources.loader import IncrementalLoader
 from ..streaming import jobs
 from ..streaming.changes import ChangeLog, ChangeTable, read_change_files
+from ..streaming.dedup import DedupSink
 from . import incremental, reports
 from .catalog import register
 
@@ -339,15 +340,29 @@ def q_cdc_drift(spark, sf_dir):
 def q_stream_dedup(spark, sf_dir):
     """The event files delivered twice (two sources over the same files,
     as after a replay), deduplicated by event id on the way into the sink
-    (map-side combined per micro-batch, then checked against the sink's
-    recent ids)."""
+    (map-side combined per micro-batch, then checked against the ids of all
+    earlier batches)."""
     root = scratch_path(spark, "dedup")
     a = jobs.read_stream(spark, _events_path(sf_dir))
     b = jobs.read_stream(spark, _events_path(sf_dir))
-    q = jobs.dedup_into_sink(a.unionByName(b), f"{root}/out", f"{root}/_checkpoint",
-                             trigger=AVAILABLE_NOW)
-    q.awaitTermination()
-    return jobs.read_deduped(spark, f"{root}/out")
+    sink = DedupSink(spark, f"{root}/out")
+    sink.stream(a.unionByName(b), f"{root}/_checkpoint", AVAILABLE_NOW).awaitTermination()
+    return sink.read()
+
+
+@register("stream_dedup_late")
+def q_stream_dedup_late(spark, sf_dir):
+    """Events in three deliveries, each run a trigger of its own: later ones
+    hold late copies of earlier events, with another time, and events without
+    an id. The id index is compacted after the first two."""
+    root = scratch_path(spark, "dedup-late")
+    sink = DedupSink(spark, f"{root}/out", buckets=16)
+    for part, rows in enumerate(td.event_deliveries(spark, sf_dir)):
+        rows.write.mode("append").parquet(f"{root}/in")
+        sink.stream(jobs.read_stream(spark, f"{root}/in"), f"{root}/_checkpoint", AVAILABLE_NOW).awaitTermination()
+        if part < 2:
+            sink.compact()
+    return sink.read()
 
 
 @register("events_tumbling_count")

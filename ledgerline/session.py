@@ -132,6 +132,14 @@ def delete_files(spark: SparkSession, files: list[str]) -> None:
         fs.delete(p, False)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, p = _fs_path(spark, path)
     fs.delete(p, True)

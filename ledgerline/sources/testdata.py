@@ -331,6 +331,20 @@ def source_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Events in three deliveries. Each repeats all events of the ones before
+    with a time four days later, and every 50th of its own without an id."""
+    ev = read(spark, sf_dir, "events")
+    part = F.col("event_id") % 3
+    out = []
+    for n in range(3):
+        own = ev.where(part == n)
+        late = ev.where(part < n).withColumn("ts", F.col("ts") + F.expr("INTERVAL 4 DAYS"))
+        nameless = own.where(F.col("event_id") % 50 == 0).withColumn("event_id", F.lit(None).cast("bigint"))
+        out.append(own.unionByName(own).unionByName(late).unionByName(nameless))
+    return out
+
+
 def change_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """CDC envelope over ``events``: key, seq, ts, op, payload."""
     ev = events if events is not None else read(spark, sf_dir, "events")

@@ -10,9 +10,7 @@
   latest change per key over the log, deletes removed (``current_state``).
   No table is rewritten per micro-batch, so the cost of a batch grows with
   the batch, not with the table; compaction is a separate batch job.
-* ``dedup_replayed``: at-least-once sources deliver some events twice;
-  ``dropDuplicatesWithinWatermark`` keeps one per event id with state
-  bounded by the watermark.
+* at-least-once sources deliver some events twice: see ``dedup.py``.
 * ``windowed_counts``: tumbling-window counts per event type, without state
   and without a watermark: each micro-batch logs the counts of its own events
   (``emit_counts``), the sum over the log is a window's current count, so an
@@ -153,57 +151,6 @@ def events_to_changes(events: DataFrame) -> DataFrame:
     return to_change_envelope(events)
 
 
-# ---------------------------------------------------------------------------
-# replay dedup
-# ---------------------------------------------------------------------------
-def dedup_replayed(events: DataFrame, id_col: str = "event_id", ts_col: str = "ts",
-                   delay: str = "1 hour") -> DataFrame:
-    ev = events.withColumn("_ets", F.col(ts_col).cast("timestamp"))
-    return ev.withWatermark("_ets", delay).dropDuplicatesWithinWatermark([id_col]).drop("_ets")
-
-
-def write_new_events(batch: DataFrame, batch_id: int, sink: str, id_col: str = "event_id",
-                     ts_col: str = "ts", retention_days: int = 1) -> None:
-    """One micro-batch of the sink-based dedup.
-
-    1. ``dropDuplicates`` on the batch: a hash aggregate with a map-side
-       partial step, so many copies of one id collapse before the shuffle;
-    2. ids already in the sink are dropped: only the sink's date partitions
-       from ``retention_days`` before the batch's oldest event are read, and
-       they are probed with the batch's ids (broadcast when few) rather than
-       shuffled; rows of an earlier attempt of this same batch are ignored;
-    3. the rows are written to (event_date, _batch_id) partitions with
-       dynamic overwrite, so a replayed batch replaces its own output."""
-    spark = batch.sparkSession
-    first = batch.dropDuplicates([id_col]).withColumn("event_date", F.to_date(ts_col))
-    if path_exists(spark, sink):
-        lo = first.agg(F.min("event_date")).first()[0]
-        if lo is not None:
-            ids = first.select(id_col)
-            if ids.limit(5_000_001).count() <= 5_000_000:
-                ids = F.broadcast(ids)
-            recent = (spark.read.parquet(sink)
-                      .where((F.col("event_date") >= F.date_sub(F.lit(lo), retention_days))
-                             & (F.col("_batch_id") != batch_id))
-                      .select(id_col).join(ids, id_col, "left_semi"))
-            first = first.join(recent, id_col, "left_anti")
-    (first.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("event_date", "_batch_id").parquet(sink))
-
-
-def dedup_into_sink(events: DataFrame, sink: str, checkpoint: str, id_col: str = "event_id",
-                    ts_col: str = "ts", retention_days: int = 1,
-                    trigger: dict[str, Any] | None = None) -> StreamingQuery:
-    w = (events.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: write_new_events(df, bid, sink, id_col, ts_col, retention_days)))
-    return _start(w, trigger).start()
-
-
-def read_deduped(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.parquet(sink).drop("event_date", "_batch_id")
-
-
 def sink_parquet(df: DataFrame, path: str, checkpoint: str,
                  trigger: dict[str, Any] | None = None) -> StreamingQuery:
     w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)

@@ -4,12 +4,14 @@ consumers."""
 import os
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerline.session import local_path
 from ledgerline.sources import testdata as td
 from ledgerline.streaming import jobs
+from ledgerline.streaming.dedup import DedupSink
 
 NOW = {"availableNow": True}
 EVENTS = f"{SF_SMALL}/events.parquet"
@@ -110,21 +112,79 @@ def test_variant_flattening_matches_json_schema(spark):
 
 
 def test_sink_dedup_across_batches_and_replays(spark, scratch):
-    root = scratch("dedup")
+    sink = DedupSink(spark, scratch("dedup"), buckets=4)
     ev = spark.read.parquet(EVENTS)
-    jobs.write_new_events(ev.unionByName(ev), 0, f"{root}/out")
+    sink.write_batch(ev.unionByName(ev), 0)
     # a later batch repeating half the events adds nothing for those
-    jobs.write_new_events(ev.where("event_id % 2 = 0"), 1, f"{root}/out")
+    sink.write_batch(ev.where("event_id % 2 = 0"), 1)
     # replay of batch 0 replaces its own rows
-    jobs.write_new_events(ev.unionByName(ev), 0, f"{root}/out")
-    out = jobs.read_deduped(spark, f"{root}/out")
+    sink.write_batch(ev.unionByName(ev), 0)
+    out = sink.read()
     assert out.count() == ev.count() == out.select("event_id").distinct().count()
-    # the built-in stream operator gives the same rows
-    q = jobs.sink_parquet(jobs.dedup_replayed(jobs.read_stream(spark, EVENTS)
-                                              .unionByName(jobs.read_stream(spark, EVENTS))),
-                          f"{root}/builtin", f"{root}/_ck", NOW)
-    q.awaitTermination()
-    assert sorted(spark.read.parquet(f"{root}/builtin").collect()) == sorted(out.collect())
+    with pytest.raises(ValueError):
+        DedupSink(spark, sink.root, buckets=8).known(ev.select(F.col("event_id").alias("id")), 9)
+
+
+def test_dedup_keeps_nameless_and_drops_copies_of_any_age(spark, scratch):
+    import datetime as dt
+    import random
+    t0 = dt.datetime(2024, 1, 1)
+    rnd = random.Random(3)
+    sink = DedupSink(spark, scratch("dedup"), "i", "t", buckets=3)
+    seen, want, batches = set(), [], []
+    for b in range(9):
+        rows = [(rnd.choice([None, *range(200)]), t0 + dt.timedelta(days=rnd.randrange(400)) if rnd.random() < .9 else None,
+                 100 * b + j) for j in range(40)]
+        best = {}
+        for i, t, v in rows:
+            if i is None:
+                want.append((i, t, v))
+            elif i not in seen:
+                best.setdefault(i, []).append((t is None, t or t0, t, v))
+        batches.append(spark.createDataFrame(rows, "i int, t timestamp_ntz, v int"))
+        sink.write_batch(batches[-1], b)
+        if b in (1, 2, 5, 6, 7):
+            sink.compact()
+        if b == 6:                      # delivered again after its ids went into a run
+            sink.write_batch(batches[b], b)
+        for i, c in best.items():       # times are distinct but for missing ones
+            least = min(x[:2] for x in c)
+            want.append((i, {(x[2], x[3]) for x in c if x[:2] == least}))
+        seen |= set(best)
+    got = [tuple(r) for r in sink.read().collect()]
+    assert len(got) == len(want)
+    ids = {r[0]: r[1:] for r in got if r[0] is not None}
+    for w in want:
+        if w[0] is None:
+            assert w in got
+        else:
+            assert ids[w[0]] in w[1]
+    runs = sink.runs()
+    assert runs[0][0] == 0 and runs[-1][1] == 7 and len(runs) <= 3
+    assert all(a[1] + 1 == b[0] for a, b in zip(runs, runs[1:]))
+
+
+def test_few_ids_read_only_what_the_filters_leave(spark, scratch):
+    """Ids that no run holds: its Bloom filters leave no row to read, though
+    they lie between the smallest and the largest."""
+    sink = DedupSink(spark, scratch("dedup"), buckets=2)
+    ev = spark.range(20_000).select((F.col("id") * 2).alias("event_id"), F.lit(None).cast("timestamp_ntz").alias("ts"))
+    sink.write_batch(ev, 0)
+    sink.compact()
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        from ledgerline.streaming.dedup import pushed_values
+        def scanned(ids):
+            with pushed_values(spark, 200):
+                df = sink._within(sink._run((0, 0)), None, ids, True)
+                df.collect()
+                leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+                return leaf.metrics().apply("numOutputRows").value()
+        assert scanned([10, 20_000]) >= 10_000          # both buckets' files or one, whole row groups
+        assert scanned([11, 1001, 20_001]) == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
 
 
 def test_windowed_counts_keep_late_events(spark, scratch):
