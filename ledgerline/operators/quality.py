@@ -24,6 +24,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import swap_folder
+
 SUMMARY_SCHEMA = ("check_name", "table_name", "failing_rows", "severity", "status")
 
 
@@ -275,22 +277,22 @@ def store_failures(failures: DataFrame, path: str, run_id: str) -> None:
 
 
 def publish(candidate: DataFrame, path: str, checks, partition_by=(), run_id: str = "candidate") -> DataFrame:
-    """Write-audit-publish: write the candidate next to the target, run the
-    checks on what was written (``checks(df) -> list[TableChecks]``), and
-    only when the gate passes overwrite the published table from the
-    candidate. A failing gate raises and leaves the published table as it
-    was. Returns the summary."""
+    """Write-audit-publish of a path table: write the candidate next to the
+    target, run the checks on what was written (``checks(df) ->
+    list[TableChecks]``), and only when the gate passes put its folder in the
+    target's place, files, clustering and all. A failing gate raises and leaves
+    the published table as it was. Returns the summary. (A catalog table is
+    swapped in one change: ``operators/versions.py``.)"""
     spark = candidate.sparkSession
     cand_path = f"{path.rstrip('/')}_candidates/{run_id}"
     w = candidate.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     w.parquet(cand_path)
-    written = spark.read.parquet(cand_path)
-    summary = suite_summary(checks(written))
+    summary = suite_summary(checks(spark.read.parquet(cand_path)))
+    # the checks' counts: one row per check, fixed before the folder moves
+    rows = summary.collect()
+    summary = spark.createDataFrame(rows, summary.schema)
     gate(summary)
-    w2 = written.write.mode("overwrite")
-    if partition_by:
-        w2 = w2.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
-    w2.parquet(path)
+    swap_folder(spark, cand_path, path)
     return summary

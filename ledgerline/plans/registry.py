@@ -1,23 +1,26 @@
 """Model registry: named DataFrame functions with dependencies, tags and
 a materialisation.
 
-A model is ``fn(inputs: dict[str, DataFrame]) -> DataFrame``; its inputs
+A model is ``fn(inputs: dict[str, DataFrame]) -> DataFrame``, or a SELECT
+(``sql``) that names its inputs as ``{stg_orders}`` or ``{raw.orders}``; inputs
 are sources (``source:raw.orders``) or other models. ``build`` resolves the
 selected models and their upstream closure in dependency order and
 materialises each:
 
 * ``view``      - a temp view over the lazy plan (Catalyst inlines it into
-                  every consumer, so filters reach the raw scan);
+                  every consumer, so filters reach the raw scan); in an
+                  environment, a SELECT model is a permanent view of its layer;
 * ``ephemeral`` - not registered at all, only inlined into consumers;
-* ``table``     - written (overwrite) as a parquet table. ``cluster_by``
-                  expressions range-partition and sort the rows before the
-                  write, so each file covers a contiguous key range and
-                  parquet min/max statistics prune files and row groups
-                  (the day clustering of the fact) without a directory per
-                  day; ``partition_by`` adds directory partitions.
-
-Column docs are attached as StructField metadata (``comment``), which
-parquet keeps in the file schema.
+* ``table``     - written as a parquet table, clustered by ``cluster_by``
+                  (see ``operators/versions.py``). In an environment it is a
+                  table of its layer's database, published by location swap;
+                  with ``table_path`` it is a folder, put in place by renaming.
+                  ``partition_by`` adds directory partitions (folders only).
+
+Checks run on what was written, before it is published. Column docs are kept
+in the files and, with the model's description, in the catalog. With an
+environment, every job carries the target's tag and the model's name, and the
+target's number of threads builds the models of a level.
 """
 
 from __future__ import annotations
@@ -26,7 +29,9 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from ..config import Environment
+from ..operators.versions import clustered, with_docs
 
 ModelFn = Callable[[dict[str, DataFrame]], DataFrame]
 
@@ -45,6 +50,8 @@ class Model:
     # df -> list[quality.TableChecks]; a table model with checks is built
     # write-audit-publish: candidate written, checked, then swapped in
     checks: Callable | None = None
+    sql: str | None = None      # a SELECT over {inputs}, instead of fn
+    layer: str | None = None    # default: the first of its tags that is a layer, else marts
 
 
 @dataclass
@@ -58,14 +65,26 @@ class Registry:
     def model(self, name: str, deps: Iterable[str] = (), materialized: str = "view",
               tags: Iterable[str] = (), cluster_by: Iterable[str] = (),
               partition_by: Iterable[str] = (), description: str = "",
-              column_docs: dict[str, str] | None = None, checks: Callable | None = None):
+              column_docs: dict[str, str] | None = None, checks: Callable | None = None,
+              layer: str | None = None):
         def deco(fn: ModelFn) -> ModelFn:
             self.models[name] = Model(name, fn, tuple(deps), materialized, tuple(tags),
                                       tuple(cluster_by), tuple(partition_by), description,
-                                      dict(column_docs or {}), checks)
+                                      dict(column_docs or {}), checks, None, layer)
             return fn
         return deco
 
+    def sql_model(self, name: str, select: str, deps: Iterable[str] = (), materialized: str = "view", **kw) -> None:
+        """A model stated as a SELECT; ``{dep}`` stands for an input's name."""
+        deps = tuple(deps)
+
+        def fn(inputs: dict[str, DataFrame]) -> DataFrame:
+            spark = next(iter(inputs.values())).sparkSession
+            return spark.sql(_filled(select, {d: "{" + _arg(d) + "}" for d in deps}),
+                             **{_arg(d): inputs[d] for d in deps})
+        self.model(name, deps, materialized, **kw)(fn)
+        self.models[name].sql = select
+
     # -- selection ---------------------------------------------------------
     def select(self, names: Iterable[str] = (), tags: Iterable[str] = ()) -> list[str]:
         """Selected models plus everything upstream, in dependency order."""
@@ -105,12 +124,17 @@ class Registry:
         return out
 
     def build(self, spark: SparkSession, names: Iterable[str] = (), tags: Iterable[str] = (),
-              table_path: Callable[[str], str] | None = None, threads: int = 1) -> dict[str, DataFrame]:
+              table_path: Callable[[str], str] | None = None, threads: int | None = None,
+              env: Environment | None = None) -> dict[str, DataFrame]:
         """Materialise the selection. Models of one dependency level are
-        built concurrently (``threads``); Spark runs their jobs side by side."""
+        built concurrently (``threads``; by default the target's); Spark runs
+        their jobs side by side."""
         from concurrent.futures import ThreadPoolExecutor
 
+        threads = threads or (env.target.threads if env else 1)
         built: dict[str, DataFrame] = {}
+        if env is not None:
+            env.ensure_databases()
 
         def get(n: str) -> DataFrame:
             if n not in built and n.startswith("source:"):
@@ -119,28 +143,10 @@ class Registry:
 
         def make(n: str) -> tuple[str, DataFrame]:
             m = self.models[n]
-            df = with_docs(m.fn({d: get(d) for d in m.deps}), m.column_docs)
-            if m.materialized == "table":
-                if table_path is None:
-                    raise ValueError("table materialisation needs table_path")
-                path = table_path(n)
-                out = df
-                if m.cluster_by:
-                    keys = [F.expr(c) for c in m.cluster_by]
-                    out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-                if m.checks is not None:
-                    from ..operators.quality import publish
-                    # raises QualityGateError and leaves the published table as it was
-                    publish(out, path, m.checks, m.partition_by, run_id=n)
-                else:
-                    w = out.write.mode("overwrite")
-                    if m.partition_by:
-                        w = w.partitionBy(*m.partition_by).option("partitionOverwriteMode", "static")
-                    w.parquet(path)
-                df = spark.read.parquet(path)
-            elif m.materialized == "view":
-                df.createOrReplaceTempView(n)
-            return n, df
+            if env is None:
+                return n, self._made(spark, m, {d: get(d) for d in m.deps}, table_path)
+            with env.tagged(f"build {n}"):
+                return n, self._made_in(env, m, {d: get(d) for d in m.deps})
 
         for level in self.levels(self.select(names, tags)):
             for m in level:
@@ -155,13 +161,71 @@ class Registry:
             built.update(results)
         return built
 
-
-def with_docs(df: DataFrame, docs: dict[str, str]) -> DataFrame:
-    """Attach column comments as field metadata (kept by parquet writes)."""
-    if not docs:
+    @staticmethod
+    def _made(spark: SparkSession, m: Model, inputs: dict[str, DataFrame],
+              table_path: Callable[[str], str] | None) -> DataFrame:
+        df = with_docs(m.fn(inputs), m.column_docs)
+        if m.materialized == "view":
+            df.createOrReplaceTempView(m.name)
+        if m.materialized != "table":
+            return df
+        if table_path is None:
+            raise ValueError("table materialisation needs table_path or an environment")
+        path, out = table_path(m.name), clustered(df, m.cluster_by)
+        if m.checks is not None:
+            from ..operators.quality import publish
+            # raises QualityGateError and leaves the published table as it was
+            publish(out, path, m.checks, m.partition_by, run_id=m.name)
+        else:
+            w = out.write.mode("overwrite")
+            if m.partition_by:
+                w = w.partitionBy(*m.partition_by).option("partitionOverwriteMode", "static")
+            w.parquet(path)
+        return spark.read.parquet(path)
+
+    def _layer(self, env: Environment, m: Model) -> str:
+        return m.layer or next((t for t in m.tags if t in env.target.databases), "marts")
+
+    def _made_in(self, env: Environment, m: Model, inputs: dict[str, DataFrame]) -> DataFrame:
+        layer = self._layer(env, m)
+        if m.materialized == "table":
+            if m.partition_by:
+                raise ValueError(f"{m.name}: a catalog table is clustered, not partitioned")
+            table = env.versioned(layer, m.name, m.description)
+            table.publish(m.fn(inputs), m.checks, m.cluster_by, m.column_docs)
+            return env.spark.table(table.table)
+        # a permanent view can only name permanent inputs
+        names = {d: self._name(env, d) for d in m.deps}
+        if m.materialized == "view" and m.sql is not None and all(names.values()):
+            return env.spark.table(env.view(layer, m.name, _filled(m.sql, names), m.description))
+        df = with_docs(m.fn(inputs), m.column_docs)
+        if m.materialized == "view":
+            df.createOrReplaceTempView(m.name)
         return df
-    return df.select(*[F.col(c).alias(c, metadata={"comment": docs[c]}) if c in docs else F.col(c)
-                       for c in df.columns])
+
+    def _name(self, env: Environment, dep: str) -> str | None:
+        """Catalog name of an input, if it has one."""
+        if dep.startswith("source:"):
+            layer, _, name = _short(dep).partition(".")
+            name = env.target.table(layer, name) if layer in env.target.databases else None
+        else:
+            m = self.models[dep]
+            name = None if m.materialized == "ephemeral" else env.target.table(self._layer(env, m), dep)
+        return name if name and env.spark.catalog.tableExists(name) else None
+
+
+def _filled(select: str, names: dict[str, str]) -> str:
+    for dep, name in names.items():
+        select = select.replace("{" + _short(dep) + "}", name)
+    return select
+
+
+def _short(dep: str) -> str:
+    return dep.removeprefix("source:")
+
+
+def _arg(dep: str) -> str:
+    return _short(dep).replace(".", "_")
 
 
 def finance_registry(raw_orders: Callable[[], DataFrame],

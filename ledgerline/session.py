@@ -140,6 +140,32 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """Modification time of a file, in milliseconds."""
+    fs, p = _fs_path(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
+
+
+def swap_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path`` by renaming; what was
+    there is removed afterwards, or put back if the renaming fails."""
+    import uuid
+
+    (fs, src), (_, dst) = _fs_path(spark, new), _fs_path(spark, path)
+    _, old = _fs_path(spark, f"{path.rstrip('/')}-{uuid.uuid4().hex[:12]}")
+    held = fs.exists(dst)
+    if held and not fs.rename(dst, old):
+        raise OSError(f"{path} could not be renamed")
+    if not fs.exists(dst.getParent()):
+        fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        if held:
+            fs.rename(old, dst)
+        raise OSError(f"{new} could not be renamed to {path}")
+    if held:
+        fs.delete(old, True)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, p = _fs_path(spark, path)
     fs.delete(p, True)
