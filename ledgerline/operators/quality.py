@@ -255,7 +255,11 @@ def suite_failures(specs: Sequence[TableChecks]) -> DataFrame:
 
 
 class QualityGateError(RuntimeError):
-    pass
+    """``failed``: (check_name, table_name, failing_rows) of the failed checks."""
+
+    def __init__(self, message: str, failed: Sequence[tuple] = ()):
+        super().__init__(message)
+        self.failed = [tuple(r) for r in failed]
 
 
 def gate(summary: DataFrame) -> None:
@@ -265,7 +269,7 @@ def gate(summary: DataFrame) -> None:
                                                             "failing_rows").collect()
     if failed:
         desc = ", ".join(f"{r.check_name}@{r.table_name}={r.failing_rows}" for r in failed)
-        raise QualityGateError(f"data quality gate failed: {desc}")
+        raise QualityGateError(f"data quality gate failed: {desc}", failed)
 
 
 def store_failures(failures: DataFrame, path: str, run_id: str) -> None:

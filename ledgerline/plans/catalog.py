@@ -128,15 +128,18 @@ def q_watermark_simulation(spark, sf_dir):
                                  td.CHANGED_SINCE_AS_OF)
 
 
-@register("fk_orphans")
-def q_fk_orphans(spark, sf_dir):
-    orders = td.source_orders(spark, sf_dir)
+def order_orphans(t: dict[str, DataFrame]) -> DataFrame:
     return reports.fk_orphans({
-        "orphaned_items": (td.source_order_items(spark, sf_dir), "order_id", orders, "order_id"),
-        "orphaned_payments": (td.source_payments(spark, sf_dir), "order_id", orders, "order_id"),
+        "orphaned_items": (t["order_items"], "order_id", t["orders"], "order_id"),
+        "orphaned_payments": (t["payments"], "order_id", t["orders"], "order_id"),
     })
 
 
+@register("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    return order_orphans(source_tables(spark, sf_dir))
+
+
 @register("three_way_join")
 def q_three_way_join(spark, sf_dir):
     return reports.order_lines_detail(td.source_order_items(spark, sf_dir),
@@ -184,23 +187,32 @@ def q_dq_unique(spark, sf_dir):
                                            ["l_orderkey", "l_linenumber"])))
 
 
-@register("dq_expression")
-def q_dq_expression(spark, sf_dir):
-    return (q.row_check_counts(build_fct_orders(spark, sf_dir), "fct_orders",
+def expression_checks(fct: DataFrame, stg_orders: DataFrame, items: DataFrame) -> DataFrame:
+    return (q.row_check_counts(fct, "fct_orders",
                                [q.expression_is_true("expression_order_total_usd_ge_0",
                                                      "order_total_usd >= 0")])
-            .unionByName(q.row_check_counts(build_stg_orders(spark, sf_dir), "stg_orders",
+            .unionByName(q.row_check_counts(stg_orders, "stg_orders",
                                             [q.expression_is_true("expression_updated_after_created",
                                                                   "updated_at >= created_at")]))
-            .unionByName(q.row_check_counts(td.source_order_items(spark, sf_dir), "order_items",
+            .unionByName(q.row_check_counts(items, "order_items",
                                             [q.expression_is_true("expression_line_total_le_gross",
                                                                   "line_total <= quantity * unit_price")])))
 
 
+@register("dq_expression")
+def q_dq_expression(spark, sf_dir):
+    return expression_checks(build_fct_orders(spark, sf_dir), build_stg_orders(spark, sf_dir),
+                             td.source_order_items(spark, sf_dir))
+
+
+def not_positive(fct: DataFrame) -> DataFrame:
+    """Singular test: rows returned are failures."""
+    return fct.where(F.col("order_total_usd") <= 0).select("order_id")
+
+
 @register("dq_positive_total")
 def q_dq_positive_total(spark, sf_dir):
-    """Singular test: rows returned are failures."""
-    return build_fct_orders(spark, sf_dir).where(F.col("order_total_usd") <= 0).select("order_id")
+    return not_positive(build_fct_orders(spark, sf_dir))
 
 
 # The source tables' CHECK constraints and accepted-value lists.
@@ -225,22 +237,28 @@ ACCEPTED_VALUES = {
 }
 
 
-@register("dq_check_constraints")
-def q_dq_check_constraints(spark, sf_dir):
-    t = source_tables(spark, sf_dir)
+def constraint_counts(t: dict[str, DataFrame]) -> DataFrame:
     parts = [q.row_check_counts(t[name], name, [q.expression_is_true(n, e) for n, e in rules])
              for name, rules in CHECK_CONSTRAINTS.items()]
     return reports._union(parts)
 
 
-@register("dq_accepted_values")
-def q_dq_accepted_values(spark, sf_dir):
-    t = source_tables(spark, sf_dir)
+@register("dq_check_constraints")
+def q_dq_check_constraints(spark, sf_dir):
+    return constraint_counts(source_tables(spark, sf_dir))
+
+
+def accepted_counts(t: dict[str, DataFrame]) -> DataFrame:
     parts = [q.row_check_counts(t[name], name, [q.accepted_values(c, vals) for c, vals in rules])
              for name, rules in ACCEPTED_VALUES.items()]
     return reports._union(parts)
 
 
+@register("dq_accepted_values")
+def q_dq_accepted_values(spark, sf_dir):
+    return accepted_counts(source_tables(spark, sf_dir))
+
+
 def relationship_specs(t: dict[str, DataFrame]):
     return [("orders", "customer_id", "customers", "customer_id"),
             ("order_items", "order_id", "orders", "order_id"),
@@ -248,16 +266,57 @@ def relationship_specs(t: dict[str, DataFrame]):
             ("payments", "order_id", "orders", "order_id")]
 
 
-@register("dq_relationships")
-def q_dq_relationships(spark, sf_dir):
+def relationship_counts(t: dict[str, DataFrame]) -> DataFrame:
     """Foreign keys of every table; one pass per child table."""
-    t = source_tables(spark, sf_dir)
     by_child: dict[str, list] = {}
     for child, fk, parent, pk in relationship_specs(t):
         by_child.setdefault(child, []).append((fk, t[parent], parent, pk))
     return reports._union([q.relationship_counts(t[child], child, rels) for child, rels in by_child.items()])
 
 
+@register("dq_relationships")
+def q_dq_relationships(spark, sf_dir):
+    return relationship_counts(source_tables(spark, sf_dir))
+
+
+# The same checks over tables with broken rows: every one of them fails.
+def faulty_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    return {name: td.faulty(df, name) if name in td.FAULTS else df
+            for name, df in source_tables(spark, sf_dir).items()}
+
+
+@register("fk_orphans_failing")
+def q_fk_orphans_failing(spark, sf_dir):
+    return order_orphans(faulty_tables(spark, sf_dir))
+
+
+@register("dq_check_constraints_failing")
+def q_dq_check_constraints_failing(spark, sf_dir):
+    return constraint_counts(faulty_tables(spark, sf_dir))
+
+
+@register("dq_accepted_values_failing")
+def q_dq_accepted_values_failing(spark, sf_dir):
+    return accepted_counts(faulty_tables(spark, sf_dir))
+
+
+@register("dq_relationships_failing")
+def q_dq_relationships_failing(spark, sf_dir):
+    return relationship_counts(faulty_tables(spark, sf_dir))
+
+
+@register("dq_expression_failing")
+def q_dq_expression_failing(spark, sf_dir):
+    return expression_checks(td.faulty(build_fct_orders(spark, sf_dir), "fct_orders"),
+                             td.faulty(build_stg_orders(spark, sf_dir), "stg_orders"),
+                             td.faulty(td.source_order_items(spark, sf_dir), "order_items"))
+
+
+@register("dq_positive_total_failing")
+def q_dq_positive_total_failing(spark, sf_dir):
+    return not_positive(td.faulty(build_fct_orders(spark, sf_dir), "fct_orders"))
+
+
 @register("dq_suite_summary")
 def q_dq_suite_summary(spark, sf_dir):
     """Test suite: source tests on raw orders (warn: the raw

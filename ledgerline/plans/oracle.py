@@ -731,3 +731,70 @@ UNION ALL SELECT 'not_null_order_total_usd', 'fct_orders', order_id, 1 FROM fct_
 UNION ALL SELECT 'not_null_created_at', 'fct_orders', order_id, 1 FROM fct_orders WHERE created_at IS NULL
 UNION ALL SELECT 'unique_order_id', 'fct_orders', order_id, count(*)
   FROM fct_orders WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1"""
+
+ORACLE["full_refresh_model"] = ORACLE["fct_orders"]
+ORACLE["catalog_fct_orders"] = ORACLE["fct_orders"]
+ORACLE["catalog_orders_by_day"] = with_(*_FCT) + """
+SELECT CAST(created_at AS DATE) AS order_day, count(*) AS orders, CAST(sum(order_total_usd) AS DECIMAL(38,2)) AS total_usd
+FROM fct_orders GROUP BY CAST(created_at AS DATE)"""
+
+# -- checks over broken rows ------------------------------------------------------
+_BAD = ("""bad_customers AS (SELECT * REPLACE (
+  CASE WHEN customer_id % 61 = 0 THEN 'vip' WHEN customer_id % 67 = 0 THEN NULL ELSE segment END AS segment)
+  FROM source_customers)""", """bad_products AS (SELECT * REPLACE (
+  CASE WHEN product_id % 59 = 0 THEN -unit_price ELSE unit_price END AS unit_price,
+  CASE WHEN product_id % 53 = 0 THEN -1 ELSE cost_price END AS cost_price)
+  FROM source_products)""", """bad_orders AS (SELECT * REPLACE (
+  CASE WHEN order_id % 101 = 0 THEN -order_total WHEN order_id % 109 = 0 THEN 0 ELSE order_total END AS order_total,
+  CASE WHEN order_id % 103 = 0 THEN -1 ELSE tax_amount END AS tax_amount,
+  CASE WHEN order_id % 107 = 0 THEN -0.01 ELSE discount_amount END AS discount_amount,
+  CASE WHEN order_id % 79 = 0 THEN 'lost' ELSE status END AS status,
+  CASE WHEN order_id % 89 = 0 THEN customer_id + 1000000000 WHEN order_id % 83 = 0 THEN NULL ELSE customer_id END
+       AS customer_id)
+  FROM source_orders)""", """bad_order_items AS (SELECT * REPLACE (
+  CASE WHEN order_id % 71 = 0 THEN 0 ELSE quantity END AS quantity,
+  CASE WHEN order_id % 73 = 0 THEN 100.01 ELSE discount_pct END AS discount_pct,
+  CASE WHEN order_id % 97 = 0 THEN -order_id WHEN (order_id + line_number) % 113 = 0 THEN NULL ELSE order_id END
+       AS order_id,
+  CASE WHEN (order_id + line_number) % 127 = 0 THEN -product_id ELSE product_id END AS product_id,
+  CASE WHEN (order_id + line_number) % 131 = 0 THEN line_total * 100 ELSE line_total END AS line_total)
+  FROM source_order_items)""", """bad_payments AS (SELECT * REPLACE (
+  CASE WHEN payment_id % 43 = 0 THEN 0 ELSE amount END AS amount,
+  CASE WHEN payment_id % 41 = 0 THEN 'barter' ELSE payment_method END AS payment_method,
+  CASE WHEN payment_id % 47 = 0 THEN order_id + 1000000000 WHEN payment_id % 37 = 0 THEN NULL ELSE order_id END
+       AS order_id)
+  FROM source_payments)""")
+_BAD_FCT = """bad_fct_orders AS (SELECT * REPLACE (
+  CASE WHEN CAST(order_id AS BIGINT) % 101 = 0 THEN -order_total_usd
+       WHEN CAST(order_id AS BIGINT) % 109 = 0 THEN 0 ELSE order_total_usd END AS order_total_usd,
+  CASE WHEN CAST(order_id AS BIGINT) % 83 = 0 THEN NULL ELSE customer_id END AS customer_id)
+  FROM fct_orders)"""
+_BAD_STG = """bad_stg_orders AS (SELECT * REPLACE (
+  CASE WHEN CAST(order_id AS BIGINT) % 103 = 0 THEN created_at - INTERVAL 1 DAY ELSE updated_at END AS updated_at)
+  FROM stg_orders)"""
+
+
+def _over_bad(key: str, *ctes: str) -> str:
+    """The statement of ``key`` over the broken tables instead."""
+    body = ORACLE[key].removeprefix(with_(*ctes))
+    return with_(*_SRC, *_FCT, *_BAD, _BAD_FCT, _BAD_STG) + body.replace("source_", "bad_").replace(
+        " FROM fct_orders", " FROM bad_fct_orders").replace(" FROM stg_orders", " FROM bad_stg_orders")
+
+
+ORACLE["fk_orphans_failing"] = _over_bad("fk_orphans", SOURCE_ORDERS, SOURCE_ORDER_ITEMS, SOURCE_PAYMENTS)
+ORACLE["dq_check_constraints_failing"] = _over_bad("dq_check_constraints", *_SRC)
+ORACLE["dq_accepted_values_failing"] = _over_bad("dq_accepted_values", SOURCE_CUSTOMERS, SOURCE_ORDERS, SOURCE_PAYMENTS)
+ORACLE["dq_relationships_failing"] = _over_bad("dq_relationships", *_SRC)
+ORACLE["dq_expression_failing"] = _over_bad("dq_expression", *_FCT, SOURCE_ORDER_ITEMS)
+ORACLE["dq_positive_total_failing"] = _over_bad("dq_positive_total", *_FCT)
+
+ORACLE["gate_blocks_publish"] = with_(*_FCT, _BAD_FCT) + """,
+candidate AS (SELECT * FROM bad_fct_orders
+              UNION ALL SELECT * FROM fct_orders WHERE CAST(order_id AS BIGINT) % 151 = 0),
+failed AS (
+  SELECT 'expression_order_total_usd_ge_0' AS check_name, count(*) FILTER (WHERE NOT (order_total_usd >= 0)) AS n FROM candidate
+  UNION ALL SELECT 'not_null_customer_id', count(*) FILTER (WHERE customer_id IS NULL) FROM candidate
+  UNION ALL SELECT 'unique_order_id', CAST(coalesce(sum(n), 0) AS BIGINT)
+    FROM (SELECT count(*) AS n FROM candidate GROUP BY order_id HAVING count(*) > 1) d)
+SELECT check_name, 'fct_orders' AS table_name, n AS rows FROM failed WHERE n > 0
+UNION ALL SELECT 'published', 'fct_orders', count(*) FROM fct_orders WHERE order_total_usd > 0"""

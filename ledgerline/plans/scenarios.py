@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import Environment, Target
 from ..operators import history, tables
 from ..operators.dedup import dedup_latest
 from ..session import scratch_path
@@ -22,6 +23,7 @@ from ..streaming.changes import ChangeLog, ChangeTable, read_change_files
 from ..streaming.dedup import DedupSink
 from . import incremental, reports
 from .catalog import register
+from .registry import finance_registry
 
 ORDERS = SourceSpec("orders", "updated_at", ("order_id",))
 SOURCES = {
@@ -201,6 +203,83 @@ def q_backfill_partition(spark, sf_dir):
     return incremental.read_fact(spark, path)
 
 
+@register("full_refresh_model")
+def q_full_refresh_model(spark, sf_dir):
+    """The fact built from the first extract, then rebuilt by a full refresh."""
+    path = scratch_path(spark, "fct_orders")
+    raw_o, raw_c = td.raw_orders(spark, sf_dir), td.raw_customers(spark, sf_dir)
+    first = raw_o.where(F.col("_extracted_at") <= F.lit(td.ORDERS_V0_EXTRACTED_AT).cast("timestamp_ntz"))
+    incremental.run_incremental(spark, path, first, raw_c)
+    incremental.run_incremental(spark, path, raw_o, raw_c, full_refresh=True)
+    return incremental.read_fact(spark, path)
+
+
+def catalog_environment(spark) -> Environment:
+    """A target of its own: databases of this call under the work folder."""
+    root = scratch_path(spark, "warehouse")
+    name = root[-12:]
+    return Environment(spark, Target("ci", {x: f"ll_{name}_{x}" for x in ("raw", "staging", "marts")}, threads=4,
+                                     query_tag=f"build-{name}", location=root))
+
+
+ORDERS_BY_DAY = """
+SELECT to_date(created_at) AS order_day, count(*) AS orders, CAST(sum(order_total_usd) AS DECIMAL(38,2)) AS total_usd
+FROM {fct_orders} GROUP BY to_date(created_at)"""
+
+
+def built_catalog(spark, sf_dir) -> Environment:
+    """Raw tables loaded and shown as permanent views of the raw layer; the
+    finance models built from them, twice, into their layers: temp staging
+    views, the checked fact as a table swapped by location and clustered by
+    day, a report over it as a permanent view."""
+    env = catalog_environment(spark)
+    loads = {"orders": td.raw_orders, "customers": td.raw_customers}
+    for name, build in loads.items():
+        path = f"{env.folder('raw')}/{name}"
+        with env.tagged(f"load {name}"):
+            tables.write_table(build(spark, sf_dir), path)
+        env.view_over("raw", name, path, f"all loads of {name}")
+    reg = finance_registry(lambda: spark.table(env.target.table("raw", "orders")),
+                           lambda: spark.table(env.target.table("raw", "customers")))
+    reg.sql_model("orders_by_day", ORDERS_BY_DAY, deps=["fct_orders"], tags=["marts", "finance"])
+    for _ in range(2):
+        reg.build(spark, tags=["finance"], env=env)
+    return env
+
+
+@register("catalog_fct_orders")
+def q_catalog_fct_orders(spark, sf_dir):
+    return spark.table(built_catalog(spark, sf_dir).target.table("marts", "fct_orders"))
+
+
+@register("catalog_orders_by_day")
+def q_catalog_orders_by_day(spark, sf_dir):
+    return spark.table(built_catalog(spark, sf_dir).target.table("marts", "orders_by_day"))
+
+
+@register("gate_blocks_publish")
+def q_gate_blocks_publish(spark, sf_dir):
+    """A good fact is published, then a faulty one is stopped by its checks:
+    the failed checks, and the rows of the table that readers still see."""
+    from ..operators import quality as q
+    from .catalog import build_fct_orders, fct_checks
+
+    env = catalog_environment(spark)
+    table = env.versioned("marts", "fct_orders")
+    fct = build_fct_orders(spark, sf_dir)
+    table.publish(fct, lambda df: [fct_checks(df)])
+    broken = td.faulty(fct, "fct_orders").unionByName(fct.where(F.col("order_id").cast("bigint") % 151 == 0))
+    failed = []
+    try:
+        table.publish(broken, lambda df: [fct_checks(df)])
+    except q.QualityGateError as e:
+        failed = e.failed
+    checks = spark.createDataFrame(failed, "check_name string, table_name string, rows bigint")
+    kept = spark.table(table.table).where(F.col("order_total_usd") > 0).agg(F.count("*").alias("rows")).select(
+        F.lit("published").alias("check_name"), F.lit("fct_orders").alias("table_name"), "rows")
+    return checks.unionByName(kept)
+
+
 @register("seed_values_join")
 def q_seed_values_join(spark, sf_dir):
     """Inline reference rows (VALUES) joined to payments on the method

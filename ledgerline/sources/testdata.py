@@ -315,6 +315,46 @@ def order_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             raw.where(F.col("order_id") % 5 == 0)]
 
 
+def _unless(faults: list[tuple[str, str]], column: str) -> Column:
+    """``column``, or the replacement of the first fault whose rule holds."""
+    out = None
+    for rule, value in faults:
+        out = F.when(F.expr(rule), F.expr(value)) if out is None else out.when(F.expr(rule), F.expr(value))
+    return out.otherwise(F.col(column))
+
+
+# Rows that break a rule: table -> column -> (which rows, what they hold).
+FAULTS = {
+    "customers": {"segment": [("customer_id % 61 = 0", "'vip'"), ("customer_id % 67 = 0", "NULL")]},
+    "products": {"unit_price": [("product_id % 59 = 0", "-unit_price")],
+                 "cost_price": [("product_id % 53 = 0", "-1.0000BD")]},
+    "orders": {"order_total": [("order_id % 101 = 0", "-order_total"), ("order_id % 109 = 0", "0.00BD")],
+               "tax_amount": [("order_id % 103 = 0", "-1.00BD")],
+               "discount_amount": [("order_id % 107 = 0", "-0.01BD")],
+               "status": [("order_id % 79 = 0", "'lost'")],
+               "customer_id": [("order_id % 89 = 0", "customer_id + 1000000000"), ("order_id % 83 = 0", "NULL")]},
+    "order_items": {"quantity": [("order_id % 71 = 0", "0")],
+                    "discount_pct": [("order_id % 73 = 0", "100.01BD")],
+                    "order_id": [("order_id % 97 = 0", "-order_id"), ("(order_id + line_number) % 113 = 0", "NULL")],
+                    "product_id": [("(order_id + line_number) % 127 = 0", "-product_id")],
+                    "line_total": [("(order_id + line_number) % 131 = 0", "line_total * 100")]},
+    "payments": {"amount": [("payment_id % 43 = 0", "0.00BD")],
+                 "payment_method": [("payment_id % 41 = 0", "'barter'")],
+                 "order_id": [("payment_id % 47 = 0", "order_id + 1000000000"), ("payment_id % 37 = 0", "NULL")]},
+    "fct_orders": {"order_total_usd": [("CAST(order_id AS BIGINT) % 101 = 0", "-order_total_usd"),
+                                       ("CAST(order_id AS BIGINT) % 109 = 0", "0.00BD")],
+                   "customer_id": [("CAST(order_id AS BIGINT) % 83 = 0", "NULL")]},
+    "stg_orders": {"updated_at": [("CAST(order_id AS BIGINT) % 103 = 0", "created_at - INTERVAL 1 DAY")]},
+}
+
+
+def faulty(df: DataFrame, table: str) -> DataFrame:
+    """All rows of a table, some of them broken by FAULTS."""
+    faults = FAULTS[table]
+    return df.select(*[_unless(faults[c], c).cast(df.schema[c].dataType).alias(c) if c in faults else F.col(c)
+                       for c in df.columns])
+
+
 @_memo
 def source_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
