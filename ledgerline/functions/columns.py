@@ -64,9 +64,15 @@ def surrogate_key(*cols: str | Column) -> Column:
 
 
 def safe_divide(num: str | Column, den: str | Column) -> Column:
-    """NULL when the divisor is 0 or NULL; double arithmetic."""
-    n, d = col_(num).cast("double"), col_(den).cast("double")
-    return F.when(d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(n / d)
+    """NULL when the divisor is 0 or NULL. Decimals are divided as decimals,
+    anything else as doubles."""
+    return F.try_divide(col_(num), col_(den))
+
+
+def line_total(quantity: Column, unit_price: Column, discount: Column) -> Column:
+    """quantity * unit_price * (1 - discount), in decimals, to cents;
+    ``discount`` is a fraction (a discount_pct of 5 is 0.05)."""
+    return F.round(quantity * unit_price * (F.lit(1) - discount), 2).cast("decimal(18,2)")
 
 
 def sha256(c: str | Column) -> Column:

@@ -37,6 +37,15 @@ def clustered(df: DataFrame, cluster_by: Sequence[str | Column]) -> DataFrame:
     return df.repartitionByRange(*keys, spot).sortWithinPartitions(*keys, spot)
 
 
+def colocate(df: DataFrame, table: str, key: Sequence[str], buckets: int, path: str) -> None:
+    """Write a catalog table in sorted hash buckets of ``key``, one file a
+    bucket: joins and aggregates of tables with the same buckets on the key
+    need no shuffle. A bucket is one task's work; keys that outgrow it are for
+    ``operators/skew.py``."""
+    (df.repartition(buckets, *key).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *key).sortBy(*key).saveAsTable(table))
+
+
 def with_docs(df: DataFrame, docs: Mapping[str, str]) -> DataFrame:
     """Attach column comments as field metadata (kept by parquet writes)."""
     if not docs:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fn
 from ..operators import quality as q
-from ..operators import security
+from ..operators import policies, security
 from ..operators.dedup import dedup_latest
 from ..session import apply_runtime_conf
 from ..sources import testdata as td
@@ -391,6 +391,19 @@ def q_row_level_filter(spark, sf_dir):
                                      "europe_analyst", "country_code")
 
 
+@register("policy_analyst")
+def q_policy_analyst(spark, sf_dir):
+    """Customers as the analysts of one region see them."""
+    return policies.as_role(td.source_customers(spark, sf_dir), "customers", td.reader_policies(spark, sf_dir),
+                            "asia_analyst")
+
+
+@register("policy_support")
+def q_policy_support(spark, sf_dir):
+    return policies.as_role(td.source_customers(spark, sf_dir), "customers", td.reader_policies(spark, sf_dir),
+                            "support")
+
+
 @register("flatten_events_json")
 def q_flatten_events_json(spark, sf_dir):
     return flatten_events(td.read(spark, sf_dir, "events"))

@@ -249,18 +249,21 @@ SELECT 'customers' AS tbl, count(*) AS rows FROM source_customers
 UNION ALL SELECT 'products', count(*) FROM source_products
 UNION ALL SELECT 'orders', count(*) FROM source_orders
 UNION ALL SELECT 'order_items', count(*) FROM source_order_items
-UNION ALL SELECT 'payments', count(*) FROM source_payments"""
+UNION ALL SELECT 'payments', count(*) FROM source_payments
+ORDER BY tbl"""
 
 ORACLE["orders_by_status"] = with_(SOURCE_ORDERS) + """
 SELECT status, count(*) AS order_count, CAST(round(sum(order_total), 2) AS DECIMAL(38,2)) AS total_revenue
-FROM source_orders GROUP BY status"""
+FROM source_orders GROUP BY status
+ORDER BY order_count DESC, status"""
 
 ORACLE["revenue_by_customer"] = with_(SOURCE_CUSTOMERS, SOURCE_ORDERS) + """
 SELECT c.full_name, c.segment, count(DISTINCT o.order_id) AS orders,
        CAST(round(sum(o.order_total), 2) AS DECIMAL(38,2)) AS lifetime_value
 FROM source_customers c JOIN source_orders o ON o.customer_id = c.customer_id
 WHERE o.status NOT IN ('cancelled', 'refunded')
-GROUP BY c.full_name, c.segment"""
+GROUP BY c.full_name, c.segment
+ORDER BY lifetime_value DESC, full_name, segment"""
 
 ORACLE["latest_update"] = with_(SOURCE_CUSTOMERS, SOURCE_PRODUCTS, SOURCE_ORDERS, SOURCE_PAYMENTS) + """
 SELECT table_name, max(updated_at) AS latest_update FROM (
@@ -268,7 +271,8 @@ SELECT table_name, max(updated_at) AS latest_update FROM (
   UNION ALL SELECT 'products', updated_at FROM source_products
   UNION ALL SELECT 'orders', updated_at FROM source_orders
   UNION ALL SELECT 'payments', updated_at FROM source_payments) t
-GROUP BY table_name"""
+GROUP BY table_name
+ORDER BY table_name"""
 
 ORACLE["watermark_simulation"] = with_(SOURCE_ORDERS, SOURCE_CUSTOMERS) + f"""
 SELECT 'orders' AS tbl, count(*) AS rows_since_yesterday, min(updated_at) AS min_wm, max(updated_at) AS max_wm
@@ -798,3 +802,53 @@ failed AS (
     FROM (SELECT count(*) AS n FROM candidate GROUP BY order_id HAVING count(*) > 1) d)
 SELECT check_name, 'fct_orders' AS table_name, n AS rows FROM failed WHERE n > 0
 UNION ALL SELECT 'published', 'fct_orders', count(*) FROM fct_orders WHERE order_total_usd > 0"""
+
+ORACLE["snapshot_diff"] = with_(RAW_ORDERS, SOURCE_ORDERS) + """,
+old AS (SELECT * EXCLUDE (ver, _extracted_at) FROM raw_orders WHERE ver = 0 AND order_id % 17 <> 0),
+new AS (SELECT * FROM source_orders WHERE order_id % 13 <> 0)
+SELECT order_id, 'c' AS op FROM new WHERE order_id NOT IN (SELECT order_id FROM old)
+UNION ALL SELECT order_id, 'd' FROM old WHERE order_id NOT IN (SELECT order_id FROM new)
+UNION ALL SELECT order_id, 'u' FROM (SELECT * FROM new EXCEPT SELECT * FROM old) x
+          WHERE order_id IN (SELECT order_id FROM old)"""
+
+ORACLE["snapshot_diff_apply"] = with_(RAW_ORDERS, SOURCE_ORDERS) + f""",
+old AS (SELECT * EXCLUDE (ver, _extracted_at) FROM raw_orders WHERE ver = 0 AND order_id % 17 <> 0),
+new AS (SELECT * FROM source_orders WHERE order_id % 13 <> 0),
+same AS (SELECT order_id FROM (SELECT * FROM new INTERSECT SELECT * FROM old) x)
+SELECT order_id, order_ref, customer_id, status, order_total, currency, updated_at,
+       CASE WHEN order_id IN (SELECT order_id FROM same) THEN 'r'
+            WHEN order_id IN (SELECT order_id FROM old) THEN 'u' ELSE 'c' END AS op,
+       CAST(0 AS BIGINT) AS seq,
+       CASE WHEN order_id IN (SELECT order_id FROM same) THEN TIMESTAMP '{LOAD_RUN1_AT}'
+            ELSE TIMESTAMP '{LOAD_RUN2_AT}' END AS ts
+FROM new"""
+
+ORACLE["insert_by_email"] = with_(SOURCE_ORDERS, SOURCE_CUSTOMERS) + """
+SELECT o.order_ref, c.customer_id, o.order_total
+FROM source_orders o JOIN source_customers c ON c.email = 'customer' || CAST(o.customer_id AS VARCHAR) || '@example.com'"""
+
+ORACLE["colocated_join"] = with_(SOURCE_ORDERS, SOURCE_ORDER_ITEMS) + """
+SELECT o.order_id, o.status, o.order_total, count(*) AS lines, CAST(sum(i.line_total) AS DECIMAL(28,2)) AS lines_total
+FROM source_order_items i JOIN source_orders o ON o.order_id = i.order_id
+GROUP BY o.order_id, o.status, o.order_total"""
+
+_ASIA = """countries AS (
+  SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code FROM nation JOIN region ON n_regionkey = r_regionkey
+  WHERE r_name = 'ASIA')"""
+
+ORACLE["policy_analyst"] = with_(SOURCE_CUSTOMERS, _ASIA) + r"""
+SELECT * REPLACE (sha256(full_name) AS full_name, regexp_replace(email, '^(.)[^@]*', '\1***') AS email,
+                  regexp_replace(phone, '[0-9]', '#', 'g') AS phone)
+FROM source_customers WHERE country_code IN (SELECT code FROM countries)"""
+
+ORACLE["policy_support"] = with_(SOURCE_CUSTOMERS) + r"""
+SELECT customer_id, email, regexp_replace(phone, '[0-9]', '#', 'g') AS phone, CAST(NULL AS VARCHAR) AS full_name
+FROM source_customers WHERE is_active"""
+
+ORACLE["events_counts_late"] = """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       event_type, count(*) AS event_count
+FROM (SELECT * REPLACE (CASE WHEN event_id % 40 <> 0 THEN ts END AS ts) FROM events) e GROUP BY 1, 2, 3"""
+
+ORACLE["stream_progress"] = """
+SELECT event_id % 3 AS batch_id, count(*) AS input_rows FROM events GROUP BY 1"""

@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import Environment, Target
-from ..operators import history, tables
+from ..operators import history, snapshot_diff, tables
 from ..operators.dedup import dedup_latest
-from ..session import scratch_path
+from ..operators.skew import split_join
+from ..operators.versions import colocate
+from ..session import scratch_path, work_dir
 from ..sources import testdata as td
 from ..sources.extract import SourceSpec, extract_full, extract_interval
 from ..sources.loader import IncrementalLoader
 from ..streaming import jobs
 from ..streaming.changes import ChangeLog, ChangeTable, read_change_files
 from ..streaming.dedup import DedupSink
+from ..streaming.progress import ProgressLog
 from . import incremental, reports
 from .catalog import register
 from .registry import finance_registry
@@ -302,6 +305,58 @@ def q_skewed_three_way_join(spark, sf_dir):
                                       td.source_products(spark, sf_dir), td.SKEW_HOT_ROWS)
 
 
+@register("snapshot_diff")
+def q_snapshot_diff(spark, sf_dir):
+    """Keys that differ between two full copies of the orders, and how."""
+    work_dir(spark)
+    return snapshot_diff.changed_keys(td.orders_snapshot(spark, sf_dir, False), td.orders_snapshot(spark, sf_dir, True),
+                                      ["order_id"])
+
+
+@register("snapshot_diff_apply")
+def q_snapshot_diff_apply(spark, sf_dir):
+    """Both copies as change records through the change log: the first copy
+    read, then the differences; the state equals the second copy."""
+    work_dir(spark)
+    old, new = (td.orders_snapshot(spark, sf_dir, later) for later in (False, True))
+    log = ChangeLog(spark, scratch_path(spark, "diff"), (ORDER_CHANGES,))
+    for batch, (before, after, at) in enumerate(((None, old, td.LOAD_RUN1_AT), (old, new, td.LOAD_RUN2_AT))):
+        changes = snapshot_diff.snapshot_changes(before, after, ["order_id"])
+        log.write_batch(snapshot_diff.change_records(changes, "orders", ["order_id"], td.ts(at)), batch)
+    return log.state("orders")
+
+
+@register("insert_by_email")
+def q_insert_by_email(spark, sf_dir):
+    """INSERT INTO orders SELECT c.customer_id ... FROM requests JOIN customers
+    USING (email): the surrogate id is looked up by the natural key."""
+    path = scratch_path(spark, "orders-by-email")
+    orders = td.source_orders(spark, sf_dir)
+    requests = orders.select("order_ref", F.concat(F.lit("customer"), F.col("customer_id").cast("string"),
+                                                   F.lit("@example.com")).alias("email"), "order_total")
+    schema = T.StructType([T.StructField("order_ref", T.StringType()), T.StructField("customer_id", T.LongType()),
+                           T.StructField("order_total", T.DecimalType(18, 2))])
+    tables.write_table(spark.createDataFrame([], schema), path)
+    customers = td.source_customers(spark, sf_dir).select("customer_id", "email")
+    tables.append(split_join(requests, customers, ["email"]), path, schema)
+    return spark.read.parquet(path)
+
+
+@register("colocated_join")
+def q_colocated_join(spark, sf_dir):
+    """Order lines and orders written in buckets of the order, then joined
+    and summed without a shuffle of either."""
+    env = catalog_environment(spark)
+    env.ensure_databases()
+    for name, build in (("order_items", td.source_order_items), ("orders", td.source_orders)):
+        colocate(build(spark, sf_dir), env.target.table("marts", name), ["order_id"], 16,
+                 f"{env.folder('marts')}/{name}")
+    lines, orders = (spark.table(env.target.table("marts", n)) for n in ("order_items", "orders"))
+    return lines.join(orders.select("order_id", "status", "order_total"), "order_id") \
+        .groupBy("order_id", "status", "order_total").agg(
+            F.count("*").alias("lines"), F.sum("line_total").cast("decimal(28,2)").alias("lines_total"))
+
+
 # -- history -------------------------------------------------------------------
 @register("scd2_timestamp")
 def q_scd2_timestamp(spark, sf_dir):
@@ -453,6 +508,37 @@ def q_events_tumbling_count(spark, sf_dir):
     return jobs.current_counts(spark.read.parquet(f"{root}/log"))
 
 
+@register("events_counts_late")
+def q_events_counts_late(spark, sf_dir):
+    """Counts per window over three deliveries, each a trigger of its own, in
+    which a window's events come late, and every 40th has no time at all."""
+    root = scratch_path(spark, "counts-late")
+    ev = td.read(spark, sf_dir, "events")
+    ev = ev.withColumn("ts", F.when(F.col("event_id") % 40 != 0, F.col("ts")))
+    for part in (2, 1, 0):
+        ev.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{root}/in")
+        jobs.emit_counts(jobs.windowed_counts(jobs.read_stream(spark, f"{root}/in")), f"{root}/log",
+                         f"{root}/_checkpoint", AVAILABLE_NOW).awaitTermination()
+    return jobs.current_counts(spark.read.parquet(f"{root}/log"))
+
+
+@register("stream_progress")
+def q_stream_progress(spark, sf_dir):
+    """Progress of a stream's batches, as its listener logged it: rows taken
+    by each of three deliveries."""
+    root = scratch_path(spark, "progress")
+    name = f"land-{root[-12:]}"
+    ev = td.read(spark, sf_dir, "events")
+    with ProgressLog(spark, f"{root}/progress") as log:
+        for part in range(3):
+            ev.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+            src = jobs.read_stream(spark, f"{root}/in")
+            q = jobs.land_changes(src, f"{root}/raw", f"{root}/_checkpoint", AVAILABLE_NOW, name)
+            q.awaitTermination()
+    return log.read().where((F.col("query_name") == name) & (F.col("input_rows") > 0)) \
+        .select("batch_id", "input_rows")
+
+
 @register("pipeline_lag")
 def q_pipeline_lag(spark, sf_dir):
     committed = spark.createDataFrame(list(td.CONSUMER_POSITIONS), "consumer_name string, committed_ts string") \

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import line_total
+
 # ---------------------------------------------------------------------------
 # Fixed scenario values (must stay in step with plans/oracle.py).
 # ---------------------------------------------------------------------------
@@ -293,7 +295,7 @@ def source_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         qty.alias("quantity"),
         F.col("unit_price"),
         (disc * F.lit(100)).cast("decimal(5,2)").alias("discount_pct"),
-        F.round(qty * F.col("unit_price") * (F.lit(1) - disc), 2).cast("decimal(18,2)").alias("line_total"),
+        line_total(qty, F.col("unit_price"), disc).alias("line_total"),
         F.col("l_shipdate").alias("created_at"),
     )
 
@@ -305,6 +307,33 @@ def skewed_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "product_id", F.when(hot, F.lit(SKEWED_PRODUCT).cast("bigint")).otherwise(F.col("product_id")))
 
 
+def orders_snapshot(spark: SparkSession, sf_dir: str, later: bool) -> DataFrame:
+    """A full copy of the orders: first versions of those not divisible by 17;
+    later the current ones of those not divisible by 13."""
+    if later:
+        return source_orders(spark, sf_dir).where(F.col("order_id") % 13 != 0)
+    return raw_orders(spark, sf_dir).where("ver = 0 AND order_id % 17 <> 0").drop("ver", "_extracted_at")
+
+
+def reader_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policies of two roles on customers: an analyst per region sees its
+    countries' customers masked; support sees contact fields of active ones."""
+    region, nation = read(spark, sf_dir, "region"), read(spark, sf_dir, "nation")
+    role = F.concat(F.lower(F.regexp_replace("r_name", " ", "_")), F.lit("_analyst"))
+    shown = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("rule")) for c, r in (
+        ("*", "show"), ("full_name", "hash"), ("email", "mask_email"), ("phone", "mask_digits"))]))
+    columns = region.select(role.alias("role"), shown.alias("x")).select(
+        "role", F.lit("customers").alias("table_name"), F.lit("column").alias("kind"), "x.column_name", "x.rule")
+    rows = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        role.alias("role"), F.lit("customers").alias("table_name"), F.lit("row").alias("kind"),
+        F.lit("country_code").alias("column_name"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("rule"))
+    support = spark.createDataFrame([("support", "customers", *x) for x in (
+        ("column", "customer_id", "show"), ("column", "email", "show"), ("column", "phone", "mask_digits"),
+        ("column", "full_name", "null"), ("row", "is_active", "true"))],
+        "role string, table_name string, kind string, column_name string, rule string")
+    return columns.unionByName(rows).unionByName(support)
+
+
 def order_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """All raw order versions in four deliveries: later versions of an order
     come before earlier ones of others and of itself, the last delivery

@@ -25,14 +25,14 @@ from __future__ import annotations
 import os
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import bound_literal
 from ..operators.dedup import dedup_latest
 from ..operators.joins import by_key
-from ..session import list_partition_values, path_exists
+from ..session import list_partition_values, path_exists, work_dir
 from ..sources.testdata import to_change_envelope
 from .cdc import PAYLOAD_SCHEMA
 
@@ -84,10 +84,10 @@ def _start(writer, trigger: dict[str, Any] | None) -> Any:
 # landing
 # ---------------------------------------------------------------------------
 def land_changes(source: DataFrame, raw_path: str, checkpoint: str,
-                 trigger: dict[str, Any] | None = None) -> StreamingQuery:
+                 trigger: dict[str, Any] | None = None, name: str | None = None) -> StreamingQuery:
     landed = source.withColumn("_landed_at", F.current_timestamp().cast("timestamp_ntz"))
     w = landed.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return _start(w, trigger).start(raw_path)
+    return _start(w.queryName(name) if name else w, trigger).start(raw_path)
 
 
 # ---------------------------------------------------------------------------
@@ -162,12 +162,15 @@ def sink_parquet(df: DataFrame, path: str, checkpoint: str,
 # ---------------------------------------------------------------------------
 def windowed_counts(events: DataFrame, window: str = "1 hour",
                     ts_col: str = "ts", by: str = "event_type") -> DataFrame:
-    """A count of 1 per event in its window; ``emit_counts`` adds them up."""
-    ev = events.withColumn("_ets", F.col(ts_col).cast("timestamp"))
-    return ev.select(F.window("_ets", window).alias("window"), F.col(by)) \
-        .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-                F.col(by), F.lit(1).cast("bigint").alias("event_count"))
+    """A count of 1 per event in its tumbling window (whole multiples of
+    ``window`` since 1970); ``emit_counts`` adds them up. Events without a time
+    count in a window without bounds."""
+    size = F.expr(f"unix_micros(timestamp_seconds(0) + INTERVAL {window})")
+    at = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    start = at - F.pmod(at, size)
+    return events.select(F.timestamp_micros(start).cast("timestamp_ntz").alias("window_start"),
+                         F.timestamp_micros(start + size).cast("timestamp_ntz").alias("window_end"),
+                         F.col(by), F.lit(1).cast("bigint").alias("event_count"))
 
 
 def write_count_updates(updates: DataFrame, batch_id: int, log_path: str) -> None:
@@ -194,40 +197,41 @@ def current_counts(log: DataFrame, keys: tuple[str, ...] = ("window_start", "win
 # ---------------------------------------------------------------------------
 # lag
 # ---------------------------------------------------------------------------
-MAX_CONSUMERS = 1_000
-
-
 def pipeline_lag(events: DataFrame, committed: DataFrame, ts_col: str = "ts",
                  threshold: int = LAG_ALERT_THRESHOLD) -> DataFrame:
     """Per consumer (``committed``: consumer_name, committed_ts): events
     newer than its committed position, the newest such event time, and an
-    alert flag above ``threshold`` pending events.
-
-    The consumer positions are a small control table (bounded, checked);
-    they become literal ``count_if``/``max`` columns, so the events are
-    scanned once with no join."""
-    rows = committed.select("consumer_name", "committed_ts").limit(MAX_CONSUMERS + 1).collect()
-    if len(rows) > MAX_CONSUMERS:
-        raise ValueError("too many consumers for one lag query")
-    if not rows:
-        return committed.select("consumer_name", "committed_ts").withColumn(
-            "pending_events", F.lit(0).cast("bigint")).withColumn(
-            "newest_event_ts", F.lit(None).cast("timestamp_ntz")).withColumn("alert", F.lit(False))
-    t = F.col(ts_col)
-    aggs = []
-    for i, r in enumerate(rows):
-        newer = t > bound_literal(r.committed_ts)
-        aggs += [F.count_if(newer).alias(f"n{i}"), F.max(F.when(newer, t)).alias(f"m{i}")]
-    wide = events.agg(*aggs)
-    stack = ", ".join(f"{i}, n{i}, m{i}" for i in range(len(rows)))
-    long = wide.selectExpr(f"stack({len(rows)}, {stack}) AS (_i, pending_events, newest_event_ts)")
-    names = committed.sparkSession.createDataFrame(
-        [(i, r.consumer_name, r.committed_ts) for i, r in enumerate(rows)],
-        "_i int, consumer_name string, committed_ts timestamp_ntz")
-    n = F.col("pending_events").cast("bigint")
-    return long.join(F.broadcast(names), "_i").select(
-        "consumer_name", "committed_ts", n.alias("pending_events"), "newest_event_ts",
-        (n > threshold).alias("alert"))
+    alert flag above ``threshold`` pending events. A consumer that has
+    committed nothing has nothing pending that can be told.
+
+    For any number of consumers: events are counted per time first (map-side),
+    then times and positions are range-sorted together, and a position's
+    pending events are the counts after it in its range (a window) plus the
+    totals of the later ranges (one row per range)."""
+    spark = events.sparkSession
+    work_dir(spark)
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    counted = events.where(F.col(ts_col).isNotNull()).groupBy(F.col(ts_col).alias("_at")).agg(
+        F.count("*").alias("_n"), F.lit(False).alias("_mark"))
+    marks = committed.where(F.col("committed_ts").isNotNull()).select(
+        F.col("committed_ts").alias("_at"), F.lit(0).cast("bigint").alias("_n"), F.lit(True).alias("_mark")).distinct()
+    both = (counted.unionByName(marks).repartitionByRange(n, "_at")
+            .withColumn("_range", F.spark_partition_id()).checkpoint(eager=True))
+    # equal times share a range; a position comes before the events of its own
+    # time here, which are not after it
+    after = Window.partitionBy("_range").orderBy(F.col("_at").desc(), F.col("_mark").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    own = both.withColumn("_own", F.coalesce(F.sum("_n").over(after), F.lit(0))).where("_mark")
+    totals = both.groupBy("_range").agg(F.sum("_n").alias("_total"))
+    later = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("_range", F.coalesce(F.sum("_total").over(later), F.lit(0)).alias("_later"))
+    newest = both.where("NOT _mark").agg(F.max("_at")).first()[0]
+    pending = own.join(F.broadcast(totals), "_range").select("_at", (F.col("_own") + F.col("_later")).alias("_pending"))
+    n = F.coalesce(F.col("_pending"), F.lit(0)).cast("bigint")
+    newest = F.lit(None).cast(events.schema[ts_col].dataType) if newest is None else bound_literal(newest)
+    return committed.join(pending, F.col("committed_ts") == F.col("_at"), "left").select(
+        "consumer_name", "committed_ts", n.alias("pending_events"),
+        F.when(n > 0, newest).alias("newest_event_ts"), (n > threshold).alias("alert"))
 
 
 def progress_lag(query: StreamingQuery) -> dict[str, Any]:
