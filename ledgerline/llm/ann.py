@@ -40,7 +40,7 @@ TREES = 24
 BITS = 62
 NEIGHBOURS = 10
 BLOCK = 4096                 # vectors of a block, about
-QUERIES = 4096               # queries that meet a block at once, about
+QUERIES = 4096               # queries of a cell that meet its blocks at once, about
 PROBES = 64                  # vectors whose true neighbours set the stop
 RECALL = 0.96
 SEED = 7
@@ -56,6 +56,12 @@ def hash_strings(x: np.ndarray, centre: np.ndarray, trees: int, bits: int) -> np
     return signs.astype(np.int64) @ (np.int64(1) << np.arange(bits - 1, -1, -1, dtype=np.int64))
 
 
+def bit_length(x: np.ndarray) -> np.ndarray:
+    """Bits of non-negative integers; exact, since both halves fit a double."""
+    high = x >> 31
+    return np.where(high > 0, np.frexp(high.astype(np.float64))[1] + 31, np.frexp((x & 0x7FFFFFFF).astype(np.float64))[1])
+
+
 def _matrix(column) -> np.ndarray:
     """Rows of an Arrow list<double> column of one length."""
     flat = np.asarray(column.flatten())
@@ -141,8 +147,6 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
                  .join(hashed.hint("merge"), F.col("_v") == F.col("v"))
                  .select("query_id", "entry", "v", "h"), "ann-queries")
 
-    # queries are dealt to parts of bounded size; a block meets each part apart
-    parts = max(1, -(-wanted.count() // QUERIES))
     share = _stop_share(hashed, n, k, trees, bits, probes, recall)
     need = int(np.ceil(share * n * trees))          # entries met over all trees, repeats counted
 
@@ -153,8 +157,7 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
     filled = cut(placed.groupBy("tree", "cell").agg(F.count("*").alias("n")), "ann-cells")
     below = None
     asked = wanted.select("query_id", "entry", "v", trees_of).select(
-        "query_id", "entry", "v", "tree", "key", cell,
-        F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part"))
+        "query_id", "entry", "v", "tree", "key", cell)
     for x in range(depth + 1):
         up = F.shiftright("cell", depth - x).alias("prefix")
         level = filled.groupBy("tree", up).agg(F.sum("n").alias("n")).withColumn("x", F.lit(x))
@@ -165,10 +168,19 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
     # longer prefixes, inside the query's own cell of every tree
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     stored = placed.join(filled, ["tree", "cell"]).withColumn(
-        "block", F.pmod(F.xxhash64("entry"), n_blocks.cast("long")).cast("int")) \
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    inside = asked.join(filled, ["tree", "cell"]).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        "block", F.pmod(F.xxhash64("entry"), n_blocks.cast("long")).cast("int"))
+    group = ["tree", "cell", "block", "part"]
+
+    def met_by(asking: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Blocks and the queries that meet them: a cell's queries are dealt to
+        parts of bounded size, its blocks are sent once to each of its parts,
+        and cells that no query asks for are not sent."""
+        many = asking.groupBy("tree", "cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
+        sent = stored.join(many, ["tree", "cell"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dealt = asking.join(filled, ["tree", "cell"]).join(many, ["tree", "cell"]) \
+            .withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int")) \
+            .withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        return sent, dealt
 
     def deeper(key, points: pa.Table, qs: pa.Table) -> pa.Table:
         p = np.sort(points["key"].to_numpy())
@@ -187,8 +199,8 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
         return pa.table({"query_id": cat(out_q, np.int64), "x": cat(out_x, np.int32),
                          "n": cat(out_n, np.int64)})
 
-    group = ["tree", "cell", "block", "part"]
-    deep = stored.select(*group, "key").groupBy(*group).cogroup(
+    sent, inside = met_by(asked)
+    deep = sent.select(*group, "key").groupBy(*group).cogroup(
         inside.select(*group, "query_id", "key").groupBy(*group)
     ).applyInArrow(deeper, "query_id long, x int, n long")
     # synchronous ascent: the longest prefix at which enough has been met
@@ -200,10 +212,9 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
     wide = asked.join(level.hint("merge"), "query_id") \
         .withColumn("up", F.greatest(F.lit(depth) - F.col("x"), F.lit(0))) \
         .withColumn("lo", F.expr("shiftleft(shiftright(cell, up), up)")) \
-        .withColumn("cell", F.explode(F.expr("sequence(lo, lo + shiftleft(1L, up) - 1)"))) \
-        .join(filled, ["tree", "cell"]) \
-        .withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1))) \
-        .select(*group, "query_id", "entry", "v", "key", "x")
+        .withColumn("cell", F.explode(F.expr("sequence(lo, lo + shiftleft(1L, up) - 1)")))
+    sent, dealt = met_by(wide)
+    wide = dealt.select(*group, "query_id", "entry", "v", "key", "x")
 
     def rank(key, points: pa.Table, qs: pa.Table) -> pa.Table:
         x = _matrix(points["v"].combine_chunks()) if points.num_rows else np.zeros((0, dims))
@@ -235,7 +246,7 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
         return pa.table({"query_id": pa.array(cols[0], pa.int64()), "entry": pa.array(cols[1], pa.int64()),
                          "score": pa.array(cols[2], pa.float64())})
 
-    found = stored.select(*group, "entry", "v", "key").groupBy(*group).cogroup(
+    found = sent.select(*group, "entry", "v", "key").groupBy(*group).cogroup(
         wide.groupBy(*group)).applyInArrow(rank, "query_id long, entry long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "entry")
     near = found.distinct().withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
@@ -266,10 +277,7 @@ def _stop_share(hashed: DataFrame, n: int, k: int, trees: int, bits: int, probes
 
     def shared(h: np.ndarray, i: int, qh: np.ndarray) -> np.ndarray:
         """Longest prefix each row shares with probe i in any tree, and in all."""
-        diff = h ^ qh[i]
-        with np.errstate(divide="ignore"):
-            top = np.where(diff == 0, 0, np.floor(np.log2(diff.astype(np.float64))) + 1).astype(np.int64)
-        return bits - top
+        return bits - bit_length(h ^ qh[i])
 
     def run(batches):
         q, qh, own = sent.value

@@ -3,15 +3,20 @@
 Pages become WARC records. Records are grouped into blocks, each block an
 independent Zstandard frame, and a bundle ends with a seek table in a
 skippable frame (the published seekable format: compressed and decompressed
-size and a checksum per frame, then the frame count and a magic number), so
-ordinary tools read the bundle whole and a reader reaches one frame without
-the others. An index maps a record's identifier to bundle, frame and the
+size and the low half of the data's XXH64 per frame, then the frame count and a
+magic number), so ordinary tools read the bundle whole and a reader reaches one
+frame without the others. An index maps a record's identifier to bundle, frame and the
 record's place inside the decompressed frame.
 
 Of the records with equal payloads, the one with the largest page_id is a
 response and the others are revisit records that refer to it; equality is that
 of SHA-1, SHA-256 and length together.
 
+Copies are grouped by payload hash in narrow rows. The few groups with very
+many copies (``HOT`` or more, so at most rows / HOT of them) are broadcast if
+their number is checked to be small, and their pages keep out of the other
+groups' join, so that no task gets a hot group's pages.
+
 Tasks write bundles under the shared checkpoint folder (or a given one)
 through Arrow's file systems, under a name of their own for each attempt; the
 index is written by Spark, so only bundles of successful attempts are ever
@@ -32,7 +37,6 @@ import hashlib
 import re
 import struct
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +51,8 @@ BLOCK = 1 << 20              # decompressed bytes after which a frame is closed
 BUNDLE = 256 << 20           # compressed bytes after which a bundle is closed
 LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
+HOT = 10_000                 # copies of a payload from which its group is broadcast
+HOT_GROUPS = 200_000         # groups that may be broadcast
 # fixed values of the formats
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 INDEX = ("page_id long, bundle string, frame int, frame_offset long, frame_bytes long, "
@@ -102,6 +108,13 @@ def parse_record(raw: bytes) -> dict:
             "refers_to": int(refers[len("<urn:page:"):-1]) if refers else None}
 
 
+def frame_checksum(data: bytes) -> int:
+    """The seekable format's: the low 32 bits of XXH64."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(data) & 0xFFFFFFFF
+
+
 def seek_table(frames: list[tuple[int, int, int]]) -> bytes:
     """Skippable frame of (compressed, decompressed, checksum) entries."""
     body = b"".join(struct.pack("<III", *f) for f in frames)
@@ -122,13 +135,26 @@ def read_seek_table(f, size: int) -> list[tuple[int, int, int]]:
     return [struct.unpack_from("<III", raw, 8 + 12 * i) for i in range(n)]
 
 
+# Names that Arrow has for the stores of Hadoop addresses.
+STORES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs",
+          "gcs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def arrow_address(uri: str) -> str:
+    """A Hadoop-style address under the name that Arrow has for its store."""
+    if "://" not in uri:
+        return "file:///" + uri.removeprefix("file:").lstrip("/")
+    scheme, _, rest = uri.partition("://")
+    if scheme not in STORES:
+        raise ValueError(f"{uri}: bundles cannot be written to {scheme}://; give a folder in one of {sorted(STORES)}")
+    return f"{STORES[scheme]}://{rest}"
+
+
 def _file_system(uri: str):
     """(file system, path) of a Hadoop-style address, through Arrow."""
     from pyarrow import fs
 
-    if "://" not in uri and not uri.startswith("/"):
-        uri = "/" + uri.split(":", 1)[1].lstrip("/")      # file:/a/b
-    return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri)
+    return fs.FileSystem.from_uri(arrow_address(uri))
 
 
 class _Bundle:
@@ -158,7 +184,7 @@ class _Bundle:
         packed = self.zip.compress(data)
         self.out.write(packed)
         rows = [(p, self.uri, len(self.frames), self.at, len(packed), off, n) for p, off, n in self.ids]
-        self.frames.append((len(packed), len(data), zlib.crc32(data)))
+        self.frames.append((len(packed), len(data), frame_checksum(data)))
         self.at += len(packed)
         self.raw, self.size, self.ids = [], 0, []
         return rows
@@ -184,16 +210,26 @@ def revisits(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"),
                         F.col("url").cast("string").alias("url"), html.alias("html"))
-    key = [F.sha1("html").alias("_sha1"), F.sha2("html", 256).alias("_sha2"),
-           F.octet_length("html").alias("_bytes")]
+    key = ["_sha1", "_sha2", "_bytes"]
+    rows = rows.select("*", F.sha1("html").alias("_sha1"), F.sha2("html", 256).alias("_sha2"),
+                       F.octet_length("html").alias("_bytes"))
     # pre-aggregated by payload: a group of copies of any size is one row
-    groups = rows.select("page_id", *key).where(F.col("_bytes") >= least) \
-        .groupBy("_sha1", "_sha2", "_bytes").agg(F.max("page_id").alias("_main"), F.count("*").alias("_n")) \
-        .where("_n > 1 and _main is not null").drop("_n")
-    return (rows.select("*", *key).join(groups.hint("merge"), ["_sha1", "_sha2", "_bytes"], "left")
-            .select("page_id", "url", "html", F.when(
-                F.col("_main").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_main")),
-                F.col("_main")).alias("refers_to")))
+    groups = cut(rows.select("page_id", *key).where(F.col("_bytes") >= least)
+                 .groupBy(*key).agg(F.max("page_id").alias("_main"), F.count("*").alias("_n"))
+                 .where("_n > 1 and _main is not null"), "warc-copies")
+    hot = groups.where(F.col("_n") >= HOT).select(*key, F.col("_main").alias("_hot"))
+    if hot.limit(HOT_GROUPS + 1).count() > HOT_GROUPS:
+        hot = hot.limit(0)           # so many groups that none is a large part of the pages
+        cold = groups
+    else:
+        cold = groups.where(F.col("_n") < HOT)
+    # pages of hot groups have a number of their own in the other join
+    spread = F.when(F.col("_hot").isNotNull(), F.xxhash64("page_id", "url")).otherwise(F.lit(0))
+    known = rows.join(F.broadcast(hot), key, "left").withColumn("_spread", spread)
+    cold = cold.drop("_n").withColumn("_spread", F.lit(0).cast("long"))
+    main = F.coalesce("_hot", "_main")
+    return known.join(cold.hint("merge"), [*key, "_spread"], "left").select(
+        "page_id", "url", "html", F.when(main.isNotNull() & ~F.col("page_id").eqNullSafe(main), main).alias("refers_to"))
 
 
 def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
@@ -247,7 +283,7 @@ def read(index: DataFrame) -> DataFrame:
                 if frame != at:
                     f.seek(int(places[frame]))
                     data = unzip.decompress(f.read(table[frame][0]))
-                    if zlib.crc32(data) != table[frame][2] or (int(places[frame]), table[frame][0]) != (off, size):
+                    if frame_checksum(data) != table[frame][2] or (int(places[frame]), table[frame][0]) != (off, size):
                         raise ValueError(f"{bundle}: frame {frame} differs from its seek table or index")
                     at = frame
                 r = parse_record(data[start:start + length])

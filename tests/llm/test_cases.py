@@ -264,6 +264,65 @@ def test_warc_cases(spark):
     assert plain.startswith(b"WARC/1.1\r\n") and plain.count(b"WARC/1.1\r\n") == index.where(index.bundle == uri).count()
 
 
+def test_warc_seek_table_is_the_published_one(spark):
+    """Against fixed values of the format, and by hand from the file's end."""
+    import struct
+
+    import xxhash
+    assert warc.frame_checksum(b"") == 0x51D8E999      # XXH64 of nothing is EF46DB3751D8E999
+    table = warc.seek_table([(5, 7, 9)])
+    assert table == bytes.fromhex("5e2a4d18" "15000000" "050000000700000009000000" "01000000" "80" "b1ea928f")
+    pages = spark.createDataFrame([(i, "u", f"<p>{i}</p>" * 50) for i in range(20)], "page_id long, url string, html string")
+    index = warc.write(pages, block=2000)
+    uri = index.first()["bundle"]
+    raw = open(uri.replace("file://", "").replace("file:", ""), "rb").read()
+    n, flags, magic = struct.unpack("<IBI", raw[-9:])
+    assert (flags, magic) == (0x80, 0x8F92EAB1) and n > 1
+    import zstandard
+    at = 0
+    for k in range(n):
+        size, whole, check = struct.unpack_from("<III", raw, len(raw) - 9 - 12 * (n - k))
+        data = zstandard.ZstdDecompressor().decompress(raw[at:at + size])
+        assert len(data) == whole and check == xxhash.xxh64_intdigest(data) & 0xFFFFFFFF
+        at += size
+
+
+def test_warc_stores():
+    assert warc.arrow_address("s3a://bucket/x") == "s3://bucket/x"
+    assert warc.arrow_address("file:/a/b") == warc.arrow_address("/a/b") == "file:///a/b"
+    with pytest.raises(ValueError, match="wasbs"):
+        warc.arrow_address("wasbs://c@a/x")
+
+
+def test_warc_hot_groups(spark, monkeypatch):
+    monkeypatch.setattr(warc, "HOT", 3)
+    rows = [(i, f"u{i}", ("hot", "warm", f"own{i}")[min(i % 4, 2)]) for i in range(40)] + [(None, None, "hot")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted((str(r.page_id), str(r.refers_to)) for r in warc.revisits(pages).collect())
+    for groups in (200_000, 0):
+        monkeypatch.setattr(warc, "HOT_GROUPS", groups)
+        assert sorted((str(r.page_id), str(r.refers_to)) for r in warc.revisits(pages).collect()) == want
+    hot = max(i for i, _, h in rows if h == "hot" and i is not None)
+    assert {(i, str(hot) if i != str(hot) else "None") for i in map(str, range(0, 40, 4))} <= set(want)
+    assert ("None", str(hot)) in want
+
+
+def test_bit_length():
+    x = [0, 1, 2, 3, *(v for k in (30, 31, 32, 52, 53, 54, 61, 62) for v in ((1 << k) - 1, 1 << k)), (1 << 63) - 1]
+    assert ann.bit_length(np.array(x, np.int64)).tolist() == [v.bit_length() for v in x]
+
+
+def test_ann_parts(spark, monkeypatch):
+    """Queries of a cell dealt to several parts find what one part finds."""
+    from pyspark.sql import functions as F
+    rnd = np.random.default_rng(5)
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rnd.standard_normal((600, 6)))],
+                              "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, ann.search(v, F.col("vec_id") % 5 == 0).collect()))
+    monkeypatch.setattr(ann, "QUERIES", 7)
+    assert sorted(map(tuple, ann.search(v, F.col("vec_id") % 5 == 0).collect())) == want
+
+
 def test_ann_cases(spark):
     from pyspark.sql import functions as F
 
