@@ -167,17 +167,18 @@ def search(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_c
         .join(below, ["tree", "x", "prefix"]).select("query_id", "x", "n")
     # longer prefixes, inside the query's own cell of every tree
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    stored = placed.join(filled, ["tree", "cell"]).withColumn(
-        "block", F.pmod(F.xxhash64("entry"), n_blocks.cast("long")).cast("int"))
     group = ["tree", "cell", "block", "part"]
 
     def met_by(asking: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Blocks and the queries that meet them: a cell's queries are dealt to
         parts of bounded size, its blocks are sent once to each of its parts,
         and cells that no query asks for are not sent."""
-        many = asking.groupBy("tree", "cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
-        sent = stored.join(many, ["tree", "cell"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        dealt = asking.join(filled, ["tree", "cell"]).join(many, ["tree", "cell"]) \
+        many = cut(asking.groupBy("tree", "cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
+                   .join(filled, ["tree", "cell"]), "ann-parts")        # one row a cell
+        sent = placed.join(many, ["tree", "cell"]) \
+            .withColumn("block", F.pmod(F.xxhash64("entry"), n_blocks.cast("long")).cast("int")) \
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        dealt = asking.join(many, ["tree", "cell"]) \
             .withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int")) \
             .withColumn("block", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
         return sent, dealt
