@@ -66,6 +66,27 @@ def prefix_sums(df: DataFrame, order: Sequence[Column | str], sums: dict[str, st
                                      for o in sums])
 
 
+def hot_join(rows: DataFrame, groups: DataFrame, on: Sequence[str], count: str, spread: Column,
+             hot: int = 10_000, most: int = 200_000) -> DataFrame:
+    """``rows`` LEFT JOIN ``groups``, which hold one row per key with the
+    key's number of rows in ``count``. The groups of ``hot`` rows or more (at
+    most rows / hot of them) are broadcast if there are at most ``most``; their
+    rows are then kept apart by ``spread`` in the other groups' join, so that no
+    task gets a hot group. Groups so many that they cannot be broadcast are no
+    large part of the rows each. Keys are not null."""
+    carried = [c for c in groups.columns if c not in on]
+    few = groups.where(F.col(count) >= hot)
+    some = few.limit(most + 1).count()
+    if not 0 < some <= most:
+        return rows.join(groups.hint("merge"), list(on), "left")
+    few = few.select(*on, *[F.col(c).alias(f"_hot_{c}") for c in carried])
+    apart = F.when(F.col(f"_hot_{count}").isNotNull(), spread).otherwise(F.lit(0)).cast("long")
+    known = rows.join(F.broadcast(few), list(on), "left").withColumn("_spread", apart)
+    cold = groups.where(F.col(count) < hot).withColumn("_spread", F.lit(0).cast("long"))
+    out = known.join(cold.hint("merge"), [*on, "_spread"], "left")
+    return out.select(*rows.columns, *[F.coalesce(f"_hot_{c}", c).alias(c) for c in carried])
+
+
 # -- hashing inside tasks ------------------------------------------------------
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

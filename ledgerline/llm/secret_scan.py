@@ -2,19 +2,25 @@
 
 Candidates are found by fixed patterns in whole texts. Each candidate value is
 hashed and the hashes are aggregated over the corpus by distinct repositories
-and owners: a value that many owners carry is a copied example, one that a
-single owner carries looks like a live credential. Ownership decides which of
-the generic candidates (long mixed tokens) are added to the base findings, and
-which findings are redacted.
-
-Only found matches are shuffled, and for redaction the rows that have any. Values are pre-aggregated by
-(value, owner, repository) before their shuffles, so a value copied into a
-third of all rows is a few rows per task.
-
-Defined cases: a null text is empty; a null owner is one owner of its own; a
-text without findings has an empty list and the digest of the empty string;
-repeated rows are scanned alike; an empty table gives an empty result; other
-columns are unused and may have any name.
+and owners: a value that several owners carry (EXAMPLE_OWNERS) or many
+repositories (EXAMPLE_REPOS) is a widely copied example, any other looks like a
+live credential. Ownership decides which of the generic candidates (long mixed
+tokens) are added to the base findings: those that look live and that one owner
+alone carries; and which findings are redacted: those that look live.
+
+Only found matches are shuffled, and for redaction the rows that have any.
+Values are pre-aggregated by (value, owner, repository) before their shuffles,
+so a value copied into a third of all rows is a few rows per task; hot values
+are joined back by a broadcast. A text's findings are swept in order of their
+start, by windows; a text is redacted from blocks of BLOCK characters, so that
+the time grows with its length and its findings, not with their product.
+
+Defined cases: a null text is empty; a null owner is one owner of its own, a
+null repository one repository; a text without findings has an empty list and
+the digest of the empty string; very long texts are scanned and redacted whole,
+a text's findings are one group of a task; findings that overlap are redacted
+as one; repeated rows are scanned alike; an empty table gives an empty result;
+other columns are unused and may have any name.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, hot_join
 
 # The patterns of the base kinds, in the order that breaks ties
 # of the start, with the group that holds the value and the least lengths.
@@ -34,6 +40,8 @@ KINDS = {
 }
 GENERIC = ("generic", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}", 0, 20)
 EXAMPLE_OWNERS = 3           # carried by so many owners: a copied example
+EXAMPLE_REPOS = 10           # or by so many repositories
+BLOCK = 1 << 16              # characters
 MARK = "[SECRET]"
 
 
@@ -90,30 +98,55 @@ def ownership(spans: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id",
-         keep: dict[str, str] | None = None, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+         keep: dict[str, str] | None = None, example_owners: int = EXAMPLE_OWNERS,
+         example_repos: int = EXAMPLE_REPOS, blocks_of: str | None = None) -> DataFrame:
     """One row per input row: the columns of ``keep``, ``found``, an array of
-    (start, ord, kind, end, live, n_owners, n_repos) in order of start, then
-    kind. Base findings all stay; a generic candidate is added as kind
-    ``owned`` if only one owner carries it and it touches no base finding."""
+    (start, ord, kind, end, live, n_owners, n_repos, since) in order of start,
+    then kind. Base findings all stay; a generic candidate is added as kind
+    ``owned`` if it looks live, only one owner carries it and it touches no base
+    finding. ``since`` is, for a live finding that overlaps no live one before
+    it, where those before it end (0 if there is none), else null. ``blocks_of``
+    names a kept text whose rows with findings have ``blocks`` of it instead."""
     keep = {"doc_id": "doc_id"} if keep is None else keep
     rows, spans = candidates(docs, text_col, owner_col, repo_col, keep)
-    known = spans.withColumn("hash", F.sha2("value", 256)).join(ownership(spans).hint("merge"), "hash")
+    spans = spans.withColumn("hash", F.sha2("value", 256))
+    known = hot_join(spans.select("uid", "kind", "start", "end", "hash"), cut(ownership(spans), "secret-owners"),
+                     ["hash"], "n_found", F.xxhash64("uid", "start"))
     order = F.create_map(*[F.lit(x) for i, k in enumerate([*KINDS, GENERIC[0]]) for x in (k, i)])
-    item = F.struct("start", order[F.col("kind")].alias("ord"), "kind", "end",
-                    (F.col("n_owners") < example_owners).alias("live"), "n_owners", "n_repos")
-    per = known.groupBy("uid").agg(F.sort_array(F.collect_list(item)).alias("all"))
-    base = F.filter("all", lambda x: x["kind"] != GENERIC[0])
-    touches = lambda x: F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    kept = F.filter("all", lambda x: (x["kind"] != GENERIC[0]) | ((x["n_owners"] == 1) & ~touches(x)))
-    named = F.transform(kept, lambda x: x.withField(
-        "kind", F.when(x["kind"] == GENERIC[0], F.lit("owned")).otherwise(x["kind"])))
-    per = per.select("uid", named.alias("found"))
-    kept_cols = [F.col(f"_k_{o}").alias(o) for o in keep]
+    live = (F.col("n_owners") < example_owners) & (F.col("n_repos") < example_repos)
+    known = known.withColumn("ord", order[F.col("kind")]).withColumn("live", live)
+    # base findings that begin before a generic one, or with it, end before it;
+    # those after it begin after its end
+    base = F.col("kind") != GENERIC[0]
+    text = Window.partitionBy("uid")
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    before = F.max(F.when(base, F.col("end"))).over(text.orderBy("start").rangeBetween(*upto))
+    after = F.min(F.when(base, F.col("start"))).over(text.orderBy(F.col("start").desc()).rangeBetween(*upto))
+    known = known.withColumn("_before", before).withColumn("_after", after)
+    free = F.coalesce(F.col("_before") <= F.col("start"), F.lit(True)) \
+        & F.coalesce(F.col("_after") >= F.col("end"), F.lit(True))
+    kept = known.where(base | ((F.col("n_owners") == 1) & F.col("live") & free)).withColumn(
+        "kind", F.when(base, F.col("kind")).otherwise(F.lit("owned")))
+    done = F.coalesce(F.max(F.when(F.col("live"), F.col("end"))).over(
+        text.orderBy("start", "ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    kept = kept.withColumn("_done", done).withColumn(
+        "since", F.when(F.col("live") & (F.col("start") >= F.col("_done")), F.col("_done")))
+    item = F.struct("start", "ord", "kind", "end", "live", "n_owners", "n_repos", "since")
+    per = kept.groupBy("uid").agg(F.sort_array(F.collect_list(item)).alias("found"))
     none = F.array().cast(per.schema["found"].dataType).alias("found")
+    cut_up = F.regexp_extract_all(f"_k_{blocks_of}", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    no_blocks = F.lit(None).cast("array<string>")
+    kept_cols = [F.col(f"_k_{o}").alias(o) for o in keep]
     # only rows with a candidate are shuffled to their findings
-    hit = rows.where(F.size("_found") > 0).drop("_found").join(per.hint("merge"), "uid", "left") \
-        .select(*kept_cols, F.coalesce("found", none).alias("found"))
-    return hit.unionByName(rows.where(F.size("_found") == 0).select(*kept_cols, none))
+    hit = rows.where(F.size("_found") > 0).drop("_found")
+    if blocks_of:
+        hit = hit.withColumn("blocks", cut_up).withColumn(f"_k_{blocks_of}", F.lit(None).cast("string"))
+    else:
+        hit = hit.withColumn("blocks", no_blocks)
+    hit = hit.join(per.hint("merge"), "uid", "left") \
+        .select(*kept_cols, "blocks", F.coalesce("found", none).alias("found"))
+    out = hit.unionByName(rows.where(F.size("_found") == 0).select(*kept_cols, no_blocks.alias("blocks"), none))
+    return out if blocks_of else out.drop("blocks")
 
 
 def joined(found: Column) -> Column:
@@ -134,22 +167,30 @@ def report(docs: DataFrame, **kw) -> DataFrame:
         F.size(F.filter("found", lambda x: ~x["live"])).cast("long").alias("n_example"))
 
 
-def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source",
-           repo_col: str = "doc_id", mark: str = MARK, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """``docs`` with every live-looking finding replaced by ``mark``; copied
-    examples and all other text stay, and so does every row."""
+def _piece(blocks: Column, begin: Column, end: Column) -> Column:
+    """Characters begin to end (exclusive) of a text in blocks."""
+    first, last = F.floor(begin / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+    off, to = (begin % BLOCK).cast("int"), (end % BLOCK).cast("int")
+    inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    return F.when(first == last, F.coalesce(F.get(blocks, first).substr(off + 1, to - off), F.lit(""))).otherwise(
+        F.concat(F.coalesce(F.get(blocks, first).substr(off + 1, F.lit(BLOCK)), F.lit("")), inner,
+                 F.coalesce(F.get(blocks, last).substr(F.lit(1), to), F.lit(""))))
+
+
+def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id",
+           mark: str = MARK, example_owners: int = EXAMPLE_OWNERS,
+           example_repos: int = EXAMPLE_REPOS) -> DataFrame:
+    """``docs`` with every live-looking finding replaced by ``mark`` (findings
+    that overlap by one); copied examples and all other text stay, and so does
+    every row."""
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    found = scan(docs, text_col, owner_col, repo_col, {o: c for c, o in names.items()}, example_owners)
-    text = F.coalesce(F.col(names[text_col]), F.lit(""))
-    live = F.filter("found", lambda x: x["live"])
-    # findings may overlap across kinds: a span begins where the last one ended
-    done = F.aggregate(
-        live, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda a, x: F.struct(
-            F.greatest(a["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= a["at"], F.concat(
-                a["out"], text.substr(a["at"].cast("int") + 1, (x["start"] - a["at"]).cast("int")),
-                F.lit(mark))).otherwise(a["out"]).alias("out")),
-        lambda a: F.concat(a["out"], text.substr(a["at"].cast("int") + 1, F.char_length(text))))
-    new = F.when(F.size(live) > 0, done).otherwise(F.col(names[text_col]))
+    own = names[text_col]
+    found = scan(docs, text_col, owner_col, repo_col, {o: c for c, o in names.items()}, example_owners,
+                 example_repos, own)
+    blocks, cuts = F.col("blocks"), F.filter("found", lambda x: x["since"].isNotNull())
+    ends = F.array_max(F.transform(F.filter("found", lambda x: x["live"]), lambda x: x["end"]))
+    size = (F.size(blocks) - 1) * F.lit(BLOCK).cast("long") + F.char_length(F.element_at(blocks, -1))
+    done = F.concat(F.array_join(F.transform(cuts, lambda x: _piece(blocks, x["since"], x["start"])), mark),
+                    F.lit(mark), _piece(blocks, ends, size))
+    new = F.when(blocks.isNull(), F.col(own)).when(F.size(cuts) > 0, done).otherwise(F.array_join(blocks, ""))
     return found.select(*[(new if c == text_col else F.col(o)).alias(c) for c, o in names.items()])
