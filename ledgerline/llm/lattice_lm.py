@@ -1,24 +1,39 @@
-"""Document probability under a subword lattice.
+"""Document probability under a subword lattice that backs off word counts.
 
 The pieces are an existing subword vocabulary with its scores; no tokenizer is
-trained. Every segmentation of a text into pieces counts: the probability of a
-text is the sum over all of them, by a forward recursion in log space. Pieces
-start at a word or lie inside it, so the lattice of a text is the chain of its
-words' lattices, and each distinct word's sum is taken once for the corpus.
+trained. Every segmentation of a word into pieces counts: its lattice
+probability L(w) is the sum over all of them, by a forward recursion in log
+space. A word begins with a piece that holds the word mark and goes on with
+pieces that do not, so the sums over all words are one, and the lattice of a
+text is the chain of its words' lattices; each distinct word's sum is taken
+once for the corpus.
+
+The corpus gives one table of distinct words with training counts c, N in all
+of V distinct words. A word's probability is the mixture
+
+    P(w) = (c + V * L(w)) / (N + V),
+
+so that what was seen counts as often as it was seen, what was not is spelled
+by the lattice with the share of mass that the number of distinct words calls
+for, and all words together have probability one. A text is its words, each
+after a decision to go on, and a decision to end.
+
 The vocabulary at hand is a BPE model: its scores are merge ranks, read as Zipf
 weights in place of unigram scores; byte pieces, which have no rank, get the
-lowest weight of all. Piece weights start from these and are re-estimated on the training documents' word counts by
-expectation-maximisation; the vocabulary's weights stay as the prior.
+lowest weight of all. Piece weights start from these and are re-estimated on
+the training documents' word counts by expectation-maximisation; the
+vocabulary's weights stay as the prior.
 
-The corpus gives one table of distinct words with training counts. The most
-frequent words, at most ``HEAD`` whatever the input (a histogram of counts
-finds the cut), are broadcast as a fixed-size table; all others are joined
-with a shuffle, so every word is looked up. Words are told apart by 64-bit
-hashes in the lookups and by their text in the counts.
+The most frequent words of all texts, at most ``HEAD`` whatever the input (a
+histogram of counts finds the cut), are broadcast as a fixed-size table; all
+others are joined with a shuffle, so every word is looked up. Words are told
+apart by 64-bit hashes in the lookups and by their text in the counts.
 
 Defined cases: a null, empty or blank text is the end mark alone; rows with a
 null doc_id train nothing and are held out; repeated rows count and score each;
-an empty table gives an empty result; other columns are unused.
+very long texts are counted and scored whole, piece by piece; without training
+words every word is spelled; an empty table gives an empty result; other
+columns are unused.
 """
 
 from __future__ import annotations
@@ -161,29 +176,36 @@ def _held(id_col: Column) -> Column:
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, c) over all documents; c counts training occurrences only."""
+    """(word, c, n) over all documents; c counts training occurrences only, n
+    all of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, int] = {}
+        every: dict[bytes, int] = {}
+        trained: dict[bytes, int] = {}
 
         def flush():
             out = pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()).cast(pa.string()),
-                 pa.array(list(held.values()), pa.int64())], names=["word", "c"])
-            held.clear()
+                [pa.array(list(every), pa.binary()).cast(pa.string()),
+                 pa.array([trained.get(w, 0) for w in every], pa.int64()),
+                 pa.array(list(every.values()), pa.int64())], names=["word", "c", "n"])
+            every.clear()
+            trained.clear()
             return out
         for b in batches:
             w = Words(b.column(1).to_pylist())
             train = np.repeat(~np.array(b.column(0).to_pylist(), bool), w.counts)
             _, first, inverse = np.unique(w.hashes, return_index=True, return_inverse=True)
+            n = np.bincount(inverse, minlength=len(first))
             c = np.bincount(inverse, weights=train, minlength=len(first)).astype(np.int64)
             by = np.argsort(first)
-            for word, k in zip(w.strings(first[by]), c[by].tolist()):
-                held[word] = held.get(word, 0) + k
-            if len(held) > BUFFER:
+            for word, k, m in zip(w.strings(first[by]), c[by].tolist(), n[by].tolist()):
+                every[word] = every.get(word, 0) + m
+                if k:
+                    trained[word] = trained.get(word, 0) + k
+            if len(every) > BUFFER:
                 yield flush()
         yield flush()
-    return rows.select("held_out", "text").mapInArrow(run, "word string, c long") \
-        .groupBy("word").agg(F.sum("c").alias("c"))
+    return rows.select("held_out", "text").mapInArrow(run, "word string, c long, n long") \
+        .groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
 def fit_pieces(words: DataFrame, vocabulary: dict[str, float], rounds: int = ROUNDS) -> dict[str, float]:
@@ -201,7 +223,7 @@ def fit_pieces(words: DataFrame, vocabulary: dict[str, float], rounds: int = ROU
             yield pa.RecordBatch.from_arrays([pa.array(list(into), pa.string()),
                                               pa.array(list(into.values()), pa.float64())],
                                              names=["piece", "n"])
-        got = words.where("c > 0").mapInArrow(run, "piece string, n double") \
+        got = words.where("c > 0").select("word", "c").mapInArrow(run, "piece string, n double") \
             .groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
         n = dict(zip(got["piece"].to_pylist(), got["n"].to_pylist()))
         total = sum(n.values()) + PRIOR
@@ -210,10 +232,10 @@ def fit_pieces(words: DataFrame, vocabulary: dict[str, float], rounds: int = ROU
 
 
 def _head_cut(words: DataFrame, limit: int) -> int:
-    """Smallest count c such that at most ``limit`` words have it or more; the
-    histogram has at most 1,024 bins."""
-    bins = words.where("c > 0").groupBy(F.floor(F.log2("c") * 16).alias("b")) \
-        .agg(F.count("*").alias("n"), F.min("c").alias("lo")).orderBy(F.desc("b")).collect()
+    """Smallest number of occurrences such that at most ``limit`` words have it
+    or more; the histogram has at most 1,024 bins."""
+    bins = words.groupBy(F.floor(F.log2("n") * 16).alias("b")) \
+        .agg(F.count("*").alias("n"), F.min("n").alias("lo")).orderBy(F.desc("b")).collect()
     total, at = 0, 1 << 62
     for r in bins:
         total += r["n"]
@@ -223,6 +245,13 @@ def _head_cut(words: DataFrame, limit: int) -> int:
     return at
 
 
+def mixed(c: np.ndarray, lp: np.ndarray, total: float, distinct: float) -> np.ndarray:
+    """log10 of (c + distinct * 10**lp) / (total + distinct)."""
+    with np.errstate(divide="ignore", under="ignore"):
+        seen = np.log10(c + distinct * np.power(10.0, lp))
+    return np.where(c > 0, seen, math.log10(distinct) + lp) - math.log10(total + distinct)
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           vocabulary: str | None = None, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
@@ -238,6 +267,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        _held(F.col(id_col).cast("long")).alias("held_out"))
     words = cut(word_counts(rows), "lm-words")
     pieces = fit_pieces(words, pieces0, rounds)
+    seen = words.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    total, distinct = float(seen["n"] or 0), float(max(seen["v"], 1))
 
     sent = spark.sparkContext.broadcast(pieces)
 
@@ -246,23 +277,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ln10 = math.log(10)
         for b in batches:
             texts = b.column(0).to_pylist()
+            lp = np.array([lattice.log_prob(t) / ln10 for t in texts], np.float64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(as_int64(Words(texts).hashes)), b.column(1),
-                 pa.array([lattice.log_prob(t) / ln10 for t in texts], pa.float64())],
-                names=["h", "c", "lp"])
+                [pa.array(as_int64(Words(texts).hashes)), b.column(1), b.column(2),
+                 pa.array(mixed(b.column(1).to_numpy(), lp, total, distinct))],
+                names=["h", "c", "n", "lp"])
     # one word a text, so one hash a row
-    scored = cut(words.mapInArrow(weigh, "h long, c long, lp double"), "lm-weighed")
+    scored = cut(words.mapInArrow(weigh, "h long, c long, n long, lp double"), "lm-weighed")
     at = _head_cut(scored, head)
-    top = scored.where(F.col("c") >= at).toArrow()        # at most ``head`` rows
+    top = scored.where(F.col("n") >= at).toArrow()        # at most ``head`` rows
     h = top["h"].to_numpy().view(np.uint64)
     c, lp = top["c"].to_numpy(), top["lp"].to_numpy()
     slot = np.full(1 << SLOT_BITS, -1, np.int32)
-    by = np.argsort(c, kind="stable")                      # of a shared slot, the more frequent word
+    by = np.argsort(top["n"].to_numpy(), kind="stable")    # of a shared slot, the more frequent word
     slot[(h[by] >> np.uint64(64 - SLOT_BITS)).astype(np.int64)] = by
-    table = spark.sparkContext.broadcast((slot, h, np.log10(c + 1.0), lp))
+    table = spark.sparkContext.broadcast((slot, h, c > 0, np.log10(c + 1.0), lp))
 
     def first(batches):
-        slot, h, lc, lp = table.value
+        slot, h, seen_, lc, lp = table.value
         none = len(h) == 0
         for b in batches:
             w = Words(b.column(2).to_pylist())
@@ -272,7 +304,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             rest = np.bincount(doc[~hit], minlength=b.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(w.counts),
-                 pa.array(np.bincount(doc[hit], minlength=b.num_rows).astype(np.int64)),
+                 pa.array(np.bincount(doc[hit], seen_[j], b.num_rows).astype(np.int64)),
                  pa.array(np.bincount(doc[hit], lc[j], b.num_rows).astype(np.float64)),
                  pa.array(np.bincount(doc[hit], lp[j], b.num_rows).astype(np.float64)),
                  pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(rest)]), pa.int32()),
@@ -284,12 +316,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tail = part.select("uid", F.explode("rest").alias("h")).join(scored.hint("merge"), "h") \
         .groupBy("uid").agg(F.count(F.when(F.col("c") > 0, 1)).alias("t_known"),
                             F.sum(F.log10(F.col("c") + 1.0)).alias("t_base"), F.sum("lp").alias("t_lm"))
-    seen = words.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     train_docs = part.where("not held_out").count()
     n_train = (seen["n"] or 0) + train_docs
     v = seen["v"] + (train_docs > 0)
     denominator = math.log10(n_train + v + 1)
-    # pieces and the end mark share one distribution
+    # before each word, and at the end: go on, or end
     ends, runs = train_docs + 1.0, (seen["n"] or 0) + 1.0
     end_lp, go_lp = math.log10(ends / (ends + runs)), math.log10(runs / (ends + runs))
     zero = F.lit(0.0)

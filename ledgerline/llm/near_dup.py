@@ -19,7 +19,8 @@ bins, up to 5.5 standard deviations (of independent bins) from what a link at
 the threshold gives. The bins of a small set copy few values and spread more:
 simulated, the limit is 4.9 of their deviations off for unions of 76 to 80
 shingles, 5.0 for 160, 5.6 for 1,000; by the normal tail this loses 1 link at
-the threshold in a million or fewer, the bands about 5.
+the threshold in a million or fewer, the bands about 5. ``sketch=False`` leaves
+the second sketch out: then every pair that shares a band is confirmed.
 A pair is proposed only by the first band that it shares.
 
 Defined cases: null or blank texts have no shingle, are their own component
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Words, as_int64, cut, mix64, prefix_sums, small_batches
@@ -180,7 +181,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, match: tuple[int, int]) -> DataF
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, bins: int = BINS, bands: int = BANDS, rows: int = ROWS,
-                    match: tuple[int, int] = MATCH) -> DataFrame:
+                    match: tuple[int, int] = MATCH, sketch: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
     small_batches(docs.sparkSession)
     f = cut(features(docs, id_col, text_col, bins, bands, rows, shingle), "nd-features")
@@ -216,15 +217,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .where("_lo <> _hi").select("key")
     rest = named.where("not is_centre").join(open_.hint("merge"), "key", "left_semi")
     words = bins // 32
-    sketch = reps.select(F.col("doc_id").alias("rep"), "bands",
-                         *[F.col("bits")[i].alias(f"b{i}") for i in range(words)])
-    rest = rest.join(sketch.hint("merge"), "rep")
+    bits = reps.select(F.col("doc_id").alias("rep"), "bands",
+                       *[F.col("bits")[i].alias(f"b{i}") for i in range(words if sketch else 0)])
+    rest = rest.join(bits.hint("merge"), "rep")
     x, y = rest.alias("x"), rest.alias("y")
     least = match[0] / match[1]
     slack = 1.0 - least + 1e-9
     most = sketch_limit(bins, match)
-    apart = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(words)),
-                F.lit(0))
+    alike = F.lit(True)
+    if sketch:
+        apart = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(words)), F.lit(0))
+        alike = (F.least("x.n_shingles", "y.n_shingles") < SKETCHED) | (apart <= most)
     seen = F.arrays_overlap(F.slice("x.bands", F.lit(1), F.col("x.band")),
                             F.slice("y.bands", F.lit(1), F.col("x.band")))
     across = (x.join(y.hint("merge"), "key")
@@ -232,8 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      & (F.abs(F.col("x.far") - F.col("y.far")) <= slack)
                      & (F.least("x.n_shingles", "y.n_shingles") * match[1]
                         >= F.greatest("x.n_shingles", "y.n_shingles") * match[0])
-                     & ((F.least("x.n_shingles", "y.n_shingles") < SKETCHED) | (apart <= most))
-                     & ~seen)
+                     & alike & ~seen)
               .select(F.col("x.rep").alias("u"), F.col("y.rep").alias("v")).distinct()
               .join(first.select("u", "v").hint("merge"), ["u", "v"], "left_anti"))
     second = _confirm(across, sets, match).where("linked").select("u", "v")
@@ -254,8 +256,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          **kw) -> DataFrame:
     """Rows of ``docs`` whose document is its component's kept one. A document
     is a doc_id and a text: rows that share a doc_id but not the text are
-    decided each by its own, of rows that share both one stays (rows with a
-    null doc_id all stay)."""
+    decided each by its own, of rows that share both the one with the smallest
+    row hash stays (rows with a null doc_id all stay)."""
     key = ["_id", "_none", "_hash"]
     rows = docs.where(F.col(id_col).isNotNull()).withColumns({
         "_id": F.col(id_col).cast("long"), "_none": F.col(text_col).isNull(), "_hash": F.xxhash64(text_col)})
@@ -269,5 +271,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     kept = near_duplicates(rows, id_col="_vertex", text_col=text_col, **kw).where("kept") \
         .select(F.col("doc_id").alias("_kept")).distinct()
     named = rows.join(kept.hint("merge"), F.col("_vertex") == F.col("_kept"), "left_semi")
-    return named.dropDuplicates(["_vertex"]).select(*docs.columns).unionByName(
+    one = Window.partitionBy("_vertex").orderBy(F.xxhash64(*docs.columns))
+    return named.withColumn("_one", F.row_number().over(one)).where("_one = 1").select(*docs.columns).unionByName(
         docs.where(F.col(id_col).isNull()))

@@ -17,6 +17,7 @@ piece; other columns are unused.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -32,19 +33,20 @@ LENGTH = 2048
 END_ID = 1
 DIMS = 4
 BITS = 10
-CACHE = 300_000              # words in each of a worker's two generations of remembered words
+CACHE_BYTES = 48 << 20       # about, of each of a worker's two generations of remembered words
+CACHED = 64                  # characters of the longest word that is remembered
 PUNCT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
-    """Token ids of texts, by a cache of words.
+    """Token ids of texts, by a cache of words, bounded in bytes.
 
     The tokenizer drops white space and never merges across it, so a text's
     ids are those of its chunks between spaces and newlines, in order. Chunks
     new to the cache are encoded by the tokenizer itself: letter runs many at
     once, told apart by the end-of-word mark, runs of punctuation after them
     once each (the tokenizer parts letters from what follows), all else one at
-    a time.
+    a time. Chunks of more than CACHED characters are not remembered.
     """
 
     def __init__(self, path: str):
@@ -59,17 +61,14 @@ class Encoder:
             self.last[i] = t.endswith("</w>")
         self.cache: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}          # the generation before; words still in use move over
+        self.held = 0                            # bytes of the cache, about
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
-        """The worker process's encoder for this file: kept between its tasks,
-        on the tokenizer's module, which all of them share."""
-        import tokenizers
-
-        kept = tokenizers.__dict__.setdefault("_word_encoders", {})
-        if path not in kept:
-            kept[path] = cls(path)
-        return kept[path]
+        """The worker process's encoder for this file, kept between its tasks."""
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -119,13 +118,25 @@ class Encoder:
     def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
         docs = [_lower(t or "").replace("\n", " ").split(" ") for t in texts]
         seen = set().union(*docs) if docs else set()
-        if len(self.cache) > CACHE:
-            self.cache, self.old = {"": b""}, self.cache
-        self.learn(seen)
-        get = self.cache.__getitem__
+        if self.held > CACHE_BYTES:
+            self.cache, self.old, self.held = {"": b""}, self.cache, 0
+        long = {c for c in seen if len(c) > CACHED}
+        before = len(self.cache)
+        self.learn(seen - long if long else seen)
+        for c in itertools.islice(reversed(self.cache), len(self.cache) - before):
+            self.held += ENTRY + len(c) + len(self.cache[c])
+        if not long:
+            get = self.cache.__getitem__
+        else:
+            once = {c: self._ids(c) for c in long}
+            get = lambda c: once[c] if c in once else self.cache[c]
         return [b"".join(map(get, d)) + end for d in docs]
 
 
+ENTRY = 150                  # bytes of an entry of the cache besides its letters and ids
+_ENCODERS: dict[str, Encoder] = {}
+
+
 def _lower(text: str) -> str:
     """The tokenizer lower-cases; doing so first shares cache entries, and is
     the same where all characters are Latin-1."""

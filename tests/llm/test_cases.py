@@ -115,6 +115,45 @@ def test_near_duplicate_cases(spark, odd, none):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["1", "2", "3", "4", "5", "7", "8", "None"])
 
 
+def test_second_sketch_loses_nothing_here(spark):
+    """With and without the second sketch: the same components."""
+    rnd = random.Random(12)
+    vocab = [f"w{i}" for i in range(50_000)]
+    rows = []
+    for g in range(40):
+        base = rnd.sample(vocab, 120)
+        for j in range(10):
+            rows.append((g * 10 + j, " ".join(base), "s"))
+            for _ in range(rnd.randrange(5)):
+                base[rnd.randrange(120)] = rnd.choice(vocab)
+    df = frame(spark, rows)
+    on, off = (sorted(map(tuple, near_dup.near_duplicates(df, sketch=x).collect())) for x in (True, False))
+    assert on == off and len({r[2] for r in on}) < 400
+
+
+def test_the_survivor_of_equal_rows_is_the_same_each_time(spark):
+    rows = [(1, "alpha beta gamma delta epsilon", s) for s in "dbca"] + [(2, "one two", s) for s in "zy"]
+    runs = []
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        got = near_dup.drop_near_duplicates(frame(spark, rows).repartition(seed + 1)).collect()
+        runs.append(sorted((r.doc_id, r.source) for r in got))
+    assert len(runs[0]) == 2 and runs[0] == runs[1] == runs[2]
+
+
+def test_the_word_cache_is_bounded(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(packing, "CACHE_BYTES", 20_000)
+    enc = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    rnd = random.Random(1)
+    for _ in range(30):
+        texts = [" ".join("".join(rnd.choices("abcde", k=rnd.choice([3, 9, 100]))) for _ in range(40))]
+        ids = np.frombuffer(enc.encode(texts, b"")[0], enc.dtype).tolist()
+        assert ids == enc.tok.encode(texts[0], add_special_tokens=False).ids
+        assert len(enc.cache) < 400 and all(len(c) <= packing.CACHED for c in enc.cache)
+
+
 def test_links_away_from_the_centre(spark):
     """Members of one bucket that are unlike its centre still link."""
     rnd = random.Random(11)
@@ -322,6 +361,19 @@ def test_lattice_by_enumeration():
         assert into.get(p, 0.0) == pytest.approx(want)
 
 
+def test_words_of_the_mixture_sum_to_one():
+    """Over all words up to a length, what is left is what longer ones have."""
+    pieces = {"▁a": .2, "▁": .2, "▁ab": .1, "a": .1, "b": .1, "ab": .3}
+    lattice = lattice_lm.Lattice({p: math.log(v) for p, v in pieces.items()})
+    words = ["".join(w) for n in range(15) for w in itertools.product("ab", repeat=n)]
+    spelled = np.array([lattice.log_prob(w) for w in words]) / math.log(10)
+    assert 0.99 < np.power(10.0, spelled).sum() <= 1 + 1e-9
+    c = np.array([{"ab": 5, "a": 2}.get(w, 0) for w in words])
+    total = np.power(10.0, lattice_lm.mixed(c, spelled, 7.0, 2.0)).sum()
+    assert 0.99 < total <= 1 + 1e-9
+    assert np.isfinite(lattice_lm.mixed(np.array([0, 3]), np.array([-400.0, -400.0]), 7.0, 2.0)).all()
+
+
 def test_lm_cases(odd, none):
     got = lattice_lm.score(odd).collect()
     assert len(got) == len(ROWS) and all(r.score < 0 and r.n_tokens >= 1 for r in got)

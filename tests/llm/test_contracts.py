@@ -232,10 +232,17 @@ def test_op8_base_and_lattice(spark, docs):
     vocabulary = lattice_lm.load_vocabulary(public_tokenizers.path(lattice_lm.VOCABULARY))
     lattice = lattice_lm.Lattice(lattice_lm.fit_pieces(frame, vocabulary))
     ends, runs = n_docs + 1.0, sum(c.values()) + 1.0
+    distinct, seen = len(c), sum(c.values())
+
+    def word(x):
+        return math.log10((c[x] + distinct * math.exp(lattice.log_prob(x))) / (seen + distinct))
     for r in got[::50]:
-        want = sum(lattice.log_prob(x) for x in words[r.doc_id]) / math.log(10) \
+        want = sum(map(word, words[r.doc_id])) \
             + len(words[r.doc_id]) * math.log10(runs / (ends + runs)) + math.log10(ends / (ends + runs))
         assert r.score == pytest.approx(want, rel=1e-8)
+    kept = [r for r in got if r.held_out]
+    print("held out:", len(kept), sum(r.n_tokens for r in kept), sum(r.score for r in kept),
+          sum(r.base_score for r in kept), sum(r.score > r.base_score for r in kept))
 
 
 def test_op9_pages(spark):
