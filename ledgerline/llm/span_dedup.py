@@ -11,8 +11,9 @@ occurrence covers are removed. Runs taken forwards and backwards let the spans
 of a repeated passage cover it to its very last sentence.
 
 Spans of one hash are pre-aggregated to their first occurrence and count
-before the shuffle; only hashes that repeat are joined back, in a sort-merge
-join whose hot partitions AQE splits.
+before the shuffle; hashes that repeat are joined back, those with very many
+occurrences by a broadcast (their counts are known, see ``hot_join``), so that
+no task gets all occurrences of one.
 
 Defined cases: null and blank texts have no sentence and come back as they
 are; a text shorter than a span loses nothing; rows that share a doc_id are
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, as_int64, cut, mix64, small_batches
+from .common import Words, as_int64, cut, hot_join, mix64, small_batches
 
 SENTENCES = 2                # a span of several sentences has at least so many
 WORDS = 20                   # and so many words; a single sentence of so many is a span too
@@ -122,9 +123,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .withColumn("uid", F.xxhash64("doc_id", "text"))
     s = cut(spans(rows, sentences, words), "sd-spans")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid", "first")
-    groups = s.groupBy("hash").agg(F.min(place).alias("main"), F.count("*").alias("k")) \
-        .where("k > 1").drop("k")
-    others = s.join(groups.hint("merge"), "hash").where(place != F.col("main")) \
+    groups = cut(s.groupBy("hash").agg(F.min(place).alias("main"), F.count("*").alias("k")).where("k > 1"),
+                 "sd-repeats")
+    others = hot_join(s, groups, ["hash"], "k", F.xxhash64("uid", "first")) \
+        .where(F.col("main").isNotNull() & (place != F.col("main"))) \
         .select("doc_id", "uid", "first", "n", F.col("main.doc_id").alias("keeper"))
     per = others.groupBy("doc_id", "uid").agg(
         F.collect_set(F.struct("first", "n")).alias("cover"),

@@ -516,6 +516,18 @@ def test_single_long_sentences_are_spans(spark):
     assert [got[i].n_removed for i in (0, 2, 4, 5)] == [0] * 4
 
 
+def test_hot_join_is_a_left_join(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.llm.common import hot_join
+    rows = spark.range(400).select((F.col("id") % 7 * (F.col("id") % 3)).alias("k"), "id")
+    groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top")).where("k <> 4")
+    want = sorted(map(str, rows.join(groups, "k", "left").collect()))
+    for hot, most in ((1, 100), (30, 100), (30, 1), (10**6, 100)):
+        got = hot_join(rows, groups, ["k"], "n", F.col("id"), hot, most)
+        assert sorted(map(str, got.collect())) == want
+
+
 def test_sketch_limit_holds_for_small_sets():
     rng, probe = np.random.default_rng(5), near_dup._probe_table(near_dup.BINS, near_dup.PROBES)
     place = near_dup.mix64(np.arange(near_dup.BINS, dtype=np.uint64) + np.uint64(991))
