@@ -17,7 +17,6 @@ piece; other columns are unused.
 
 from __future__ import annotations
 
-import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -33,13 +32,13 @@ LENGTH = 2048
 END_ID = 1
 DIMS = 4
 BITS = 10
-CACHE_BYTES = 48 << 20       # about, of each of a worker's two generations of remembered words
-CACHED = 64                  # characters of the longest word that is remembered
+CACHE = 300_000              # words in each of a worker's two generations of remembered words
+CACHED = 64                  # characters of the longest of them: a generation is 50 MB as a rule, 160 MB at most
 PUNCT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Encoder:
-    """Token ids of texts, by a cache of words, bounded in bytes.
+    """Token ids of texts, by a bounded cache of words.
 
     The tokenizer drops white space and never merges across it, so a text's
     ids are those of its chunks between spaces and newlines, in order. Chunks
@@ -61,7 +60,6 @@ class Encoder:
             self.last[i] = t.endswith("</w>")
         self.cache: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}          # the generation before; words still in use move over
-        self.held = 0                            # bytes of the cache, about
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -118,13 +116,10 @@ class Encoder:
     def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
         docs = [_lower(t or "").replace("\n", " ").split(" ") for t in texts]
         seen = set().union(*docs) if docs else set()
-        if self.held > CACHE_BYTES:
-            self.cache, self.old, self.held = {"": b""}, self.cache, 0
+        if len(self.cache) > CACHE:
+            self.cache, self.old = {"": b""}, self.cache
         long = {c for c in seen if len(c) > CACHED}
-        before = len(self.cache)
         self.learn(seen - long if long else seen)
-        for c in itertools.islice(reversed(self.cache), len(self.cache) - before):
-            self.held += ENTRY + len(c) + len(self.cache[c])
         if not long:
             get = self.cache.__getitem__
         else:
@@ -133,7 +128,6 @@ class Encoder:
         return [b"".join(map(get, d)) + end for d in docs]
 
 
-ENTRY = 150                  # bytes of an entry of the cache besides its letters and ids
 _ENCODERS: dict[str, Encoder] = {}
 
 

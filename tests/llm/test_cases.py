@@ -144,7 +144,7 @@ def test_the_survivor_of_equal_rows_is_the_same_each_time(spark):
 def test_the_word_cache_is_bounded(monkeypatch):
     import public_tokenizers
 
-    monkeypatch.setattr(packing, "CACHE_BYTES", 20_000)
+    monkeypatch.setattr(packing, "CACHE", 100)
     enc = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
     rnd = random.Random(1)
     for _ in range(30):
