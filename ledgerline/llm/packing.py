@@ -85,7 +85,8 @@ class Encoder:
                 for w in part:
                     self.cache[w] = self._ids(w)
 
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: list[str]) -> None:
+        """Cache chunks that the cache does not hold."""
         cache, old, runs, tails, rest = self.cache, self.old, set(), [], []
 
         def known(c: str) -> bool:
@@ -93,7 +94,8 @@ class Encoder:
                 cache[c] = old[c]
             return c in cache
         for c in chunks:
-            if known(c):
+            if c in old:
+                cache[c] = old[c]
                 continue
             head = c.rstrip(PUNCT)
             if head == c and c.isalpha():
@@ -118,13 +120,15 @@ class Encoder:
         seen = set().union(*docs) if docs else set()
         if len(self.cache) > CACHE:
             self.cache, self.old = {"": b""}, self.cache
-        long = {c for c in seen if len(c) > CACHED}
-        self.learn(seen - long if long else seen)
+        cache = self.cache
+        new = [c for c in seen if c not in cache]
+        long = [c for c in new if len(c) > CACHED]
+        self.learn([c for c in new if len(c) <= CACHED] if long else new)
         if not long:
-            get = self.cache.__getitem__
+            get = cache.__getitem__
         else:
             once = {c: self._ids(c) for c in long}
-            get = lambda c: once[c] if c in once else self.cache[c]
+            get = lambda c: once[c] if c in once else cache[c]
         return [b"".join(map(get, d)) + end for d in docs]
 
 
