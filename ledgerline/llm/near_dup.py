@@ -35,10 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, as_int64, cut, mix64, prefix_sums, small_batches
+from .common import Words, as_int64, cut, hot_join, mix64, prefix_sums, small_batches
 from .graph import components
 
 SHINGLE = 5
@@ -49,6 +49,7 @@ SKETCHED = 64                # sets of at least so many shingles are held to the
 DEVIATIONS = 5.5             # of the sketch, from its mean for a link at the threshold
 MATCH = (75, 100)            # intersection : union, at least
 PROBES = 512
+WIDE = 256                   # members of an open bucket that meet pair by pair, at most
 
 _U = np.uint64
 
@@ -179,22 +180,64 @@ def _confirm(pairs: DataFrame, sets: DataFrame, match: tuple[int, int]) -> DataF
     return out.withColumn("linked", F.col("common") * match[1] >= F.col("total") * match[0])
 
 
+def _groups_apart(rows: DataFrame, on: str) -> DataFrame:
+    """(on, n, top) of the groups with more than one label: their number of
+    rows and most frequent label."""
+    return rows.groupBy(on, "label").agg(F.count("*").alias("_n")).groupBy(on).agg(
+        F.sum("_n").alias("n"), F.max_by("label", F.struct("_n", "label")).alias("top"),
+        F.count("*").alias("_labels")).where("_labels > 1").drop("_labels")
+
+
+def _pairs_apart(rows: DataFrame, on: str, match: tuple[int, int], keep: Column) -> DataFrame:
+    """Distinct pairs (u, v) of rows (on, rep, n_shingles, label, top, ...) of one
+    group and different labels, of sizes that can reach the threshold; ``keep``
+    is a further condition on x and y. Rows of the group's top label are met by
+    the others only."""
+    x, y = rows.where("label <> top").alias("x"), rows.alias("y")
+    return (x.join(y.hint("merge"), on)
+            .where((F.col("x.label") != F.col("y.label"))
+                   & ((F.col("y.label") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep")))
+                   & (F.least("x.n_shingles", "y.n_shingles") * match[1]
+                      >= F.greatest("x.n_shingles", "y.n_shingles") * match[0]) & keep)
+            .select(F.least("x.rep", "y.rep").alias("u"), F.greatest("x.rep", "y.rep").alias("v")).distinct())
+
+
+def rare_shingles(sets: DataFrame, match: tuple[int, int]) -> DataFrame:
+    """(shingle, rep): of each set's first n - ceil(t n) + 1 shingles, the rarest
+    in these sets first, those that another set holds too."""
+    each = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("_size"),
+                       F.xxhash64("shingles").alias("_set"), F.explode("shingles").alias("shingle"))
+    held = cut(each.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1"), "nd-held")
+    both = hot_join(each, held, ["shingle"], "held", F.pmod(F.xxhash64("rep"), F.lit(64))) \
+        .where("held is not null")
+    # a set's shingles that no other holds come first in the order
+    own = both.groupBy("rep", "_set", "_size").agg(
+        F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("_by"))
+    first = F.expr(f"cast(_size - (({match[0]}L * _size + {match[1] - 1}) div {match[1]}) + 1 as int)")
+    left = F.greatest(first - (F.col("_size") - F.size("_by")), F.lit(0))
+    return own.select("rep", F.explode(F.slice("_by", F.lit(1), left)).alias("_s")) \
+        .select(F.col("_s.shingle").alias("shingle"), "rep").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, bins: int = BINS, bands: int = BANDS, rows: int = ROWS,
-                    match: tuple[int, int] = MATCH, sketch: bool = True) -> DataFrame:
+                    match: tuple[int, int] = MATCH, sketch: bool = True, wide: int = WIDE) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
     small_batches(docs.sparkSession)
     f = cut(features(docs, id_col, text_col, bins, bands, rows, shingle), "nd-features")
     key = ["set_a", "set_b", "n_shingles"]
     has = f.where("n_shingles > 0 and doc_id is not null")
-    classes = has.groupBy(*key).agg(F.min("doc_id").alias("rep"))
+    classes = has.groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     # bands of the classes' representatives only
-    reps = has.join(classes.withColumnRenamed("rep", "doc_id").hint("merge"), [*key, "doc_id"],
+    reps = has.join(classes.withColumnRenamed("rep", "doc_id").drop("copies").hint("merge"), [*key, "doc_id"],
                     "left_semi")
     rows_ = reps.select(F.col("doc_id").alias("rep"), "n_shingles", F.posexplode("bands").alias("band", "key"))
-    shared = rows_.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("_last")) \
-        .where("centre <> _last").drop("_last")
-    members = cut(rows_.join(shared.hint("merge"), "key"), "nd-buckets")
+    shared = cut(rows_.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("_last"),
+                                          F.count("*").alias("n"))
+                 .where("centre <> _last").drop("_last"), "nd-shared")
+    spread = F.pmod(F.xxhash64("rep"), F.lit(64))
+    members = cut(hot_join(rows_, shared, ["key"], "n", spread).where("centre is not null").drop("n"),
+                  "nd-buckets")
     stars = members.where("rep <> centre").select(F.col("centre").alias("u"), F.col("rep").alias("v"))
     stars = stars.distinct()
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
@@ -213,38 +256,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select("key", "band", "rep", "n_shingles", "label", F.coalesce("far", F.lit(0.0)).alias("far"),
                      (F.col("rep") == F.col("centre")).alias("is_centre")))
     named = cut(named, "nd-open")
-    open_ = named.groupBy("key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")) \
-        .where("_lo <> _hi").select("key")
-    rest = named.where("not is_centre").join(open_.hint("merge"), "key", "left_semi")
-    words = bins // 32
+    apart = named.where("not is_centre").drop("is_centre")
+    open_ = cut(_groups_apart(apart, "key"), "nd-apart")
+    rest = hot_join(apart, open_, ["key"], "n", spread).where("top is not null")
+    words = bins // 32 if sketch else 0
     bits = reps.select(F.col("doc_id").alias("rep"), "bands",
-                       *[F.col("bits")[i].alias(f"b{i}") for i in range(words if sketch else 0)])
-    rest = rest.join(bits.hint("merge"), "rep")
-    x, y = rest.alias("x"), rest.alias("y")
-    least = match[0] / match[1]
-    slack = 1.0 - least + 1e-9
-    most = sketch_limit(bins, match)
+                       *[F.col("bits")[i].alias(f"b{i}") for i in range(words)])
     alike = F.lit(True)
     if sketch:
-        apart = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(words)), F.lit(0))
-        alike = (F.least("x.n_shingles", "y.n_shingles") < SKETCHED) | (apart <= most)
+        off = sum((F.bit_count(F.col(f"x.b{i}").bitwiseXOR(F.col(f"y.b{i}"))) for i in range(words)), F.lit(0))
+        alike = (F.least("x.n_shingles", "y.n_shingles") < SKETCHED) | (off <= sketch_limit(bins, match))
     seen = F.arrays_overlap(F.slice("x.bands", F.lit(1), F.col("x.band")),
                             F.slice("y.bands", F.lit(1), F.col("x.band")))
-    across = (x.join(y.hint("merge"), "key")
-              .where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
-                     & (F.abs(F.col("x.far") - F.col("y.far")) <= slack)
-                     & (F.least("x.n_shingles", "y.n_shingles") * match[1]
-                        >= F.greatest("x.n_shingles", "y.n_shingles") * match[0])
-                     & alike & ~seen)
-              .select(F.col("x.rep").alias("u"), F.col("y.rep").alias("v")).distinct()
-              .join(first.select("u", "v").hint("merge"), ["u", "v"], "left_anti"))
+    slack = 1.0 - match[0] / match[1] + 1e-9
+    across = _pairs_apart(rest.where(F.col("n") <= wide).join(bits.hint("merge"), "rep"), "key", match,
+                          (F.abs(F.col("x.far") - F.col("y.far")) <= slack) & alike & ~seen)
+    if open_.where(F.col("n") > wide).limit(1).count():
+        # members of wide buckets: pairs that share a rare shingle and any band
+        far = cut(rest.where(F.col("n") > wide).select("rep", "n_shingles", "label").distinct(), "nd-wide")
+        rare = rare_shingles(sets.join(far.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id",
+                                       "left_semi"), match)
+        rare = cut(rare.join(far.hint("merge"), "rep"), "nd-rare")
+        met = hot_join(rare, cut(_groups_apart(rare, "shingle"), "nd-rare-apart"), ["shingle"], "n", spread)
+        met = _pairs_apart(met.where("top is not null"), "shingle", match, F.lit(True))
+        full = far.select("rep", "n_shingles").join(bits.hint("merge"), "rep")
+        x, y = full.alias("x"), full.alias("y")
+        across = across.unionByName(
+            met.join(x.hint("merge"), F.col("u") == F.col("x.rep"))
+            .join(y.hint("merge"), F.col("v") == F.col("y.rep"))
+            .where(alike & F.arrays_overlap("x.bands", "y.bands")).select("u", "v")).distinct()
+    across = across.join(first.select("u", "v").hint("merge"), ["u", "v"], "left_anti")
     second = _confirm(across, sets, match).where("linked").select("u", "v")
     label = components(first.where("linked").select("u", "v").unionByName(second))
 
     moved = label.where("node <> label")
-    named_class = classes.join(moved.withColumnRenamed("node", "rep").hint("merge"), "rep", "left") \
-        .select(*key, F.coalesce("label", "rep").alias("component_id"))
-    linked = has.drop("bands", "bits").join(named_class.hint("merge"), key)
+    named_class = cut(classes.join(moved.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
+                      .select(*key, "copies", F.coalesce("label", "rep").alias("component_id")), "nd-classes")
+    linked = hot_join(has.drop("bands", "bits"), named_class, key, "copies",
+                      F.pmod(F.xxhash64("doc_id"), F.lit(64)))
     rest = f.where("n_shingles = 0 or doc_id is null").drop("bands", "bits") \
         .withColumn("component_id", F.col("doc_id"))
     return linked.select(*rest.columns).unionByName(rest).select(

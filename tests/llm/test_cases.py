@@ -177,6 +177,63 @@ def test_links_away_from_the_centre(spark):
     assert links and got == label
 
 
+def linked_smallest(sets):
+    """Smallest member reachable by links of 0.75, by brute force."""
+    label = {i: i for i in sets}
+    links = [(a, b) for a, b in itertools.combinations(sorted(sets), 2)
+             if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    before = None
+    while before != label:
+        before = dict(label)
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
+def test_many_texts_on_one_template(spark):
+    """Loosely similar texts share buckets but no link; links among them are
+    found pair by pair in the bucket and by rare shingles alike."""
+    rnd = random.Random(21)
+    vocab = [f"w{i}" for i in range(100_000)]
+    rows = []
+    for g in range(2):
+        template = rnd.sample(vocab, 200)
+        for j in range(70):
+            own = rnd.sample(vocab, 100)
+            rows.append((len(rows), " ".join(template + own), "s"))
+            for _ in range(rnd.choice([0, 0, 1, 2])):     # near copies, each of the one before
+                at = rnd.randrange(85)
+                own[at:at + 12] = rnd.sample(vocab, 12)
+                rows.append((len(rows), " ".join(template + own), "s"))
+    rows.append((len(rows), rows[3][1], "s"))
+    order = list(range(len(rows)))
+    rnd.shuffle(order)
+    rows = [(order[i], t, s) for i, t, s in rows]
+    df = frame(spark, rows)
+    want = linked_smallest({i: {tuple(t.split()[k:k + 5]) for k in range(296)} for i, t, _ in rows})
+    assert 100 < len(set(want.values())) < len(rows)
+    for wide in (4, 10_000):
+        got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(df, wide=wide).collect()}
+        assert got == want, wide
+
+
+def test_rare_shingles_keep_every_link(spark):
+    rnd = random.Random(4)
+    sets = {}
+    for i in range(120):
+        base = sets[rnd.randrange(i)] if i and rnd.random() < 0.7 else set(rnd.sample(range(400), rnd.randrange(1, 80)))
+        sets[i] = set(rnd.sample(sorted(base), max(1, len(base) - rnd.randrange(6)))) | set(rnd.sample(range(400), rnd.randrange(5)))
+    df = spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "doc_id long, shingles array<long>")
+    by = {}
+    for r in near_dup.rare_shingles(df, near_dup.MATCH).collect():
+        by.setdefault(r.rep, set()).add(r.shingle)
+    for a, b in itertools.combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            assert by[a] & by[b], (a, b)
+    for i, x in by.items():
+        assert x <= sets[i] and len(x) <= len(sets[i]) - math.ceil(0.75 * len(sets[i])) + 1
+
+
 def test_span_cases(spark, odd, none):
     got = span_dedup.remove_repeats(odd).collect()
     assert len(got) == len(ROWS)
