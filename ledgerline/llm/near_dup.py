@@ -203,20 +203,30 @@ def _pairs_apart(rows: DataFrame, on: str, match: tuple[int, int], keep: Column)
 
 
 def rare_shingles(sets: DataFrame, match: tuple[int, int]) -> DataFrame:
-    """(shingle, rep): of each set's first n - ceil(t n) + 1 shingles, the rarest
-    in these sets first, those that another set holds too."""
-    each = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("_size"),
+    """(shingle, rep, size, at): of each set's first n - ceil(t n) + 1 shingles,
+    the rarest in these sets first, those that another set holds too, and their
+    place in that order, from 1."""
+    each = sets.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("size"),
                        F.xxhash64("shingles").alias("_set"), F.explode("shingles").alias("shingle"))
     held = cut(each.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1"), "nd-held")
     both = hot_join(each, held, ["shingle"], "held", F.pmod(F.xxhash64("rep"), F.lit(64))) \
         .where("held is not null")
     # a set's shingles that no other holds come first in the order
-    own = both.groupBy("rep", "_set", "_size").agg(
-        F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("_by"))
-    first = F.expr(f"cast(_size - (({match[0]}L * _size + {match[1] - 1}) div {match[1]}) + 1 as int)")
-    left = F.greatest(first - (F.col("_size") - F.size("_by")), F.lit(0))
-    return own.select("rep", F.explode(F.slice("_by", F.lit(1), left)).alias("_s")) \
-        .select(F.col("_s.shingle").alias("shingle"), "rep").distinct()
+    own = both.groupBy("rep", "_set", "size").agg(
+        F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("_by")) \
+        .withColumn("_single", F.col("size") - F.size("_by"))
+    first = F.expr(f"cast(size - (({match[0]}L * size + {match[1] - 1}) div {match[1]}) + 1 as int)")
+    left = F.greatest(first - F.col("_single"), F.lit(0))
+    return own.select("rep", "size", "_single", F.posexplode(F.slice("_by", F.lit(1), left)).alias("_i", "_s")) \
+        .select(F.col("_s.shingle").alias("shingle"), "rep", "size",
+                (F.col("_single") + F.col("_i") + 1).alias("at")).distinct()
+
+
+def _can_reach(match: tuple[int, int]) -> Column:
+    """Whether sets x and y can reach the threshold if the shingle at hand is the
+    first in the order that they share: true of that one for every link."""
+    most = 1 + F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at")).cast("long")
+    return most * (match[0] + match[1]) >= (F.col("x.size") + F.col("y.size")).cast("long") * match[0]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -278,7 +288,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                        "left_semi"), match)
         rare = cut(rare.join(far.hint("merge"), "rep"), "nd-rare")
         met = hot_join(rare, cut(_groups_apart(rare, "shingle"), "nd-rare-apart"), ["shingle"], "n", spread)
-        met = _pairs_apart(met.where("top is not null"), "shingle", match, F.lit(True))
+        met = _pairs_apart(met.where("top is not null"), "shingle", match, _can_reach(match))
         full = far.select("rep", "n_shingles").join(bits.hint("merge"), "rep")
         x, y = full.alias("x"), full.alias("y")
         across = across.unionByName(

@@ -226,12 +226,14 @@ def test_rare_shingles_keep_every_link(spark):
     df = spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "doc_id long, shingles array<long>")
     by = {}
     for r in near_dup.rare_shingles(df, near_dup.MATCH).collect():
-        by.setdefault(r.rep, set()).add(r.shingle)
+        by.setdefault(r.rep, {})[r.shingle] = r.at
     for a, b in itertools.combinations(sets, 2):
         if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
-            assert by[a] & by[b], (a, b)
+            at = min(by[a].keys() & by[b].keys(), key=by[a].get)
+            room = 1 + min(len(sets[a]) - by[a][at], len(sets[b]) - by[b][at])
+            assert 175 * room >= 75 * (len(sets[a]) + len(sets[b])), (a, b)
     for i, x in by.items():
-        assert x <= sets[i] and len(x) <= len(sets[i]) - math.ceil(0.75 * len(sets[i])) + 1
+        assert x.keys() <= sets[i] and len(x) <= len(sets[i]) - math.ceil(0.75 * len(sets[i])) + 1
 
 
 def test_span_cases(spark, odd, none):
