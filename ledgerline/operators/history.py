@@ -24,13 +24,13 @@ the row with the smallest hash, whatever order they arrive in.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists, work_dir
+from ..session import delete_folder, path_exists, scratch_path
 from .dedup import dedup_latest
 from .ordered import HOT_ROWS, neighbours
 from .tables import partition_filters, replace_partitions, touched_partitions, within, write_table
@@ -132,26 +132,34 @@ def _with_key(df: DataFrame, per_key: DataFrame, key: Sequence[str], how: str, s
     return df.join(F.broadcast(named) if small else named, on, how).drop(*[f"_k{i}" for i in range(len(key))])
 
 
-SMALL_KEYS = 5_000_000
+SMALL_KEYS = 100_000         # keys of a batch that are broadcast (some 10 MB on the driver); more are joined by shuffles
 
 
 def splice(state: DataFrame | None, changes: DataFrame, key: Sequence[str], ts: str, columns: Sequence[str],
            check_cols: Sequence[str] = (), latest_by: Sequence[str] = (),
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+           hot_rows: int = HOT_ROWS,
+           keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """The state of a history (see ``published``) after ``changes``, a batch
     of versions in any order. ``check_cols`` (among ``columns``) selects the
     check strategy. ``changes`` is read several times: pass a written batch.
 
     NULL keys are one key. Per key, one aggregate finds the stretch of stored
     versions that the batch can alter; a key with very many versions is neither
-    gathered nor, outside of the stretch, sorted."""
+    gathered nor, outside of the stretch, sorted.
+
+    A batch of few keys (SMALL_KEYS) is broadcast and the state only probed; one
+    of more is joined by shuffles. ``keep(df, name)`` writes a frame and reads it
+    back: with it, each of these steps runs once and the state's rows are
+    shuffled once to be told apart."""
     key, columns = list(key), list(dict.fromkeys([*check_cols, *columns]))
-    new = _versions(changes, key, ts, columns, latest_by)
+    keep = keep or (lambda df, name: df)
+    new = keep(_versions(changes, key, ts, columns, latest_by), "versions")
     if state is None:
         return _ranges(_ranked(new, key, check_cols, hot_rows), F.lit(None))
     at, changed = F.col("valid_from"), F.col(CHANGED)
     span = new.groupBy(*key).agg(F.min("valid_from").alias("_lo"), F.max("valid_from").alias("_hi"))
     small = span.limit(SMALL_KEYS + 1).count() <= SMALL_KEYS
+    step = (lambda df, name: df) if small else keep
     touched = _with_key(state, span, key, "inner", small)
     # the change before the first arriving version, and the next one after the
     # last; an arriving version can turn the one that follows it into a change
@@ -159,17 +167,20 @@ def splice(state: DataFrame | None, changes: DataFrame, key: Sequence[str], ts:
     first = touched.groupBy(*key).agg(F.max(F.when(changed & (at < F.col("_lo")), at)).alias("_start"),
                                       F.min(F.when(changed & (at > F.col("_hi")), at)).alias("_end"))
     if check_cols:
+        first = step(first, "around")
         again = _with_key(state, first.select(*key, F.col("_end").alias("_at")), key, "inner", small)
         second = again.groupBy(*key).agg(F.min(F.when(changed & (at > F.col("_at")), at)).alias("_end2"))
         first = _with_key(first, second, key, "left", small).drop("_end", "_touched") \
             .withColumnRenamed("_end2", "_end")
+    first = step(first, "stretches")
     inside = (F.col("_touched").isNotNull() & (F.col("_start").isNull() | (at >= F.col("_start")))
               & (F.col("_end").isNull() | (at < F.col("_end"))))
-    marked = _with_key(state, first, key, "left", small)
-    rest = marked.where(~inside).select(*state.columns)
-    stretch = marked.where(inside).select(*new.columns)
-    ranked = _ranked(_distinct_versions(stretch.unionByName(new), key, "valid_from", _latest(latest_by)),
-                     key, check_cols, hot_rows)
+    marked = step(_with_key(state, first, key, "left", small).select(*state.columns, inside.alias("_inside")),
+                  "marked")
+    rest = marked.where(~F.col("_inside")).select(*state.columns)
+    stretch = marked.where("_inside").select(*new.columns)
+    versions = step(_distinct_versions(stretch.unionByName(new), key, "valid_from", _latest(latest_by)), "stretch")
+    ranked = _ranked(versions, key, check_cols, hot_rows)
     ends = _with_key(ranked, first.select(*key, "_end"), key, "left", small).drop("_touched")
     return rest.unionByName(_ranges(ends, F.col("_end")).select(*state.columns))
 
@@ -223,9 +234,20 @@ class HistoryTable:
         return held["buckets"]
 
     def apply(self, changes: DataFrame) -> None:
-        work_dir(self.spark)
-        batch = changes.select(*dict.fromkeys([*self.key, self.ts, *self.check_cols, *self.columns,
-                                               *self.latest_by])).checkpoint(eager=True)
+        kept: list[str] = []
+
+        def keep(df: DataFrame, name: str) -> DataFrame:
+            kept.append(scratch_path(self.spark, f"history-{name}"))
+            df.write.parquet(kept[-1])
+            return self.spark.read.schema(df.schema).parquet(kept[-1])
+        try:
+            self._apply(keep(changes.select(*dict.fromkeys([*self.key, self.ts, *self.check_cols, *self.columns,
+                                                            *self.latest_by])), "batch"), keep)
+        finally:
+            for folder in kept:
+                delete_folder(self.spark, folder)
+
+    def _apply(self, batch: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> None:
         exists = path_exists(self.spark, f"{self.root}/state/_SUCCESS")
         if exists:
             buckets = self._agreed()
@@ -239,8 +261,8 @@ class HistoryTable:
             parts = touched_partitions(mine, [BUCKET_COL])      # at most the number of buckets
             table = self.spark.read.parquet(path)
             state = within(table, partition_filters(table.schema, [BUCKET_COL], parts)).drop(BUCKET_COL)
-        rows = splice(state, batch, self.key, self.ts, self.columns, self.check_cols, self.latest_by, self.hot_rows) \
-            .withColumn(BUCKET_COL, key_bucket(self.key, buckets))
+        rows = splice(state, batch, self.key, self.ts, self.columns, self.check_cols, self.latest_by, self.hot_rows,
+                      keep).withColumn(BUCKET_COL, key_bucket(self.key, buckets))
         if exists:
             replace_partitions(self.spark, path, rows, [BUCKET_COL])
         else:

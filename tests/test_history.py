@@ -108,3 +108,39 @@ def test_untouched_versions_are_not_ranked_again(spark):
         history._ranked = ranked
     assert seen[0] <= 5
     assert late.count() == 100 and late.where(F.col("v") == "z").count() == 1
+
+
+@pytest.mark.parametrize("check", [()])
+def test_batch_of_many_keys_is_not_broadcast(spark, check):
+    """A batch of more keys than the driver should hold is joined by shuffles."""
+    n = 150_000
+    first = spark.range(n).selectExpr("id AS k", "timestamp_ntz'2024-01-01' AS u", "'p' AS v", "1 AS w", "0 AS x")
+    late = first.selectExpr("k", "timestamp_ntz'2024-01-05' AS u", "'q' AS v", "w", "x")
+    state = history.splice(None, first, ["k"], "u", ["v", "w"], check, ["x"]).localCheckpoint()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")    # only hints broadcast now
+    try:
+        got = history.splice(state, late, ["k"], "u", ["v", "w"], check, ["x"])
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.where("is_current AND v = 'q'").count() == n and got.count() == 2 * n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("check", [()])
+@pytest.mark.parametrize("hot", [3, 10**6])
+def test_stored_table_by_shuffles_and_its_scratch(spark, scratch, monkeypatch, check, hot):
+    import os
+
+    from ledgerline.session import local_path, work_dir
+    monkeypatch.setattr(history, "SMALL_KEYS", 0)
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, *range(6)]), rnd.choice([None, *range(30)]), rnd.choice(["p", "q", None]),
+             rnd.randrange(3), i) for i in range(120)]
+    table = history.HistoryTable(spark, scratch("hist"), ("k",), "u", ("v", "w"), check, ("x",), buckets=4,
+                                 hot_rows=hot)
+    for lo in range(0, 120, 40):
+        table.apply(_frame(spark, rows[lo:lo + 40]))
+        got = table.read().select("k", "v", "w", "valid_from", "valid_to", "is_current")
+        assert sorted(str(tuple(r)) for r in got.collect()) == brute(rows[:lo + 40], bool(check))
+    assert not [f for f in os.listdir(local_path(work_dir(spark))) if f.startswith("history-")]
