@@ -17,11 +17,13 @@ piece; other columns are unused.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +34,17 @@ LENGTH = 2048
 END_ID = 1
 DIMS = 4
 BITS = 10
-CACHE = 300_000              # words in each of a worker's two generations of remembered words
+CACHE = 300_000              # words in each of a worker's two generations of remembered words, besides a group's new ones
 CACHED = 64                  # characters of the longest of them: a generation is 50 MB as a rule, 160 MB at most
+GROUP = 4_000_000            # bytes of text that are encoded at once: their distinct chunks are looked up once
 PUNCT = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# What a tokenizer does before its model, for which a run of lower-case Latin-1 letters is one word as it stands.
+WORDS = {"normalizer": {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
 
 
 class Encoder:
@@ -43,15 +53,25 @@ class Encoder:
     The tokenizer drops white space and never merges across it, so a text's
     ids are those of its chunks between spaces and newlines, in order. Chunks
     new to the cache are encoded by the tokenizer itself: letter runs many at
-    once, told apart by the end-of-word mark, runs of punctuation after them
+    once, told apart by the end-of-word mark (lower-case Latin-1 ones without
+    its normalizer and pattern, which leave them as they are), runs of punctuation after them
     once each (the tokenizer parts letters from what follows), all else one at
     a time. Chunks of more than CACHED characters are not remembered.
+
+    A batch's chunks are split, told apart and put back in order by Arrow;
+    Python looks at each distinct chunk of the batch once.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tok = self.words = Tokenizer.from_file(path)
+        made = json.loads(self.tok.to_str())
+        if all(made[k] == v for k, v in WORDS.items()):
+            self.words = Tokenizer(self.tok.model)
+            self.words.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         size = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.size = size
@@ -73,76 +93,98 @@ class Encoder:
 
     def _runs(self, words: list[str]) -> None:
         """Cache letter runs (ASCII or any letters, one end-of-word each)."""
-        for lo in range(0, len(words), 128):
-            part = words[lo:lo + 128]
-            enc = self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+        kinds = [w for w in words if w.isascii()], [w for w in words if not w.isascii()]
+        for part in (kind[lo:lo + 128] for kind in kinds for lo in range(0, len(kind), 128)):
+            text = " ".join(part)
+            tok = self.words if _latin(text) and text == text.lower() else self.tok
+            enc = tok.encode_batch_fast([text], add_special_tokens=False)[0]
             ids = np.array(enc.ids, self.dtype)
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(part) and (not len(ids) or ends[-1] == len(ids)):
-                for w, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist()):
-                    self.cache[w] = ids[a:b].tobytes()
+                raw, at = ids.tobytes(), [0, *(ends * ids.itemsize).tolist()]
+                self.cache.update(zip(part, map(raw.__getitem__, map(slice, at, at[1:]))))
             else:
                 for w in part:
                     self.cache[w] = self._ids(w)
 
     def learn(self, chunks: list[str]) -> None:
         """Cache chunks that the cache does not hold."""
-        cache, old, runs, tails, rest = self.cache, self.old, set(), [], []
-
-        def known(c: str) -> bool:
-            if c not in cache and c in old:
-                cache[c] = old[c]
-            return c in cache
+        cache, old, tails, rest = self.cache, self.old, [], []
+        if old:
+            cache.update((c, old[c]) for c in chunks if c in old)
+            chunks = [c for c in chunks if c not in cache]
+        runs = {c for c in chunks if c.isalpha()}
         for c in chunks:
-            if c in old:
-                cache[c] = old[c]
+            if c in runs:
                 continue
             head = c.rstrip(PUNCT)
-            if head == c and c.isalpha():
-                runs.add(c)
-            elif head.isalpha():
-                tail = c[len(head):]
-                tails.append((c, head, tail))
-                if not known(head):
-                    runs.add(head)
-                if not known(tail):
-                    cache[tail] = self._ids(tail)
-            else:
+            if not head.isalpha():
                 rest.append(c)
+                continue
+            tail = c[len(head):]
+            tails.append((c, head, tail))
+            for part in (head, tail):
+                if part not in cache and part in old:
+                    cache[part] = old[part]
+            if head not in cache:
+                runs.add(head)
+            if tail not in cache:
+                cache[tail] = self._ids(tail)
         self._runs(list(runs))
-        for c, head, tail in tails:
-            cache[c] = cache[head] + cache[tail]
+        cache.update((c, cache[head] + cache[tail]) for c, head, tail in tails)
         for c in rest:
             cache[c] = self._ids(c)
 
     def encode(self, texts: list[str | None], end: bytes) -> list[bytes]:
-        docs = [_lower(t or "").replace("\n", " ").split(" ") for t in texts]
-        seen = set().union(*docs) if docs else set()
+        docs = pc.split_pattern(pa.array([_lower(t or "").replace("\n", " ") for t in texts], pa.large_string()), " ")
+        words = docs.flatten().dictionary_encode()
+        # no chunk holds a space: one string, split, is the list of them
+        seen = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()),
+                                                       words.dictionary.cast(pa.string())), " ")[0].as_py().split(" ")
         if len(self.cache) > CACHE:
             self.cache, self.old = {"": b""}, self.cache
         cache = self.cache
         new = [c for c in seen if c not in cache]
         long = [c for c in new if len(c) > CACHED]
         self.learn([c for c in new if len(c) <= CACHED] if long else new)
-        if not long:
-            get = cache.__getitem__
-        else:
-            once = {c: self._ids(c) for c in long}
-            get = lambda c: once[c] if c in once else cache[c]
-        return [b"".join(map(get, d)) + end for d in docs]
+        once = {c: self._ids(c) for c in long}
+        ids = pa.array([once[c] if c in once else cache[c] for c in seen] if once else list(map(cache.__getitem__, seen)),
+                       pa.large_binary()).take(words.indices)
+        # the taken values lie end to end: a text's ids are one stretch of them
+        _, ends, raw = ids.buffers()
+        at = np.frombuffer(ends, np.int64, len(ids) + 1)[docs.offsets.to_numpy()].tolist() if len(ids) else [0]
+        raw = memoryview(raw or b"")
+        return [b"".join((raw[lo:hi], end)) for lo, hi in zip(at, at[1:])]
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _lower(text: str) -> str:
-    """The tokenizer lower-cases; doing so first shares cache entries, and is
-    the same where all characters are Latin-1."""
+def grouped(batches: Iterator[pa.RecordBatch], size: int = GROUP) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes, or as they came if larger."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.nbytes
+        if n >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _latin(text: str) -> bool:
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
-        return text
-    return text.lower()
+        return False
+    return True
+
+
+def _lower(text: str) -> str:
+    """The tokenizer lower-cases; doing so first shares cache entries, and is
+    the same where all characters are Latin-1."""
+    return text.lower() if _latin(text) else text
 
 
 def directions(size: int, dims: int) -> np.ndarray:
@@ -187,7 +229,7 @@ def tokenized(docs: DataFrame, path: str, id_col: str, text_col: str, end_id: in
         table = directions(max(enc.size, end_id + 1), dims)
         end = np.array([end_id], enc.dtype).tobytes()
         width = enc.dtype.itemsize
-        for b in batches:
+        for b in grouped(batches):
             ids = enc.encode(b.column(1).to_pylist(), end)
             n = np.array([len(x) // width for x in ids], np.int64)
             flat = np.frombuffer(b"".join(ids), enc.dtype)

@@ -274,6 +274,44 @@ def test_encoder_equals_the_tokenizer():
         assert np.frombuffer(ids, enc.dtype).tolist() == enc.tok.encode(t or "", add_special_tokens=False).ids
 
 
+def test_new_letter_runs_by_the_model_alone(tmp_path):
+    """Lower-case Latin-1 words need no normalizer; others, and other tokenizers, do."""
+    import json
+
+    import public_tokenizers
+
+    path = public_tokenizers.path(packing.TOKENIZER)
+    enc = packing.Encoder(path)
+    rnd = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyzàâäçèéêëíîïñóôöùúûüßÿµªº"
+    words = ["".join(rnd.choices(letters, k=rnd.randint(1, 12))) for _ in range(2000)]
+    want = enc.tok.encode(" ".join(words), add_special_tokens=False).ids
+    full, enc.tok = enc.tok, None
+    assert np.frombuffer(enc.encode([" ".join(words)], b"")[0], enc.dtype).tolist() == want
+    enc.tok = full
+    mixed = [" ".join(rnd.choice([str.upper, str.title, str])(w) + rnd.choice(["", "", ",", "'s", "日本", "e\u0301", "1"])
+                      for w in rnd.sample(words, 60)) for _ in range(40)]
+    for t, ids in zip(mixed, enc.encode(mixed, b"")):
+        assert np.frombuffer(ids, enc.dtype).tolist() == enc.tok.encode(t, add_special_tokens=False).ids
+    made = json.loads(full.to_str())
+    made["normalizer"] = {"type": "Sequence", "normalizers": [{"type": "NFD"}, *made["normalizer"]["normalizers"][1:]]}
+    (tmp_path / "t.json").write_text(json.dumps(made))
+    other = packing.Encoder(str(tmp_path / "t.json"))
+    assert other.words is other.tok
+
+
+def test_batches_are_grouped_in_order():
+    import pyarrow as pa
+
+    texts = ["", None, "a b", "x" * 50, " ", "c"] * 7
+    whole = pa.RecordBatch.from_arrays([pa.array(range(42)), pa.array(texts)], names=["doc_id", "text"])
+    for size in (1, 100, 10**6):
+        got = list(packing.grouped((whole.slice(i, 5) for i in range(0, 42, 5)), size))
+        assert pa.Table.from_batches(got).to_pylist() == whole.to_pylist()
+        assert len(got) == 9 if size == 1 else len(got) < 9
+    assert list(packing.grouped(iter([]))) == []
+
+
 def test_lz_cases(spark, odd, none):
     got = lz_fingerprint.edited(odd).collect()
     assert len(got) == len(ROWS) and lz_fingerprint.edited(none).count() == 0
