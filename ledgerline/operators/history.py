@@ -125,11 +125,15 @@ def _ranges(ranked: DataFrame, end: Column) -> DataFrame:
 
 
 def _with_key(df: DataFrame, per_key: DataFrame, key: Sequence[str], how: str, small: bool) -> DataFrame:
-    """Join of one row per key on NULL-safe keys; ``_touched`` marks matches."""
+    """Join of one row per key on NULL-safe keys; ``_touched`` marks matches.
+    Keys that are not ``small`` are hinted to a sort-merge join: Spark knows a
+    written frame by the size of its compressed files, and would have the driver
+    broadcast millions of keys that take 10 MB there."""
     named = per_key.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)],
                            *[c for c in per_key.columns if c not in key], F.lit(True).alias("_touched"))
     on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)]
-    return df.join(F.broadcast(named) if small else named, on, how).drop(*[f"_k{i}" for i in range(len(key))])
+    return df.join(F.broadcast(named) if small else named.hint("merge"), on, how).drop(
+        *[f"_k{i}" for i in range(len(key))])
 
 
 SMALL_KEYS = 100_000         # keys of a batch that are broadcast (some 10 MB on the driver); more are joined by shuffles

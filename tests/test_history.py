@@ -144,3 +144,23 @@ def test_stored_table_by_shuffles_and_its_scratch(spark, scratch, monkeypatch, c
         got = table.read().select("k", "v", "w", "valid_from", "valid_to", "is_current")
         assert sorted(str(tuple(r)) for r in got.collect()) == brute(rows[:lo + 40], bool(check))
     assert not [f for f in os.listdir(local_path(work_dir(spark))) if f.startswith("history-")]
+
+
+@pytest.mark.parametrize("check", [(), ("v",)])
+def test_written_keys_are_not_broadcast_by_their_file_size(spark, scratch, monkeypatch, check):
+    """Files say little of what their rows take on the driver: the steps of a
+    large batch are joined by shuffles however small they are when written."""
+    monkeypatch.setattr(history, "SMALL_KEYS", 1000)
+    n, plans = 5000, []
+
+    def keep(df, name):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        df.write.parquet(path := scratch(name))
+        return spark.read.schema(df.schema).parquet(path)
+    first = spark.range(n).selectExpr("id AS k", "timestamp_ntz'2024-01-01' AS u", "'p' AS v", "1 AS w", "0 AS x")
+    late = first.selectExpr("k", "timestamp_ntz'2024-01-05' AS u", "'q' AS v", "w", "x")
+    state = keep(history.splice(None, first, ["k"], "u", ["v", "w"], check, ["x"]), "state")
+    got = history.splice(state, late, ["k"], "u", ["v", "w"], check, ["x"], keep=keep)
+    assert keep(got, "got").where("is_current AND v = 'q'").count() == n
+    assert len(plans) > 4 and not [p for p in plans if "Broadcast" in p]
